@@ -1,0 +1,31 @@
+"""Size-checked broadcast.
+
+A side is broadcast only after a bounded check proves it small: count at most
+``max_rows + 1`` rows (each scan task stops after that many), so the check
+costs little even when the side turns out to be huge. Beyond the bound the
+caller takes its shuffle path, where AQE may still switch to a broadcast with
+real shuffle statistics.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Default row bound for a broadcast side (rows, not bytes: dimension rows
+# here are a few hundred bytes, so this stays far below executor memory).
+DEFAULT_BROADCAST_ROWS = 2_000_000
+
+
+def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (bounded check)."""
+    if max_rows <= 0:
+        return False
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+    """``(broadcast(df), True)`` if the check passes, else ``(df, False)``."""
+    if fits_broadcast(df, max_rows):
+        return F.broadcast(df), True
+    return df, False
