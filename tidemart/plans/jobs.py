@@ -42,7 +42,8 @@ def hourly_change_load(source: DataFrame, change_column: str, run_time, staging_
     spark = source.sparkSession
     prefix = window_prefix(start)
     load_date, load_hour = prefix.split("/")
-    staged = read_staged(spark, staging_path, load_date=load_date, load_hour=load_hour)
+    staged = read_staged(spark, staging_path, schema=changes.schema,
+                         load_date=load_date, load_hour=load_hour)
     version = delta.commit(staged.drop(LOAD_DATE, LOAD_HOUR))
     return prefix, version
 

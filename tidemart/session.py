@@ -24,6 +24,9 @@ SESSION_DEFAULTS = {
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Listing thousands of day folders: a bounded number of listing tasks
+    # (the default starts one task per folder).
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "32",
 }
 
 
@@ -33,6 +36,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(SESSION_DEFAULTS)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    # Small local inputs: let AQE keep a partition per core instead of
+    # merging everything below 1 MB into one or two tasks.
+    conf.setdefault("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")
     conf.setdefault("spark.driver.memory", "8g")
     conf.update(extra or {})
     for key, value in conf.items():

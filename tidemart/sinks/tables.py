@@ -14,9 +14,9 @@
 * ``write_incremental`` (W11): create when the table is missing, else replace
   the given days.
 
-Bulk writes are range-partitioned on (day, key) first: every task writes few
-day folders (no tasks x days small-file blow-up) and a hot day is split over
-several tasks instead of landing in one.
+Bulk writes are rebalanced by day first: every task writes few day folders
+(no tasks x days small-file blow-up) and a hot day is split over several
+tasks instead of landing in one.
 """
 
 from __future__ import annotations
@@ -100,8 +100,15 @@ class DayTable:
         return df.withColumn(DAY_COLUMN, F.to_date(F.col(self.day_source)))
 
     def _balanced(self, df: DataFrame, sort_key: str | None) -> DataFrame:
+        """Shuffle by day with AQE rebalancing, then cluster each file.
+
+        ``REBALANCE(dt)`` hash-partitions by day; AQE splits a partition
+        that is too large (a hot day goes to several writers) and merges
+        small ones (few days per writer). Unlike a range repartition it
+        needs no sampling pass over the upstream plan.
+        """
         keys = [DAY_COLUMN] + ([sort_key] if sort_key else [])
-        return df.repartitionByRange(*keys)
+        return df.hint("rebalance", DAY_COLUMN).sortWithinPartitions(*keys)
 
     def create(self, df: DataFrame, sort_key: str | None = None) -> None:
         """Bootstrap: the whole table from a query (CTAS)."""

@@ -67,7 +67,12 @@ def extract_changes(source: DataFrame, change_column: str, start, end,
 
 def read_staged(spark: SparkSession, path: str, schema: T.StructType | None = None,
                 load_date: str | None = None, load_hour: str | None = None) -> DataFrame:
-    """Read staged Parquet (S6); window keys prune the partition folders."""
+    """Read staged Parquet (S6); window keys prune the partition folders.
+
+    Pass the staged schema (window keys as strings): inferred from folder
+    names, ``load_hour=09:00:00`` would be typed as TIME, which Spark cannot
+    read.
+    """
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
