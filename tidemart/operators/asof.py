@@ -30,7 +30,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .latest import keep_latest
 from .sizing import DEFAULT_BROADCAST_ROWS, maybe_broadcast
 
 VALID_FROM = "valid_from"
@@ -43,18 +42,23 @@ def version_intervals(history: DataFrame, key: str = "id", stamp: str = "updated
                       is_current: str = IS_CURRENT) -> DataFrame:
     """Each version's validity ``[valid_from, valid_to)`` and a current flag.
 
-    Versions with a NULL key or stamp can never match and are dropped; two
-    versions with the same (key, stamp) are reduced to one by the keep-latest
-    tie-break so that intervals never overlap. The window partitions by key,
-    i.e. by product: partitions are as small as one product's history.
+    One window, partitioned by key (one product's history per group):
+    versions are ordered by stamp, and versions sharing a stamp by the
+    keep-latest tie-break reversed, so the keep-latest winner comes last
+    among them. ``lead(stamp)`` then gives every loser an empty interval
+    ``[t, t)``, which is dropped: the same result as de-duplicating
+    (key, stamp) first, without a second shuffle. Versions with a NULL key or
+    stamp can never match and are dropped.
     """
     clean = history.filter(F.col(key).isNotNull() & F.col(stamp).isNotNull())
-    clean = keep_latest(clean, [key, stamp], stamp)
-    window = Window.partitionBy(key).orderBy(F.col(stamp).asc())
+    tiebreak = [c for c in clean.columns if c not in (key, stamp)]
+    window = Window.partitionBy(key).orderBy(
+        F.col(stamp).asc(), *[F.col(c).asc_nulls_first() for c in tiebreak])
     nxt = F.lead(F.col(stamp)).over(window)
     return (clean
             .withColumn(valid_from, F.col(stamp))
             .withColumn(valid_to, nxt)
+            .filter(F.col(valid_to).isNull() | (F.col(valid_to) > F.col(valid_from)))
             .withColumn(is_current, F.col(valid_to).isNull()))
 
 
@@ -108,20 +112,28 @@ def asof_join(facts: DataFrame, versions: DataFrame, *, fact_key: str, version_k
 def _asof_union(facts: DataFrame, versions: DataFrame, *, fact_key: str, version_key: str,
                 fact_time: str, version_time: str, columns: Sequence[str],
                 version_time_as: str | None) -> DataFrame:
+    """Union plan: one shuffle of both sides by key, one running window.
+
+    Order inside a key: time, then versions before facts (the condition is
+    ``>=``), then versions sharing a stamp by the keep-latest tie-break
+    reversed, so ``last(ignoreNulls)`` lands on the same version the interval
+    plan picks -- no separate de-duplication pass.
+    """
     kind, key, t, payload, match = "__kind", "__key", "__t", "__payload", "__match"
     attrs = list(columns) + ([version_time] if version_time_as else [])
-    clean = keep_latest(
-        versions.select(version_key, version_time, *[c for c in columns if c != version_time])
-        .filter(F.col(version_key).isNotNull() & F.col(version_time).isNotNull()),
-        [version_key, version_time], version_time)
+    tiebreak = [c for c in dict.fromkeys(columns) if c not in (version_key, version_time)]
+    clean = versions.filter(F.col(version_key).isNotNull() & F.col(version_time).isNotNull())
     payload_struct = F.struct(*[F.col(c).alias(c) for c in dict.fromkeys(attrs)])
     v_side = clean.select(
         F.col(version_key).alias(key), F.col(version_time).alias(t),
-        F.lit(0).alias(kind), payload_struct.alias(payload))
+        F.lit(0).alias(kind), payload_struct.alias(payload),
+        *[F.col(c).alias(f"__tb{i}") for i, c in enumerate(tiebreak)])
     f_side = facts.select(
         "*", F.col(fact_key).alias(key), F.col(fact_time).alias(t), F.lit(1).alias(kind))
     unioned = f_side.unionByName(v_side, allowMissingColumns=True)
-    window = (Window.partitionBy(key).orderBy(F.col(t).asc_nulls_first(), F.col(kind).asc())
+    order = [F.col(t).asc_nulls_first(), F.col(kind).asc()]
+    order += [F.col(f"__tb{i}").asc_nulls_first() for i in range(len(tiebreak))]
+    window = (Window.partitionBy(key).orderBy(*order)
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     carried = unioned.withColumn(match, F.last(F.col(payload), ignorenulls=True).over(window))
     out = [F.col(c) for c in facts.columns]

@@ -141,8 +141,12 @@ class DayTable:
             return
         listed = sorted({as_date(d) for d in _as_list(days)})
         in_list = F.col(DAY_COLUMN).isin(listed)
-        # Which listed days get rows: a bounded list (at most len(listed)).
-        present = {r[0] for r in staged.filter(in_list).select(DAY_COLUMN).distinct().collect()}
+        # One small aggregate answers both questions: which listed days get
+        # rows (at most len(listed) keys) and whether any row falls outside
+        # the list (the NULL key). Partial aggregation keeps it map-side.
+        summary = staged.groupBy(F.when(in_list, F.col(DAY_COLUMN)).alias("d")).count().collect()
+        present = {r["d"] for r in summary if r["d"] is not None}
+        has_outside = any(r["d"] is None for r in summary)
         inside = staged.filter(in_list)
         if present:
             (self._balanced(inside, sort_key).write.mode("overwrite")
@@ -156,8 +160,8 @@ class DayTable:
             for day in missing:
                 if day in held:
                     self._empty_day(day, df.schema)
-        outside = staged.filter(~in_list | F.col(DAY_COLUMN).isNull())
-        if outside.limit(1).count():
+        if has_outside:
+            outside = staged.filter(~in_list | F.col(DAY_COLUMN).isNull())
             (self._balanced(outside, sort_key).write.mode("append")
              .partitionBy(DAY_COLUMN).parquet(self.path))
 
