@@ -108,3 +108,18 @@ def test_hourly_change_load(spark):
     assert rows(delta.read(), "id") == [(1,), (2,)]
     hourly_change_load(source, "created_at", "2020-01-01 11:15:00", f"{root}/staged", delta)
     assert rows(delta.read(), "id") == [(3,)]          # delta holds one window only
+
+
+def test_month_folders_keep_day_semantics(spark):
+    table = DayTable(spark, scratch_path(spark, "months"), "created_at", granularity="month")
+    table.create(_facts(spark, [(1, T(2020, 1, 1), "a"), (2, T(2020, 1, 2), "b"),
+                                (3, T(2020, 2, 1), "c"), (4, T(2020, 3, 1), "d")]))
+    assert len(glob.glob(local_path(table.path) + "/dt=*")) == 3
+    # Jan 2 replaced, Feb 1 listed but empty -> gone, Jan 1 and Mar 1 untouched.
+    table.replace_days(_facts(spark, [(5, T(2020, 1, 2, 7), "new")]), ["2020-01-02", "2020-02-01"])
+    assert rows(table.read(), "id") == [(1,), (4,), (5,)]
+    assert rows(table.read(days=["2020-01-02"]), "id") == [(5,)]
+    table.delete_days(["2020-01-01"])
+    assert rows(table.read(), "id") == [(4,), (5,)]
+    table.replace_days(_facts(spark, [(6, T(2020, 3, 1), "again")]))   # days=None: Mar 1 replaced
+    assert rows(table.read(), "id") == [(5,), (6,)]

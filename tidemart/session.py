@@ -38,7 +38,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     # Small local inputs: let AQE keep a partition per core instead of
     # merging everything below 1 MB into one or two tasks.
-    conf.setdefault("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")
+    conf.setdefault("spark.sql.adaptive.coalescePartitions.minPartitionSize", "16k")
     conf.setdefault("spark.driver.memory", "8g")
     conf.update(extra or {})
     for key, value in conf.items():

@@ -70,46 +70,78 @@ def create_view(df: DataFrame, name: str) -> DataFrame:
 
 
 class DayTable:
-    """Parquet table partitioned by ``dt = to_date(<day_source>)``."""
+    """Parquet table partitioned by the UTC day of ``day_source``.
+
+    ``granularity="day"`` (the reference's layout) gives one folder per day.
+    ``granularity="month"`` groups a month's days in one folder; it is meant
+    for small per-day aggregates (one row per day would otherwise be one
+    tiny file per day). Day-level semantics are the same in both: replacing
+    days in month folders rewrites only the months they fall in.
+    """
 
     def __init__(self, spark: SparkSession, path: str, day_source: str,
-                 day_kind: str = "timestamp_ntz", schema: T.StructType | None = None):
+                 day_kind: str = "timestamp_ntz", schema: T.StructType | None = None,
+                 granularity: str = "day"):
+        if granularity not in ("day", "month"):
+            raise ValueError(f"unknown granularity: {granularity}")
         self.spark = spark
         self.path = path.rstrip("/")
         self.day_source = day_source
         self.day_kind = day_kind
         self.schema = schema
+        self.granularity = granularity
 
-    # ------------------------------------------------------------- reading
-    def exists(self) -> bool:
-        return path_exists(self.spark, self.path)
+    # ------------------------------------------------------------- helpers
+    def _folder_of(self, day: dt.date) -> dt.date:
+        return day.replace(day=1) if self.granularity == "month" else day
 
-    def read(self, days=None) -> DataFrame:
-        """Rows of the table (``dt`` hidden); listed days prune folders."""
-        reader = self.spark.read
-        if self.schema is not None:
-            reader = reader.schema(T.StructType(list(self.schema.fields) + [
-                T.StructField(DAY_COLUMN, T.DateType())]))
-        df = reader.parquet(self.path)
-        if days is not None:
-            df = df.filter(F.col(DAY_COLUMN).isin([as_date(d) for d in _as_list(days)]))
-        return df.drop(DAY_COLUMN)
+    def _folder_col(self):
+        day = F.to_date(F.col(self.day_source))
+        return F.trunc(day, "month") if self.granularity == "month" else day
 
-    # ------------------------------------------------------------- writing
     def _with_day(self, df: DataFrame) -> DataFrame:
-        return df.withColumn(DAY_COLUMN, F.to_date(F.col(self.day_source)))
+        return df.withColumn(DAY_COLUMN, self._folder_col())
 
     def _balanced(self, df: DataFrame, sort_key: str | None) -> DataFrame:
-        """Shuffle by day with AQE rebalancing, then cluster each file.
+        """Shuffle by folder with AQE rebalancing, then cluster each file.
 
-        ``REBALANCE(dt)`` hash-partitions by day; AQE splits a partition
+        ``REBALANCE(dt)`` hash-partitions by folder; AQE splits a partition
         that is too large (a hot day goes to several writers) and merges
-        small ones (few days per writer). Unlike a range repartition it
+        small ones (few folders per writer). Unlike a range repartition it
         needs no sampling pass over the upstream plan.
         """
         keys = [DAY_COLUMN] + ([sort_key] if sort_key else [])
         return df.hint("rebalance", DAY_COLUMN).sortWithinPartitions(*keys)
 
+    def _raw(self) -> DataFrame:
+        reader = self.spark.read
+        if self.schema is not None:
+            reader = reader.schema(T.StructType(list(self.schema.fields) + [
+                T.StructField(DAY_COLUMN, T.DateType())]))
+        return reader.parquet(self.path)
+
+    def _held(self, folders: Sequence[dt.date]) -> set:
+        """Which of these folders hold rows now (one partition-pruned job)."""
+        if not folders:
+            return set()
+        return {r[0] for r in self._raw().filter(F.col(DAY_COLUMN).isin(list(folders)))
+                .select(DAY_COLUMN).distinct().collect()}
+
+    # ------------------------------------------------------------- reading
+    def exists(self) -> bool:
+        return path_exists(self.spark, self.path)
+
+    def read(self, days=None) -> DataFrame:
+        """Rows of the table (folder column hidden); listed days prune folders."""
+        df = self._raw()
+        if days is not None:
+            listed = sorted({as_date(d) for d in _as_list(days)})
+            df = df.filter(F.col(DAY_COLUMN).isin(sorted({self._folder_of(d) for d in listed})))
+            if self.granularity == "month":
+                df = df.filter(F.to_date(F.col(self.day_source)).isin(listed))
+        return df.drop(DAY_COLUMN)
+
+    # ------------------------------------------------------------- writing
     def create(self, df: DataFrame, sort_key: str | None = None) -> None:
         """Bootstrap: the whole table from a query (CTAS)."""
         if self.schema is None:
@@ -130,8 +162,15 @@ class DayTable:
         if not self.exists():
             self.create(df, sort_key)
             return
+        if days is None and self.granularity == "month":
+            # The days the query has rows for (a bounded list of dates).
+            days = [r[0] for r in df.select(F.to_date(F.col(self.day_source)).alias("d"))
+                    .distinct().collect() if r[0] is not None]
         if checkpoint_source:
             df = df.checkpoint(eager=True)
+        if self.granularity == "month":
+            self._replace_in_months(df, days, sort_key)
+            return
         staged = self._with_day(df)
         if days is None:
             # Every day the query has rows for is replaced; nothing is emptied.
@@ -147,24 +186,51 @@ class DayTable:
         summary = staged.groupBy(F.when(in_list, F.col(DAY_COLUMN)).alias("d")).count().collect()
         present = {r["d"] for r in summary if r["d"] is not None}
         has_outside = any(r["d"] is None for r in summary)
-        inside = staged.filter(in_list)
         if present:
-            (self._balanced(inside, sort_key).write.mode("overwrite")
+            (self._balanced(staged.filter(in_list), sort_key).write.mode("overwrite")
              .option("partitionOverwriteMode", "dynamic")
              .partitionBy(DAY_COLUMN).parquet(self.path))
         missing = [d for d in listed if d not in present]
-        if missing:
-            # Only days that hold rows now need emptying (one pruned read).
-            held = {r[0] for r in self.spark.read.parquet(self.path)
-                    .filter(F.col(DAY_COLUMN).isin(missing)).select(DAY_COLUMN).distinct().collect()}
-            for day in missing:
-                if day in held:
-                    self._empty_day(day, df.schema)
+        held = self._held(missing)
+        for day in missing:
+            if day in held:
+                self._empty_folder(day, df.schema)
         if has_outside:
             outside = staged.filter(~in_list | F.col(DAY_COLUMN).isNull())
             (self._balanced(outside, sort_key).write.mode("append")
              .partitionBy(DAY_COLUMN).parquet(self.path))
 
+    def _replace_in_months(self, df: DataFrame, days, sort_key: str | None) -> None:
+        """Month folders: rewrite the months the listed days fall in.
+
+        New month content = the month's current rows of unlisted days plus
+        the query's rows of that month. It is checkpointed to the shared
+        checkpoint folder first, which cuts the plan's read of the very
+        folders being overwritten; then one dynamic overwrite replaces them.
+        """
+        from ..session import checkpoint_root
+
+        listed = sorted({as_date(d) for d in _as_list(days)})
+        months = sorted({self._folder_of(d) for d in listed})
+        day = F.to_date(F.col(self.day_source))
+        staged = self._with_day(df)
+        kept = self._raw().filter(F.col(DAY_COLUMN).isin(months) & ~day.isin(listed))
+        affected = staged.filter(F.col(DAY_COLUMN).isin(months))
+        checkpoint_root(self.spark)
+        content = kept.unionByName(affected).checkpoint(eager=True)
+        present = {r[0] for r in content.select(DAY_COLUMN).distinct().collect()}
+        if present:
+            (self._balanced(content, sort_key).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic")
+             .partitionBy(DAY_COLUMN).parquet(self.path))
+        for month in months:
+            if month not in present:
+                self._empty_folder(month, df.schema)
+        outside = staged.filter(~F.col(DAY_COLUMN).isin(months) | F.col(DAY_COLUMN).isNull())
+        if outside.limit(1).count():
+            (self._balanced(outside, sort_key).write.mode("append")
+             .partitionBy(DAY_COLUMN).parquet(self.path))
+
     def reload_day(self, df: DataFrame, day, sort_key: str | None = None) -> None:
         """Delete-then-insert of one day, as one partition overwrite."""
         self.replace_days(df, [day], sort_key)
@@ -172,17 +238,19 @@ class DayTable:
     def delete_days(self, days) -> None:
         """Remove the rows of the listed days."""
         schema = self.read().schema
+        if self.granularity == "month":
+            self.replace_days(self.spark.createDataFrame([], schema), days)
+            return
         listed = sorted({as_date(d) for d in _as_list(days)})
-        held = {r[0] for r in self.spark.read.parquet(self.path)
-                .filter(F.col(DAY_COLUMN).isin(listed)).select(DAY_COLUMN).distinct().collect()}
+        held = self._held(listed)
         for day in listed:
             if day in held:
-                self._empty_day(day, schema)
+                self._empty_folder(day, schema)
 
-    def _empty_day(self, day: dt.date, schema: T.StructType) -> None:
-        """Static overwrite of one day folder with no rows."""
+    def _empty_folder(self, folder: dt.date, schema: T.StructType) -> None:
+        """Static overwrite of one folder with no rows."""
         empty = self.spark.createDataFrame([], schema)
-        empty.write.mode("overwrite").parquet(f"{self.path}/{DAY_COLUMN}={day.isoformat()}")
+        empty.write.mode("overwrite").parquet(f"{self.path}/{DAY_COLUMN}={folder.isoformat()}")
 
 
 def write_incremental(table: DayTable, df: DataFrame, days=None, sort_key: str | None = None) -> str:
