@@ -70,3 +70,44 @@ def test_intervals(spark, sides):
         (10, T(2020, 1, 5), None, True),
         (20, T(2020, 1, 3), None, True),
     ]
+
+
+@pytest.mark.parametrize("strategy", ["interval", "union"])
+def test_split_hot_keys_same_answer(spark, sides, strategy):
+    facts, versions = sides
+    out = asof_join(facts, versions, fact_key="product_id", version_key="id",
+                    fact_time="created_at", version_time="updated_at", columns=["attr"],
+                    strategy=strategy, split_hot_keys=True)
+    assert rows(out, "sale", "attr") == EXPECTED
+
+
+def test_hot_key_is_spread_and_exact(spark):
+    from pyspark.sql import functions as F
+
+    from tidemart.operators.segmented import SEGMENT, _segmented, has_hot_keys
+
+    # Product 1 holds a third of all sales and a third of all versions.
+    n = 9000
+    facts = spark.range(n).select(
+        F.col("id").alias("sale"),
+        F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 500 + 2).alias("product_id"),
+        F.expr("timestamp_ntz '2020-01-01' + make_interval(0,0,0,0,0,0,id * 7 % 86400)").alias("created_at"))
+    versions = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 500 + 2).alias("id"),
+        F.expr("timestamp_ntz '2020-01-01' + make_interval(0,0,0,0,0,0,id * 13 % 86400)").alias("updated_at"),
+        F.concat(F.lit("v"), F.col("id").cast("string")).alias("attr"))
+    hot = n // 4
+    assert has_hot_keys(facts, "product_id", hot) and not has_hot_keys(facts, "product_id", n)
+    seg = _segmented(facts, "product_id", ["created_at"], hot, 256)
+    assert seg.filter("product_id = 1").select(SEGMENT).distinct().count() > 1
+    assert seg.filter("product_id <> 1").select(SEGMENT).distinct().count() == 1
+    kw = dict(fact_key="product_id", version_key="id", fact_time="created_at",
+              version_time="updated_at", columns=["attr"])
+    plain = rows(asof_join(facts, versions, split_hot_keys=False, **kw), "sale", "attr")
+    for strategy in ("interval", "union"):
+        split = asof_join(facts, versions, strategy=strategy, split_hot_keys=True,
+                          hot_key_rows=hot, max_broadcast_rows=0, **kw)
+        assert rows(split, "sale", "attr") == plain
+    iv_plain = version_intervals(versions, split_hot_keys=False)
+    iv_split = version_intervals(versions, split_hot_keys=True, hot_key_rows=hot)
+    assert rows(iv_split) == rows(iv_plain)

@@ -30,6 +30,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .segmented import DEFAULT_HOT_KEY_ROWS, has_hot_keys, segmented_carry, segmented_lead
 from .sizing import DEFAULT_BROADCAST_ROWS, maybe_broadcast
 
 VALID_FROM = "valid_from"
@@ -39,7 +40,8 @@ IS_CURRENT = "is_current"
 
 def version_intervals(history: DataFrame, key: str = "id", stamp: str = "updated_at",
                       valid_from: str = VALID_FROM, valid_to: str = VALID_TO,
-                      is_current: str = IS_CURRENT) -> DataFrame:
+                      is_current: str = IS_CURRENT, split_hot_keys: bool | None = None,
+                      hot_key_rows: int = DEFAULT_HOT_KEY_ROWS) -> DataFrame:
     """Each version's validity ``[valid_from, valid_to)`` and a current flag.
 
     One window, partitioned by key (one product's history per group):
@@ -49,15 +51,25 @@ def version_intervals(history: DataFrame, key: str = "id", stamp: str = "updated
     ``[t, t)``, which is dropped: the same result as de-duplicating
     (key, stamp) first, without a second shuffle. Versions with a NULL key or
     stamp can never match and are dropped.
+
+    ``split_hot_keys``: ``True`` always uses the segmented scan (a key's
+    history split over several tasks), ``None`` uses it when some key has
+    more than ``hot_key_rows`` versions, ``False`` never.
     """
     clean = history.filter(F.col(key).isNotNull() & F.col(stamp).isNotNull())
     tiebreak = [c for c in clean.columns if c not in (key, stamp)]
-    window = Window.partitionBy(key).orderBy(
-        F.col(stamp).asc(), *[F.col(c).asc_nulls_first() for c in tiebreak])
-    nxt = F.lead(F.col(stamp)).over(window)
-    return (clean
+    if split_hot_keys is None:
+        split_hot_keys = has_hot_keys(clean, key, hot_key_rows)
+    if split_hot_keys:
+        with_next = segmented_lead(clean, key, [stamp, *tiebreak], stamp, valid_to,
+                                   threshold=hot_key_rows)
+    else:
+        window = Window.partitionBy(key).orderBy(
+            F.col(stamp).asc(), *[F.col(c).asc_nulls_first() for c in tiebreak])
+        with_next = clean.withColumn(valid_to, F.lead(F.col(stamp)).over(window))
+    return (with_next
             .withColumn(valid_from, F.col(stamp))
-            .withColumn(valid_to, nxt)
+            .select(*clean.columns, valid_from, valid_to)
             .filter(F.col(valid_to).isNull() | (F.col(valid_to) > F.col(valid_from)))
             .withColumn(is_current, F.col(valid_to).isNull()))
 
@@ -69,24 +81,31 @@ def _prefixed(columns: Sequence[str], prefix: str) -> dict[str, str]:
 def asof_join(facts: DataFrame, versions: DataFrame, *, fact_key: str, version_key: str,
               fact_time: str, version_time: str, columns: Sequence[str],
               version_time_as: str | None = None, strategy: str = "interval",
-              max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+              max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+              split_hot_keys: bool | None = None,
+              hot_key_rows: int = DEFAULT_HOT_KEY_ROWS) -> DataFrame:
     """Left as-of join of ``facts`` to ``versions``.
 
     ``columns`` are the version attributes to attach (output names as given);
     ``version_time_as`` optionally also returns the matched version's stamp.
-    ``strategy`` is ``"interval"`` or ``"union"``.
+    ``strategy`` is ``"interval"`` or ``"union"``. ``split_hot_keys``
+    (``None`` = decide by a per-key row count against ``hot_key_rows``)
+    switches the per-key windows to the segmented scan, so one key with a
+    large share of the rows is spread over several tasks.
     """
     if strategy == "union":
         return _asof_union(facts, versions, fact_key=fact_key, version_key=version_key,
                            fact_time=fact_time, version_time=version_time,
-                           columns=columns, version_time_as=version_time_as)
+                           columns=columns, version_time_as=version_time_as,
+                           split_hot_keys=split_hot_keys, hot_key_rows=hot_key_rows)
     if strategy != "interval":
         raise ValueError(f"unknown as-of strategy: {strategy}")
 
     prefix = "__v_"
     wanted = list(columns) + ([version_time] if version_time_as else [])
     intervals = version_intervals(versions.select(version_key, version_time, *columns),
-                                  key=version_key, stamp=version_time)
+                                  key=version_key, stamp=version_time,
+                                  split_hot_keys=split_hot_keys, hot_key_rows=hot_key_rows)
     renamed = intervals.select(
         F.col(version_key).alias(prefix + "key"),
         F.col(VALID_FROM).alias(prefix + "from"),
@@ -111,7 +130,8 @@ def asof_join(facts: DataFrame, versions: DataFrame, *, fact_key: str, version_k
 
 def _asof_union(facts: DataFrame, versions: DataFrame, *, fact_key: str, version_key: str,
                 fact_time: str, version_time: str, columns: Sequence[str],
-                version_time_as: str | None) -> DataFrame:
+                version_time_as: str | None, split_hot_keys: bool | None = None,
+                hot_key_rows: int = DEFAULT_HOT_KEY_ROWS) -> DataFrame:
     """Union plan: one shuffle of both sides by key, one running window.
 
     Order inside a key: time, then versions before facts (the condition is
@@ -131,11 +151,15 @@ def _asof_union(facts: DataFrame, versions: DataFrame, *, fact_key: str, version
     f_side = facts.select(
         "*", F.col(fact_key).alias(key), F.col(fact_time).alias(t), F.lit(1).alias(kind))
     unioned = f_side.unionByName(v_side, allowMissingColumns=True)
-    order = [F.col(t).asc_nulls_first(), F.col(kind).asc()]
-    order += [F.col(f"__tb{i}").asc_nulls_first() for i in range(len(tiebreak))]
-    window = (Window.partitionBy(key).orderBy(*order)
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    carried = unioned.withColumn(match, F.last(F.col(payload), ignorenulls=True).over(window))
+    order = [t, kind] + [f"__tb{i}" for i in range(len(tiebreak))]
+    if split_hot_keys is None:
+        split_hot_keys = has_hot_keys(unioned, key, hot_key_rows)
+    if split_hot_keys:
+        carried = segmented_carry(unioned, key, order, payload, match, threshold=hot_key_rows)
+    else:
+        window = (Window.partitionBy(key).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+                  .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        carried = unioned.withColumn(match, F.last(F.col(payload), ignorenulls=True).over(window))
     out = [F.col(c) for c in facts.columns]
     out += [F.col(f"{match}.{c}").alias(c) for c in columns]
     if version_time_as:

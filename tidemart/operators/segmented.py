@@ -1,0 +1,138 @@
+"""Ordered per-key scans that split hot keys over several tasks.
+
+A window ``partition by key order by ...`` sends every row of a key to one
+task. When one key may hold a large share of all rows (one product with a
+third of the sales), the scan is done in segments instead:
+
+1. hot keys are found by a partial-then-final count per key;
+2. for each hot key, split points of the first order column are computed
+   with ``percentile_approx`` (a partial aggregate, so the hot key itself is
+   never gathered in one task) and collected -- a bounded list, at most
+   ``MAX_HOT_KEYS`` keys x ``MAX_SEGMENTS`` points -- so that segment numbers
+   are fixed values: re-evaluating any branch of the plan gives the same
+   segments;
+3. every row gets ``segment`` = the number of its key's split points at or
+   below its order value (0 for ordinary keys), and the window runs per
+   (key, segment) -- a hot key is spread over up to ``MAX_SEGMENTS`` tasks;
+4. each segment's boundary value (its first value for ``lead``, its last
+   non-NULL value for a carry-forward) goes into a summary with one row per
+   (key, segment), is handed to the following segments of the same key by a
+   window over that small summary, and is joined back on (key, segment).
+
+The result equals the single window. Rows with the same first order value
+always share a segment, so ties never straddle a border.
+"""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+SEGMENT = "__segment"
+DEFAULT_HOT_KEY_ROWS = 5_000_000
+MAX_HOT_KEYS = 1000
+MAX_SEGMENTS = 256
+
+
+def _key_counts(df: DataFrame, key: str) -> DataFrame:
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+
+
+def has_hot_keys(df: DataFrame, key: str, threshold: int = DEFAULT_HOT_KEY_ROWS) -> bool:
+    """True if some key has more than ``threshold`` rows (reads one row)."""
+    return _key_counts(df, key).filter(F.col("__n") > threshold).limit(1).count() > 0
+
+
+def _as_number(df: DataFrame, column: str) -> Column:
+    """An order-preserving number for the order column (no time zone)."""
+    dtype = df.schema[column].dataType
+    c = F.col(column)
+    if isinstance(dtype, T.TimestampNTZType):
+        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c)
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(c)
+    if isinstance(dtype, T.DateType):
+        return F.unix_date(c).cast("long")
+    return c.cast("double")
+
+
+def _segmented(df: DataFrame, key: str, order: Sequence[str], threshold: int,
+               max_segments: int) -> DataFrame:
+    """``df`` plus ``SEGMENT``: 0 for ordinary keys, 0..k-1 for hot keys."""
+    spark = df.sparkSession
+    hot = (_key_counts(df, key).filter(F.col("__n") > threshold)
+           .orderBy(F.col("__n").desc()).limit(MAX_HOT_KEYS).collect())
+    number = _as_number(df, order[0])
+    if not hot:
+        return df.withColumn(SEGMENT, F.lit(0))
+    segments = min(max_segments, max(2, math.ceil(max(r["__n"] for r in hot) / threshold)))
+    fractions = [i / segments for i in range(1, segments)]
+    key_type = df.schema[key].dataType
+    hot_keys = spark.createDataFrame([(r[key],) for r in hot],
+                                     T.StructType([T.StructField("__hk", key_type)]))
+    on_hot = df.join(F.broadcast(hot_keys), F.col(key).eqNullSafe(F.col("__hk")), "left_semi")
+    bounds = (on_hot.groupBy(F.col(key).alias("__bk"))
+              .agg(F.percentile_approx(number.cast("double"), fractions).alias("__bounds"))
+              .collect())
+    bounds_df = spark.createDataFrame(
+        [(r["__bk"], [float(b) for b in r["__bounds"]]) for r in bounds],
+        T.StructType([T.StructField("__bk", key_type),
+                      T.StructField("__bounds", T.ArrayType(T.DoubleType(), False))]))
+    joined = df.join(F.broadcast(bounds_df), F.col(key).eqNullSafe(F.col("__bk")), "left")
+    value = number.cast("double")
+    seg = F.when(F.col("__bounds").isNull() | value.isNull(), F.lit(0)).otherwise(
+        F.size(F.filter("__bounds", lambda b: b <= value)))
+    return joined.withColumn(SEGMENT, seg).drop("__bk", "__bounds")
+
+
+def _asc(cols: Sequence[str]) -> list[Column]:
+    return [F.col(c).asc_nulls_first() for c in cols]
+
+
+def _join_back(local: DataFrame, handover: DataFrame, key: str) -> DataFrame:
+    on = F.col(key).eqNullSafe(F.col("__k")) & (F.col(SEGMENT) == F.col("__s"))
+    return local.join(handover, on, "left")
+
+
+def segmented_lead(df: DataFrame, key: str, order: Sequence[str], value: str, out: str,
+                   threshold: int = DEFAULT_HOT_KEY_ROWS,
+                   max_segments: int = MAX_SEGMENTS) -> DataFrame:
+    """``lead(value) over (partition by key order by order)``, hot keys split."""
+    seg = _segmented(df, key, order, threshold, max_segments)
+    w = Window.partitionBy(key, SEGMENT).orderBy(*_asc(order))
+    local = (seg.withColumn(out, F.lead(F.col(value)).over(w))
+                .withColumn("__is_last", F.lead(F.lit(True)).over(w).isNull()))
+    heads = (seg.groupBy(F.col(key).alias("__k"), F.col(SEGMENT).alias("__s"))
+             .agg(F.min_by(F.col(value), F.struct(*[F.col(c) for c in order])).alias("__head")))
+    w_seg = Window.partitionBy("__k").orderBy("__s")
+    handover = heads.withColumn("__next", F.lead("__head").over(w_seg)).drop("__head")
+    joined = _join_back(local, handover, key)
+    filled = F.when(F.col("__is_last"), F.col("__next")).otherwise(F.col(out))
+    return joined.withColumn(out, filled).drop("__k", "__s", "__next", "__is_last", SEGMENT)
+
+
+def segmented_carry(df: DataFrame, key: str, order: Sequence[str], value: str, out: str,
+                    threshold: int = DEFAULT_HOT_KEY_ROWS,
+                    max_segments: int = MAX_SEGMENTS) -> DataFrame:
+    """``last(value, ignoreNulls) over (partition by key order by order rows
+    between unbounded preceding and current row)``, hot keys split."""
+    seg = _segmented(df, key, order, threshold, max_segments)
+    w = (Window.partitionBy(key, SEGMENT).orderBy(*_asc(order))
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    local = seg.withColumn(out, F.last(F.col(value), ignorenulls=True).over(w))
+    # Last non-NULL value of every segment; segments without one keep a row
+    # (NULL tail) so that they still receive the carried value.
+    ordered = F.when(F.col(value).isNotNull(), F.struct(*[F.col(c) for c in order]))
+    tails = (seg.groupBy(F.col(key).alias("__k"), F.col(SEGMENT).alias("__s"))
+             .agg(F.max_by(F.col(value), ordered).alias("__tail")))
+    w_prev = (Window.partitionBy("__k").orderBy("__s")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    handover = tails.withColumn("__carried", F.last("__tail", ignorenulls=True).over(w_prev)) \
+                    .drop("__tail")
+    joined = _join_back(local, handover, key)
+    return joined.withColumn(out, F.coalesce(F.col(out), F.col("__carried"))) \
+                 .drop("__k", "__s", "__carried", SEGMENT)
