@@ -20,7 +20,8 @@ Plans:
   matched (read back from the key column only) decide which source rows are
   inserts. The target is never shuffled.
 * **shuffle** (large source): one full outer sort-merge join on the key. Keys
-  are unique on both sides by contract, so no key can be hot.
+  are unique on both sides by contract, so no key can be hot; NULL keys (which
+  never match) bypass the join rather than all landing in one partition.
 """
 
 from __future__ import annotations
@@ -82,8 +83,14 @@ def merge(target: DataFrame, source: DataFrame, key: str = "id", version_col: st
         strategy = "broadcast" if fits_broadcast(source, max_broadcast_rows) else "shuffle"
 
     if strategy == "shuffle":
-        joined = t.join(s, on, "full_outer")
-        return _resolve(joined, target_cols, s_cols, key, version_col, update_columns, action_col)
+        # NULL keys never match; they bypass the join instead of all hashing
+        # into one shuffle partition (a hot NULL group would be one task).
+        t_key, s_key = F.col(f"__t_{key}"), F.col(f"__s_{key}")
+        joined = t.filter(t_key.isNotNull()).join(s.filter(s_key.isNotNull()), on, "full_outer")
+        t_null = _pad(t.filter(t_key.isNull()), s, "__s_")
+        s_null = _pad(s.filter(s_key.isNull()), t, "__t_")
+        both = joined.unionByName(t_null).unionByName(s_null)
+        return _resolve(both, target_cols, s_cols, key, version_col, update_columns, action_col)
     if strategy != "broadcast":
         raise ValueError(f"unknown merge strategy: {strategy}")
 
@@ -102,6 +109,14 @@ def merge(target: DataFrame, source: DataFrame, key: str = "id", version_col: st
     return _resolve(both, target_cols, s_cols, key, version_col, update_columns, action_col)
 
 
+def _pad(rows: DataFrame, other: DataFrame, prefix: str) -> DataFrame:
+    """Add the other side's columns as typed NULLs (rows without a partner)."""
+    for field in other.schema.fields:
+        if field.name.startswith(prefix):  # includes the other side's hit flag
+            rows = rows.withColumn(field.name, F.lit(None).cast(field.dataType))
+    return rows
+
+
 def _resolve(joined: DataFrame, target_cols: Sequence[str], source_cols: Sequence[str], key: str,
              version_col: str | None, update_columns: Sequence[str],
              action_col: str | None) -> DataFrame:
