@@ -11,9 +11,9 @@ Two plans, same answer:
   version a half-open validity ``[valid_from, valid_to)``; the facts are then
   joined once on ``key`` plus the range condition. At most one version
   matches, so the fact side is never expanded and never sorted. The version
-  side is broadcast only after a bounded row-count check; otherwise the join
-  is a sort-merge join, where AQE's skew-join splitting handles a hot key on
-  the fact side.
+  side is broadcast only after a row count proves it small; otherwise the
+  join is a sort-merge join, where AQE's skew-join splitting handles a hot
+  key on the fact side.
 * **union** -- for two large sides: facts and versions are unioned, and a
   running ``last(..., ignoreNulls)`` per key (versions ordered before facts at
   equal time, because the condition is ``>=``) carries the newest version to
@@ -30,8 +30,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .segmented import DEFAULT_HOT_KEY_ROWS, has_hot_keys, segmented_carry, segmented_lead
-from .sizing import DEFAULT_BROADCAST_ROWS, maybe_broadcast
+from .segmented import (DEFAULT_HOT_KEY_ROWS, has_hot_keys, key_stats, segmented_carry,
+                        segmented_lead)
+from .sizing import DEFAULT_BROADCAST_ROWS
 
 VALID_FROM = "valid_from"
 VALID_TO = "valid_to"
@@ -103,6 +104,12 @@ def asof_join(facts: DataFrame, versions: DataFrame, *, fact_key: str, version_k
 
     prefix = "__v_"
     wanted = list(columns) + ([version_time] if version_time_as else [])
+    # One job over the versions answers both sizing questions: the total
+    # (broadcast or not) and the biggest key (split the interval window or not).
+    total, biggest = key_stats(versions.filter(F.col(version_key).isNotNull()), version_key)
+    small = 0 < max_broadcast_rows and total <= max_broadcast_rows
+    if split_hot_keys is None:
+        split_hot_keys = biggest > hot_key_rows
     intervals = version_intervals(versions.select(version_key, version_time, *columns),
                                   key=version_key, stamp=version_time,
                                   split_hot_keys=split_hot_keys, hot_key_rows=hot_key_rows)
@@ -112,9 +119,7 @@ def asof_join(facts: DataFrame, versions: DataFrame, *, fact_key: str, version_k
         F.col(VALID_TO).alias(prefix + "to"),
         *[F.col(c).alias(n) for c, n in _prefixed(set(wanted), prefix).items()],
     )
-    # The check counts the (raw) versions, before the window, so it is a
-    # bounded scan; the interval table has exactly that many rows or fewer.
-    _, small = maybe_broadcast(versions.select(version_key), max_broadcast_rows)
+    # The interval table has at most as many rows as there are versions.
     right = F.broadcast(renamed) if small else renamed
     t = F.col(fact_time)
     condition = ((F.col(fact_key) == F.col(prefix + "key"))

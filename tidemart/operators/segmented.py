@@ -42,6 +42,12 @@ def _key_counts(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
 
 
+def key_stats(df: DataFrame, key: str) -> tuple[int, int]:
+    """(rows, rows of the biggest key) in one partial-aggregated job."""
+    row = _key_counts(df, key).agg(F.sum("__n"), F.max("__n")).first()
+    return int(row[0] or 0), int(row[1] or 0)
+
+
 def has_hot_keys(df: DataFrame, key: str, threshold: int = DEFAULT_HOT_KEY_ROWS) -> bool:
     """True if some key has more than ``threshold`` rows (reads one row)."""
     return _key_counts(df, key).filter(F.col("__n") > threshold).limit(1).count() > 0
