@@ -123,3 +123,19 @@ def test_month_folders_keep_day_semantics(spark):
     assert rows(table.read(), "id") == [(4,), (5,)]
     table.replace_days(_facts(spark, [(6, T(2020, 3, 1), "again")]))   # days=None: Mar 1 replaced
     assert rows(table.read(), "id") == [(5,), (6,)]
+
+
+def test_catalog_write_incremental(spark):
+    from tidemart.sinks.tables import write_incremental_table
+
+    name = "tm_fact_incremental"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    first = _facts(spark, [(1, T(2020, 1, 1), "a"), (2, T(2020, 1, 2), "b"), (3, T(2020, 1, 3), "c")])
+    assert write_incremental_table(spark, name, first, "created_at", ["2020-01-01"]) == "created"
+    again = _facts(spark, [(4, T(2020, 1, 2, 6), "new"), (5, T(2020, 1, 9), "other")])
+    assert write_incremental_table(spark, name, again, "created_at",
+                                   ["2020-01-02", "2020-01-03"]) == "replaced"
+    assert rows(spark.table(name), "id") == [(1,), (4,), (5,)]
+    write_incremental_table(spark, name, again, "created_at", ["2020-01-02", "2020-01-03"])
+    assert rows(spark.table(name), "id") == [(1,), (4,), (5,), (5,)]  # unlisted day appends
+    spark.sql(f"DROP TABLE {name}")

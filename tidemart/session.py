@@ -41,6 +41,8 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     conf.setdefault("spark.sql.adaptive.coalescePartitions.minPartitionSize", "16k")
     conf.setdefault("spark.driver.memory", "8g")
     conf.update(extra or {})
+    # Local sessions keep managed tables out of the working directory.
+    conf.setdefault("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="tidemart-warehouse-"))
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()

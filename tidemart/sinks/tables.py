@@ -315,3 +315,52 @@ def _as_list(days) -> list:
 
 def day_list(values: Iterable) -> list[dt.date]:
     return sorted({as_date(v) for v in values})
+
+
+def write_incremental_table(spark: SparkSession, name: str, df: DataFrame, day_source: str,
+                            days=None) -> str:
+    """W11 on a catalog table: ``tableExists`` decides create or replace.
+
+    Create: ``saveAsTable`` partitioned by ``dt``. Replace: one dynamic
+    ``insertInto(overwrite=True)`` for the listed days that get rows, ``ALTER
+    TABLE ... DROP PARTITION`` for listed days left without rows (a managed
+    table drops their files too), and a plain append for query rows outside
+    the list.
+    """
+    staged = df.withColumn(DAY_COLUMN, F.to_date(F.col(day_source)))
+    if not spark.catalog.tableExists(name):
+        staged.hint("rebalance", DAY_COLUMN).write.format("parquet") \
+            .partitionBy(DAY_COLUMN).saveAsTable(name)
+        return "created"
+    columns = spark.table(name).columns
+    if days is None:
+        _insert_dynamic(spark, staged.select(*columns), name)
+        return "replaced"
+    listed = sorted({as_date(d) for d in _as_list(days)})
+    in_list = F.col(DAY_COLUMN).isin(listed)
+    summary = staged.groupBy(F.when(in_list, F.col(DAY_COLUMN)).alias("d")).count().collect()
+    present = {r["d"] for r in summary if r["d"] is not None}
+    if present:
+        _insert_dynamic(spark, staged.filter(in_list).select(*columns), name)
+    missing = [d for d in listed if d not in present]
+    if missing:
+        specs = ", ".join(f"PARTITION ({DAY_COLUMN} = DATE'{d.isoformat()}')" for d in missing)
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {specs}")
+    if any(r["d"] is None for r in summary):
+        staged.filter(~in_list | F.col(DAY_COLUMN).isNull()).select(*columns).write.insertInto(name)
+    return "replaced"
+
+
+def _insert_dynamic(spark: SparkSession, df: DataFrame, name: str) -> None:
+    """``insertInto(overwrite=True)`` replacing only the partitions written.
+
+    ``insertInto`` follows the session's overwrite mode (not the writer
+    option), so the mode is switched for this one statement and restored.
+    """
+    key = "spark.sql.sources.partitionOverwriteMode"
+    previous = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        df.write.insertInto(name, overwrite=True)
+    finally:
+        spark.conf.set(key, previous)
