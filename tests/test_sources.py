@@ -91,3 +91,16 @@ def test_jdbc_partitioned_window_extract(spark):
     assert "*GreaterThanOrEqual(created_at" in plan and "*LessThan(created_at" in plan
     expected = extract_window(items, "created_at", "1997-01-01", "1998-01-01").count()
     assert window.count() == expected
+
+
+def test_window_keys_ignore_session_time_zone(spark):
+    df = spark.createDataFrame([(1, D(1997, 4, 6, 2, 7, 42))], "id long, updated_at timestamp_ntz")
+    key = "spark.sql.session.timeZone"
+    previous = spark.conf.get(key)
+    spark.conf.set(key, "America/Los_Angeles")  # 02:07:42 falls in this zone's DST gap
+    try:
+        got = extract_changes(df, "updated_at", "1997-04-06", "1997-04-07") \
+            .select("load_date", "load_hour", pr.prefix_col("updated_at").alias("p")).first()
+    finally:
+        spark.conf.set(key, previous)
+    assert tuple(got) == ("1997-04-06", "02:00:00", "1997-04-06/02:07:42")

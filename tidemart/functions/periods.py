@@ -19,8 +19,6 @@ DayLike = "str | dt.date"
 # The reference's first-build lower bound for the unguarded dimension.
 DEFAULT_FIRST_DAY = "2022-01-01"
 # Staged-file prefix layout: "<day>/<hour:minute:second>" of the window start.
-PREFIX_DAY_FORMAT = "yyyy-MM-dd"
-PREFIX_TIME_FORMAT = "HH:mm:ss"
 
 
 def as_date(day) -> dt.date:
@@ -139,11 +137,25 @@ def window_start_col(run_time) -> Column:
     return F.timestamp_add("HOUR", F.lit(-1), window_end_col(run_time))
 
 
+def format_day(column) -> Column:
+    """``YYYY-MM-DD`` of a stamp, from its own fields.
+
+    ``date_format`` would pass a ``timestamp_ntz`` through the session time
+    zone (a wall-clock time in a DST gap would print an hour later).
+    """
+    c = col_of(column)
+    return F.format_string("%04d-%02d-%02d", F.year(c), F.month(c), F.dayofmonth(c))
+
+
+def format_time(column) -> Column:
+    """``HH:MM:SS`` of a stamp, from its own fields (no time zone)."""
+    c = col_of(column)
+    return F.format_string("%02d:%02d:%02d", F.hour(c), F.minute(c), F.second(c))
+
+
 def prefix_col(start) -> Column:
-    """``date_format`` of the window start into the staged prefix."""
-    s = col_of(start)
-    return F.concat(F.date_format(s, PREFIX_DAY_FORMAT), F.lit("/"),
-                    F.date_format(s, PREFIX_TIME_FORMAT))
+    """The staged prefix ``YYYY-MM-DD/HH:MM:SS`` of a window start."""
+    return F.concat(format_day(start), F.lit("/"), format_time(start))
 
 
 def hour_of(column) -> Column:

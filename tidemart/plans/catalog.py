@@ -114,7 +114,7 @@ def date_scalars(spark: SparkSession, sf: str) -> DataFrame:
         pr.day_start("ts").alias("day_start"),
         pr.day_start("ts").alias("day_trunc"),
         pr.day_of("ts").isin([pr.as_date(d) for d in P.DATE_LIST]).alias("in_days"),
-        F.date_format("ts", "yyyy-MM-dd").alias("day_str"))
+        pr.format_day("ts").alias("day_str"))
 
 
 # ------------------------------------------------------------------- joins

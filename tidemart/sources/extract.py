@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.periods import (PREFIX_DAY_FORMAT, PREFIX_TIME_FORMAT, hour_of, in_window)
+from ..functions.periods import format_day, format_time, hour_of, in_window
 
 LOAD_DATE = "load_date"
 LOAD_HOUR = "load_hour"
@@ -55,8 +55,8 @@ def extract_window(source: DataFrame, change_column: str, start, end,
 def tag_windows(df: DataFrame, change_column: str) -> DataFrame:
     """Add the hourly window keys the row belongs to (its hour's start)."""
     start = hour_of(change_column)
-    return (df.withColumn(LOAD_DATE, F.date_format(start, PREFIX_DAY_FORMAT))
-              .withColumn(LOAD_HOUR, F.date_format(start, PREFIX_TIME_FORMAT)))
+    return (df.withColumn(LOAD_DATE, format_day(start))
+              .withColumn(LOAD_HOUR, format_time(start)))
 
 
 def extract_changes(source: DataFrame, change_column: str, start, end,
