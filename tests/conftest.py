@@ -14,6 +14,7 @@ SF_MID = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     session = build_session(master="local[*]", shuffle_partitions=8, app_name="tidemart-tests")
+    session.conf.set("spark.sql.maxMetadataStringLength", "100000")  # full PushedFilters in plans
     yield session
     session.stop()
 

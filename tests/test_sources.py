@@ -86,6 +86,9 @@ def test_jdbc_partitioned_window_extract(spark):
                      properties={"preferTimestampNTZ": "true"})
     assert snap.rdd.getNumPartitions() == 4
     assert snap.count() == 60000
+    unbounded = read_jdbc(spark, url, "ORDER_ITEMS", partition_column="\"id\"", num_partitions=3,
+                          properties={"preferTimestampNTZ": "true"})
+    assert unbounded.rdd.getNumPartitions() == 3 and unbounded.count() == 60000
     window = extract_window(snap, "created_at", "1997-01-01", "1998-01-01")
     plan = window._jdf.queryExecution().executedPlan().toString()
     assert "*GreaterThanOrEqual(created_at" in plan and "*LessThan(created_at" in plan
@@ -104,3 +107,13 @@ def test_window_keys_ignore_session_time_zone(spark):
     finally:
         spark.conf.set(key, previous)
     assert tuple(got) == ("1997-04-06", "02:00:00", "1997-04-06/02:07:42")
+
+
+def test_day_list_becomes_pushed_ranges(spark):
+    items = fx.read_table(spark, SF_MID, "lineitem")
+    days = ["1996-01-01", "1996-01-02", "1996-01-03", "1996-02-10"]
+    df = items.filter(pr.day_in("l_shipdate", days))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [Or(And(GreaterThanOrEqual(l_shipdate,1996-01-01T00:00),LessThan(l_shipdate,1996-01-04T00:00))" in plan
+    expected = items.filter(F.to_date("l_shipdate").isin([dt.date.fromisoformat(d) for d in days]))
+    assert df.count() == expected.count() > 0

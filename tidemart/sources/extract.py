@@ -30,15 +30,22 @@ def read_jdbc(spark: SparkSession, url: str, table: str, *, properties: dict | N
 
     With ``partition_column`` (numeric, date or timestamp) the scan is split
     into ``num_partitions`` parallel range queries; the bounds only decide the
-    split, every row is read.
+    split, every row is read. Missing bounds are fetched with one
+    ``MIN``/``MAX`` query that the database answers.
     """
     reader = spark.read.format("jdbc").option("url", url).option("dbtable", table) \
         .option("fetchsize", str(fetch_size))
     for key, value in (properties or {}).items():
         reader = reader.option(key, value)
     if partition_column is not None:
-        if lower_bound is None or upper_bound is None or not num_partitions:
-            raise ValueError("partitioned JDBC scan needs bounds and num_partitions")
+        if not num_partitions:
+            raise ValueError("partitioned JDBC scan needs num_partitions")
+        if lower_bound is None or upper_bound is None:
+            lo, hi = jdbc_bounds(spark, url, table, partition_column, properties)
+            if lo is None:  # empty table: one partition reads it
+                return read_jdbc(spark, url, table, properties=properties, fetch_size=fetch_size)
+            lower_bound = lo if lower_bound is None else lower_bound
+            upper_bound = hi if upper_bound is None else upper_bound
         reader = (reader.option("partitionColumn", partition_column)
                   .option("lowerBound", str(lower_bound))
                   .option("upperBound", str(upper_bound))
@@ -46,6 +53,17 @@ def read_jdbc(spark: SparkSession, url: str, table: str, *, properties: dict | N
     return reader.load()
 
 
+def jdbc_bounds(spark: SparkSession, url: str, table: str, column: str,
+                properties: dict | None = None) -> tuple:
+    """``(MIN(column), MAX(column))`` of a table, computed by the database."""
+    reader = spark.read.format("jdbc").option("url", url).option(
+        "query", f"SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}")
+    for key, value in (properties or {}).items():
+        reader = reader.option(key, value)
+    row = reader.load().first()
+    return (row["LO"] if "LO" in row else row["lo"]), (row["HI"] if "HI" in row else row["hi"])
+
+
 def extract_window(source: DataFrame, change_column: str, start, end,
                    kind: str = "timestamp_ntz") -> DataFrame:
     """Rows whose change column is in ``[start, end)``."""
