@@ -117,3 +117,13 @@ def test_day_list_becomes_pushed_ranges(spark):
     assert "PushedFilters: [Or(And(GreaterThanOrEqual(l_shipdate,1996-01-01T00:00),LessThan(l_shipdate,1996-01-04T00:00))" in plan
     expected = items.filter(F.to_date("l_shipdate").isin([dt.date.fromisoformat(d) for d in days]))
     assert df.count() == expected.count() > 0
+
+
+def test_cluster_conf_sizes_partitions():
+    from tidemart.session import cluster_conf
+
+    conf = cluster_conf(largest_shuffle_bytes=100 * 1024 ** 4, executor_cores_total=4000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600      # 100 TiB / 256 MiB
+    assert conf["spark.sql.adaptive.enabled"] == "true"
+    small = cluster_conf(largest_shuffle_bytes=10 ** 9, executor_cores_total=4000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 8000        # two waves of cores

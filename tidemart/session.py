@@ -30,6 +30,37 @@ SESSION_DEFAULTS = {
 }
 
 
+# Sizing for a large cluster (shared storage, 100s-1000s of executors).
+# Partitions are sized so that a shuffle partition and a scan split stay a
+# few hundred MB -- far below executor memory, so sorts and hash tables spill
+# rarely; AQE then coalesces small partitions and splits skewed ones.
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def cluster_conf(largest_shuffle_bytes: int, executor_cores_total: int) -> dict[str, str]:
+    """Spark settings for a cluster run, sized from the largest shuffle.
+
+    ``spark.sql.shuffle.partitions`` is the initial partition count AQE
+    starts from: enough for ``largest_shuffle_bytes`` at about 256 MB per
+    partition, and at least two waves of the cluster's cores.
+    """
+    partitions = max(2 * executor_cores_total,
+                     -(-largest_shuffle_bytes // TARGET_PARTITION_BYTES))
+    return {
+        **{k: v for k, v in SESSION_DEFAULTS.items() if not k.startswith("spark.ui.show")},
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_PARTITION_BYTES),
+        "spark.sql.files.maxPartitionBytes": str(TARGET_PARTITION_BYTES),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(TARGET_PARTITION_BYTES),
+        # Static broadcast only from file statistics of small tables; AQE may
+        # still switch a join to broadcast from measured shuffle sizes.
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+        "spark.sql.sources.parallelPartitionDiscovery.parallelism": str(executor_cores_total),
+    }
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app_name: str = "tidemart", extra: dict | None = None) -> SparkSession:
     """SparkSession with the pipeline's defaults (used by tests and bench)."""
