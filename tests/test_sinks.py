@@ -139,3 +139,23 @@ def test_catalog_write_incremental(spark):
     write_incremental_table(spark, name, again, "created_at", ["2020-01-02", "2020-01-03"])
     assert rows(spark.table(name), "id") == [(1,), (4,), (5,), (5,)]  # unlisted day appends
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_merge_rewrites_only_touched_days(spark):
+    schema = "id long, v string, updated_at timestamp_ntz"
+    table = DayTable(spark, scratch_path(spark, "scd1-days"), "updated_at")
+    table.create(spark.createDataFrame([
+        (1, "a", T(2020, 1, 1)), (2, "b", T(2020, 1, 1)), (3, "c", T(2020, 1, 2)),
+        (4, "d", T(2020, 1, 3))], schema))
+    before = {os.path.basename(p): os.path.getmtime(p)
+              for p in glob.glob(local_path(table.path) + "/dt=*/*.parquet")}
+    source = spark.createDataFrame([
+        (1, "a2", T(2020, 1, 5)),      # moves from day 1 to day 5
+        (3, "old", T(2019, 12, 31)),   # older than target: guard keeps it
+        (9, "new", T(2020, 1, 5))], schema)
+    touched = table.merge_days(source, "id", version_col="updated_at")
+    assert [d.isoformat() for d in touched] == ["2019-12-31", "2020-01-01", "2020-01-02", "2020-01-05"]
+    assert rows(table.read(), "id", "v") == [(1, "a2"), (2, "b"), (3, "c"), (4, "d"), (9, "new")]
+    assert rows(table.read(days=["2020-01-01"]), "id") == [(2,)]
+    day3 = glob.glob(local_path(table.path) + "/dt=2020-01-03/*.parquet")
+    assert all(before.get(os.path.basename(p)) == os.path.getmtime(p) for p in day3)  # untouched

@@ -244,7 +244,7 @@ def product_dim_scd1(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_path(spark, "scd1")
     main = VersionedTable(spark, f"{root}/main")
     main.commit(fx.products_main(spark, sf))
-    dim = VersionedTable(spark, f"{root}/dim")
+    dim = DayTable(spark, f"{root}/dim", "updated_at", granularity="month")
     jobs.run_product_dim_scd1(dim, main.read(), None)
     jobs.run_merge_delta_to_main(main, fx.products_delta(spark, sf), window=P.PRODUCT_CDC_WINDOW)
     start, end = P.PRODUCT_CDC_WINDOW
@@ -257,7 +257,7 @@ def product_dim_scd1_scoped(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_path(spark, "scd1-scoped")
     main = VersionedTable(spark, f"{root}/main")
     main.commit(fx.products_main(spark, sf))
-    dim = VersionedTable(spark, f"{root}/dim")
+    dim = DayTable(spark, f"{root}/dim", "updated_at", granularity="month")
     jobs.run_product_dim_scd1_scoped(dim, main.read(), first_day=P.SCD_FIRST_DAY)
     jobs.run_merge_delta_to_main(main, fx.products_delta(spark, sf), window=P.PRODUCT_CDC_WINDOW)
     jobs.run_product_dim_scd1_scoped(dim, main.read(), as_of=P.SCD_AS_OF)
@@ -272,7 +272,7 @@ def product_dim_history(spark: SparkSession, sf: str) -> DataFrame:
     first = delta.filter(F.col("updated_at") < fx.ntz(fx.MAIN_CUTOFF))
     jobs.run_product_history(spark, first, path)
     start = fx.MAIN_CUTOFF[:10]
-    table = jobs.run_product_history(spark, delta, path, _days(start, "2002-01-01"))
+    table = jobs.run_product_history(spark, delta, path, _days(start, P.HISTORY_END))
     return table.read()
 
 
@@ -281,7 +281,8 @@ def product_dim_daily(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "dim-daily")
     delta = fx.products_delta(spark, sf)
     jobs.run_product_dimension_daily(spark, delta.filter(F.col("updated_at") < fx.ntz(fx.MAIN_CUTOFF)), path)
-    table = jobs.run_product_dimension_daily(spark, delta, path, _days(fx.MAIN_CUTOFF[:10], "2002-01-01"))
+    table = jobs.run_product_dimension_daily(spark, delta, path,
+                                             _days(fx.MAIN_CUTOFF[:10], P.HISTORY_END))
     return table.read()
 
 

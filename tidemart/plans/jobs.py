@@ -4,8 +4,10 @@ Each job decides bootstrap-or-incremental by looking at its target (W11),
 builds the model with ``tidemart.plans.models`` and writes it:
 
 * day-partitioned models (H2, H3, H5, H6, H7) replace their listed days;
-* current-image tables (main, SCD1 dimensions: H1, H4, H8) commit a new
-  version of a ``VersionedTable`` (Spark cannot overwrite what it reads);
+* SCD1 dimensions (H1, H4) are day-partitioned too; a merge rewrites only
+  the days it touches;
+* the main table (H8) commits a new version of a ``VersionedTable`` (Spark
+  cannot overwrite what it reads);
 * extract loads (H9, H10) stage Parquet, then replace the delta/main table.
 """
 
@@ -105,15 +107,26 @@ def run_merge_delta_to_main(main: VersionedTable, delta: DataFrame, days=None,
     return main.commit(models.merge_delta_to_main(main.read(), delta, days=days, window=window))
 
 
-def run_product_dim_scd1(dim: VersionedTable, products_main: DataFrame, days) -> int:
-    """H1: create from the main table, else guarded merge of the day's rows."""
-    current = dim.read() if dim.exists() else None
-    return dim.commit(models.product_dim_scd1(current, products_main, days))
+def run_product_dim_scd1(dim: DayTable, products_main: DataFrame, days) -> list:
+    """H1: create from the main table, else guarded merge of the day's rows.
 
+    The dimension is partitioned by the day of ``updated_at`` (month folders
+    suit a one-row-per-product table); a merge rewrites only the folders it
+    touches (see ``DayTable.merge_days``).
+    """
+    if not dim.exists():
+        dim.create(models.product_dim_scd1(None, products_main, days), sort_key="id")
+        return []
+    return dim.merge_days(models.product_dim_scd1_source(products_main, days), "id",
+                          version_col="updated_at", sort_key="id")
 
-def run_product_dim_scd1_scoped(dim: VersionedTable, products_main: DataFrame, day=None,
-                                as_of=None, first_day="2022-01-01") -> int:
+
+def run_product_dim_scd1_scoped(dim: DayTable, products_main: DataFrame, day=None,
+                                as_of=None, first_day="2022-01-01") -> list:
     """H4: unguarded merge with the explicit / yesterday / first-build scope."""
-    current = dim.read() if dim.exists() else None
-    return dim.commit(models.product_dim_scd1_scoped(current, products_main, day=day,
-                                                     as_of=as_of, first_day=first_day))
+    source = models.product_dim_scoped_source(products_main, day=day, incremental=dim.exists(),
+                                              as_of=as_of, first_day=first_day)
+    if not dim.exists():
+        dim.create(source, sort_key="id")
+        return []
+    return dim.merge_days(source, "id", sort_key="id")

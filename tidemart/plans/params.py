@@ -19,5 +19,6 @@ SCOPE_FIRST_DAY = "1997-06-01"           # F6 first build lower bound
 SCD_FIRST_DAY = "1995-01-01"             # H4 first build lower bound
 SCD_AS_OF = "1996-06-02"                 # H4 incremental run (yesterday = 1996-06-01)
 DATE_LIST = ("2024-01-05", "2024-01-06", "2024-01-20")  # X8 membership list
+HISTORY_END = "2002-01-01"               # after the last product change at any scale
 LIMIT_ROWS = 10
 RETURNED_STATUS = "Returned"

@@ -192,9 +192,7 @@ class DayTable:
              .partitionBy(DAY_COLUMN).parquet(self.path))
         missing = [d for d in listed if d not in present]
         held = self._held(missing)
-        for day in missing:
-            if day in held:
-                self._empty_folder(day, df.schema)
+        self._empty_folders([d for d in missing if d in held], df.schema)
         if has_outside:
             outside = staged.filter(~in_list | F.col(DAY_COLUMN).isNull())
             (self._balanced(outside, sort_key).write.mode("append")
@@ -223,14 +221,49 @@ class DayTable:
             (self._balanced(content, sort_key).write.mode("overwrite")
              .option("partitionOverwriteMode", "dynamic")
              .partitionBy(DAY_COLUMN).parquet(self.path))
-        for month in months:
-            if month not in present:
-                self._empty_folder(month, df.schema)
+        self._empty_folders([m for m in months if m not in present], df.schema)
         outside = staged.filter(~F.col(DAY_COLUMN).isin(months) | F.col(DAY_COLUMN).isNull())
         if outside.limit(1).count():
             (self._balanced(outside, sort_key).write.mode("append")
              .partitionBy(DAY_COLUMN).parquet(self.path))
 
+    def merge_days(self, source: DataFrame, key: str, version_col: str | None = None,
+                   update_columns: Sequence[str] | None = None,
+                   sort_key: str | None = None) -> list[dt.date]:
+        """MERGE ``source`` into the table, rewriting only the touched days.
+
+        A matched row can move to another day when its stamp changes, so the
+        touched days are the old days of matched keys (found by a semi-join
+        that reads only the key and folder columns) plus the source's days.
+        The merged rows of those days are checkpointed -- the plan reads the
+        very folders it replaces -- and the days are replaced. Returns the
+        touched days.
+        """
+        from ..operators.merge import merge
+        from ..session import checkpoint_root
+
+        if not self.exists():
+            self.create(source, sort_key)
+            return []
+        keys = source.select(key).filter(F.col(key).isNotNull())
+        old = (self._raw().select(key, DAY_COLUMN).join(keys, key, "left_semi")
+               .select(DAY_COLUMN).distinct().collect())
+        new = (source.select(self._folder_col().alias("d")).filter(F.col("d").isNotNull())
+               .distinct().collect())
+        touched = sorted({r[0] for r in old} | {r[0] for r in new})
+        if self.granularity == "month":
+            current = self._raw().filter(F.col(DAY_COLUMN).isin(touched)).drop(DAY_COLUMN)
+            days = sorted({r[0] for r in current.select(F.to_date(F.col(self.day_source)))
+                           .union(source.select(F.to_date(F.col(self.day_source))))
+                           .distinct().collect() if r[0] is not None})
+        else:
+            current, days = self.read(days=touched), touched
+        merged = merge(current, source, key=key, version_col=version_col,
+                       update_columns=update_columns)
+        checkpoint_root(self.spark)
+        self.replace_days(merged.checkpoint(eager=True), days, sort_key)
+        return touched
+
     def reload_day(self, df: DataFrame, day, sort_key: str | None = None) -> None:
         """Delete-then-insert of one day, as one partition overwrite."""
         self.replace_days(df, [day], sort_key)
@@ -243,15 +276,25 @@ class DayTable:
             return
         listed = sorted({as_date(d) for d in _as_list(days)})
         held = self._held(listed)
-        for day in listed:
-            if day in held:
-                self._empty_folder(day, schema)
+        self._empty_folders([d for d in listed if d in held], schema)
 
     def _empty_folder(self, folder: dt.date, schema: T.StructType) -> None:
         """Static overwrite of one folder with no rows."""
         empty = self.spark.createDataFrame([], schema)
         empty.write.mode("overwrite").parquet(f"{self.path}/{DAY_COLUMN}={folder.isoformat()}")
 
+    def _empty_folders(self, folders: Sequence[dt.date], schema: T.StructType) -> None:
+        """Empty several folders; the small jobs are submitted concurrently."""
+        from concurrent.futures import ThreadPoolExecutor
+
+        folders = list(folders)
+        if len(folders) <= 1:
+            for folder in folders:
+                self._empty_folder(folder, schema)
+            return
+        with ThreadPoolExecutor(max_workers=min(8, len(folders))) as pool:
+            list(pool.map(lambda f: self._empty_folder(f, schema), folders))
+
 
 def write_incremental(table: DayTable, df: DataFrame, days=None, sort_key: str | None = None) -> str:
     """Create the table if it is missing, else replace the listed days."""
