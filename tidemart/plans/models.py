@@ -11,7 +11,6 @@ the reference runs one day at a time, which is the one-element case.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..functions.periods import day_in, scope_predicate
 from ..operators.asof import asof_join, version_intervals
