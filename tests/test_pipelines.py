@@ -25,9 +25,9 @@ def test_daily_runs_match_models_and_are_idempotent(spark):
     for day in days + days:  # every day twice: the second run changes nothing
         fact = jobs.run_sales_transaction_fact(spark, items, f"{root}/fact", [day])
         jobs.run_product_dimension_daily(spark, delta, f"{root}/dim", [day])
-        jobs.run_sales_periodic_fact(spark, fact.read(), f"{root}/periodic", [day])
+        jobs.run_sales_periodic_fact(spark, fact, f"{root}/periodic", [day])
         dim = DayTable(spark, f"{root}/dim", "updated_at").read()
-        jobs.run_sales_report(spark, fact.read(), dim, f"{root}/report", [day])
+        jobs.run_sales_report(spark, fact, dim, f"{root}/report", [day])
     fact_t = DayTable(spark, f"{root}/fact", "created_at")
     periodic_t = DayTable(spark, f"{root}/periodic", "transaction_date", granularity="month")
     report_t = DayTable(spark, f"{root}/report", "transaction_date", granularity="month")
@@ -40,3 +40,11 @@ def test_daily_runs_match_models_and_are_idempotent(spark):
     expected_report = models.sales_report(expected_fact, full_dim)
     assert rows(report_t.read()) == rows(expected_report.select(*report_t.read().columns))
     assert report_t.read().count() > 0
+
+
+def test_daily_read_prunes_day_folders(spark):
+    items = fx.order_items_source(spark, SF_SMALL)
+    day = _busy_days(items, 1)[0]
+    fact = jobs.run_sales_transaction_fact(spark, items, scratch_path(spark, "prune"))
+    plan = fact.read(days=[day])._jdf.queryExecution().executedPlan().toString()
+    assert f"PartitionFilters: [isnotnull(dt" in plan and day.isoformat() in plan

@@ -297,7 +297,7 @@ def sales_transaction_fact(spark: SparkSession, sf: str) -> DataFrame:
 
 def sales_periodic_fact(spark: SparkSession, sf: str) -> DataFrame:
     fact = jobs.run_sales_transaction_fact(spark, fx.order_items_source(spark, sf),
-                                           scratch_path(spark, "fact")).read()
+                                           scratch_path(spark, "fact"))
     return jobs.run_sales_periodic_fact(spark, fact, scratch_path(spark, "periodic")).read()
 
 

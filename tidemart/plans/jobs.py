@@ -60,11 +60,20 @@ def run_sales_transaction_fact(spark: SparkSession, order_items: DataFrame, path
     return table
 
 
-def run_sales_periodic_fact(spark: SparkSession, fact: DataFrame, path: str, days=None) -> DayTable:
+def _fact_rows(fact: DataFrame | DayTable, days) -> DataFrame:
+    """Fact rows of the listed days; a ``DayTable`` prunes its day folders
+    (a filter on ``created_at`` alone cannot prune the derived ``dt``)."""
+    if isinstance(fact, DayTable):
+        return fact.read(days=days)
+    return fact
+
+
+def run_sales_periodic_fact(spark: SparkSession, fact: DataFrame | DayTable, path: str,
+                            days=None) -> DayTable:
     """H6: signed daily totals, listed days replaced."""
     # One row per day: month folders, not thousands of one-row day files.
     table = DayTable(spark, path, "transaction_date", day_kind="date", granularity="month")
-    totals = models.sales_periodic_fact(fact, days)
+    totals = models.sales_periodic_fact(_fact_rows(fact, days), days)
     write_incremental(table, totals, days)
     return table
 
@@ -90,12 +99,12 @@ def run_product_history(spark: SparkSession, products_delta: DataFrame, path: st
     return table
 
 
-def run_sales_report(spark: SparkSession, fact: DataFrame, product_dim: DataFrame, path: str,
-                     days=None, strategy: str = "interval") -> DayTable:
+def run_sales_report(spark: SparkSession, fact: DataFrame | DayTable, product_dim: DataFrame,
+                     path: str, days=None, strategy: str = "interval") -> DayTable:
     """H7: report rows of the listed days replaced."""
     # A few rows per (day, attribute) group: month folders.
     table = DayTable(spark, path, "transaction_date", day_kind="date", granularity="month")
-    report = models.sales_report(fact, product_dim, days, strategy)
+    report = models.sales_report(_fact_rows(fact, days), product_dim, days, strategy)
     write_incremental(table, report, days)
     return table
 
