@@ -68,7 +68,7 @@ def test_type_policy(spark):
 def test_seed_csv(spark):
     path = scratch_path(spark, "seed")
     os.makedirs(local_path(path))
-    with open(local_path(path) + "/vn_provinces.csv", "w") as fh:
+    with open(local_path(path) + "/provinces.csv", "w") as fh:
         fh.write("city,lat,lng,country,iso2,admin_name,capital,population,population_proper\n")
         fh.write("Hanoi,21.0283,105.8542,Vietnam,VN,Ha Noi,primary,8053663,8053663\n")
     seed = read_seed(spark, path)

@@ -1,4 +1,4 @@
-"""Model runs with their materialization (the DAG tasks / dbt runs).
+"""Model runs with their materialization (the scheduled daily and hourly jobs).
 
 Each job decides bootstrap-or-incremental by looking at its target (W11),
 builds the model with ``tidemart.plans.models`` and writes it:
