@@ -111,3 +111,37 @@ def test_hot_key_is_spread_and_exact(spark):
     iv_plain = version_intervals(versions, split_hot_keys=False)
     iv_split = version_intervals(versions, split_hot_keys=True, hot_key_rows=hot)
     assert rows(iv_split) == rows(iv_plain)
+
+
+def test_bucketed_plan_across_months(spark):
+    versions = spark.createDataFrame([
+        (1, T(2020, 1, 15), "A"), (1, T(2020, 4, 10), "B"), (2, T(2019, 11, 30, 23), "C"),
+        (2, T(2020, 3, 1), "D")], "id long, updated_at timestamp_ntz, attr string")
+    facts = spark.createDataFrame([
+        (1, 1, T(2020, 1, 10)),   # before A
+        (2, 1, T(2020, 2, 20)),   # A, in a month A spans without starting in it
+        (3, 1, T(2020, 4, 9)),    # A, in the month A ends
+        (4, 1, T(2020, 4, 10)),   # exactly at B
+        (5, 1, T(2021, 6, 1)),    # B, long after (current version)
+        (6, 2, T(2020, 2, 29, 23, 59, 59)),  # C, last second before D
+        (7, 2, T(2020, 3, 1)),    # D
+    ], "sale long, product_id long, created_at timestamp_ntz")
+    kw = dict(fact_key="product_id", version_key="id", fact_time="created_at",
+              version_time="updated_at", columns=["attr"], version_time_as="vt")
+    bucketed = asof_join(facts, versions, max_broadcast_rows=0, **kw)
+    assert rows(bucketed, "sale", "attr") == [
+        (1, None), (2, "A"), (3, "A"), (4, "B"), (5, "B"), (6, "C"), (7, "D")]
+    assert rows(bucketed) == rows(asof_join(facts, versions, **kw))
+
+
+def test_bucketed_plan_on_fixture(spark):
+    from conftest import SF_SMALL
+
+    from tidemart.plans import models
+    from tidemart.sources import fixtures as fx
+
+    fact = models.sales_transaction_fact(fx.order_items_source(spark, SF_SMALL))
+    dim = models.product_dimension_daily(fx.products_delta(spark, SF_SMALL))
+    kw = dict(fact_key="product_id", version_key="id", fact_time="created_at",
+              version_time="updated_at", columns=["category", "brand"], version_time_as="vt")
+    assert rows(asof_join(fact, dim, max_broadcast_rows=0, **kw)) == rows(asof_join(fact, dim, **kw))

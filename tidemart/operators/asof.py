@@ -11,9 +11,11 @@ Two plans, same answer:
   version a half-open validity ``[valid_from, valid_to)``; the facts are then
   joined once on ``key`` plus the range condition. At most one version
   matches, so the fact side is never expanded and never sorted. The version
-  side is broadcast only after a row count proves it small; otherwise the
-  join is a sort-merge join, where AQE's skew-join splitting handles a hot
-  key on the fact side.
+  side is broadcast only after a row count proves it small. Otherwise closed
+  intervals are joined on (key, calendar month) -- a sale meets only the
+  versions valid in its month, not every version of its product, and a hot
+  product spreads over many join keys -- and the current version on the key
+  (AQE's skew-join split handles a hot key there).
 * **union** -- for two large sides: facts and versions are unioned, and a
   running ``last(..., ignoreNulls)`` per key (versions ordered before facts at
   equal time, because the condition is ``>=``) carries the newest version to
@@ -27,7 +29,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .segmented import (DEFAULT_HOT_KEY_ROWS, has_hot_keys, key_stats, segmented_carry,
@@ -119,17 +121,59 @@ def asof_join(facts: DataFrame, versions: DataFrame, *, fact_key: str, version_k
         F.col(VALID_TO).alias(prefix + "to"),
         *[F.col(c).alias(n) for c, n in _prefixed(set(wanted), prefix).items()],
     )
-    # The interval table has at most as many rows as there are versions.
-    right = F.broadcast(renamed) if small else renamed
     t = F.col(fact_time)
-    condition = ((F.col(fact_key) == F.col(prefix + "key"))
-                 & (t >= F.col(prefix + "from"))
-                 & (F.col(prefix + "to").isNull() | (t < F.col(prefix + "to"))))
-    joined = facts.join(right, condition, "left")
     out = [F.col(c) for c in facts.columns]
-    out += [F.col(prefix + c).alias(c) for c in columns]
+    if small:
+        # The interval table has at most as many rows as there are versions.
+        condition = ((F.col(fact_key) == F.col(prefix + "key"))
+                     & (t >= F.col(prefix + "from"))
+                     & (F.col(prefix + "to").isNull() | (t < F.col(prefix + "to"))))
+        joined = facts.join(F.broadcast(renamed), condition, "left")
+        out += [F.col(prefix + c).alias(c) for c in columns]
+        if version_time_as:
+            out.append(F.col(prefix + version_time).alias(version_time_as))
+        return joined.select(*out)
+    return _asof_bucketed(facts, renamed, prefix, fact_key, fact_time, columns,
+                          version_time if version_time_as else None, version_time_as)
+
+
+def _month(c) -> Column:
+    """Calendar month number of a stamp (from its fields: no time zone)."""
+    return F.year(c) * 12 + F.month(c)
+
+
+def _asof_bucketed(facts: DataFrame, intervals: DataFrame, prefix: str, fact_key: str,
+                   fact_time: str, columns: Sequence[str], version_time: str | None,
+                   version_time_as: str | None) -> DataFrame:
+    """Shuffle plan for a version table too large to broadcast.
+
+    Closed intervals are listed once per calendar month they overlap and
+    joined on (key, month) plus the range: a sale meets only the versions
+    valid in its month -- never every version of its product -- and a hot
+    product's sales spread over as many join keys as months. The open
+    (current) interval, one per key, is joined on the key alone; a sale can
+    match only one of the two sides.
+    """
+    t = F.col(fact_time)
+    frm, to = F.col(prefix + "from"), F.col(prefix + "to")
+    closed = (intervals.filter(to.isNotNull())
+              .withColumn("__b", F.explode(F.sequence(_month(frm), _month(to)))))
+    cur = "__c_"
+    wanted = list(dict.fromkeys(list(columns) + ([version_time] if version_time else [])))
+    current = intervals.filter(to.isNull()).select(
+        F.col(prefix + "key").alias(cur + "key"), F.col(prefix + "from").alias(cur + "from"),
+        *[F.col(prefix + c).alias(cur + c) for c in wanted])
+    sales = facts.withColumn("__fb", _month(t))
+    on_closed = ((F.col(fact_key) == F.col(prefix + "key")) & (F.col("__fb") == F.col("__b"))
+                 & (t >= frm) & (t < to))
+    on_current = (F.col(fact_key) == F.col(cur + "key")) & (t >= F.col(cur + "from"))
+    joined = sales.join(closed, on_closed, "left").join(current, on_current, "left")
+    hit = F.col(prefix + "key").isNotNull()
+    out = [F.col(c) for c in facts.columns]
+    out += [F.when(hit, F.col(prefix + c)).otherwise(F.col(cur + c)).alias(c) for c in columns]
     if version_time_as:
-        out.append(F.col(prefix + version_time).alias(version_time_as))
+        out.append(F.when(hit, F.col(prefix + version_time))
+                   .otherwise(F.col(cur + version_time)).alias(version_time_as))
     return joined.select(*out)
 
 
