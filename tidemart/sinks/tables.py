@@ -238,7 +238,13 @@ class DayTable:
         The merged rows of those days are checkpointed -- the plan reads the
         very folders it replaces -- and the days are replaced. Returns the
         touched days.
+
+        The steps are separate jobs. If a run stops between them, a moved
+        row's old copy may survive in its old folder; a rerun then reads both
+        copies, keeps the newest per key (by the table's day column) and
+        converges to the same table.
         """
+        from ..operators.latest import keep_latest
         from ..operators.merge import merge
         from ..session import checkpoint_root
 
@@ -258,6 +264,7 @@ class DayTable:
                            .distinct().collect() if r[0] is not None})
         else:
             current, days = self.read(days=touched), touched
+        current = keep_latest(current, [key], self.day_source)
         merged = merge(current, source, key=key, version_col=version_col,
                        update_columns=update_columns)
         checkpoint_root(self.spark)
