@@ -49,3 +49,18 @@ def test_replayed_batch_is_skipped(spark):
     older = spark.createDataFrame([(1, T(2019, 1, 1), "old")], "id long, updated_at timestamp_ntz, v string")
     upsert_batch(older, 2, target, "id", "updated_at")                  # late row loses
     assert rows(target.read(), "id", "v") == [(1, "b")]
+
+
+def test_stream_upsert_days_equals_batch_and_skips_replays(spark):
+    from tidemart.sinks.tables import DayTable
+    from tidemart.streaming.upsert import upsert_batch_days, upsert_stream_days
+
+    root = scratch_path(spark, "t2-days")
+    delta = fx.products_delta(spark, SF_SMALL)
+    stage_parquet(delta.repartitionByRange(3, F.col("updated_at").desc()), f"{root}/staged")
+    stream = read_staged_stream(spark, f"{root}/staged", delta.schema, max_files_per_trigger=1)
+    target = DayTable(spark, f"{root}/target", "updated_at", granularity="month")
+    upsert_stream_days(stream, target, "id", "updated_at", f"{root}/ckpt").awaitTermination()
+    expected = keep_latest(delta, ["id"], "updated_at")
+    assert rows(target.read()) == rows(expected.select(*target.read().columns))
+    assert not upsert_batch_days(delta.limit(5), 0, target, "id", "updated_at")  # replayed id

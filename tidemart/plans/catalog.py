@@ -23,7 +23,7 @@ from ..sinks.tables import DayTable, VersionedTable, create_view, stage_parquet
 from ..sources import fixtures as fx
 from ..sources.extract import extract_changes, extract_window
 from ..sources.types import apply_type_policy
-from ..streaming.upsert import read_staged_stream, upsert_stream
+from ..streaming.upsert import read_staged_stream, upsert_stream_days
 from . import jobs, models
 from . import params as P
 
@@ -327,13 +327,14 @@ def check_not_null_q(spark: SparkSession, sf: str) -> DataFrame:
 # --------------------------------------------------------------- streaming
 def stream_upsert_final(spark: SparkSession, sf: str) -> DataFrame:
     """T1 + T2: the change feed staged as time-ordered files, streamed one
-    file per micro-batch into a guarded keep-latest upsert."""
+    file per micro-batch into a guarded keep-latest upsert that rewrites only
+    the target folders each batch touches."""
     root = scratch_path(spark, "stream")
     delta = fx.products_delta(spark, sf)
     stage_parquet(delta.repartitionByRange(4, "updated_at"), f"{root}/staged")
     stream = read_staged_stream(spark, f"{root}/staged", delta.schema, max_files_per_trigger=1)
-    target = VersionedTable(spark, f"{root}/target")
-    query = upsert_stream(stream, target, "id", "updated_at", f"{root}/checkpoint")
+    target = DayTable(spark, f"{root}/target", "updated_at", granularity="month")
+    query = upsert_stream_days(stream, target, "id", "updated_at", f"{root}/checkpoint")
     query.awaitTermination()
     return target.read()
 

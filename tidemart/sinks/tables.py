@@ -228,21 +228,22 @@ class DayTable:
              .partitionBy(DAY_COLUMN).parquet(self.path))
 
     def merge_days(self, source: DataFrame, key: str, version_col: str | None = None,
-                   update_columns: Sequence[str] | None = None,
-                   sort_key: str | None = None) -> list[dt.date]:
-        """MERGE ``source`` into the table, rewriting only the touched days.
+                   update_columns: Sequence[str] | None = None, sort_key: str | None = None,
+                   check_unique: bool = True) -> list:
+        """MERGE ``source`` into the table, rewriting only the touched folders.
 
         A matched row can move to another day when its stamp changes, so the
-        touched days are the old days of matched keys (found by a semi-join
-        that reads only the key and folder columns) plus the source's days.
-        The merged rows of those days are checkpointed -- the plan reads the
-        very folders it replaces -- and the days are replaced. Returns the
-        touched days.
+        touched folders are the old folders of matched keys (a semi-join that
+        reads only the key and folder columns) plus the source's folders --
+        one job. The merged rows of those folders are checkpointed (the plan
+        reads the very folders it replaces) and written with one dynamic
+        overwrite; touched folders left without rows are emptied. Returns the
+        touched folders.
 
         The steps are separate jobs. If a run stops between them, a moved
         row's old copy may survive in its old folder; a rerun then reads both
-        copies, keeps the newest per key (by the table's day column) and
-        converges to the same table.
+        copies, keeps the newest per key (by the day column) and converges to
+        the same table.
         """
         from ..operators.latest import keep_latest
         from ..operators.merge import merge
@@ -252,23 +253,25 @@ class DayTable:
             self.create(source, sort_key)
             return []
         keys = source.select(key).filter(F.col(key).isNotNull())
-        old = (self._raw().select(key, DAY_COLUMN).join(keys, key, "left_semi")
-               .select(DAY_COLUMN).distinct().collect())
-        new = (source.select(self._folder_col().alias("d")).filter(F.col("d").isNotNull())
-               .distinct().collect())
-        touched = sorted({r[0] for r in old} | {r[0] for r in new})
-        if self.granularity == "month":
-            current = self._raw().filter(F.col(DAY_COLUMN).isin(touched)).drop(DAY_COLUMN)
-            days = sorted({r[0] for r in current.select(F.to_date(F.col(self.day_source)))
-                           .union(source.select(F.to_date(F.col(self.day_source))))
-                           .distinct().collect() if r[0] is not None})
-        else:
-            current, days = self.read(days=touched), touched
+        old = self._raw().select(key, DAY_COLUMN).join(keys, key, "left_semi").select(DAY_COLUMN)
+        new = source.select(self._folder_col().alias(DAY_COLUMN))
+        touched = [r[0] for r in old.union(new).distinct().collect()]
+        folders = sorted(f for f in touched if f is not None)
+        in_touched = F.col(DAY_COLUMN).isin(folders)
+        if None in touched:
+            in_touched = in_touched | F.col(DAY_COLUMN).isNull()
+        current = self._raw().filter(in_touched).drop(DAY_COLUMN)
         current = keep_latest(current, [key], self.day_source)
         merged = merge(current, source, key=key, version_col=version_col,
-                       update_columns=update_columns)
+                       update_columns=update_columns, check_unique=check_unique)
         checkpoint_root(self.spark)
-        self.replace_days(merged.checkpoint(eager=True), days, sort_key)
+        staged = self._with_day(merged).checkpoint(eager=True)
+        present = {r[0] for r in staged.select(DAY_COLUMN).distinct().collect()}
+        if present:
+            (self._balanced(staged, sort_key).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic")
+             .partitionBy(DAY_COLUMN).parquet(self.path))
+        self._empty_folders([f for f in folders if f not in present], source.schema)
         return touched
 
     def reload_day(self, df: DataFrame, day, sort_key: str | None = None) -> None:
