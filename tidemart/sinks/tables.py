@@ -212,18 +212,21 @@ class DayTable:
         months = sorted({self._folder_of(d) for d in listed})
         day = F.to_date(F.col(self.day_source))
         staged = self._with_day(df)
-        kept = self._raw().filter(F.col(DAY_COLUMN).isin(months) & ~day.isin(listed))
-        affected = staged.filter(F.col(DAY_COLUMN).isin(months))
+        in_months = F.col(DAY_COLUMN).isin(months)
+        kept = self._raw().filter(in_months & ~day.isin(listed))
         checkpoint_root(self.spark)
-        content = kept.unionByName(affected).checkpoint(eager=True)
-        present = {r[0] for r in content.select(DAY_COLUMN).distinct().collect()}
+        # Query rows outside the months stay in the checkpoint too, so one
+        # summary tells which months get rows and whether any row is outside.
+        content = kept.unionByName(staged).checkpoint(eager=True)
+        summary = content.groupBy(F.when(in_months, F.col(DAY_COLUMN)).alias("m")).count().collect()
+        present = {r["m"] for r in summary if r["m"] is not None}
         if present:
-            (self._balanced(content, sort_key).write.mode("overwrite")
+            (self._balanced(content.filter(in_months), sort_key).write.mode("overwrite")
              .option("partitionOverwriteMode", "dynamic")
              .partitionBy(DAY_COLUMN).parquet(self.path))
         self._empty_folders([m for m in months if m not in present], df.schema)
-        outside = staged.filter(~F.col(DAY_COLUMN).isin(months) | F.col(DAY_COLUMN).isNull())
-        if outside.limit(1).count():
+        if any(r["m"] is None for r in summary):
+            outside = content.filter(~in_months | F.col(DAY_COLUMN).isNull())
             (self._balanced(outside, sort_key).write.mode("append")
              .partitionBy(DAY_COLUMN).parquet(self.path))
 
@@ -271,7 +274,7 @@ class DayTable:
             (self._balanced(staged, sort_key).write.mode("overwrite")
              .option("partitionOverwriteMode", "dynamic")
              .partitionBy(DAY_COLUMN).parquet(self.path))
-        self._empty_folders([f for f in folders if f not in present], source.schema)
+        self._empty_folders([f for f in folders if f not in present], merged.schema)
         return touched
 
     def reload_day(self, df: DataFrame, day, sort_key: str | None = None) -> None:
