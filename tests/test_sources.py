@@ -127,3 +127,32 @@ def test_cluster_conf_sizes_partitions():
     assert conf["spark.sql.adaptive.enabled"] == "true"
     small = cluster_conf(largest_shuffle_bytes=10 ** 9, executor_cores_total=4000)
     assert int(small["spark.sql.shuffle.partitions"]) == 8000        # two waves of cores
+
+
+def test_jdbc_full_and_hourly_loads(spark):
+    from tidemart.plans.jobs import full_load, hourly_change_load
+    from tidemart.sinks.tables import VersionedTable
+
+    url = "jdbc:derby:memory:tidemart_loads;create=true"
+    products = fx.products_delta(spark, SF_MID).select("id", "brand", "cost", "updated_at")
+    products.write.format("jdbc").option("url", url).option("dbtable", "PRODUCTS") \
+        .mode("overwrite").save()
+    props = {"preferTimestampNTZ": "true"}
+    source = read_jdbc(spark, url, "PRODUCTS", partition_column="\"id\"", num_partitions=4,
+                       properties=props)
+    root = scratch_path(spark, "jdbc-loads")
+    main = VersionedTable(spark, f"{root}/main")
+    full_load(source, f"{root}/full", main, max_records_per_file=1000)
+    assert main.read().count() == products.count()
+    assert main.read().schema["id"].dataType == T.LongType()
+    # Hourly runs: each replaces the delta with its own window only.
+    delta = VersionedTable(spark, f"{root}/delta")
+    stamps = [r[0] for r in products.select("updated_at").orderBy("updated_at").limit(2).collect()]
+    for stamp in stamps:  # a run one hour after a real change: its window holds it
+        run_time = stamp + dt.timedelta(hours=1, minutes=15)
+        prefix, _ = hourly_change_load(read_jdbc(spark, url, "PRODUCTS", properties=props),
+                                       "updated_at", run_time, f"{root}/staged", delta)
+        start, end = pr.change_window(run_time)
+        expected = products.filter(pr.in_window("updated_at", start, end))
+        assert rows(delta.read()) == rows(expected.select(*delta.read().columns))
+        assert delta.read().count() > 0 and prefix == pr.window_prefix(start)
