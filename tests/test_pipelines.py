@@ -48,3 +48,33 @@ def test_daily_read_prunes_day_folders(spark):
     fact = jobs.run_sales_transaction_fact(spark, items, scratch_path(spark, "prune"))
     plan = fact.read(days=[day])._jdf.queryExecution().executedPlan().toString()
     assert f"PartitionFilters: [isnotnull(dt" in plan and day.isoformat() in plan
+
+
+def test_run_day_schedule(spark):
+    from tidemart.operators.latest import keep_latest
+    from tidemart.operators.merge import merge
+    from tidemart.plans.daily import run_day, warehouse_tables
+
+    items = fx.order_items_source(spark, SF_SMALL)
+    delta = fx.products_delta(spark, SF_SMALL)
+    main0 = fx.products_main(spark, SF_SMALL)
+    # The two busiest sale days that also carry product changes.
+    change_days = {r[0] for r in delta.select(F.to_date("updated_at")).distinct().collect()}
+    busiest = (items.groupBy(F.to_date("created_at").alias("d")).count()
+               .orderBy(F.desc("count"), "d").collect())
+    days = sorted([r["d"] for r in busiest if r["d"] in change_days][:2])
+    root = scratch_path(spark, "schedule")
+    # Deployed state: the daily product history was back-filled before.
+    jobs.run_product_dimension_daily(spark, delta, warehouse_tables(spark, root)["daily"], None)
+    for day in days + days[-1:]:  # the last day twice: a rerun changes nothing
+        t = run_day(spark, items, delta, root, day, initial_main=main0)
+    expected_main = main0
+    for day in days:
+        changes = keep_latest(delta.filter(F.to_date("updated_at") == F.lit(day)), ["id"], "updated_at")
+        expected_main = merge(expected_main, changes, version_col="updated_at")
+    assert rows(t["main"].read()) == rows(expected_main.select(*t["main"].read().columns))
+    report = DayTable(spark, t["report"], "transaction_date", granularity="month").read()
+    fact = models.sales_transaction_fact(items, days)
+    full_dim = models.product_dimension_daily(delta)
+    assert report.count() > 5
+    assert rows(report) == rows(models.sales_report(fact, full_dim, days).select(*report.columns))
