@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontaminate, fingerprints, language_id, sharding, token_binary
+from . import decontaminate, fingerprints, language_id, near_dedup, sharding, token_binary
 from .common import table
 
 
@@ -35,6 +35,11 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs.select("doc_id", "held_out", "text"), model).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents linked by a similarity of at least 0.85."""
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Eight shards of near-equal bytes; equal texts share a shard."""
     placed = sharding.assign_shards(table(spark, sf_dir, "documents"), 8)
@@ -58,6 +63,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_decontaminate": op2_decontaminate,
         "op3_token_binary": op3_token_binary,
         "op4_language_id": op4_language_id,
+        "op5_near_dedup": op5_near_dedup,
         "op6_sharding": op6_sharding,
         "op8_fingerprints": op8_fingerprints,
     }
