@@ -10,10 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontaminate, fingerprints, language_id, near_dedup, sharding, token_binary
+from . import decontaminate, fingerprints, language_id, line_dedup, near_dedup, sharding, token_binary
 from .common import table
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without its recurring template lines."""
+    cut = line_dedup.drop_recurring_lines(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document and benchmark item that share a passage, with the overlap's place."""
     return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -60,6 +66,7 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_line_dedup": op1_line_dedup,
         "op2_decontaminate": op2_decontaminate,
         "op3_token_binary": op3_token_binary,
         "op4_language_id": op4_language_id,
@@ -70,4 +77,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_line_dedup": line_dedup.SQL}
