@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontaminate, fingerprints, language_id, line_dedup, near_dedup, sharding, token_binary
+from . import decontaminate, fingerprints, language_id, line_dedup, near_dedup, quote_links, sharding, token_binary
 from .common import table
 
 
@@ -64,6 +64,63 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         fingerprints.likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"))
 
 
+#: Turns of one conversation; a message's id is conv_id * MOST_TURNS + turn.
+MOST_TURNS = 1_000_000
+
+
+def quoted_archive(conversations: DataFrame) -> DataFrame:
+    """The conversations as a mail archive: each turn quotes the one before it, and that one's own quotation.
+
+    Null texts read as empty. Turns are joined by their numbers, so a long
+    conversation is not gathered anywhere.
+    """
+    turns = (conversations.filter("conv_id IS NOT NULL AND turn IS NOT NULL")
+             .groupBy("conv_id", "turn").agg(F.min(F.struct(F.coalesce("text", F.lit("")).alias("text"), "role")).alias("m"))
+             .select("conv_id", "turn", "m.text", "m.role"))
+
+    def quote(column: str, mark: str):
+        return F.array_join(F.transform(F.split(column, "\n"), lambda line: F.concat(F.lit(mark), line)), "\n")
+
+    one = turns.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("one"))
+    two = turns.select("conv_id", (F.col("turn") + 2).alias("turn"), F.col("text").alias("two"))
+    return turns.join(one, ["conv_id", "turn"], "left").join(two, ["conv_id", "turn"], "left").select(
+        (F.col("conv_id") * MOST_TURNS + F.col("turn")).alias("id"), "conv_id", F.col("turn").alias("at"), "role",
+        F.concat_ws("\n", quote("two", ">> "), quote("one", "> "), "text").alias("text"))
+
+
+def op10_quote_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations rebuilt from the quotations alone (conv_id only scopes the join)."""
+    archive = quoted_archive(table(spark, sf_dir, "conversations"))
+    chat = quote_links.link_quotes(archive, scope="conv_id")
+    return chat.select("id", "conversation", "reply_to", F.col("depth").cast("long"), "turn", "role",
+                       F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+
+
+#: The replies that the archive's construction implies, as SQL over the `conversations` view.
+OP10_SQL = f"""
+WITH RECURSIVE turns AS (
+  SELECT conv_id, turn, m.text AS text, m.role AS role, trim(regexp_replace(lower(m.text), '\s+', ' ', 'g')) AS flat
+  FROM (SELECT conv_id, turn, min({{'text': coalesce(text, ''), 'role': role}}) AS m FROM conversations
+        WHERE conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY conv_id, turn)),
+first AS (SELECT conv_id, flat, min(turn) AS turn FROM turns WHERE flat <> '' GROUP BY conv_id, flat),
+links AS (
+  SELECT t.conv_id, t.turn, f.turn AS parent, t.turn - q.turn AS level
+  FROM turns t JOIN turns q ON q.conv_id = t.conv_id AND q.turn IN (t.turn - 1, t.turn - 2)
+  JOIN first f ON f.conv_id = q.conv_id AND f.flat = q.flat WHERE f.turn < t.turn),
+replies AS (SELECT conv_id, turn, arg_min(parent, level) AS parent FROM links GROUP BY conv_id, turn),
+chain AS (
+  SELECT conv_id, turn, turn AS root, 0 AS depth FROM turns t
+  WHERE NOT EXISTS (SELECT 1 FROM replies r WHERE r.conv_id = t.conv_id AND r.turn = t.turn)
+  UNION ALL
+  SELECT r.conv_id, r.turn, c.root, c.depth + 1 FROM chain c JOIN replies r ON r.conv_id = c.conv_id AND r.parent = c.turn)
+SELECT t.conv_id * {MOST_TURNS} + t.turn AS id, t.conv_id * {MOST_TURNS} + c.root AS conversation,
+  t.conv_id * {MOST_TURNS} + r.parent AS reply_to, CAST(c.depth AS BIGINT) AS depth,
+  row_number() OVER (PARTITION BY t.conv_id, c.root ORDER BY t.turn) - 1 AS turn, t.role AS role,
+  sha256(trim(t.text, chr(10))) AS text_sha256
+FROM turns t JOIN chain c USING (conv_id, turn) LEFT JOIN replies r USING (conv_id, turn)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_line_dedup": op1_line_dedup,
@@ -73,8 +130,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_near_dedup": op5_near_dedup,
         "op6_sharding": op6_sharding,
         "op8_fingerprints": op8_fingerprints,
+        "op10_quote_links": op10_quote_links,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": line_dedup.SQL}
+    return {"op1_line_dedup": line_dedup.SQL, "op10_quote_links": OP10_SQL}
