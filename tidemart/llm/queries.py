@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontaminate, fingerprints, language_id, line_dedup, near_dedup, quote_links, sharding, token_binary
+from . import bpe, decontaminate, fingerprints, language_id, line_dedup, near_dedup, quote_links, sharding, token_binary
 from .common import table
 
 
@@ -64,6 +64,15 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         fingerprints.likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"))
 
 
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encode every document by the rank file, decode the ids, digest both."""
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    coded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                        F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 #: Turns of one conversation; a message's id is conv_id * MOST_TURNS + turn.
 MOST_TURNS = 1_000_000
 
@@ -99,7 +108,7 @@ def op10_quote_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: The replies that the archive's construction implies, as SQL over the `conversations` view.
 OP10_SQL = f"""
 WITH RECURSIVE turns AS (
-  SELECT conv_id, turn, m.text AS text, m.role AS role, trim(regexp_replace(lower(m.text), '\s+', ' ', 'g')) AS flat
+  SELECT conv_id, turn, m.text AS text, m.role AS role, trim(regexp_replace(lower(m.text), '[[:space:]]+', ' ', 'g')) AS flat
   FROM (SELECT conv_id, turn, min({{'text': coalesce(text, ''), 'role': role}}) AS m FROM conversations
         WHERE conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY conv_id, turn)),
 first AS (SELECT conv_id, flat, min(turn) AS turn FROM turns WHERE flat <> '' GROUP BY conv_id, flat),
@@ -130,6 +139,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_near_dedup": op5_near_dedup,
         "op6_sharding": op6_sharding,
         "op8_fingerprints": op8_fingerprints,
+        "op9_bpe": op9_bpe,
         "op10_quote_links": op10_quote_links,
     }
 
