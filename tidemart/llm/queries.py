@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, decontaminate, fingerprints, language_id, line_dedup, near_dedup, quote_links, sharding, token_binary
+from . import bpe, decontaminate, fingerprints, language_id, line_dedup, near_dedup, quote_links, sharding, suffix_dedup, token_binary
 from .common import table
 
 
@@ -53,6 +53,12 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of 100-byte strings that also start earlier."""
+    cut = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and its edited text, compared."""
     docs = fingerprints.fingerprint_with_next(table(spark, sf_dir, "documents"))
@@ -138,6 +144,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_language_id": op4_language_id,
         "op5_near_dedup": op5_near_dedup,
         "op6_sharding": op6_sharding,
+        "op7_suffix_array_dedup": op7_suffix_array_dedup,
         "op8_fingerprints": op8_fingerprints,
         "op9_bpe": op9_bpe,
         "op10_quote_links": op10_quote_links,
