@@ -1,19 +1,44 @@
-"""The corpus pipeline: five stages over `documents`, each written as Parquet and read back."""
+"""The corpus pipeline: five stages over `documents`, each written as Parquet and read back.
+
+Every stage takes (spark, docs, sf_dir) and works on all that the stage
+before it kept; all but the last return the columns of `documents`.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import decontaminate, language_id
+from tidemart.llm import bpe, decontaminate, language_id, line_dedup, near_dedup
 from tidemart.llm.common import table, written
 
+VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 4, fitted on the labelled documents; a text in which no language can be read goes."""
+    """Operator 4, fitted on the labelled documents. A text without a letter goes; so does one whose
+    best language is less likely than the others together."""
     model = language_id.fit(docs)
     judged = language_id.predict(docs, model, name="_lang", score="_score")
-    return judged.filter(F.col("_lang") != language_id.UNKNOWN).drop("_lang", "_score")
+    return judged.filter((F.col("_lang") != language_id.UNKNOWN) & (F.col("_score") >= 0.5)).drop("_lang", "_score")
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 1: recurring template lines go from the texts; every document stays."""
+    cut = line_dedup.drop_recurring_lines(docs).drop("n_lines", "n_dropped")
+    return cut.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 5 at a similarity of 0.8: of each group the smallest doc_id stays.
+
+    Documents without words and rows with a null doc_id link with nothing and stay.
+    """
+    kept = (near_dedup.near_duplicates(docs, percent=80).filter("kept AND doc_id IS NOT NULL")
+            .select(F.col("doc_id").alias("_kept")).distinct())
+    named = docs.filter("doc_id IS NOT NULL").join(kept, F.col("doc_id") == F.col("_kept"), "left_semi").dropDuplicates(["doc_id"])
+    return named.unionByName(docs.filter("doc_id IS NULL"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,9 +46,17 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
-STAGES = [("language_id", language), ("decontamination", decontamination)]
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 9: the ids of every text, and the text decoded from them."""
+    path = public_tokenizers.path(VOCABULARY)
+    coded = bpe.decode(bpe.encode(docs, path), path)
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.col("decoded").cast("string").alias("text"))
+
+
+STAGES = [("language_id", language), ("line_dedup", lines), ("near_dedup", near_copies),
+          ("decontamination", decontamination), ("bpe", tokens)]
 
-#: Hashing, likelihood estimates and merges are beyond SQL; tests hold each stage against brute force.
+#: Fitted probabilities, likelihood estimates and merges are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
