@@ -32,6 +32,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores added until no column of `df` has it."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows as a Parquet table in the shared folder, read back: lineage ends here
     and any executor can read every part again."""

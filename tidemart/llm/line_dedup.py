@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import unused, written
 
 #: Leading tokens that name a leaf, below the token count.
 DEPTH = 3
@@ -71,16 +71,17 @@ def drop_recurring_lines(docs: DataFrame, text: str = "text", min_docs: int = MI
     repeats inside a document too. An empty table gives an empty table.
     """
     keep = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    marked = recurring_lines(docs, text, min_docs).select(F.col("doc").alias("_doc"), F.col("lines").alias("_lines"))
-    joined = (docs.select(*keep, F.xxhash64(text).alias("_key")).join(marked, F.col("_key") == F.col("_doc"), "left")
-              .withColumn("_all", F.split(text, "\n"))
-              .withColumn("_kept", F.filter("_all", lambda line: ~F.array_contains(F.col("_lines"), F.xxhash64(line)))))
-    cut = F.array_join("_kept", "\n")
-    boilerplate = F.col("_lines").isNotNull() & (F.octet_length(cut) >= (1 - MAX_DROPPED) * F.octet_length(text))
+    key, doc, lines, every, kept = unused(docs, "_key", "_doc", "_lines", "_all", "_kept")
+    marked = recurring_lines(docs.select(text), text, min_docs).select(F.col("doc").alias(doc), F.col("lines").alias(lines))
+    joined = (docs.select(*keep, F.xxhash64(text).alias(key)).join(marked, F.col(key) == F.col(doc), "left")
+              .withColumn(every, F.split(text, "\n"))
+              .withColumn(kept, F.filter(every, lambda line: ~F.array_contains(F.col(lines), F.xxhash64(line)))))
+    cut = F.array_join(kept, "\n")
+    boilerplate = F.col(lines).isNotNull() & (F.octet_length(cut) >= (1 - MAX_DROPPED) * F.octet_length(text))
     return joined.select(
         *(F.when(boilerplate, cut).otherwise(F.col(text)).alias(text) if c == text else F.col(c) for c in keep),
-        F.coalesce(F.size("_all"), F.lit(0)).alias("n_lines"),
-        F.when(boilerplate, F.size("_all") - F.size("_kept")).otherwise(F.lit(0)).alias("n_dropped"))
+        F.coalesce(F.size(every), F.lit(0)).alias("n_lines"),
+        F.when(boilerplate, F.size(every) - F.size(kept)).otherwise(F.lit(0)).alias("n_dropped"))
 
 
 #: The same rules as SQL over the `documents` view.

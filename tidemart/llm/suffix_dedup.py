@@ -323,7 +323,7 @@ def _merged(tables: DataFrame) -> DataFrame:
     """
 
     def merge(tables: list[tuple[np.ndarray, ...]]):
-        keys, docs, places = tables[0]
+        keys, docs, places = (x.copy() for x in tables[0])
         for k, d, p in tables[1:]:
             at = np.minimum(np.searchsorted(keys, k), len(keys) - 1)
             hit = keys[at] == k
