@@ -21,22 +21,14 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tidemart.plans import catalog  # noqa: E402
-from tidemart.plans import models  # noqa: E402
 from tidemart.session import build_session  # noqa: E402
-from tidemart.sources import fixtures as fx  # noqa: E402
-
-
-def sales_report_union(spark, sf):
-    """H7 with the union (two large sides) as-of plan."""
-    fact = models.sales_transaction_fact(fx.order_items_source(spark, sf))
-    dim = models.product_dimension_daily(fx.products_delta(spark, sf))
-    return models.sales_report(fact, dim, strategy="union")
 
 
 HEADLINE = {
     "sales_report": catalog.sales_report,
-    "sales_report_union": sales_report_union,
-    "asof_join": catalog.asof_join_interval,
+    "sales_report_daily": catalog.sales_report_daily,
+    "asof_join": catalog.asof_join_month,
+    "asof_join_union": catalog.asof_join_union,
     "asof_events": catalog.asof_events,
     "merge_guarded": catalog.merge_guarded,
     "merge_delta_to_main": catalog.merge_delta_to_main,
@@ -46,6 +38,8 @@ HEADLINE = {
     "check_unique": catalog.check_unique_q,
     "sales_transaction_fact": catalog.sales_transaction_fact,
     "replace_partitions": catalog.replace_partitions,
+    "product_dim_scd1": catalog.product_dim_scd1,
+    "hourly_change_load": catalog.hourly_change_load,
     "stream_upsert_final": catalog.stream_upsert_final,
 }
 

@@ -34,31 +34,36 @@ def sides(spark):
 EXPECTED = [(1, None), (2, "v1"), (3, "v1"), (4, "v2b"), (5, None), (6, None), (7, None), (8, "w1")]
 
 
-@pytest.mark.parametrize("strategy", ["interval", "union"])
-def test_asof_edges(spark, sides, strategy):
+@pytest.mark.parametrize("bucket", ["month", "day"])
+def test_asof_edges(spark, sides, bucket):
     facts, versions = sides
     out = asof_join(facts, versions, fact_key="product_id", version_key="id",
-                    fact_time="created_at", version_time="updated_at", columns=["attr"],
-                    strategy=strategy)
+                    fact_time="created_at", version_time="updated_at", columns=["attr"], bucket=bucket)
     assert out.count() == facts.count()
     assert rows(out, "sale", "attr") == EXPECTED
 
 
-def test_asof_without_broadcast_is_same(spark, sides):
+def test_times_before_1970_and_no_rows(spark, sides):
     facts, versions = sides
-    out = asof_join(facts, versions, fact_key="product_id", version_key="id",
-                    fact_time="created_at", version_time="updated_at", columns=["attr"],
-                    max_broadcast_rows=0)
-    assert rows(out, "sale", "attr") == EXPECTED
-    plan = out._jdf.queryExecution().sparkPlan().toString()
-    assert "BroadcastHashJoin" not in plan
-
-
-def test_asof_broadcasts_small_dimension(spark, sides):
-    facts, versions = sides
-    out = asof_join(facts, versions, fact_key="product_id", version_key="id",
-                    fact_time="created_at", version_time="updated_at", columns=["attr"])
-    assert "BroadcastHashJoin" in out._jdf.queryExecution().sparkPlan().toString()
+    early = spark.createDataFrame([(7, T(1969, 12, 20), "x")], "id long, updated_at timestamp_ntz, attr string")
+    sales = spark.createDataFrame([(1, 7, None), (2, 7, T(1969, 12, 30)), (3, 7, T(1980, 1, 1)), (4, None, None)], facts.schema)
+    kw = dict(fact_key="product_id", version_key="id", fact_time="created_at", version_time="updated_at", columns=["attr"])
+    for bucket in ("month", "day"):
+        assert rows(asof_join(sales, early, bucket=bucket, **kw), "sale", "attr") == [(1, None), (2, "x"), (3, "x"), (4, None)]
+    assert rows(asof_join(facts, versions.limit(0), **kw), "attr") == [(None,)] * facts.count()
+    assert asof_join(facts.limit(0), versions, **kw).count() == 0
+
+
+def test_one_shuffle_of_the_facts(spark):
+    facts = spark.range(100).selectExpr("id AS sale", "id % 7 AS product_id", "timestamp_ntz '2020-01-01' AS created_at")
+    versions = spark.range(20).selectExpr("id", "timestamp_ntz '2019-01-01' AS updated_at", "'a' AS attr")
+    out = asof_join(facts, versions, fact_key="product_id", version_key="id", fact_time="created_at",
+                    version_time="updated_at", columns=["attr"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan and "Generate" not in plan
+    assert plan.count("REPARTITION_BY_COL") == 1
+    # besides the rows themselves, the table of buckets: by bucket, then by key, which also serves the join
+    assert plan.count("Exchange hashpartitioning") <= 4
 
 
 def test_intervals(spark, sides):
@@ -72,76 +77,47 @@ def test_intervals(spark, sides):
     ]
 
 
-@pytest.mark.parametrize("strategy", ["interval", "union"])
-def test_split_hot_keys_same_answer(spark, sides, strategy):
-    facts, versions = sides
-    out = asof_join(facts, versions, fact_key="product_id", version_key="id",
-                    fact_time="created_at", version_time="updated_at", columns=["attr"],
-                    strategy=strategy, split_hot_keys=True)
-    assert rows(out, "sale", "attr") == EXPECTED
-
-
-def test_hot_key_is_spread_and_exact(spark):
+@pytest.mark.parametrize("bucket", ["month", "day"])
+def test_many_hot_keys_against_the_definition(spark, bucket):
     from pyspark.sql import functions as F
 
-    from tidemart.operators.segmented import SEGMENT, _segmented, has_hot_keys
-
-    # Product 1 holds a third of all sales and a third of all versions.
+    # One key holds a third of both sides; 1,200 more have several versions each.
     n = 9000
-    facts = spark.range(n).select(
-        F.col("id").alias("sale"),
-        F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 500 + 2).alias("product_id"),
-        F.expr("timestamp_ntz '2020-01-01' + make_interval(0,0,0,0,0,0,id * 7 % 86400)").alias("created_at"))
-    versions = spark.range(n).select(
-        F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 500 + 2).alias("id"),
-        F.expr("timestamp_ntz '2020-01-01' + make_interval(0,0,0,0,0,0,id * 13 % 86400)").alias("updated_at"),
-        F.concat(F.lit("v"), F.col("id").cast("string")).alias("attr"))
-    hot = n // 4
-    assert has_hot_keys(facts, "product_id", hot) and not has_hot_keys(facts, "product_id", n)
-    seg = _segmented(facts, "product_id", ["created_at"], hot, 256)
-    assert seg.filter("product_id = 1").select(SEGMENT).distinct().count() > 1
-    assert seg.filter("product_id <> 1").select(SEGMENT).distinct().count() == 1
-    kw = dict(fact_key="product_id", version_key="id", fact_time="created_at",
-              version_time="updated_at", columns=["attr"])
-    plain = rows(asof_join(facts, versions, split_hot_keys=False, **kw), "sale", "attr")
-    for strategy in ("interval", "union"):
-        split = asof_join(facts, versions, strategy=strategy, split_hot_keys=True,
-                          hot_key_rows=hot, max_broadcast_rows=0, **kw)
-        assert rows(split, "sale", "attr") == plain
-    iv_plain = version_intervals(versions, split_hot_keys=False)
-    iv_split = version_intervals(versions, split_hot_keys=True, hot_key_rows=hot)
-    assert rows(iv_split) == rows(iv_plain)
-
-
-def test_bucketed_plan_across_months(spark):
+    key = F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 1200 + 2)
+    stamp = lambda step: F.expr(f"timestamp_ntz '2020-01-01' + make_interval(0, 0, 0, id * {step} % 300, 0, 0, id % 86400)")
+    facts = spark.range(n).select(F.col("id").alias("sale"), key.alias("product_id"), stamp(7).alias("created_at"))
+    versions = spark.range(n).select(key.alias("id"), stamp(13).alias("updated_at"), F.concat(F.lit("v"), F.col("id")).alias("attr"))
+    got = asof_join(facts, versions, fact_key="product_id", version_key="id", fact_time="created_at",
+                    version_time="updated_at", columns=["attr"], version_time_as="vt", bucket=bucket).collect()
+    assert len(got) == n
+    held = {}
+    for v in versions.collect():
+        held.setdefault(v.id, []).append((v.updated_at, v.attr))
+    held = {k: sorted(v) for k, v in held.items()}
+    for r in got:  # the greatest version time not after the sale
+        before = [v for v in held.get(r.product_id, []) if v[0] <= r.created_at]
+        assert (r.vt, r.attr) == (before[-1] if before else (None, None))
+    intervals = version_intervals(versions, bucket=bucket).collect()
+    times = {k: sorted({t for t, _ in v}) for k, v in held.items()}
+    assert len(intervals) == sum(map(len, times.values()))
+    for r in intervals:
+        after = [t for t in times[r.id] if t > r.valid_from]
+        assert r.valid_to == (after[0] if after else None) and r.is_current == (not after)
+
+
+def test_versions_of_earlier_months(spark):
     versions = spark.createDataFrame([
         (1, T(2020, 1, 15), "A"), (1, T(2020, 4, 10), "B"), (2, T(2019, 11, 30, 23), "C"),
         (2, T(2020, 3, 1), "D")], "id long, updated_at timestamp_ntz, attr string")
     facts = spark.createDataFrame([
         (1, 1, T(2020, 1, 10)),   # before A
-        (2, 1, T(2020, 2, 20)),   # A, in a month A spans without starting in it
-        (3, 1, T(2020, 4, 9)),    # A, in the month A ends
+        (2, 1, T(2020, 2, 20)),   # A, in a month without versions
+        (3, 1, T(2020, 4, 9)),    # A, in the month in which it ends
         (4, 1, T(2020, 4, 10)),   # exactly at B
         (5, 1, T(2021, 6, 1)),    # B, long after (current version)
         (6, 2, T(2020, 2, 29, 23, 59, 59)),  # C, last second before D
         (7, 2, T(2020, 3, 1)),    # D
     ], "sale long, product_id long, created_at timestamp_ntz")
-    kw = dict(fact_key="product_id", version_key="id", fact_time="created_at",
-              version_time="updated_at", columns=["attr"], version_time_as="vt")
-    bucketed = asof_join(facts, versions, max_broadcast_rows=0, **kw)
-    assert rows(bucketed, "sale", "attr") == [
-        (1, None), (2, "A"), (3, "A"), (4, "B"), (5, "B"), (6, "C"), (7, "D")]
-    assert rows(bucketed) == rows(asof_join(facts, versions, **kw))
-
-
-def test_bucketed_plan_on_fixture(spark):
-    from conftest import SF_SMALL
-
-    from tidemart.plans import models
-    from tidemart.sources import fixtures as fx
-
-    fact = models.sales_transaction_fact(fx.order_items_source(spark, SF_SMALL))
-    dim = models.product_dimension_daily(fx.products_delta(spark, SF_SMALL))
-    kw = dict(fact_key="product_id", version_key="id", fact_time="created_at",
-              version_time="updated_at", columns=["category", "brand"], version_time_as="vt")
-    assert rows(asof_join(fact, dim, max_broadcast_rows=0, **kw)) == rows(asof_join(fact, dim, **kw))
+    out = asof_join(facts, versions, fact_key="product_id", version_key="id", fact_time="created_at",
+                    version_time="updated_at", columns=["attr"], version_time_as="vt")
+    assert rows(out, "sale", "attr") == [(1, None), (2, "A"), (3, "A"), (4, "B"), (5, "B"), (6, "C"), (7, "D")]

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from conftest import SF_MID, rows
 
-from tidemart.operators.merge import MergeError, merge
+from tidemart.operators.merge import merge
 from tidemart.sources import fixtures as fx
 
 T = dt.datetime
@@ -32,9 +32,8 @@ def source(spark):
     ], SCHEMA)
 
 
-@pytest.mark.parametrize("strategy", ["broadcast", "shuffle"])
-def test_guarded(spark, target, source, strategy):
-    out = merge(target, source, version_col="updated_at", strategy=strategy, action_col="a")
+def test_guarded(spark, target, source):
+    out = merge(target, source, version_col="updated_at", action_col="a")
     assert rows(out, "id", "v", "a") == [
         (None, "sn", "insert"), (None, "tn", "untouched"), (1, "t1", "keep"), (2, "t2", "keep"),
         (3, "s3", "update"), (4, "t4", "keep"), (5, "t5", "keep"), (6, "t6", "untouched"),
@@ -42,9 +41,8 @@ def test_guarded(spark, target, source, strategy):
     assert out.columns == ["id", "v", "updated_at", "a"]
 
 
-@pytest.mark.parametrize("strategy", ["broadcast", "shuffle"])
-def test_unguarded(spark, target, source, strategy):
-    out = merge(target, source, strategy=strategy)
+def test_unguarded(spark, target, source):
+    out = merge(target, source)
     assert rows(out, "id", "v") == [
         (None, "sn"), (None, "tn"), (1, "s1"), (2, "s2"), (3, "s3"), (4, "s4"), (5, "s5"),
         (6, "t6"), (7, "s7")]
@@ -52,8 +50,10 @@ def test_unguarded(spark, target, source, strategy):
 
 def test_duplicate_source_key_raises(spark, target):
     dup = spark.createDataFrame([(1, "a", T(2020, 1, 6)), (1, "b", T(2020, 1, 7))], SCHEMA)
-    with pytest.raises(MergeError):
-        merge(target, dup, version_col="updated_at").count()
+    with pytest.raises(Exception, match="more than one row for some id"):
+        merge(target, dup, version_col="updated_at").collect()
+    with pytest.raises(ValueError):
+        merge(target, dup, dedup=True)
     out = merge(target, dup, version_col="updated_at", dedup=True)
     assert rows(out.filter("id = 1"), "v") == [("b",)]
 
@@ -63,16 +63,29 @@ def test_update_columns_keep_others(spark, target, source):
     assert rows(out.filter("id = 3"), "v", "updated_at") == [("t3", T(2020, 1, 6))]
 
 
-def test_fixture_merge_counts(spark):
-    main = fx.products_main(spark, SF_MID)
-    src = fx.merge_source(spark, SF_MID)
-    out = merge(main, src, version_col="updated_at", action_col="a")
+def test_dedup_keeps_null_keys(spark, target):
+    source = spark.createDataFrame([(None, "n1", T(2020, 1, 1)), (None, "n2", T(2020, 1, 2)), (1, "old", T(2020, 1, 7)), (1, "new", T(2020, 1, 8))], SCHEMA)
+    out = merge(target, source, version_col="updated_at", dedup=True)
+    assert rows(out.filter("id IS NULL OR id = 1"), "id", "v") == [(None, "n1"), (None, "n2"), (None, "tn"), (1, "new")]
+
+
+def test_a_column_that_the_source_lacks_is_kept(spark, target, source):
+    out = merge(target, source.select("id", "updated_at"))
+    assert rows(out.filter("id IN (3, 7)"), "id", "v", "updated_at") == [(3, "t3", T(2020, 1, 6)), (7, None, T(2020, 1, 1))]
+    with pytest.raises(ValueError):
+        merge(target, source.select("id", "updated_at"), update_columns=["v"])
+
+
+def test_fixture_merge_has_every_case(spark):
+    image, changes = fx.products_image(spark, SF_MID), fx.products_changes(spark, SF_MID)
+    out = merge(image, changes, version_col="updated_at", action_col="a")
     counts = {r["a"]: r["count"] for r in out.groupBy("a").count().collect()}
-    assert (main.count(), src.count()) == (1293, 1449)
-    assert counts == {"update": 742, "insert": 707, "untouched": 551}
+    assert set(counts) == {"update", "insert", "keep"} and min(counts.values()) > 100
+    unguarded = merge(image, changes)
+    assert out.drop("a").exceptAll(unguarded).count() > 100
 
 
-def test_broadcast_plan_does_not_shuffle_target(spark, target, source):
-    out = merge(target, source, version_col="updated_at", strategy="broadcast")
-    plan = out._jdf.queryExecution().sparkPlan().toString()
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+def test_each_side_is_read_once(spark, target, source):
+    plan = merge(target, source, version_col="updated_at")._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("SortMergeJoin") == 1 and "Broadcast" not in plan
+    assert plan.count("Scan ExistingRDD") + plan.count("LocalTableScan") == 2

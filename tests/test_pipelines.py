@@ -29,8 +29,8 @@ def test_daily_runs_match_models_and_are_idempotent(spark):
         dim = DayTable(spark, f"{root}/dim", "updated_at").read()
         jobs.run_sales_report(spark, fact, dim, f"{root}/report", [day])
     fact_t = DayTable(spark, f"{root}/fact", "created_at")
-    periodic_t = DayTable(spark, f"{root}/periodic", "transaction_date", granularity="month")
-    report_t = DayTable(spark, f"{root}/report", "transaction_date", granularity="month")
+    periodic_t = DayTable(spark, f"{root}/periodic", "transaction_date")
+    report_t = DayTable(spark, f"{root}/report", "transaction_date")
 
     expected_fact = models.sales_transaction_fact(items, days)
     assert rows(fact_t.read()) == rows(expected_fact.select(*fact_t.read().columns))
@@ -73,7 +73,7 @@ def test_run_day_schedule(spark):
         changes = keep_latest(delta.filter(F.to_date("updated_at") == F.lit(day)), ["id"], "updated_at")
         expected_main = merge(expected_main, changes, version_col="updated_at")
     assert rows(t["main"].read()) == rows(expected_main.select(*t["main"].read().columns))
-    report = DayTable(spark, t["report"], "transaction_date", granularity="month").read()
+    report = DayTable(spark, t["report"], "transaction_date").read()
     fact = models.sales_transaction_fact(items, days)
     full_dim = models.product_dimension_daily(delta)
     assert report.count() > 5

@@ -2,12 +2,13 @@ import datetime as dt
 import glob
 import os
 
+import pytest
 from conftest import rows
 
 from tidemart.session import local_path, scratch_path
 from tidemart.sources.extract import read_staged
-from tidemart.sinks.tables import (DayTable, VersionedTable, create_view, overwrite_table,
-                                   stage_parquet, write_incremental)
+from tidemart.sinks.tables import (DayTable, FolderSwitch, VersionedTable, create_view, overwrite_table,
+                                   path_exists, stage_parquet, write_incremental)
 
 T = dt.datetime
 SCHEMA = "id long, created_at timestamp_ntz, v string"
@@ -92,22 +93,89 @@ def test_versioned_table(spark):
     v1 = table.commit(table.read().selectExpr("id + 1 AS id", "created_at", "v"))  # reads itself
     assert (v0, v1) == (0, 1)
     assert rows(table.read(), "id") == [(2,)]
-    table.commit(_facts(spark, [(9, T(2020, 1, 1), "z")]), version=1)  # retried write of v1
-    assert rows(table.read(), "id") == [(9,)] and table.current_version() == 1
+    with pytest.raises(RuntimeError):  # a second writer of the same version fails, its image is not read
+        table.commit(_facts(spark, [(9, T(2020, 1, 1), "z")]), version=1)
+    assert rows(table.read(), "id") == [(2,)] and table.current_version() == 1
 
 
-def test_hourly_change_load(spark):
+HOURS = [(1, T(2020, 1, 1, 9, 10), "a"), (2, T(2020, 1, 1, 9, 50), "b"), (3, T(2020, 1, 1, 10, 0), "c"),
+         (4, T(2020, 1, 1, 13, 0), "d"), (5, T(2020, 1, 1, 14, 59), "e"), (6, T(2020, 1, 1, 15, 0), "f")]
+
+
+def _delta(spark, root):
+    from tidemart.plans.jobs import read_delta
+
+    return rows(read_delta(spark, f"{root}/delta", _facts(spark, []).schema), "id")
+
+
+def test_hourly_change_load_keeps_hours_and_reruns(spark):
     from tidemart.plans.jobs import hourly_change_load
 
-    source = _facts(spark, [(1, T(2020, 1, 1, 9, 10), "a"), (2, T(2020, 1, 1, 9, 50), "b"),
-                            (3, T(2020, 1, 1, 10, 0), "c")])
-    root = scratch_path(spark, "h9")
-    delta = VersionedTable(spark, f"{root}/delta")
-    prefix, _ = hourly_change_load(source, "created_at", "2020-01-01 10:15:00", f"{root}/staged", delta)
-    assert prefix == "2020-01-01/09:00:00"
-    assert rows(delta.read(), "id") == [(1,), (2,)]
-    hourly_change_load(source, "created_at", "2020-01-01 11:15:00", f"{root}/staged", delta)
-    assert rows(delta.read(), "id") == [(3,)]          # delta holds one window only
+    source, root = _facts(spark, HOURS), scratch_path(spark, "h9")
+    load = lambda rows_, at, **kw: hourly_change_load(rows_, "created_at", at, f"{root}/staged", f"{root}/delta", **kw)
+    assert load(source, "2020-01-01 10:15:00") == ["2020-01-01/09:00:00"]
+    assert _delta(spark, root) == [(1,), (2,)]
+    load(source, "2020-01-01 11:15:00")
+    for _ in range(2):  # a rerun of an hour doubles nothing
+        load(source, "2020-01-01 10:15:00")
+        assert _delta(spark, root) == [(1,), (2,), (3,)]
+    load(_facts(spark, HOURS[1:]), "2020-01-01 10:15:00")  # the source lost a row
+    assert _delta(spark, root) == [(2,), (3,)]
+    load(_facts(spark, []), "2020-01-01 10:15:00")  # and then the hour's last one
+    assert _delta(spark, root) == [(3,)]
+
+
+def test_hourly_change_load_of_several_hours(spark):
+    from tidemart.plans.jobs import hourly_change_load
+
+    source, root = _facts(spark, HOURS), scratch_path(spark, "h9-six")
+    load = lambda at, **kw: hourly_change_load(source, "created_at", at, f"{root}/staged", f"{root}/delta", **kw)
+    assert len(load("2020-01-01 15:00:00", hours=6)) == 6
+    assert _delta(spark, root) == [(1,), (2,), (3,), (4,), (5,)]
+    load("2020-01-01 16:00:00", replace=True)  # the literal form holds the last window alone
+    assert _delta(spark, root) == [(6,)]
+
+
+@pytest.mark.parametrize("granularity", ["day", "month"])
+def test_rows_without_a_day_are_replaced_like_a_day(spark, granularity):
+    table = DayTable(spark, scratch_path(spark, "null-day"), "created_at", granularity=granularity)
+    table.create(_facts(spark, [(1, T(2020, 1, 1), "a"), (2, None, "b"), (3, T(2020, 2, 1), "c")]))
+    new = _facts(spark, [(4, T(2020, 1, 1), "x"), (5, None, "y"), (6, None, "z")])
+    for _ in range(2):
+        table.replace_days(new)
+        assert rows(table.read(), "id") == [(3,), (4,), (5,), (6,)]
+    table.replace_days(_facts(spark, [(7, None, "w")]), ["2020-01-01"])  # the NULL day is not listed: rows are added
+    assert rows(table.read(), "id") == [(3,), (5,), (6,), (7,)]
+
+
+def test_a_switch_that_stopped_is_finished_by_the_next_write(spark, monkeypatch):
+    table = DayTable(spark, scratch_path(spark, "stopped"), "created_at")
+    table.create(_facts(spark, [(1, T(2020, 1, 1), "a"), (2, T(2020, 1, 2), "b"), (3, T(2020, 1, 3), "c")]))
+    before = rows(table.read(), "id")
+    finish = FolderSwitch._finish
+
+    def stop(self, new, emptied=None):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(FolderSwitch, "_finish", stop)
+    with pytest.raises(KeyboardInterrupt):
+        table.replace_days(_facts(spark, [(9, T(2020, 1, 1), "x")]), ["2020-01-01", "2020-01-02"])
+    assert rows(table.read(), "id") == before  # readers see the old days
+    monkeypatch.setattr(FolderSwitch, "_finish", finish)
+    table.replace_days(_facts(spark, [(8, T(2020, 1, 5), "y")]), ["2020-01-05"])
+    assert rows(table.read(), "id") == [(3,), (8,), (9,)]
+    assert not [n for n in os.listdir(local_path(table.path)) if n.startswith(("_new-", "_old-"))]
+
+
+def test_days_are_deleted_without_a_spark_job(spark):
+    table = DayTable(spark, scratch_path(spark, "delete-many"), "created_at")
+    table.create(_facts(spark, [(i, T(2020, 1, 1 + i), "a") for i in range(20)]))
+    table.schema = _facts(spark, []).schema
+    spark.sparkContext.setJobGroup("delete-days", "")
+    table.delete_days([f"2020-01-{d:02d}" for d in range(1, 20)])
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("delete-days")
+    spark.sparkContext.setJobGroup("other", "")
+    assert len(jobs) == 0 and rows(table.read(), "id") == [(19,)]
 
 
 def test_month_folders_keep_day_semantics(spark):
@@ -162,14 +230,39 @@ def test_merge_rewrites_only_touched_days(spark):
     assert all(before.get(os.path.basename(p)) == os.path.getmtime(p) for p in day3)  # untouched
 
 
-def test_merge_days_rerun_after_partial_failure(spark):
+def test_merge_days_keeps_null_keys_and_moves_null_stamps(spark):
     schema = "id long, v string, updated_at timestamp_ntz"
-    table = DayTable(spark, scratch_path(spark, "scd1-rerun"), "updated_at")
-    table.create(spark.createDataFrame([(1, "a", T(2020, 1, 1)), (2, "b", T(2020, 1, 2))], schema))
-    source = spark.createDataFrame([(1, "a2", T(2020, 1, 5))], schema)
-    # A run that stopped after writing the new day but before emptying the
-    # old one leaves both copies of id 1 behind.
-    table.replace_days(source, ["2020-01-05"])
-    assert rows(table.read(), "id") == [(1,), (1,), (2,)]
-    table.merge_days(source, "id", version_col="updated_at")   # the rerun
-    assert rows(table.read(), "id", "v") == [(1, "a2"), (2, "b")]
+    table = DayTable(spark, scratch_path(spark, "merge-nulls"), "updated_at")
+    table.create(spark.createDataFrame([
+        (None, "n1", T(2020, 1, 1)), (None, "n2", T(2020, 1, 1)), (None, "n3", T(2020, 1, 1)), (1, "a", None), (2, "b", T(2020, 1, 1))], schema))
+    source = spark.createDataFrame([(1, "a2", T(2020, 1, 4)), (2, "b2", T(2020, 1, 1, 5))], schema)
+    table.merge_days(source, "id")  # unguarded: the row without a stamp gets a day
+    assert rows(table.read(), "id", "v") == [(None, "n1"), (None, "n2"), (None, "n3"), (1, "a2"), (2, "b2")]
+
+
+def test_other_read_errors_are_raised(spark):
+    path = scratch_path(spark, "stray")
+    spark.range(1).write.parquet(f"{path}/dt=2020-01-01")
+    spark.range(1).write.parquet(f"{path}/other=1")
+    with pytest.raises(Exception):  # conflicting folders are no missing table
+        path_exists(spark, path)
+    assert not path_exists(spark, path + "-missing")
+
+
+def test_a_shared_folder_is_asked_for(spark, monkeypatch):
+    from tidemart import session
+
+    class Cluster:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext = Cluster()
+
+    with pytest.raises(RuntimeError):
+        session.checkpoint_root(Session())

@@ -129,30 +129,36 @@ def test_cluster_conf_sizes_partitions():
     assert int(small["spark.sql.shuffle.partitions"]) == 8000        # two waves of cores
 
 
-def test_jdbc_full_and_hourly_loads(spark):
-    from tidemart.plans.jobs import full_load, hourly_change_load
+def test_full_and_hourly_loads_from_a_stored_source(spark):
+    from tidemart.plans.jobs import full_load, hourly_change_load, read_delta
     from tidemart.sinks.tables import VersionedTable
 
-    url = "jdbc:derby:memory:tidemart_loads;create=true"
+    root = scratch_path(spark, "loads")
     products = fx.products_delta(spark, SF_MID).select("id", "brand", "cost", "updated_at")
-    products.write.format("jdbc").option("url", url).option("dbtable", "PRODUCTS") \
-        .mode("overwrite").save()
-    props = {"preferTimestampNTZ": "true"}
-    source = read_jdbc(spark, url, "PRODUCTS", partition_column="\"id\"", num_partitions=4,
-                       properties=props)
-    root = scratch_path(spark, "jdbc-loads")
+    products.write.parquet(f"{root}/source")
+    source = spark.read.parquet(f"{root}/source")
     main = VersionedTable(spark, f"{root}/main")
     full_load(source, f"{root}/full", main, max_records_per_file=1000)
     assert main.read().count() == products.count()
     assert main.read().schema["id"].dataType == T.LongType()
-    # Hourly runs: each replaces the delta with its own window only.
-    delta = VersionedTable(spark, f"{root}/delta")
     stamps = [r[0] for r in products.select("updated_at").orderBy("updated_at").limit(2).collect()]
+    windows = []
     for stamp in stamps:  # a run one hour after a real change: its window holds it
         run_time = stamp + dt.timedelta(hours=1, minutes=15)
-        prefix, _ = hourly_change_load(read_jdbc(spark, url, "PRODUCTS", properties=props),
-                                       "updated_at", run_time, f"{root}/staged", delta)
-        start, end = pr.change_window(run_time)
-        expected = products.filter(pr.in_window("updated_at", start, end))
-        assert rows(delta.read()) == rows(expected.select(*delta.read().columns))
-        assert delta.read().count() > 0 and prefix == pr.window_prefix(start)
+        prefixes = hourly_change_load(source, "updated_at", run_time, f"{root}/staged", f"{root}/delta")
+        windows.append(pr.change_window(run_time))
+        assert prefixes == [pr.window_prefix(windows[-1][0])]
+    held = read_delta(spark, f"{root}/delta", apply_type_policy(source).schema)
+    expected = [pr.in_window("updated_at", *w) for w in windows]
+    assert rows(held) == rows(products.filter(expected[0] | expected[1]).select(*held.columns))
+    assert held.count() > 0
+
+
+def test_truncated_seconds_ignore_the_session_zone(spark):
+    frame = spark.createDataFrame([(dt.datetime(2024, 3, 10, 2, 7, 42, 500000),)], "t timestamp_ntz")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        assert apply_type_policy(frame, truncate_seconds=True).first()[0] == dt.datetime(2024, 3, 10, 2, 7, 42)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

@@ -97,6 +97,15 @@ def day_at_least(column, first_day, kind: str = "timestamp_ntz") -> Column:
     return col_of(column) >= typed_lit(as_date(first_day), kind)
 
 
+def before_end_of(column, days, kind: str = "timestamp_ntz") -> Column:
+    """``column`` is before the end of the last listed day (a pushed upper bound)."""
+    listed = [days] if isinstance(days, (str, dt.date)) else days
+    last = max((as_date(d) for d in listed), default=None)
+    if last is None:
+        return F.lit(False)
+    return col_of(column) < typed_lit(last + dt.timedelta(days=1), kind)
+
+
 def yesterday(as_of=None) -> dt.date:
     """The day before ``as_of`` (default: today, UTC)."""
     base = as_date(as_of) if as_of is not None else dt.datetime.now(dt.timezone.utc).date()
@@ -122,10 +131,13 @@ def change_window(run_time, hours: int = 1) -> tuple[dt.datetime, dt.datetime]:
     return end - dt.timedelta(hours=hours), end
 
 
+#: Layout of a staged window: day folder, then hour folder, named by the window's start.
+PREFIX_DAY, PREFIX_TIME = "%Y-%m-%d", "%H:%M:%S"
+
+
 def window_prefix(start) -> str:
-    """Driver-side staging prefix ``YYYY-MM-DD/HH:MM:SS`` of a window start."""
-    start = as_datetime(start)
-    return start.strftime("%Y-%m-%d") + "/" + start.strftime("%H:%M:%S")
+    """Staging prefix of a window start, in the layout that ``prefix_col`` gives rows."""
+    return "/".join(as_datetime(start).strftime(part) for part in (PREFIX_DAY, PREFIX_TIME))
 
 
 def window_end_col(run_time) -> Column:
@@ -176,14 +188,32 @@ def day_of(column) -> Column:
 
 
 def day_start(column) -> Column:
-    """``TIMESTAMP(DATE(ts))`` = ``TIMESTAMP_TRUNC(ts, DAY)``."""
+    """``TIMESTAMP(DATE(ts))``."""
     return F.to_date(col_of(column)).cast("timestamp_ntz")
 
 
+def trunc_to(unit: str, column) -> Column:
+    """``TIMESTAMP_TRUNC(ts, unit)`` for year, month, day, hour, minute or second.
+
+    Built from the stamp's own fields: no session time zone is involved.
+    """
+    c = col_of(column)
+    fields = {"year": F.year(c), "month": F.month(c), "day": F.dayofmonth(c), "hour": F.hour(c),
+              "minute": F.minute(c), "second": F.floor(F.second(c))}
+    unit = unit.lower()
+    if unit not in fields:
+        raise ValueError(f"unknown unit: {unit}")
+    kept = list(fields)[:list(fields).index(unit) + 1]
+    first = {"month": 1, "day": 1}
+    return F.make_timestamp_ntz(*(fields[f].cast("int") if f in kept else F.lit(first.get(f, 0)) for f in fields))
+
+
+def current_day(as_of: Column | None = None) -> Column:
+    """``CURRENT_DATE()`` in UTC as a column: one value for the whole query, whatever the session zone."""
+    now = F.current_timestamp() if as_of is None else as_of
+    return F.to_date(F.convert_timezone(F.current_timezone(), F.lit("UTC"), now.cast("timestamp_ntz")))
+
+
 def minus_days(column, n: int = 1) -> Column:
     """``TIMESTAMP_SUB(ts, INTERVAL n DAY)``."""
     return F.timestamp_add("DAY", F.lit(-n), col_of(column))
-
-
-def days_list(days: Sequence) -> list[str]:
-    return [as_date(d).isoformat() for d in days]

@@ -5,24 +5,14 @@ newest version with the same key and ``version_time <= fact_time``. Facts with
 no such version (before the first version, unknown key, NULL key or time) are
 kept with NULL attributes. Exactly one output row per fact row.
 
-Two plans, same answer:
-
-* **interval** (default) -- ``lead(version_time)`` over the versions gives each
-  version a half-open validity ``[valid_from, valid_to)``; the facts are then
-  joined once on ``key`` plus the range condition. At most one version
-  matches, so the fact side is never expanded and never sorted. The version
-  side is broadcast only after a row count proves it small. Otherwise closed
-  intervals are joined on (key, calendar month) -- a sale meets only the
-  versions valid in its month, not every version of its product, and a hot
-  product spreads over many join keys -- and the current version on the key
-  (AQE's skew-join split handles a hot key there).
-* **union** -- for two large sides: facts and versions are unioned, and a
-  running ``last(..., ignoreNulls)`` per key (versions ordered before facts at
-  equal time, because the condition is ``>=``) carries the newest version to
-  each fact. One shuffle of both sides by key; no join at all.
-
-The literal form of the reference (join every earlier version, sort, keep the
-first) emits one row per (fact, earlier version) and is not used.
+One plan at any size. Facts and versions are unioned and their rows shuffled
+once, on (key, calendar bucket of the time), so a hot key spreads over as many
+tasks as it has buckets. A running ``last(..., ignoreNulls)`` inside each bucket carries
+the newest version to the facts (versions stand before facts at equal time,
+because the condition is ``>=``). A table with one row per (key, bucket), pre-aggregated
+from the key and time columns alone, then hands each bucket the last version of the buckets before it. No fact ever
+meets more than one version, nothing is counted or collected, and AQE alone
+decides about broadcasts.
 """
 
 from __future__ import annotations
@@ -32,185 +22,89 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .segmented import (DEFAULT_HOT_KEY_ROWS, has_hot_keys, key_stats, segmented_carry,
-                        segmented_lead)
-from .sizing import DEFAULT_BROADCAST_ROWS
-
 VALID_FROM = "valid_from"
 VALID_TO = "valid_to"
 IS_CURRENT = "is_current"
+#: Rows that can match nothing (NULL key or time) are spread over this many buckets.
+UNMATCHED_BUCKETS = 4096
+
+
+def time_bucket(stamp: str, bucket: str = "month") -> Column:
+    """Number of the calendar month or day of a stamp, from its fields (no time zone)."""
+    if bucket == "month":
+        return F.year(stamp) * 12 + F.month(stamp)
+    if bucket == "day":
+        return F.unix_date(F.to_date(F.col(stamp)))
+    raise ValueError(f"unknown bucket: {bucket}")
+
+
+def _ascending(columns: Sequence[str]) -> list[Column]:
+    return [F.col(c).asc_nulls_first() for c in columns]
 
 
 def version_intervals(history: DataFrame, key: str = "id", stamp: str = "updated_at",
                       valid_from: str = VALID_FROM, valid_to: str = VALID_TO,
-                      is_current: str = IS_CURRENT, split_hot_keys: bool | None = None,
-                      hot_key_rows: int = DEFAULT_HOT_KEY_ROWS) -> DataFrame:
+                      is_current: str = IS_CURRENT, bucket: str = "month") -> DataFrame:
     """Each version's validity ``[valid_from, valid_to)`` and a current flag.
 
-    One window, partitioned by key (one product's history per group):
-    versions are ordered by stamp, and versions sharing a stamp by the
-    keep-latest tie-break reversed, so the keep-latest winner comes last
-    among them. ``lead(stamp)`` then gives every loser an empty interval
-    ``[t, t)``, which is dropped: the same result as de-duplicating
-    (key, stamp) first, without a second shuffle. Versions with a NULL key or
-    stamp can never match and are dropped.
-
-    ``split_hot_keys``: ``True`` always uses the segmented scan (a key's
-    history split over several tasks), ``None`` uses it when some key has
-    more than ``hot_key_rows`` versions, ``False`` never.
+    Versions are ordered by stamp inside (key, bucket), and versions sharing a
+    stamp by the keep-latest tie-break reversed, so the keep-latest winner
+    comes last among them; ``lead(stamp)`` gives every loser an empty interval
+    ``[t, t)``, which is dropped. The last version of a bucket ends where the
+    key's next bucket begins. Versions with a NULL key or stamp can never
+    match and are dropped.
     """
     clean = history.filter(F.col(key).isNotNull() & F.col(stamp).isNotNull())
     tiebreak = [c for c in clean.columns if c not in (key, stamp)]
-    if split_hot_keys is None:
-        split_hot_keys = has_hot_keys(clean, key, hot_key_rows)
-    if split_hot_keys:
-        with_next = segmented_lead(clean, key, [stamp, *tiebreak], stamp, valid_to,
-                                   threshold=hot_key_rows)
-    else:
-        window = Window.partitionBy(key).orderBy(
-            F.col(stamp).asc(), *[F.col(c).asc_nulls_first() for c in tiebreak])
-        with_next = clean.withColumn(valid_to, F.lead(F.col(stamp)).over(window))
-    return (with_next
-            .withColumn(valid_from, F.col(stamp))
-            .select(*clean.columns, valid_from, valid_to)
+    dealt = clean.withColumn("__b", time_bucket(stamp, bucket)).repartition(key, "__b")
+    inside = Window.partitionBy(key, "__b").orderBy(F.col(stamp).asc(), *_ascending(tiebreak))
+    heads = clean.groupBy(F.col(key).alias("__k"), time_bucket(stamp, bucket).alias("__hb")).agg(F.min(stamp).alias("__head"))
+    after = heads.withColumn("__next", F.lead("__head").over(Window.partitionBy("__k").orderBy("__hb"))).drop("__head")
+    joined = (dealt.withColumn("__lead", F.lead(F.col(stamp)).over(inside))
+              .join(after, (F.col(key) == F.col("__k")) & (F.col("__b") == F.col("__hb"))))
+    end = F.coalesce("__lead", "__next")
+    return (joined.select(*clean.columns, F.col(stamp).alias(valid_from), end.alias(valid_to))
             .filter(F.col(valid_to).isNull() | (F.col(valid_to) > F.col(valid_from)))
             .withColumn(is_current, F.col(valid_to).isNull()))
 
 
-def _prefixed(columns: Sequence[str], prefix: str) -> dict[str, str]:
-    return {c: f"{prefix}{c}" for c in columns}
-
-
 def asof_join(facts: DataFrame, versions: DataFrame, *, fact_key: str, version_key: str,
               fact_time: str, version_time: str, columns: Sequence[str],
-              version_time_as: str | None = None, strategy: str = "interval",
-              max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-              split_hot_keys: bool | None = None,
-              hot_key_rows: int = DEFAULT_HOT_KEY_ROWS) -> DataFrame:
+              version_time_as: str | None = None, bucket: str = "month") -> DataFrame:
     """Left as-of join of ``facts`` to ``versions``.
 
     ``columns`` are the version attributes to attach (output names as given);
     ``version_time_as`` optionally also returns the matched version's stamp.
-    ``strategy`` is ``"interval"`` or ``"union"``. ``split_hot_keys``
-    (``None`` = decide by a per-key row count against ``hot_key_rows``)
-    switches the per-key windows to the segmented scan, so one key with a
-    large share of the rows is spread over several tasks.
-    """
-    if strategy == "union":
-        return _asof_union(facts, versions, fact_key=fact_key, version_key=version_key,
-                           fact_time=fact_time, version_time=version_time,
-                           columns=columns, version_time_as=version_time_as,
-                           split_hot_keys=split_hot_keys, hot_key_rows=hot_key_rows)
-    if strategy != "interval":
-        raise ValueError(f"unknown as-of strategy: {strategy}")
-
-    prefix = "__v_"
-    wanted = list(columns) + ([version_time] if version_time_as else [])
-    # One job over the versions answers both sizing questions: the total
-    # (broadcast or not) and the biggest key (split the interval window or not).
-    total, biggest = key_stats(versions.filter(F.col(version_key).isNotNull()), version_key)
-    small = 0 < max_broadcast_rows and total <= max_broadcast_rows
-    if split_hot_keys is None:
-        split_hot_keys = biggest > hot_key_rows
-    intervals = version_intervals(versions.select(version_key, version_time, *columns),
-                                  key=version_key, stamp=version_time,
-                                  split_hot_keys=split_hot_keys, hot_key_rows=hot_key_rows)
-    renamed = intervals.select(
-        F.col(version_key).alias(prefix + "key"),
-        F.col(VALID_FROM).alias(prefix + "from"),
-        F.col(VALID_TO).alias(prefix + "to"),
-        *[F.col(c).alias(n) for c, n in _prefixed(set(wanted), prefix).items()],
-    )
-    t = F.col(fact_time)
-    out = [F.col(c) for c in facts.columns]
-    if small:
-        # The interval table has at most as many rows as there are versions.
-        condition = ((F.col(fact_key) == F.col(prefix + "key"))
-                     & (t >= F.col(prefix + "from"))
-                     & (F.col(prefix + "to").isNull() | (t < F.col(prefix + "to"))))
-        joined = facts.join(F.broadcast(renamed), condition, "left")
-        out += [F.col(prefix + c).alias(c) for c in columns]
-        if version_time_as:
-            out.append(F.col(prefix + version_time).alias(version_time_as))
-        return joined.select(*out)
-    return _asof_bucketed(facts, renamed, prefix, fact_key, fact_time, columns,
-                          version_time if version_time_as else None, version_time_as)
-
-
-def _month(c) -> Column:
-    """Calendar month number of a stamp (from its fields: no time zone)."""
-    return F.year(c) * 12 + F.month(c)
-
-
-def _asof_bucketed(facts: DataFrame, intervals: DataFrame, prefix: str, fact_key: str,
-                   fact_time: str, columns: Sequence[str], version_time: str | None,
-                   version_time_as: str | None) -> DataFrame:
-    """Shuffle plan for a version table too large to broadcast.
-
-    Closed intervals are listed once per calendar month they overlap and
-    joined on (key, month) plus the range: a sale meets only the versions
-    valid in its month -- never every version of its product -- and a hot
-    product's sales spread over as many join keys as months. The open
-    (current) interval, one per key, is joined on the key alone; a sale can
-    match only one of the two sides.
+    ``bucket`` (month or day) is the stretch of time that one task orders for
+    one key: it changes the cost, never the result. Of versions that share key
+    and stamp, the one that sorts last by ``columns`` counts.
     """
-    t = F.col(fact_time)
-    frm, to = F.col(prefix + "from"), F.col(prefix + "to")
-    closed = (intervals.filter(to.isNotNull())
-              .withColumn("__b", F.explode(F.sequence(_month(frm), _month(to)))))
-    cur = "__c_"
-    wanted = list(dict.fromkeys(list(columns) + ([version_time] if version_time else [])))
-    current = intervals.filter(to.isNull()).select(
-        F.col(prefix + "key").alias(cur + "key"), F.col(prefix + "from").alias(cur + "from"),
-        *[F.col(prefix + c).alias(cur + c) for c in wanted])
-    sales = facts.withColumn("__fb", _month(t))
-    on_closed = ((F.col(fact_key) == F.col(prefix + "key")) & (F.col("__fb") == F.col("__b"))
-                 & (t >= frm) & (t < to))
-    on_current = (F.col(fact_key) == F.col(cur + "key")) & (t >= F.col(cur + "from"))
-    joined = sales.join(closed, on_closed, "left").join(current, on_current, "left")
-    hit = F.col(prefix + "key").isNotNull()
-    out = [F.col(c) for c in facts.columns]
-    out += [F.when(hit, F.col(prefix + c)).otherwise(F.col(cur + c)).alias(c) for c in columns]
-    if version_time_as:
-        out.append(F.when(hit, F.col(prefix + version_time))
-                   .otherwise(F.col(cur + version_time)).alias(version_time_as))
-    return joined.select(*out)
-
-
-def _asof_union(facts: DataFrame, versions: DataFrame, *, fact_key: str, version_key: str,
-                fact_time: str, version_time: str, columns: Sequence[str],
-                version_time_as: str | None, split_hot_keys: bool | None = None,
-                hot_key_rows: int = DEFAULT_HOT_KEY_ROWS) -> DataFrame:
-    """Union plan: one shuffle of both sides by key, one running window.
-
-    Order inside a key: time, then versions before facts (the condition is
-    ``>=``), then versions sharing a stamp by the keep-latest tie-break
-    reversed, so ``last(ignoreNulls)`` lands on the same version the interval
-    plan picks -- no separate de-duplication pass.
-    """
-    kind, key, t, payload, match = "__kind", "__key", "__t", "__payload", "__match"
-    attrs = list(columns) + ([version_time] if version_time_as else [])
+    attributes = list(dict.fromkeys([*columns, *([version_time] if version_time_as else [])]))
     tiebreak = [c for c in dict.fromkeys(columns) if c not in (version_key, version_time)]
     clean = versions.filter(F.col(version_key).isNotNull() & F.col(version_time).isNotNull())
-    payload_struct = F.struct(*[F.col(c).alias(c) for c in dict.fromkeys(attrs)])
-    v_side = clean.select(
-        F.col(version_key).alias(key), F.col(version_time).alias(t),
-        F.lit(0).alias(kind), payload_struct.alias(payload),
+    version_rows = clean.select(
+        F.col(version_key).alias("__key"), F.col(version_time).alias("__t"), F.lit(0).alias("__kind"),
+        time_bucket(version_time, bucket).alias("__b"), F.struct(*attributes).alias("__version"),
         *[F.col(c).alias(f"__tb{i}") for i, c in enumerate(tiebreak)])
-    f_side = facts.select(
-        "*", F.col(fact_key).alias(key), F.col(fact_time).alias(t), F.lit(1).alias(kind))
-    unioned = f_side.unionByName(v_side, allowMissingColumns=True)
-    order = [t, kind] + [f"__tb{i}" for i in range(len(tiebreak))]
-    if split_hot_keys is None:
-        split_hot_keys = has_hot_keys(unioned, key, hot_key_rows)
-    if split_hot_keys:
-        carried = segmented_carry(unioned, key, order, payload, match, threshold=hot_key_rows)
-    else:
-        window = (Window.partitionBy(key).orderBy(*[F.col(c).asc_nulls_first() for c in order])
-                  .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        carried = unioned.withColumn(match, F.last(F.col(payload), ignorenulls=True).over(window))
-    out = [F.col(c) for c in facts.columns]
-    out += [F.col(f"{match}.{c}").alias(c) for c in columns]
+    spread = -1 - F.monotonically_increasing_id() % UNMATCHED_BUCKETS
+    fact_rows = facts.select(
+        "*", F.col(fact_key).alias("__key"), F.col(fact_time).alias("__t"), F.lit(1).alias("__kind"),
+        F.when(F.col(fact_key).isNull() | F.col(fact_time).isNull(), spread)
+        .otherwise(time_bucket(fact_time, bucket)).cast("int").alias("__b"))
+    dealt = fact_rows.unionByName(version_rows, allowMissingColumns=True).repartition("__key", "__b")
+    order = ["__t", "__kind", *(f"__tb{i}" for i in range(len(tiebreak)))]
+    running = (Window.partitionBy("__key", "__b").orderBy(*_ascending(order))
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    carried = dealt.withColumn("__match", F.last("__version", ignorenulls=True).over(running)).filter("__kind = 1")
+
+    place = F.when(F.col("__kind") == 0, F.struct("__t", *(f"__tb{i}" for i in range(len(tiebreak)))))
+    both = fact_rows.select("__key", "__b", "__t", "__kind").unionByName(version_rows, allowMissingColumns=True)
+    tails = both.groupBy(F.col("__key").alias("__k"), F.col("__b").alias("__hb")).agg(F.max_by("__version", place).alias("__tail"))
+    earlier = Window.partitionBy("__k").orderBy("__hb").rowsBetween(Window.unboundedPreceding, -1)
+    handed = tails.filter("__k IS NOT NULL").withColumn("__before", F.last("__tail", ignorenulls=True).over(earlier)).drop("__tail")
+    joined = carried.join(handed, (F.col("__key") == F.col("__k")) & (F.col("__b") == F.col("__hb")), "left")
+    match = F.when(F.col("__t").isNotNull(), F.coalesce("__match", "__before"))
+    out = [F.col(c) for c in facts.columns] + [match.getField(c).alias(c) for c in columns]
     if version_time_as:
-        out.append(F.col(f"{match}.{version_time}").alias(version_time_as))
-    return carried.filter(F.col(kind) == 1).select(*out)
+        out.append(match.getField(version_time).alias(version_time_as))
+    return joined.select(*out)

@@ -10,29 +10,23 @@ Semantics:
   no update);
 * unmatched target rows are kept unchanged; a NULL key never matches, so a
   NULL-key source row is always inserted;
-* two source rows with one (non-NULL) key is an error, as in a warehouse
-  MERGE, unless ``dedup=True`` keeps the newest of them.
-
-Plans:
-
-* **broadcast** (source passed a bounded size check -- the daily case): the
-  target is left-joined to the broadcast source in one pass, and the keys it
-  matched (read back from the key column only) decide which source rows are
-  inserts. The target is never shuffled.
-* **shuffle** (large source): one full outer sort-merge join on the key. Keys
-  are unique on both sides by contract, so no key can be hot; NULL keys (which
-  never match) bypass the join rather than all landing in one partition.
+* two source rows with one (non-NULL) key fail the query, as in a warehouse
+  MERGE, unless ``dedup=True`` keeps the newest of them by ``version_col``.
+
+One plan at any size: a full outer join on the key that reads each side once.
+The check for repeated source keys is a count in that same plan. NULL keys,
+which match nothing, carry a row number as a second join key, so they spread
+over all tasks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .latest import keep_latest
-from .sizing import DEFAULT_BROADCAST_ROWS, fits_broadcast
+from .latest import latest_order
 
 ACTION_UPDATE = "update"
 ACTION_INSERT = "insert"
@@ -40,104 +34,67 @@ ACTION_KEEP = "keep"  # matched, guard refused the update
 ACTION_UNTOUCHED = "untouched"
 
 
-class MergeError(ValueError):
-    """Raised when the source holds a key more than once."""
+def _side(df: DataFrame, prefix: str, key: str) -> DataFrame:
+    """Prefixed columns, a hit flag and the spread of NULL keys."""
+    return (df.select(*[F.col(c).alias(f"{prefix}{c}") for c in df.columns], F.lit(True).alias(f"{prefix}hit__"))
+            .withColumn(f"{prefix}spread__", F.when(F.col(prefix + key).isNull(), F.monotonically_increasing_id()).otherwise(F.lit(-1))))
 
 
-def duplicate_source_keys(source: DataFrame, key: str) -> DataFrame:
-    return (source.filter(F.col(key).isNotNull()).groupBy(key)
-            .agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1))
+def latest_per_key(df: DataFrame, key: str, version_col: str) -> DataFrame:
+    """Newest row of each non-NULL key; all rows with a NULL key stay."""
+    spread = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
+    window = Window.partitionBy(key, "__spread").orderBy(*latest_order(df, [key], version_col))
+    return (df.withColumn("__spread", spread).withColumn("__rank", F.row_number().over(window))
+            .filter("__rank = 1").select(*df.columns))
 
 
 def merge(target: DataFrame, source: DataFrame, key: str = "id", version_col: str | None = None,
           update_columns: Sequence[str] | None = None, dedup: bool = False,
-          check_unique: bool = True, strategy: str = "auto",
-          max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-          action_col: str | None = None) -> DataFrame:
+          check_unique: bool = True, action_col: str | None = None) -> DataFrame:
     """Merged image of ``target`` (same columns, same order).
 
-    ``update_columns`` defaults to every target column except the key (the
-    column list is read from the target's schema, as the reference does).
-    ``action_col`` adds a column naming what happened to each output row.
+    ``update_columns`` defaults to the columns both sides have, except the
+    key; a named column that the source lacks is an error. ``dedup`` needs
+    ``version_col``. ``action_col`` adds a column naming what happened to each
+    output row.
     """
-    target_cols = list(target.columns)
-    if key not in target_cols or key not in source.columns:
+    target_cols, source_cols = list(target.columns), list(source.columns)
+    if key not in target_cols or key not in source_cols:
         raise ValueError(f"merge key {key!r} missing")
-    if update_columns is None:
-        update_columns = [c for c in target_cols if c != key]
-    if version_col is not None and (version_col not in target_cols or version_col not in source.columns):
+    if version_col is not None and (version_col not in target_cols or version_col not in source_cols):
         raise ValueError(f"version column {version_col!r} missing")
+    if dedup and version_col is None:
+        raise ValueError("dedup needs version_col: nothing else says which row is newest")
+    if update_columns is None:
+        update_columns = [c for c in target_cols if c != key and c in source_cols]
+    lacking = [c for c in update_columns if c not in source_cols]
+    if lacking:
+        raise ValueError(f"update columns {lacking} missing in the source")
 
     if dedup:
-        source = keep_latest(source, [key], version_col) if version_col else \
-            keep_latest(source, [key], key)
-    elif check_unique and duplicate_source_keys(source, key).limit(1).count() > 0:
-        raise MergeError(f"source has more than one row for some {key!r}; pass dedup=True")
-
-    s_cols = [c for c in source.columns]
-    s = source.select(*[F.col(c).alias(f"__s_{c}") for c in s_cols], F.lit(True).alias("__s_hit"))
-    t = target.select(*[F.col(c).alias(f"__t_{c}") for c in target_cols], F.lit(True).alias("__t_hit"))
-    on = F.col(f"__t_{key}") == F.col(f"__s_{key}")
-
-    if strategy == "auto":
-        strategy = "broadcast" if fits_broadcast(source, max_broadcast_rows) else "shuffle"
-
-    if strategy == "shuffle":
-        # NULL keys never match; they bypass the join instead of all hashing
-        # into one shuffle partition (a hot NULL group would be one task).
-        t_key, s_key = F.col(f"__t_{key}"), F.col(f"__s_{key}")
-        joined = t.filter(t_key.isNotNull()).join(s.filter(s_key.isNotNull()), on, "full_outer")
-        t_null = _pad(t.filter(t_key.isNull()), s, "__s_")
-        s_null = _pad(s.filter(s_key.isNull()), t, "__t_")
-        both = joined.unionByName(t_null).unionByName(s_null)
-        return _resolve(both, target_cols, s_cols, key, version_col, update_columns, action_col)
-    if strategy != "broadcast":
-        raise ValueError(f"unknown merge strategy: {strategy}")
-
-    # Pass 1: every target row with its source partner, if any.
-    updated = t.join(F.broadcast(s), on, "left")
-    # Pass 2: keys of the target that found a partner (key column only), then
-    # the source rows without one are the inserts.
-    matched_keys = (target.select(F.col(key).alias("__m_key"))
-                    .join(F.broadcast(source.select(F.col(key).alias("__s_only"))),
-                          F.col("__m_key") == F.col("__s_only"), "left_semi"))
-    inserts = s.join(F.broadcast(matched_keys), F.col(f"__s_{key}") == F.col("__m_key"), "left_anti")
-    for c in target_cols:
-        inserts = inserts.withColumn(f"__t_{c}", F.lit(None).cast(target.schema[c].dataType))
-    inserts = inserts.withColumn("__t_hit", F.lit(None).cast("boolean"))
-    both = updated.unionByName(inserts)
-    return _resolve(both, target_cols, s_cols, key, version_col, update_columns, action_col)
-
-
-def _pad(rows: DataFrame, other: DataFrame, prefix: str) -> DataFrame:
-    """Add the other side's columns as typed NULLs (rows without a partner)."""
-    for field in other.schema.fields:
-        if field.name.startswith(prefix):  # includes the other side's hit flag
-            rows = rows.withColumn(field.name, F.lit(None).cast(field.dataType))
-    return rows
+        source = latest_per_key(source, key, version_col)
+    s, t = _side(source, "__s_", key), _side(target, "__t_", key)
+    if check_unique and not dedup:
+        copies = F.count(F.lit(1)).over(Window.partitionBy(f"__s_{key}", "__s_spread__"))
+        message = f"source has more than one row for some {key}; pass dedup=True"
+        s = s.withColumn("__s_copies", copies).filter(F.assert_true(F.col("__s_copies") == 1, message).isNull())
+    on = (F.col(f"__t_{key}") == F.col(f"__s_{key}")) & (F.col("__t_spread__") == F.col("__s_spread__"))
+    return _resolve(t.join(s, on, "full_outer"), target_cols, source_cols, key, version_col, update_columns, action_col)
 
 
 def _resolve(joined: DataFrame, target_cols: Sequence[str], source_cols: Sequence[str], key: str,
              version_col: str | None, update_columns: Sequence[str],
              action_col: str | None) -> DataFrame:
-    t_hit = F.col("__t_hit").isNotNull()
-    s_hit = F.col("__s_hit").isNotNull()
-    if version_col is None:
-        allow: Column = F.lit(True)
-    else:
+    t_hit, s_hit = F.col("__t_hit__").isNotNull(), F.col("__s_hit__").isNotNull()
+    allow: Column = F.lit(True)
+    if version_col is not None:
         allow = F.coalesce(F.col(f"__t_{version_col}") < F.col(f"__s_{version_col}"), F.lit(False))
-    is_insert = ~t_hit & s_hit
-    is_update = t_hit & s_hit & allow
+    is_insert, is_update = ~t_hit & s_hit, t_hit & s_hit & allow
     out = []
     for c in target_cols:
         from_source = F.col(f"__s_{c}") if c in source_cols else F.lit(None)
-        if c == key:
-            value = F.when(is_insert, from_source).otherwise(F.col(f"__t_{c}"))
-        elif c in update_columns:
-            value = F.when(is_insert | is_update, from_source).otherwise(F.col(f"__t_{c}"))
-        else:
-            value = F.when(is_insert, from_source).otherwise(F.col(f"__t_{c}"))
-        out.append(value.alias(c))
+        take = (is_insert | is_update) if c in update_columns else is_insert
+        out.append(F.when(take, from_source).otherwise(F.col(f"__t_{c}")).alias(c))
     if action_col:
         out.append(F.when(is_insert, ACTION_INSERT).when(is_update, ACTION_UPDATE)
                    .when(s_hit, ACTION_KEEP).otherwise(ACTION_UNTOUCHED).alias(action_col))

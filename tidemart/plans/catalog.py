@@ -7,6 +7,7 @@ checkpoint location and return what they read back.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,6 @@ from pyspark.sql import functions as F
 
 from ..functions import periods as pr
 from ..operators.asof import asof_join
-from ..operators.latest import keep_latest
 from ..operators.measures import sales_by_attributes, signed_daily_sum
 from ..operators.merge import merge
 from ..operators.quality import check_not_null, check_unique
@@ -23,7 +23,7 @@ from ..sinks.tables import DayTable, VersionedTable, create_view, stage_parquet
 from ..sources import fixtures as fx
 from ..sources.extract import extract_changes, extract_window
 from ..sources.types import apply_type_policy
-from ..streaming.upsert import read_staged_stream, upsert_stream_days
+from ..streaming.upsert import ingest_staged, read_staged_stream, upsert_stream_days
 from . import jobs, models
 from . import params as P
 
@@ -36,6 +36,11 @@ def _days(start: str, end: str) -> list:
     return [first + pr.dt.timedelta(days=i) for i in range((last - first).days)]
 
 
+def _view_name(name: str, sf: str) -> str:
+    """A view of its own for each data folder."""
+    return f"{name}_{zlib.crc32(sf.encode()):08x}"
+
+
 # ------------------------------------------------------------------ sources
 def snapshot_extract(spark: SparkSession, sf: str) -> DataFrame:
     """Full extract -> type policy -> staged -> main, read back."""
@@ -45,6 +50,23 @@ def snapshot_extract(spark: SparkSession, sf: str) -> DataFrame:
     return main.read()
 
 
+def snapshot_extract_products(spark: SparkSession, sf: str) -> DataFrame:
+    """The same load for the current image of ``products``."""
+    root = scratch_path(spark, "snapshot-products")
+    main = VersionedTable(spark, f"{root}/main")
+    jobs.full_load(fx.products_current(spark, sf), f"{root}/staged", main)
+    return main.read()
+
+
+def hourly_change_load(spark: SparkSession, sf: str) -> DataFrame:
+    """Runs of several hours over order items, one of them twice."""
+    root = scratch_path(spark, "hourly")
+    items = fx.order_items_source(spark, sf)
+    for run_time, hours in P.HOURLY_RUNS:
+        jobs.hourly_change_load(items, "created_at", run_time, f"{root}/staged", f"{root}/delta", hours)
+    return jobs.read_delta(spark, f"{root}/delta", apply_type_policy(items).schema)
+
+
 def cdc_window_products(spark: SparkSession, sf: str) -> DataFrame:
     return extract_changes(fx.products_delta(spark, sf), "updated_at", *P.PRODUCT_CDC_WINDOW)
 
@@ -65,8 +87,9 @@ def hour_bucket(spark: SparkSession, sf: str) -> DataFrame:
 
 def source_passthrough(spark: SparkSession, sf: str) -> DataFrame:
     """A declared source read through the catalog."""
-    create_view(fx.order_items_source(spark, sf), "order_items_delta")
-    return spark.sql("SELECT * FROM order_items_delta")
+    name = _view_name("order_items_delta", sf)
+    create_view(fx.order_items_source(spark, sf), name)
+    return spark.sql(f"SELECT * FROM {name}")
 
 
 def type_policy(spark: SparkSession, sf: str) -> DataFrame:
@@ -76,7 +99,7 @@ def type_policy(spark: SparkSession, sf: str) -> DataFrame:
 def view_filter(spark: SparkSession, sf: str) -> DataFrame:
     """W5 + F4: a view with a constant-equality filter."""
     items = fx.order_items_source(spark, sf)
-    return create_view(items.filter(F.col("status") == P.RETURNED_STATUS), "returned_order_items")
+    return create_view(items.filter(F.col("status") == P.RETURNED_STATUS), _view_name("returned_order_items", sf))
 
 
 def select_except(spark: SparkSession, sf: str) -> DataFrame:
@@ -112,7 +135,7 @@ def date_scalars(spark: SparkSession, sf: str) -> DataFrame:
         F.date_sub(pr.day_of("ts"), 1).alias("prev_day"),
         pr.minus_days("ts", 1).alias("ts_minus_day"),
         pr.day_start("ts").alias("day_start"),
-        pr.day_start("ts").alias("day_trunc"),
+        *(pr.trunc_to(unit, "ts").alias(f"{unit}_trunc") for unit in ("year", "month", "day", "hour")),
         pr.day_of("ts").isin([pr.as_date(d) for d in P.DATE_LIST]).alias("in_days"),
         pr.format_day("ts").alias("day_str"))
 
@@ -124,20 +147,21 @@ def _fact_and_dim(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return fact, dim
 
 
-def _asof(spark: SparkSession, sf: str, strategy: str) -> DataFrame:
+def _asof(spark: SparkSession, sf: str, bucket: str) -> DataFrame:
     fact, dim = _fact_and_dim(spark, sf)
     return asof_join(fact, dim, fact_key="product_id", version_key="id",
                      fact_time="created_at", version_time="updated_at",
                      columns=models.REPORT_ATTRIBUTES, version_time_as="version_updated_at",
-                     strategy=strategy)
+                     bucket=bucket)
 
 
-def asof_join_interval(spark: SparkSession, sf: str) -> DataFrame:
-    return _asof(spark, sf, "interval")
+def asof_join_month(spark: SparkSession, sf: str) -> DataFrame:
+    return _asof(spark, sf, "month")
 
 
 def asof_join_union(spark: SparkSession, sf: str) -> DataFrame:
-    return _asof(spark, sf, "union")
+    """The same with buckets of one day: most matches come from earlier buckets."""
+    return _asof(spark, sf, "day")
 
 
 def asof_events(spark: SparkSession, sf: str) -> DataFrame:
@@ -152,14 +176,13 @@ def asof_events(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def merge_guarded(spark: SparkSession, sf: str) -> DataFrame:
-    return merge(fx.products_main(spark, sf), fx.merge_source(spark, sf), key="id",
-                 version_col="updated_at")
+    """Source rows older than, as old as and newer than the target's, and new keys."""
+    return merge(fx.products_image(spark, sf), fx.products_changes(spark, sf), key="id", version_col="updated_at")
 
 
 def merge_unguarded(spark: SparkSession, sf: str) -> DataFrame:
-    """Unguarded: a re-run over an older window overwrites newer rows too."""
-    window = fx.products_delta(spark, sf).filter(pr.in_window("updated_at", *P.UNGUARDED_WINDOW))
-    return merge(fx.products_main(spark, sf), keep_latest(window, ["id"], "updated_at"), key="id")
+    """The same data without the guard: older source rows win too."""
+    return merge(fx.products_image(spark, sf), fx.products_changes(spark, sf), key="id")
 
 
 # ------------------------------------------------------------ aggregation
@@ -239,28 +262,23 @@ def replace_partitions_empty(spark: SparkSession, sf: str) -> DataFrame:
 
 # ------------------------------------------------------------- pipelines
 def product_dim_scd1(spark: SparkSession, sf: str) -> DataFrame:
-    """H1: dimension from the main table, then the main table's changes of
-    the merge window merged in with the guard."""
-    root = scratch_path(spark, "scd1")
-    main = VersionedTable(spark, f"{root}/main")
-    main.commit(fx.products_main(spark, sf))
-    dim = DayTable(spark, f"{root}/dim", "updated_at", granularity="month")
-    jobs.run_product_dim_scd1(dim, main.read(), None)
-    jobs.run_merge_delta_to_main(main, fx.products_delta(spark, sf), window=P.PRODUCT_CDC_WINDOW)
+    """H1: dimension from one image of the products, then the rows that a
+    second image changed on the merge days, merged in with the guard."""
+    dim = DayTable(spark, scratch_path(spark, "scd1"), "updated_at")
+    jobs.run_product_dim_scd1(dim, fx.products_image(spark, sf), None)
     start, end = P.PRODUCT_CDC_WINDOW
-    jobs.run_product_dim_scd1(dim, main.read(), _days(start[:10], end[:10]))
+    jobs.run_product_dim_scd1(dim, fx.products_changes(spark, sf), _days(start[:10], end[:10]))
     return dim.read()
 
 
 def product_dim_scd1_scoped(spark: SparkSession, sf: str) -> DataFrame:
-    """H4: first build since the first day, then yesterday's unguarded run."""
-    root = scratch_path(spark, "scd1-scoped")
-    main = VersionedTable(spark, f"{root}/main")
-    main.commit(fx.products_main(spark, sf))
-    dim = DayTable(spark, f"{root}/dim", "updated_at", granularity="month")
-    jobs.run_product_dim_scd1_scoped(dim, main.read(), first_day=P.SCD_FIRST_DAY)
-    jobs.run_merge_delta_to_main(main, fx.products_delta(spark, sf), window=P.PRODUCT_CDC_WINDOW)
-    jobs.run_product_dim_scd1_scoped(dim, main.read(), as_of=P.SCD_AS_OF)
+    """H4: first build since the first day, then listed days and yesterday, unguarded."""
+    dim = DayTable(spark, scratch_path(spark, "scd1-scoped"), "updated_at")
+    jobs.run_product_dim_scd1_scoped(dim, fx.products_image(spark, sf), first_day=P.SCD_FIRST_DAY)
+    changes = fx.products_changes(spark, sf)
+    start, end = P.UNGUARDED_WINDOW
+    jobs.run_product_dim_scd1_scoped(dim, changes, day=_days(start[:10], end[:10]))
+    jobs.run_product_dim_scd1_scoped(dim, changes, as_of=P.SCD_AS_OF)
     return dim.read()
 
 
@@ -307,10 +325,22 @@ def sales_report(spark: SparkSession, sf: str) -> DataFrame:
     return models.sales_report(fact, dim)
 
 
+def sales_report_daily(spark: SparkSession, sf: str) -> DataFrame:
+    """H7 as scheduled: written fact and dimension in, report days out; two days' runs repeated."""
+    fact = jobs.run_sales_transaction_fact(spark, fx.order_items_source(spark, sf), scratch_path(spark, "fact"))
+    dim = jobs.run_product_dimension_daily(spark, fx.products_delta(spark, sf), scratch_path(spark, "dim-daily"))
+    path = scratch_path(spark, "report")
+    jobs.run_sales_report(spark, fact, dim.read(), path)
+    for _ in range(2):
+        report = jobs.run_sales_report(spark, fact, dim.read(), path, list(P.REPORT_DAYS))
+    return report.read()
+
+
 def merge_delta_to_main(spark: SparkSession, sf: str) -> DataFrame:
+    """H8: the window's newest changes; some are older than the main table's rows."""
     root = scratch_path(spark, "main")
     main = VersionedTable(spark, root)
-    main.commit(fx.products_main(spark, sf))
+    main.commit(fx.products_image(spark, sf))
     jobs.run_merge_delta_to_main(main, fx.products_delta(spark, sf), window=P.PRODUCT_CDC_WINDOW)
     return main.read()
 
@@ -325,17 +355,29 @@ def check_not_null_q(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # --------------------------------------------------------------- streaming
+def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """Staged files appended once each, though the stream is run again after more have come."""
+    root = scratch_path(spark, "ingest")
+    delta = fx.products_delta(spark, sf)
+    early = F.col("updated_at") < fx.ntz(fx.MAIN_CUTOFF)
+    for part in (delta.filter(early), delta.filter(~early)):
+        stage_parquet(part, f"{root}/staged", mode="append")
+        ingest_staged(spark, f"{root}/staged", delta.schema, f"{root}/sink", f"{root}/checkpoint").awaitTermination()
+    return spark.read.schema(delta.schema).parquet(f"{root}/sink")
+
+
 def stream_upsert_final(spark: SparkSession, sf: str) -> DataFrame:
-    """T1 + T2: the change feed staged as time-ordered files, streamed one
-    file per micro-batch into a guarded keep-latest upsert that rewrites only
-    the target folders each batch touches."""
+    """T1 + T2: the change feed staged in two deliveries, the newer rows first, and streamed into a
+    guarded keep-latest upsert that rewrites only the folders a batch touches. A batch holds all files
+    that have arrived; the second one's rows are late."""
     root = scratch_path(spark, "stream")
     delta = fx.products_delta(spark, sf)
-    stage_parquet(delta.repartitionByRange(4, "updated_at"), f"{root}/staged")
-    stream = read_staged_stream(spark, f"{root}/staged", delta.schema, max_files_per_trigger=1)
     target = DayTable(spark, f"{root}/target", "updated_at", granularity="month")
-    query = upsert_stream_days(stream, target, "id", "updated_at", f"{root}/checkpoint")
-    query.awaitTermination()
+    early = F.col("updated_at") < fx.ntz(P.LATE_BEFORE)
+    for part in (delta.filter(~early), delta.filter(early)):
+        stage_parquet(part, f"{root}/staged", mode="append")
+        stream = read_staged_stream(spark, f"{root}/staged", delta.schema)
+        upsert_stream_days(stream, target, "id", "updated_at", f"{root}/checkpoint").awaitTermination()
     return target.read()
 
 
@@ -343,6 +385,10 @@ def queries() -> dict[str, Query]:
     return {
         "sales_report": sales_report,
         "snapshot_extract": snapshot_extract,
+        "snapshot_extract_products": snapshot_extract_products,
+        "hourly_change_load": hourly_change_load,
+        "sales_report_daily": sales_report_daily,
+        "stream_ingest": stream_ingest,
         "cdc_window_products": cdc_window_products,
         "cdc_window_order_items": cdc_window_order_items,
         "hour_bucket": hour_bucket,
@@ -357,7 +403,7 @@ def queries() -> dict[str, Query]:
         "day_filter": day_filter,
         "day_lower_bound": day_lower_bound,
         "scope_filter": scope_filter,
-        "asof_join": asof_join_interval,
+        "asof_join": asof_join_month,
         "asof_join_union": asof_join_union,
         "asof_events": asof_events,
         "merge_guarded": merge_guarded,

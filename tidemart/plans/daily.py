@@ -31,8 +31,7 @@ def warehouse_tables(spark: SparkSession, root: str) -> dict:
     root = root.rstrip("/")
     return {
         "main": VersionedTable(spark, f"{root}/products_main"),
-        "scd1": DayTable(spark, f"{root}/product_dimension_type_1", "updated_at",
-                         granularity="month"),
+        "scd1": DayTable(spark, f"{root}/product_dimension_type_1", "updated_at"),
         "history": f"{root}/product_dimension_type_2",
         "daily": f"{root}/product_dimension",
         "fact": f"{root}/sales_transaction_fact",

@@ -13,10 +13,15 @@ builds the model with ``tidemart.plans.models`` and writes it:
 
 from __future__ import annotations
 
+import datetime as dt
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.periods import change_window, window_prefix
-from ..sinks.tables import DayTable, VersionedTable, stage_parquet, write_incremental
+from ..sinks.tables import DayTable, FolderSwitch, VersionedTable, stage_parquet, write_incremental
 from ..sources.extract import LOAD_DATE, LOAD_HOUR, extract_changes, read_staged
 from ..sources.types import apply_type_policy
 from . import models
@@ -33,21 +38,44 @@ def full_load(source: DataFrame, staging_path: str, main: VersionedTable,
 
 
 def hourly_change_load(source: DataFrame, change_column: str, run_time, staging_path: str,
-                       delta: VersionedTable, hours: int = 1,
-                       max_records_per_file: int | None = None) -> tuple[str, int]:
-    """H9: window of the run -> type policy -> staged under the window's
-    ``load_date``/``load_hour`` folder -> delta replaced by that window."""
+                       delta_path: str, hours: int = 1, replace: bool = False,
+                       max_records_per_file: int | None = None) -> list[str]:
+    """H9: window of the run -> type policy -> staged under its ``load_date``/``load_hour``
+    folders -> the same folders of the delta. Returns the window's hours.
+
+    The staged folders of the window's hours are replaced, so a rerun leaves
+    the same rows, and an hour without rows disappears. The delta keeps its
+    other hours; ``replace=True`` is the form that holds only the last window.
+    """
+    spark = source.sparkSession
     start, end = change_window(run_time, hours)
     changes = apply_type_policy(extract_changes(source, change_column, start, end))
-    stage_parquet(changes, staging_path, max_records_per_file=max_records_per_file,
-                  partition_by=[LOAD_DATE, LOAD_HOUR], mode="append")
-    spark = source.sparkSession
-    prefix = window_prefix(start)
-    load_date, load_hour = prefix.split("/")
-    staged = read_staged(spark, staging_path, schema=changes.schema,
-                         load_date=load_date, load_hour=load_hour)
-    version = delta.commit(staged.drop(LOAD_DATE, LOAD_HOUR))
-    return prefix, version
+    prefixes = [window_prefix(start + dt.timedelta(hours=h)) for h in range(hours)]
+
+    def load(rows: DataFrame, path: str, everything: bool = False) -> None:
+        switch = FolderSwitch(spark, path, depth=2)
+        if max_records_per_file:
+            rows = rows.repartition(LOAD_DATE, LOAD_HOUR)  # few, full files
+        held = switch.names()
+        listed = held if everything else [n for n in held if _prefix_of(n) in prefixes]
+        switch.replace(rows, [LOAD_DATE, LOAD_HOUR], listed, max_records_per_file)
+
+    load(changes, staging_path)
+    staged = read_staged(spark, staging_path, schema=changes.schema) if FolderSwitch(spark, staging_path, 2).names() else changes
+    hour = F.concat(F.col(LOAD_DATE), F.lit("/"), F.col(LOAD_HOUR))
+    load(staged.filter(hour.isin(prefixes)), delta_path, everything=replace)
+    return prefixes
+
+
+def _prefix_of(folder: str) -> str:
+    """``load_date=D/load_hour=H`` -> ``D/H``, the layout's window prefix."""
+    return "/".join(unquote(part.split("=", 1)[1]) for part in folder.split("/"))
+
+
+def read_delta(spark: SparkSession, delta_path: str, schema) -> DataFrame:
+    """All hours of a delta loaded by ``hourly_change_load``; ``schema`` is that of its rows."""
+    tagged = T.StructType([*schema.fields, T.StructField(LOAD_DATE, T.StringType()), T.StructField(LOAD_HOUR, T.StringType())])
+    return read_staged(spark, delta_path, schema=tagged).drop(LOAD_DATE, LOAD_HOUR)
 
 
 # ---------------------------------------------------------- day partitioned
@@ -71,8 +99,7 @@ def _fact_rows(fact: DataFrame | DayTable, days) -> DataFrame:
 def run_sales_periodic_fact(spark: SparkSession, fact: DataFrame | DayTable, path: str,
                             days=None) -> DayTable:
     """H6: signed daily totals, listed days replaced."""
-    # One row per day: month folders, not thousands of one-row day files.
-    table = DayTable(spark, path, "transaction_date", day_kind="date", granularity="month")
+    table = DayTable(spark, path, "transaction_date", day_kind="date")
     totals = models.sales_periodic_fact(_fact_rows(fact, days), days)
     write_incremental(table, totals, days)
     return table
@@ -100,11 +127,10 @@ def run_product_history(spark: SparkSession, products_delta: DataFrame, path: st
 
 
 def run_sales_report(spark: SparkSession, fact: DataFrame | DayTable, product_dim: DataFrame,
-                     path: str, days=None, strategy: str = "interval") -> DayTable:
+                     path: str, days=None) -> DayTable:
     """H7: report rows of the listed days replaced."""
-    # A few rows per (day, attribute) group: month folders.
-    table = DayTable(spark, path, "transaction_date", day_kind="date", granularity="month")
-    report = models.sales_report(_fact_rows(fact, days), product_dim, days, strategy)
+    table = DayTable(spark, path, "transaction_date", day_kind="date")
+    report = models.sales_report(_fact_rows(fact, days), product_dim, days)
     write_incremental(table, report, days)
     return table
 
@@ -119,12 +145,11 @@ def run_merge_delta_to_main(main: VersionedTable, delta: DataFrame, days=None,
 def run_product_dim_scd1(dim: DayTable, products_main: DataFrame, days) -> list:
     """H1: create from the main table, else guarded merge of the day's rows.
 
-    The dimension is partitioned by the day of ``updated_at`` (month folders
-    suit a one-row-per-product table); a merge rewrites only the folders it
-    touches (see ``DayTable.merge_days``).
+    The dimension is partitioned by the day of ``updated_at``; a merge rewrites
+    only the folders it touches (see ``DayTable.merge_days``).
     """
     if not dim.exists():
-        dim.create(models.product_dim_scd1(None, products_main, days), sort_key="id")
+        dim.create(products_main.select(*models.DIMENSION_COLUMNS), sort_key="id")
         return []
     return dim.merge_days(models.product_dim_scd1_source(products_main, days), "id",
                           version_col="updated_at", sort_key="id")

@@ -12,9 +12,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ..functions.periods import day_in, scope_predicate
+from ..functions.periods import before_end_of, day_in, scope_predicate
 from ..operators.asof import asof_join, version_intervals
-from ..operators.latest import keep_latest, keep_latest_per_day
+from ..operators.latest import keep_latest_per_day
 from ..operators.measures import sales_by_attributes, signed_daily_sum
 from ..operators.merge import merge
 
@@ -65,17 +65,18 @@ def sales_periodic_fact(fact: DataFrame, days=None) -> DataFrame:
 
 
 # ------------------------------------------------------------------------ H7
-def sales_report(fact: DataFrame, product_dim: DataFrame, days=None,
-                 strategy: str = "interval") -> DataFrame:
+def sales_report(fact: DataFrame, product_dim: DataFrame, days=None) -> DataFrame:
     """Day x category x brand x department sales (returns not subtracted).
 
     Each sale takes the attributes of the product version valid at its time;
     sales before a product's first version keep NULL attributes.
     """
     sales = _scoped(fact, "created_at", days).select("id", "product_id", "created_at", "sale_price")
+    if days is not None:  # a version after the last day can match no sale of these days
+        product_dim = product_dim.filter(before_end_of("updated_at", days))
     enriched = asof_join(sales, product_dim, fact_key="product_id", version_key="id",
                          fact_time="created_at", version_time="updated_at",
-                         columns=REPORT_ATTRIBUTES, strategy=strategy)
+                         columns=REPORT_ATTRIBUTES)
     return sales_by_attributes(enriched)
 
 
@@ -91,8 +92,7 @@ def merge_delta_to_main(main: DataFrame, delta: DataFrame, days=None, window=Non
     scoped = _scoped(delta, stamp, days)
     if window is not None:
         scoped = scoped.filter(in_window(stamp, *window))
-    changes = keep_latest(scoped, [key], stamp).select(*main.columns)
-    return merge(main, changes, key=key, version_col=stamp)
+    return merge(main, scoped.select(*main.columns), key=key, version_col=stamp, dedup=True)
 
 
 # ------------------------------------------------------------------------ H1
@@ -101,15 +101,6 @@ def product_dim_scd1_source(products_main: DataFrame, days) -> DataFrame:
     return products_main.filter(day_in("updated_at", days)).select(*DIMENSION_COLUMNS)
 
 
-def product_dim_scd1(dim: DataFrame | None, products_main: DataFrame, days) -> DataFrame:
-    """Guarded SCD1: first run copies the main table, later runs merge the
-    day's changed rows (update only when newer)."""
-    if dim is None:
-        return products_main.select(*DIMENSION_COLUMNS)
-    return merge(dim, product_dim_scd1_source(products_main, days), key="id",
-                 version_col="updated_at")
-
-
 # ------------------------------------------------------------------------ H4
 def product_dim_scoped_source(products_main: DataFrame, day=None, incremental: bool = False,
                               as_of=None, first_day="2022-01-01") -> DataFrame:
@@ -117,14 +108,3 @@ def product_dim_scoped_source(products_main: DataFrame, day=None, incremental: b
             .filter(scope_predicate("updated_at", day=day, incremental=incremental,
                                     as_of=as_of, first_day=first_day))
             .select(*DIMENSION_COLUMNS))
-
-
-def product_dim_scd1_scoped(dim: DataFrame | None, products_main: DataFrame, day=None,
-                            as_of=None, first_day="2022-01-01") -> DataFrame:
-    """Unguarded SCD1 with the three-way scope (explicit day / yesterday /
-    everything since the first day)."""
-    source = product_dim_scoped_source(products_main, day=day, incremental=dim is not None,
-                                       as_of=as_of, first_day=first_day)
-    if dim is None:
-        return source
-    return merge(dim, source, key="id")

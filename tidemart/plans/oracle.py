@@ -73,12 +73,11 @@ DIM_DAILY_SQL = latest("SELECT * FROM products_delta", "id, CAST(updated_at AS D
                        PRODUCT_COLUMNS, ["id"], DIM_COLUMNS)
 MAIN_SQL = latest(f"SELECT * FROM products_delta WHERE updated_at < {ts('1996-06-01 00:00:00')}",
                   "id", "updated_at", PRODUCT_COLUMNS, ["id"])
-MERGE_SOURCE_SQL = latest(
-    f"SELECT * FROM products_delta WHERE updated_at >= {ts(P.PRODUCT_CDC_WINDOW[0])} "
-    f"AND updated_at < {ts(P.PRODUCT_CDC_WINDOW[1])}", "id", "updated_at", PRODUCT_COLUMNS, ["id"])
-UNGUARDED_SOURCE_SQL = latest(
-    f"SELECT * FROM products_delta WHERE updated_at >= {ts(P.UNGUARDED_WINDOW[0])} "
-    f"AND updated_at < {ts(P.UNGUARDED_WINDOW[1])}", "id", "updated_at", PRODUCT_COLUMNS, ["id"])
+NTH_SQL = ("SELECT {cols} FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY updated_at) AS nth FROM products_delta) n "
+           "WHERE nth = {nth}")
+IMAGE_SQL = NTH_SQL.format(cols=", ".join(PRODUCT_COLUMNS), nth="id // 4 % 4 + 1 AND id % 10 <> 0")
+CHANGES_SQL = NTH_SQL.format(cols=", ".join(PRODUCT_COLUMNS), nth="id % 4 + 1")
+PAIR = {**PD, "image": IMAGE_SQL, "changes": CHANGES_SQL}
 
 
 def merge_sql(target: str, source: str, columns: Sequence[str], key: str = "id",
@@ -109,6 +108,11 @@ def oracle_sql() -> dict[str, str]:
     oi_pd = {**OI, **PD}
 
     q["snapshot_extract"] = with_(OI, "SELECT * FROM order_items_delta")
+    q["snapshot_extract_products"] = with_(PD, latest("SELECT * FROM products_delta", "id", "updated_at", PRODUCT_COLUMNS, ["id"]))
+    q["stream_ingest"] = with_(PD, "SELECT * FROM products_delta")
+    runs = " OR ".join(f"(created_at >= date_trunc('hour', {ts(t)}) - INTERVAL {h} HOUR AND created_at < date_trunc('hour', {ts(t)}))"
+                       for t, h in P.HOURLY_RUNS)
+    q["hourly_change_load"] = with_(OI, f"SELECT * FROM order_items_delta WHERE {runs}")
     q["cdc_window_products"] = with_(PD, f"""
         SELECT *, strftime(date_trunc('hour', updated_at), '%Y-%m-%d') AS load_date,
                strftime(date_trunc('hour', updated_at), '%H:%M:%S') AS load_hour
@@ -159,12 +163,12 @@ def oracle_sql() -> dict[str, str]:
                v.event_id AS view_event_id, v.ts AS view_ts
         FROM p ASOF LEFT JOIN v ON p.user_id = v.user_id AND p.ts >= v.ts"""
 
-    q["merge_guarded"] = with_({**PD, "main": MAIN_SQL, "src": MERGE_SOURCE_SQL},
-                               merge_sql("SELECT * FROM main", "SELECT * FROM src",
-                                         PRODUCT_COLUMNS, version="updated_at"))
-    q["merge_unguarded"] = with_({**PD, "main": MAIN_SQL, "src": UNGUARDED_SOURCE_SQL},
-                                 merge_sql("SELECT * FROM main", "SELECT * FROM src", PRODUCT_COLUMNS))
-    q["merge_delta_to_main"] = q["merge_guarded"]
+    q["merge_guarded"] = with_(PAIR, merge_sql("SELECT * FROM image", "SELECT * FROM changes", PRODUCT_COLUMNS, version="updated_at"))
+    q["merge_unguarded"] = with_(PAIR, merge_sql("SELECT * FROM image", "SELECT * FROM changes", PRODUCT_COLUMNS))
+    in_window = f"updated_at >= {ts(P.PRODUCT_CDC_WINDOW[0])} AND updated_at < {ts(P.PRODUCT_CDC_WINDOW[1])}"
+    q["merge_delta_to_main"] = with_(
+        {**PAIR, "src": latest(f"SELECT * FROM products_delta WHERE {in_window}", "id", "updated_at", PRODUCT_COLUMNS, ["id"])},
+        merge_sql("SELECT * FROM image", "SELECT * FROM src", PRODUCT_COLUMNS, version="updated_at"))
 
     q["signed_daily_sum"] = with_({**OI, "fact": FACT_SQL}, """
         SELECT CAST(created_at AS DATE) AS transaction_date,
@@ -184,6 +188,8 @@ def oracle_sql() -> dict[str, str]:
         FROM fact f ASOF LEFT JOIN dim d ON f.product_id = d.id AND f.created_at >= d.updated_at
         GROUP BY 1, 2, 3, 4""")
 
+    q["sales_report_daily"] = q["sales_report"]
+
     q["latest_product_per_day"] = with_(PD, latest(
         "SELECT * FROM products_delta", "id, CAST(updated_at AS DATE)", "updated_at",
         PRODUCT_COLUMNS, ["id"]))
@@ -216,22 +222,20 @@ def oracle_sql() -> dict[str, str]:
     q["replace_partitions_empty"] = with_({**OI, "fact": FACT_SQL}, f"""
         SELECT * FROM fact WHERE NOT ({_day_range(*P.EMPTY_DAYS, 'created_at')})""")
 
-    # H1: copy of the main table, then the guarded merge of the rows the
-    # main table changed in the merge window.
-    main1 = merge_sql("SELECT * FROM main", "SELECT * FROM src", PRODUCT_COLUMNS, version="updated_at")
+    # H1: copy of one image, then the guarded merge of the rows a second image changed on the days.
     q["product_dim_scd1"] = with_(
-        {**PD, "main": MAIN_SQL, "src": MERGE_SOURCE_SQL, "main1": main1,
-         "dim0": f"SELECT {dim_cols} FROM main",
-         "changed": f"SELECT {dim_cols} FROM main1 WHERE "
+        {**PAIR, "dim0": f"SELECT {dim_cols} FROM image",
+         "changed": f"SELECT {dim_cols} FROM changes WHERE "
                     + _day_range(P.PRODUCT_CDC_WINDOW[0][:10], P.PRODUCT_CDC_WINDOW[1][:10], "updated_at")},
         merge_sql("SELECT * FROM dim0", "SELECT * FROM changed", DIM_COLUMNS, version="updated_at"))
-    # H4: first build since the first day, then one unguarded daily run.
+    # H4: first build since the first day, then two unguarded runs.
     q["product_dim_scd1_scoped"] = with_(
-        {**PD, "main": MAIN_SQL, "src": MERGE_SOURCE_SQL, "main1": main1,
-         "dim0": f"SELECT {dim_cols} FROM main WHERE CAST(updated_at AS DATE) >= DATE '{P.SCD_FIRST_DAY}'",
-         "changed": f"SELECT {dim_cols} FROM main1 WHERE CAST(updated_at AS DATE) "
-                    f"= DATE '{P.SCD_AS_OF}' - INTERVAL 1 DAY"},
-        merge_sql("SELECT * FROM dim0", "SELECT * FROM changed", DIM_COLUMNS))
+        {**PAIR, "dim0": f"SELECT {dim_cols} FROM image WHERE CAST(updated_at AS DATE) >= DATE '{P.SCD_FIRST_DAY}'",
+         "changed": f"SELECT {dim_cols} FROM changes WHERE "
+                    + _day_range(P.UNGUARDED_WINDOW[0][:10], P.UNGUARDED_WINDOW[1][:10], "updated_at"),
+         "dim1": merge_sql("SELECT * FROM dim0", "SELECT * FROM changed", DIM_COLUMNS),
+         "yesterday": f"SELECT {dim_cols} FROM changes WHERE CAST(updated_at AS DATE) = DATE '{P.SCD_AS_OF}' - INTERVAL 1 DAY"},
+        merge_sql("SELECT * FROM dim1", "SELECT * FROM yesterday", DIM_COLUMNS))
 
     q["check_unique"] = with_(OI, """
         SELECT unique_field, count(*) AS n_records
@@ -246,7 +250,8 @@ def oracle_sql() -> dict[str, str]:
                CAST(ts AS DATE) - 1 AS prev_day,
                ts - INTERVAL 1 DAY AS ts_minus_day,
                CAST(CAST(ts AS DATE) AS TIMESTAMP) AS day_start,
-               date_trunc('day', ts) AS day_trunc,
+               date_trunc('year', ts)::TIMESTAMP AS year_trunc, date_trunc('month', ts)::TIMESTAMP AS month_trunc,
+               date_trunc('day', ts)::TIMESTAMP AS day_trunc, date_trunc('hour', ts)::TIMESTAMP AS hour_trunc,
                CAST(ts AS DATE) IN ({days}) AS in_days,
                strftime(ts, '%Y-%m-%d') AS day_str
         FROM events"""

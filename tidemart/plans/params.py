@@ -16,9 +16,13 @@ UNGUARDED_WINDOW = ("1995-10-01 00:00:00", "1996-09-01 00:00:00")
 SCOPE_DAY = "1995-06-15"                 # F6 explicit day
 SCOPE_AS_OF = "1996-01-02"               # F6 incremental: yesterday = 1996-01-01
 SCOPE_FIRST_DAY = "1997-06-01"           # F6 first build lower bound
-SCD_FIRST_DAY = "1995-01-01"             # H4 first build lower bound
+SCD_FIRST_DAY = "1996-01-01"             # H4 first build lower bound
 SCD_AS_OF = "1996-06-02"                 # H4 incremental run (yesterday = 1996-06-01)
 DATE_LIST = ("2024-01-05", "2024-01-06", "2024-01-20")  # X8 membership list
 HISTORY_END = "2002-01-01"               # after the last product change at any scale
 LIMIT_ROWS = 10
 RETURNED_STATUS = "Returned"
+HOURLY_RUNS = (("1996-03-15 06:20:00", 6), ("1996-03-15 12:00:00", 6), ("1996-03-15 12:00:00", 6),
+               ("1996-03-15 18:59:59", 6), ("1996-03-16 00:10:00", 6), ("1996-03-16 01:30:00", 1))  # H9 (run time, hours)
+REPORT_DAYS = ("1996-03-15", "1996-03-16", "1997-07-01")  # H7 days that are run again
+LATE_BEFORE = "1998-01-01 00:00:00"      # T2: changes before this are delivered second

@@ -72,8 +72,8 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     conf.setdefault("spark.sql.adaptive.coalescePartitions.minPartitionSize", "16k")
     conf.setdefault("spark.driver.memory", "8g")
     conf.update(extra or {})
-    # Local sessions keep managed tables out of the working directory.
-    conf.setdefault("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="tidemart-warehouse-"))
+    if master.startswith("local["):  # local sessions keep managed tables out of the working directory
+        conf.setdefault("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="tidemart-warehouse-"))
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -94,6 +94,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tidemart-ckpt-")
     spark.sparkContext.setCheckpointDir(configured)
     return spark.sparkContext.getCheckpointDir() or configured

@@ -2,15 +2,16 @@
 
 * ``stage_parquet`` (W1/W2): staged extract files, optionally capped per file
   and laid out by window keys.
+* ``FolderSwitch``: replaces partition folders as a whole. New content is
+  written to a fresh folder beside the table; when it is complete, folders are
+  renamed into place one by one. A run that stops before that changes nothing,
+  and one that stops in between is finished by the next write.
 * ``DayTable`` (W7, W9-W12): a table partitioned by a derived ``dt`` day
-  column. Partition replacement rewrites only the listed days: days with new
-  rows go through one dynamic-overwrite job, listed days without rows are
-  emptied by a static overwrite of their folder -- so an empty source makes
-  the day disappear (a dynamic overwrite alone would keep it).
-* ``VersionedTable`` (merge targets): each new image is written to a fresh
-  version folder and then committed by appending one row to a small commit
-  log. Readers follow the log, so a half-written image is never seen and a
-  retried write lands in the same version folder (idempotent).
+  column, written through ``FolderSwitch``: only the listed days change, listed
+  days without rows disappear, and deleting days starts no Spark job.
+* ``VersionedTable`` (merge targets): each new image is written to a folder of
+  its own and then committed by appending one row to a small commit log, so a
+  half-written image is never seen.
 * ``write_incremental`` (W11): create when the table is missing, else replace
   the given days.
 
@@ -22,14 +23,16 @@ tasks instead of landing in one.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from ..functions.periods import as_date
+from ..session import scratch_path
 
 DAY_COLUMN = "dt"
 VERSION_LOG = "_commits"
@@ -48,11 +51,78 @@ def stage_parquet(df: DataFrame, path: str, max_records_per_file: int | None = N
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether Parquet files can be read there; errors other than a missing or empty folder are raised."""
     try:
         spark.read.parquet(path).schema  # noqa: B018 - resolves the listing only
         return True
-    except AnalysisException:
-        return False
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
+
+
+class FolderSwitch:
+    """Replaces whole partition folders of the Parquet table at ``path``."""
+
+    READY = "_ready"
+
+    def __init__(self, spark: SparkSession, path: str, depth: int = 1):
+        self.spark, self.path, self.depth = spark, path.rstrip("/"), depth
+        self._path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        self._fs = self._path(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _children(self, folder: str) -> list[str]:
+        if not self._fs.exists(self._path(folder)):
+            return []
+        return [f.getPath().getName() for f in self._fs.listStatus(self._path(folder)) if f.isDirectory()]
+
+    def names(self, folder: str | None = None) -> list[str]:
+        """Partition folders (relative names) below the table or another folder."""
+        base, found = folder or self.path, [""]
+        for _ in range(self.depth):
+            found = [f"{top}/{n}".lstrip("/") for top in found for n in self._children(f"{base}/{top}".rstrip("/")) if "=" in n]
+        return found
+
+    def replace(self, rows: DataFrame | None, columns: Sequence[str], emptied: Iterable[str],
+                max_records_per_file: int | None = None) -> None:
+        """Folders that ``rows`` fills are replaced; the ``emptied`` ones that it does not fill go."""
+        self.recover()
+        new = f"{self.path}/_new-{uuid.uuid4().hex[:12]}"
+        if rows is not None:
+            rows.write.option("maxRecordsPerFile", str(max_records_per_file or 0)).partitionBy(*columns).parquet(new)
+        emptied = set(emptied) - set(self.names(new))
+        for name in emptied:
+            self._fs.mkdirs(self._path(f"{new}/{name}"))
+        self._fs.create(self._path(f"{new}/{self.READY}")).close()
+        self._finish(new, emptied)
+
+    def recover(self) -> None:
+        """Finishes switches that were complete but not carried out."""
+        for name in self._children(self.path):
+            if name.startswith("_new-") and self._fs.exists(self._path(f"{self.path}/{name}/{self.READY}")):
+                self._finish(f"{self.path}/{name}")
+
+    def _finish(self, new: str, emptied: set[str] | None = None) -> None:
+        """Puts the new folders in place; without ``emptied`` (a stopped switch) the empty ones are looked up."""
+        old = new.replace("/_new-", "/_old-")
+        held, moved = set(self.names()), set(self.names(old))
+        for parent in {"/".join([old, *name.split("/")[:-1]]) for name in held} | {f"{self.path}/{name.rpartition('/')[0]}" for name in self.names(new)}:
+            self._fs.mkdirs(self._path(parent))
+        for name in self.names(new):
+            source, target = self._path(f"{new}/{name}"), self._path(f"{self.path}/{name}")
+            if name in held and name not in moved:
+                self._fs.rename(target, self._path(f"{old}/{name}"))
+            if not (name in emptied if emptied is not None else not self._fs.listStatus(source)):
+                self._fs.rename(source, target)
+        for done in (new, old):
+            self._fs.delete(self._path(done), True)
+
+
+def stored_once(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a fresh shared folder and read back: evaluated once, read by several steps."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def overwrite_table(df: DataFrame, name: str, partition_by: Sequence[str] | None = None) -> None:
@@ -92,15 +162,26 @@ class DayTable:
         self.granularity = granularity
 
     # ------------------------------------------------------------- helpers
-    def _folder_of(self, day: dt.date) -> dt.date:
-        return day.replace(day=1) if self.granularity == "month" else day
+    def _folder_of(self, day: dt.date | None) -> dt.date | None:
+        return day.replace(day=1) if day is not None and self.granularity == "month" else day
 
-    def _folder_col(self):
-        day = F.to_date(F.col(self.day_source))
-        return F.trunc(day, "month") if self.granularity == "month" else day
+    def _day_col(self) -> Column:
+        return F.to_date(F.col(self.day_source))
 
     def _with_day(self, df: DataFrame) -> DataFrame:
-        return df.withColumn(DAY_COLUMN, self._folder_col())
+        day = self._day_col()
+        return df.withColumn(DAY_COLUMN, F.trunc(day, "month") if self.granularity == "month" else day)
+
+    @staticmethod
+    def _in(column: Column, days: Iterable[dt.date | None]) -> Column:
+        """Membership in which NULL is a day like any other."""
+        days = set(days)
+        named = column.isin(sorted(d for d in days if d is not None))
+        return F.coalesce(named, F.lit(False)) | column.isNull() if None in days else F.coalesce(named, F.lit(False))
+
+    @staticmethod
+    def _name(folder: dt.date | None) -> str:
+        return f"{DAY_COLUMN}={folder.isoformat() if folder is not None else '__HIVE_DEFAULT_PARTITION__'}"
 
     def _balanced(self, df: DataFrame, sort_key: str | None) -> DataFrame:
         """Shuffle by folder with AQE rebalancing, then cluster each file.
@@ -120,12 +201,13 @@ class DayTable:
                 T.StructField(DAY_COLUMN, T.DateType())]))
         return reader.parquet(self.path)
 
-    def _held(self, folders: Sequence[dt.date]) -> set:
-        """Which of these folders hold rows now (one partition-pruned job)."""
-        if not folders:
-            return set()
-        return {r[0] for r in self._raw().filter(F.col(DAY_COLUMN).isin(list(folders)))
-                .select(DAY_COLUMN).distinct().collect()}
+    def _folders_in(self, df: DataFrame) -> set:
+        """Folder values of staged rows (a bounded list of dates, perhaps NULL)."""
+        return {r[0] for r in df.select(DAY_COLUMN).distinct().collect()}
+
+    def _switch(self, content: DataFrame | None, touched: Iterable[dt.date | None], sort_key: str | None = None) -> None:
+        rows = None if content is None else self._balanced(content, sort_key)
+        FolderSwitch(self.spark, self.path).replace(rows, [DAY_COLUMN], [self._name(f) for f in touched])
 
     # ------------------------------------------------------------- reading
     def exists(self) -> bool:
@@ -149,86 +231,27 @@ class DayTable:
         out = self._balanced(self._with_day(df), sort_key)
         out.write.mode("overwrite").partitionBy(DAY_COLUMN).parquet(self.path)
 
-    def replace_days(self, df: DataFrame, days=None, sort_key: str | None = None,
-                     checkpoint_source: bool = False) -> None:
+    def replace_days(self, df: DataFrame, days=None, sort_key: str | None = None) -> None:
         """Rows of the listed days are replaced by the query's rows.
 
         Listed days the query has no rows for are emptied. Query rows of
-        days not listed are appended (MERGE ON FALSE inserts all of them).
-        ``days=None`` replaces exactly the days the query has rows for.
+        days not listed are added (MERGE ON FALSE inserts all of them).
+        ``days=None`` replaces exactly the days the query has rows for; rows
+        without a day count as one more day there. The query runs once.
         """
         if self.schema is None:
             self.schema = df.schema
         if not self.exists():
             self.create(df, sort_key)
             return
-        if days is None and self.granularity == "month":
-            # The days the query has rows for (a bounded list of dates).
-            days = [r[0] for r in df.select(F.to_date(F.col(self.day_source)).alias("d"))
-                    .distinct().collect() if r[0] is not None]
-        if checkpoint_source:
-            df = df.checkpoint(eager=True)
-        if self.granularity == "month":
-            self._replace_in_months(df, days, sort_key)
-            return
-        staged = self._with_day(df)
+        staged = stored_once(self._with_day(df), "staged-days")
         if days is None:
-            # Every day the query has rows for is replaced; nothing is emptied.
-            (self._balanced(staged.filter(F.col(DAY_COLUMN).isNotNull()), sort_key)
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy(DAY_COLUMN).parquet(self.path))
-            return
-        listed = sorted({as_date(d) for d in _as_list(days)})
-        in_list = F.col(DAY_COLUMN).isin(listed)
-        # One small aggregate answers both questions: which listed days get
-        # rows (at most len(listed) keys) and whether any row falls outside
-        # the list (the NULL key). Partial aggregation keeps it map-side.
-        summary = staged.groupBy(F.when(in_list, F.col(DAY_COLUMN)).alias("d")).count().collect()
-        present = {r["d"] for r in summary if r["d"] is not None}
-        has_outside = any(r["d"] is None for r in summary)
-        if present:
-            (self._balanced(staged.filter(in_list), sort_key).write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic")
-             .partitionBy(DAY_COLUMN).parquet(self.path))
-        missing = [d for d in listed if d not in present]
-        held = self._held(missing)
-        self._empty_folders([d for d in missing if d in held], df.schema)
-        if has_outside:
-            outside = staged.filter(~in_list | F.col(DAY_COLUMN).isNull())
-            (self._balanced(outside, sort_key).write.mode("append")
-             .partitionBy(DAY_COLUMN).parquet(self.path))
-
-    def _replace_in_months(self, df: DataFrame, days, sort_key: str | None) -> None:
-        """Month folders: rewrite the months the listed days fall in.
-
-        New month content = the month's current rows of unlisted days plus
-        the query's rows of that month. It is checkpointed to the shared
-        checkpoint folder first, which cuts the plan's read of the very
-        folders being overwritten; then one dynamic overwrite replaces them.
-        """
-        from ..session import checkpoint_root
-
-        listed = sorted({as_date(d) for d in _as_list(days)})
-        months = sorted({self._folder_of(d) for d in listed})
-        day = F.to_date(F.col(self.day_source))
-        staged = self._with_day(df)
-        in_months = F.col(DAY_COLUMN).isin(months)
-        kept = self._raw().filter(in_months & ~day.isin(listed))
-        checkpoint_root(self.spark)
-        # Query rows outside the months stay in the checkpoint too, so one
-        # summary tells which months get rows and whether any row is outside.
-        content = kept.unionByName(staged).checkpoint(eager=True)
-        summary = content.groupBy(F.when(in_months, F.col(DAY_COLUMN)).alias("m")).count().collect()
-        present = {r["m"] for r in summary if r["m"] is not None}
-        if present:
-            (self._balanced(content.filter(in_months), sort_key).write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic")
-             .partitionBy(DAY_COLUMN).parquet(self.path))
-        self._empty_folders([m for m in months if m not in present], df.schema)
-        if any(r["m"] is None for r in summary):
-            outside = content.filter(~in_months | F.col(DAY_COLUMN).isNull())
-            (self._balanced(outside, sort_key).write.mode("append")
-             .partitionBy(DAY_COLUMN).parquet(self.path))
+            listed = {r[0] for r in staged.select(self._day_col()).distinct().collect()}
+        else:
+            listed = {as_date(d) for d in _as_list(days)}
+        touched = {self._folder_of(d) for d in listed} | self._folders_in(staged)
+        kept = self._raw().filter(self._in(F.col(DAY_COLUMN), touched) & ~self._in(self._day_col(), listed))
+        self._switch(kept.unionByName(staged), touched, sort_key)
 
     def merge_days(self, source: DataFrame, key: str, version_col: str | None = None,
                    update_columns: Sequence[str] | None = None, sort_key: str | None = None,
@@ -237,76 +260,39 @@ class DayTable:
 
         A matched row can move to another day when its stamp changes, so the
         touched folders are the old folders of matched keys (a semi-join that
-        reads only the key and folder columns) plus the source's folders --
-        one job. The merged rows of those folders are checkpointed (the plan
-        reads the very folders it replaces) and written with one dynamic
-        overwrite; touched folders left without rows are emptied. Returns the
-        touched folders.
-
-        The steps are separate jobs. If a run stops between them, a moved
-        row's old copy may survive in its old folder; a rerun then reads both
-        copies, keeps the newest per key (by the day column) and converges to
-        the same table.
+        reads only the key and folder columns) plus the source's folders. The
+        source is written once and read by both steps; the merged rows of the
+        touched folders are then switched in. Returns the touched folders.
         """
-        from ..operators.latest import keep_latest
         from ..operators.merge import merge
-        from ..session import checkpoint_root
 
         if not self.exists():
             self.create(source, sort_key)
             return []
+        source = stored_once(source, "merge-source")
         keys = source.select(key).filter(F.col(key).isNotNull())
         old = self._raw().select(key, DAY_COLUMN).join(keys, key, "left_semi").select(DAY_COLUMN)
-        new = source.select(self._folder_col().alias(DAY_COLUMN))
-        touched = [r[0] for r in old.union(new).distinct().collect()]
-        folders = sorted(f for f in touched if f is not None)
-        in_touched = F.col(DAY_COLUMN).isin(folders)
-        if None in touched:
-            in_touched = in_touched | F.col(DAY_COLUMN).isNull()
-        current = self._raw().filter(in_touched).drop(DAY_COLUMN)
-        current = keep_latest(current, [key], self.day_source)
+        touched = self._folders_in(old.union(self._with_day(source).select(DAY_COLUMN)))
+        current = self._raw().filter(self._in(F.col(DAY_COLUMN), touched)).drop(DAY_COLUMN)
         merged = merge(current, source, key=key, version_col=version_col,
                        update_columns=update_columns, check_unique=check_unique)
-        checkpoint_root(self.spark)
-        staged = self._with_day(merged).checkpoint(eager=True)
-        present = {r[0] for r in staged.select(DAY_COLUMN).distinct().collect()}
-        if present:
-            (self._balanced(staged, sort_key).write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic")
-             .partitionBy(DAY_COLUMN).parquet(self.path))
-        self._empty_folders([f for f in folders if f not in present], merged.schema)
-        return touched
+        self._switch(self._with_day(merged), touched, sort_key)
+        return sorted(touched, key=lambda d: (d is not None, d or dt.date.min))
 
     def reload_day(self, df: DataFrame, day, sort_key: str | None = None) -> None:
-        """Delete-then-insert of one day, as one partition overwrite."""
+        """Delete-then-insert of one day, as one folder switch."""
         self.replace_days(df, [day], sort_key)
 
     def delete_days(self, days) -> None:
         """Remove the rows of the listed days."""
-        schema = self.read().schema
+        listed = {as_date(d) for d in _as_list(days)}
         if self.granularity == "month":
-            self.replace_days(self.spark.createDataFrame([], schema), days)
-            return
-        listed = sorted({as_date(d) for d in _as_list(days)})
-        held = self._held(listed)
-        self._empty_folders([d for d in listed if d in held], schema)
-
-    def _empty_folder(self, folder: dt.date, schema: T.StructType) -> None:
-        """Static overwrite of one folder with no rows."""
-        empty = self.spark.createDataFrame([], schema)
-        empty.write.mode("overwrite").parquet(f"{self.path}/{DAY_COLUMN}={folder.isoformat()}")
-
-    def _empty_folders(self, folders: Sequence[dt.date], schema: T.StructType) -> None:
-        """Empty several folders; the small jobs are submitted concurrently."""
-        from concurrent.futures import ThreadPoolExecutor
-
-        folders = list(folders)
-        if len(folders) <= 1:
-            for folder in folders:
-                self._empty_folder(folder, schema)
+            self.replace_days(self.spark.createDataFrame([], self.read().schema), listed)
             return
-        with ThreadPoolExecutor(max_workers=min(8, len(folders))) as pool:
-            list(pool.map(lambda f: self._empty_folder(f, schema), folders))
+        if self.schema is None:
+            self.schema = self.read().schema
+        held = set(FolderSwitch(self.spark, self.path).names())
+        self._switch(None, [d for d in listed if self._name(d) in held])
 
 
 def write_incremental(table: DayTable, df: DataFrame, days=None, sort_key: str | None = None) -> str:
@@ -329,37 +315,44 @@ class VersionedTable:
     def log_path(self) -> str:
         return f"{self.path}/{VERSION_LOG}"
 
-    def version_path(self, version: int) -> str:
-        return f"{self.path}/version={version}"
-
-    def current_version(self) -> int | None:
+    def _current(self) -> tuple[int, str] | None:
         if not path_exists(self.spark, self.log_path):
             return None
-        row = self.spark.read.parquet(self.log_path).agg(F.max("version")).first()
-        return None if row is None or row[0] is None else int(row[0])
+        row = (self.spark.read.parquet(self.log_path).groupBy("version").agg(F.min(F.struct("committed_at", "folder")).alias("first"))
+               .agg(F.max(F.struct("version", F.col("first.folder").alias("folder"))).alias("last")).first())
+        return None if row is None or row["last"] is None else (int(row["last"]["version"]), row["last"]["folder"])
+
+    def current_version(self) -> int | None:
+        current = self._current()
+        return None if current is None else current[0]
 
     def exists(self) -> bool:
-        return self.current_version() is not None
+        return self._current() is not None
 
     def read(self) -> DataFrame:
-        version = self.current_version()
-        if version is None:
+        current = self._current()
+        if current is None:
             raise FileNotFoundError(f"no committed version under {self.path}")
-        return self.spark.read.parquet(self.version_path(version))
+        return self.spark.read.parquet(f"{self.path}/{current[1]}")
 
     def commit(self, df: DataFrame, version: int | None = None) -> int:
         """Write ``df`` as a new image and commit it; returns its version.
 
-        ``df`` may read the current image: it is written to a new folder, so
-        Spark never overwrites what it reads.
+        ``df`` may read the current image: every image has a folder of its
+        own. Of two writers that commit the same version, the later one fails
+        and its image is never read.
         """
         if version is None:
             current = self.current_version()
             version = 0 if current is None else current + 1
-        df.write.mode("overwrite").parquet(self.version_path(version))
-        log = self.spark.createDataFrame([(version,)], "version bigint")
+        folder = f"version={version}-{uuid.uuid4().hex[:12]}"
+        df.write.parquet(f"{self.path}/{folder}")
+        log = self.spark.createDataFrame([(version, folder)], "version bigint, folder string")
         log.withColumn("committed_at", F.current_timestamp()) \
             .coalesce(1).write.mode("append").parquet(self.log_path)
+        mine = self.spark.read.parquet(self.log_path).filter(F.col("version") == version)
+        if mine.agg(F.min(F.struct("committed_at", "folder"))).first()[0]["folder"] != folder:
+            raise RuntimeError(f"another writer committed version {version} of {self.path}")
         return version
 
 
@@ -369,10 +362,6 @@ def _as_list(days) -> list:
     return list(days)
 
 
-def day_list(values: Iterable) -> list[dt.date]:
-    return sorted({as_date(v) for v in values})
-
-
 def write_incremental_table(spark: SparkSession, name: str, df: DataFrame, day_source: str,
                             days=None) -> str:
     """W11 on a catalog table: ``tableExists`` decides create or replace.
@@ -411,12 +400,15 @@ def _insert_dynamic(spark: SparkSession, df: DataFrame, name: str) -> None:
     """``insertInto(overwrite=True)`` replacing only the partitions written.
 
     ``insertInto`` follows the session's overwrite mode (not the writer
-    option), so the mode is switched for this one statement and restored.
+    option), so the statement runs in a session of its own with that mode.
     """
-    key = "spark.sql.sources.partitionOverwriteMode"
-    previous = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
+    view = f"insert_{uuid.uuid4().hex[:12]}"
+    df.createGlobalTempView(view)
     try:
-        df.write.insertInto(name, overwrite=True)
+        own = spark.newSession()
+        for key in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions"):
+            own.conf.set(key, spark.conf.get(key))
+        own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        own.table(f"global_temp.{view}").write.insertInto(name, overwrite=True)
     finally:
-        spark.conf.set(key, previous)
+        spark.catalog.dropGlobalTempView(view)

@@ -9,7 +9,7 @@ DataFrame expressions. All of it is narrow column work except one equi join
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.latest import keep_latest
@@ -26,7 +26,6 @@ CHANGES_PER_PRODUCT = 4
 BRAND_COUNT = 25
 FIRST_CHANGE_DAY = "1995-01-01 00:00:00"
 MAIN_CUTOFF = "1996-06-01 00:00:00"
-MERGE_WINDOW = ("1996-06-01 00:00:00", "1998-01-01 00:00:00")
 
 ORDER_ITEM_COLUMNS = [
     "id", "order_id", "user_id", "product_id", "inventory_item_id", "status",
@@ -121,12 +120,26 @@ def products_main(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keep_latest(delta, ["id"], "updated_at")
 
 
-def merge_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Latest change per id inside the merge window (inserts and updates)."""
-    start, end = MERGE_WINDOW
-    delta = products_delta(spark, sf_dir).filter(
-        (F.col("updated_at") >= ntz(start)) & (F.col("updated_at") < ntz(end)))
-    return keep_latest(delta, ["id"], "updated_at")
+def products_current(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ``products`` table itself: the newest version of every product."""
+    return keep_latest(products_delta(spark, sf_dir), ["id"], "updated_at")
+
+
+def _nth_version(spark: SparkSession, sf_dir: str, nth: Column) -> DataFrame:
+    """Of every product the version with that number in time (1 to 4)."""
+    by_time = Window.partitionBy("id").orderBy("updated_at")
+    ranked = products_delta(spark, sf_dir).withColumn("nth", F.row_number().over(by_time))
+    return ranked.filter(F.col("nth") == nth).drop("nth")
+
+
+def products_image(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One version of nine products in ten, taken from the whole feed: merge targets."""
+    return _nth_version(spark, sf_dir, F.floor(F.col("id") / 4) % 4 + 1).filter(F.col("id") % 10 != 0)
+
+
+def products_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One version of every product: against ``products_image`` older, the same, newer, or a new key."""
+    return _nth_version(spark, sf_dir, F.col("id") % 4 + 1)
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.periods import trunc_to
+
 _INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FLOATS = (T.FloatType, T.DoubleType)
 
@@ -45,7 +47,8 @@ def policy_column(field: T.StructField, decimal_as_double: bool = False,
     target = target_type(field.dataType, decimal_as_double)
     c = F.col(field.name)
     if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)) and truncate_seconds:
-        c = F.date_trunc("SECOND", c)
+        # a zoned stamp is truncated as an instant; one without a zone from its own fields
+        c = trunc_to("second", c) if isinstance(field.dataType, T.TimestampNTZType) else F.date_trunc("SECOND", c)
     if target != field.dataType or truncate_seconds and isinstance(
             field.dataType, (T.TimestampType, T.TimestampNTZType)):
         c = c.cast(target)
@@ -57,8 +60,3 @@ def apply_type_policy(df: DataFrame, decimal_as_double: bool = False,
     """Cast every column to the warehouse type; names and order unchanged."""
     return df.select(*[policy_column(f, decimal_as_double, truncate_seconds)
                        for f in df.schema.fields])
-
-
-def policy_schema(schema: T.StructType, decimal_as_double: bool = False) -> T.StructType:
-    return T.StructType([T.StructField(f.name, target_type(f.dataType, decimal_as_double), True)
-                         for f in schema.fields])

@@ -25,8 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from pyspark.sql import functions as F
 
-from ..operators.latest import keep_latest
-from ..operators.merge import merge
+from ..operators.merge import latest_per_key, merge
 from ..sinks.tables import DayTable, VersionedTable, path_exists
 
 
@@ -57,7 +56,7 @@ def upsert_batch(batch: DataFrame, batch_id: int, target: VersionedTable, key: s
     current = target.current_version()
     if current is not None and current >= version:
         return None  # already committed by an earlier attempt
-    changes = keep_latest(batch, [key], version_col)
+    changes = latest_per_key(batch, key, version_col)
     if current is None:
         image = changes
     else:
@@ -90,12 +89,12 @@ def upsert_batch_days(batch: DataFrame, batch_id: int, target: DayTable, key: st
     if path_exists(spark, log) and \
             spark.read.parquet(log).filter(F.col("batch_id") == batch_id).limit(1).count():
         return False  # applied by an earlier attempt
-    changes = keep_latest(batch, [key], version_col)
+    changes = latest_per_key(batch, key, version_col)
     if not target.exists():
         target.create(changes, sort_key=key)
     else:
         target.merge_days(changes, key, version_col=version_col, sort_key=key,
-                          check_unique=False)  # already one row per key
+                          check_unique=False)  # one row per key already; written once there
     spark.createDataFrame([(batch_id,)], "batch_id bigint").coalesce(1) \
         .write.mode("append").parquet(log)
     return True
