@@ -79,9 +79,8 @@ def fingerprint_with_next(docs: DataFrame, scale: int = SCALE) -> DataFrame:
     ids = ordered_ids(own, "doc_id")
     quarter = own.groupBy("doc_id").agg(F.floor(F.max("n_chars") / 4).alias("quarter"))
     known = ids.join(quarter, ids["doc_id"].eqNullSafe(quarter["doc_id"])).select(ids["doc_id"].alias("prev_id"), "idx", "quarter")
-    count = ids.agg(F.max("idx").alias("last"))
-    links = (known.crossJoin(F.broadcast(count))  # one row: the number of documents
-             .select("prev_id", "quarter", F.when(F.col("idx") == F.col("last"), F.lit(0)).otherwise(F.col("idx") + 1).alias("idx"))
+    last = ids.agg(F.max("idx")).first()[0]  # one number: after the last document comes the first
+    links = (known.select("prev_id", "quarter", F.when(F.col("idx") == F.lit(last), F.lit(0)).otherwise(F.col("idx") + 1).alias("idx"))
              .join(ids, "idx").select("prev_id", "quarter", F.col("doc_id").alias("next_id")))
 
     sketched = texts.withColumn("sketch", sketch(F.col("text"), scale))
