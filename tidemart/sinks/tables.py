@@ -24,7 +24,8 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -118,11 +119,17 @@ class FolderSwitch:
             self._fs.delete(self._path(done), True)
 
 
-def stored_once(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to a fresh shared folder and read back: evaluated once, read by several steps."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+@contextmanager
+def stored_once(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``df`` written to a fresh shared folder: evaluated once, read by several steps, removed after them."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def overwrite_table(df: DataFrame, name: str, partition_by: Sequence[str] | None = None) -> None:
@@ -244,14 +251,14 @@ class DayTable:
         if not self.exists():
             self.create(df, sort_key)
             return
-        staged = stored_once(self._with_day(df), "staged-days")
-        if days is None:
-            listed = {r[0] for r in staged.select(self._day_col()).distinct().collect()}
-        else:
-            listed = {as_date(d) for d in _as_list(days)}
-        touched = {self._folder_of(d) for d in listed} | self._folders_in(staged)
-        kept = self._raw().filter(self._in(F.col(DAY_COLUMN), touched) & ~self._in(self._day_col(), listed))
-        self._switch(kept.unionByName(staged), touched, sort_key)
+        with stored_once(self._with_day(df), "staged-days") as staged:
+            if days is None:
+                listed = {r[0] for r in staged.select(self._day_col()).distinct().collect()}
+            else:
+                listed = {as_date(d) for d in _as_list(days)}
+            touched = {self._folder_of(d) for d in listed} | self._folders_in(staged)
+            kept = self._raw().filter(self._in(F.col(DAY_COLUMN), touched) & ~self._in(self._day_col(), listed))
+            self._switch(kept.unionByName(staged), touched, sort_key)
 
     def merge_days(self, source: DataFrame, key: str, version_col: str | None = None,
                    update_columns: Sequence[str] | None = None, sort_key: str | None = None,
@@ -269,14 +276,14 @@ class DayTable:
         if not self.exists():
             self.create(source, sort_key)
             return []
-        source = stored_once(source, "merge-source")
-        keys = source.select(key).filter(F.col(key).isNotNull())
-        old = self._raw().select(key, DAY_COLUMN).join(keys, key, "left_semi").select(DAY_COLUMN)
-        touched = self._folders_in(old.union(self._with_day(source).select(DAY_COLUMN)))
-        current = self._raw().filter(self._in(F.col(DAY_COLUMN), touched)).drop(DAY_COLUMN)
-        merged = merge(current, source, key=key, version_col=version_col,
-                       update_columns=update_columns, check_unique=check_unique)
-        self._switch(self._with_day(merged), touched, sort_key)
+        with stored_once(source, "merge-source") as rows:
+            keys = rows.select(key).filter(F.col(key).isNotNull())
+            old = self._raw().select(key, DAY_COLUMN).join(keys, key, "left_semi").select(DAY_COLUMN)
+            touched = self._folders_in(old.union(self._with_day(rows).select(DAY_COLUMN)))
+            current = self._raw().filter(self._in(F.col(DAY_COLUMN), touched)).drop(DAY_COLUMN)
+            merged = merge(current, rows, key=key, version_col=version_col,
+                           update_columns=update_columns, check_unique=check_unique)
+            self._switch(self._with_day(merged), touched, sort_key)
         return sorted(touched, key=lambda d: (d is not None, d or dt.date.min))
 
     def reload_day(self, df: DataFrame, day, sort_key: str | None = None) -> None:
