@@ -82,16 +82,21 @@ def _parsed(messages: DataFrame) -> DataFrame:
 
 
 def _roots(replies: DataFrame) -> DataFrame:
-    """(id, root, depth) of every message that replies to another; each round doubles the reach."""
-    reach = saved(replies.select("id", F.col("parent").alias("root"), F.lit(1).alias("depth")))
-    while True:
-        up = reach.select(F.col("id").alias("root"), F.col("root").alias("_root"), F.col("depth").alias("_depth"))
-        joined = saved(reach.join(up, "root", "left").select(
-            "id", F.coalesce("_root", "root").alias("root"), (F.col("depth") + F.coalesce("_depth", F.lit(0))).alias("depth"),
-            F.col("_root").isNotNull().alias("moved")))
-        reach = joined.drop("moved")
-        if not joined.filter("moved").limit(1).count():
-            return reach
+    """(id, root, depth) of every message that replies to another.
+
+    Each round doubles the reach of the messages that are not at their root
+    yet; the others are done and not joined again.
+    """
+    answering = replies.select(F.col("id").alias("root"), F.lit(True).alias("more"))
+    reach = saved(replies.select("id", F.col("parent").alias("root"), F.lit(1).alias("depth"))
+                  .join(answering, "root", "left").select("id", "root", "depth", F.coalesce("more", F.lit(False)).alias("more")))
+    done, going = reach.filter("NOT more"), reach.filter("more")
+    while going.limit(1).count():
+        up = done.unionByName(going).select(F.col("id").alias("root"), F.col("root").alias("_root"), F.col("depth").alias("_depth"), F.col("more").alias("_more"))
+        reach = saved(going.join(up, "root").select(
+            "id", F.col("_root").alias("root"), (F.col("depth") + F.col("_depth")).alias("depth"), F.col("_more").alias("more")))
+        done, going = done.unionByName(reach.filter("NOT more")), reach.filter("more")
+    return done.drop("more")
 
 
 def _turns(rows: DataFrame) -> DataFrame:
