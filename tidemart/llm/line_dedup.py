@@ -43,8 +43,9 @@ def recurring_lines(docs: DataFrame, text: str = "text", min_docs: int = MIN_DOC
              .filter(F.trim("line") != "").withColumn("leaf", _leaf(F.col("line"))))
     leaves = (lines.select("leaf", "doc").distinct().groupBy("leaf").agg(F.count("*").alias("n"))
               .filter(F.col("n") >= min_docs).select("leaf"))
-    placed = written(lines.join(leaves, "leaf", "left_semi").withColumn("id", F.xxhash64("line"))
-                     .groupBy("leaf", "id", "doc").agg(F.first("line").alias("line")), "recurring-leaves")
+    # written before it is grouped: the join alone can be split where a leaf is hot
+    found = written(lines.join(leaves, "leaf", "left_semi").withColumn("id", F.xxhash64("line")), "recurring-leaves")
+    placed = found.groupBy("leaf", "id", "doc").agg(F.first("line").alias("line"))
 
     distinct = placed.groupBy("leaf", "id").agg(F.first("line").alias("line"), F.count("*").alias("n"))
     tokens = distinct.select("leaf", "id", "n", F.posexplode(F.split("line", " ")).alias("pos", "token"))
