@@ -11,6 +11,7 @@ the planes.
 
 from __future__ import annotations
 
+import functools
 import os
 
 import numpy as np
@@ -24,6 +25,8 @@ from .common import part_offsets
 from .pretokens import PieceCache
 
 BLOCK_IDS = 1 << 16
+#: Pieces whose ids a worker process keeps; beyond them it starts anew. Speed alone depends on it.
+CACHED_PIECES = 700_000
 SCHEMA = ("part int, block int, n_ids int, layout string, planes array<binary>, doc_seq array<long>, doc_id array<long>, "
           "doc_start array<long>, doc_tokens array<long>, begin array<int>, length array<int>, piece array<int>")
 
@@ -51,6 +54,17 @@ def from_planes(planes: list[bytes], n_ids: int, layout: str = "byte") -> np.nda
     return np.ascontiguousarray(np.packbits(bits, axis=1, bitorder="little")).view("<u4").ravel()
 
 
+@functools.cache
+def _cache(tokenizer: str) -> PieceCache:
+    """The tokenizer and the pieces that this worker process has met, kept from task to task."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    model = Tokenizer.from_file(tokenizer)
+    model.encode_special_tokens = True
+    return PieceCache(lambda pieces: [e.ids for e in model.encode_batch_fast(pieces, add_special_tokens=False)], limit=CACHED_PIECES)
+
+
 class _Writer:
     """Collects ids and gives block rows; holds one block and the documents that lie in it."""
 
@@ -91,13 +105,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, la
     schema = docs.sparkSession.createDataFrame([], SCHEMA).schema
 
     def encode(batches):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from pyspark.sql.pandas.types import to_arrow_schema
-        from tokenizers import Tokenizer
 
-        model = Tokenizer.from_file(tokenizer)
-        model.encode_special_tokens = True
-        cache = PieceCache(lambda pieces: [e.ids for e in model.encode_batch_fast(pieces, add_special_tokens=False)])
+        cache = _cache(tokenizer)
         out = _Writer(TaskContext.get().partitionId(), block_ids, layout)
         arrow = to_arrow_schema(schema)
         last = np.array([end_id], np.uint32)
