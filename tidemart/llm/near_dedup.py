@@ -31,14 +31,14 @@ from .components import components
 from .kernels import chunks, combine, mix, shingle_sets, text_column
 
 WIDTH = 5
-BANDS, ROWS = 30, 5
-REGISTERS = BANDS * ROWS
+#: Registers of a sketch; the first BANDS * ROWS of them make the buckets, all serve the estimate.
+REGISTERS, BANDS, ROWS = 256, 30, 5
 #: Base of the registers' spacing, rate of the exponentials, largest register.
 BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 2
 #: Standard errors below the threshold at which an estimate still leads to verification.
-MARGIN = 5.0
+MARGIN = 4.0
 #: Classes of a bucket that meet in one block.
-BLOCK = 512
+BLOCK = 1024
 #: Candidates that a class sends to verification in the successive rounds; None: all.
 WIDENING = (8, None)
 
@@ -59,7 +59,7 @@ def registers(sets: list[np.ndarray]) -> np.ndarray:
 
 def band_hashes(values: np.ndarray) -> np.ndarray:
     """One 64-bit hash for each band of registers (sets x BANDS)."""
-    wide = values.astype(np.uint64).reshape(len(values), BANDS, ROWS)
+    wide = values[:, :BANDS * ROWS].astype(np.uint64).reshape(len(values), BANDS, ROWS)
     out = np.arange(BANDS, dtype=np.uint64)[None, :] + np.uint64(1)
     for r in range(ROWS):
         out = mix(out) + wide[:, :, r]
@@ -188,7 +188,7 @@ def _open_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame, thres
             i, j = np.nonzero(ok)
             if not len(i):
                 continue
-            first = same[i, j].reshape(len(i), BANDS, ROWS).all(2).argmax(1) == band  # in the first band they share, once
+            first = same[i, j, :BANDS * ROWS].reshape(len(i), BANDS, ROWS).all(2).argmax(1) == band  # in the first band they share, once
             i, j = i[first], j[first]
             if not len(i):
                 continue
