@@ -23,12 +23,12 @@ from pyspark.sql import functions as F
 from . import pretokens
 
 #: Of the literal rank map: slots, displacement classes, multipliers (products stay below 2**63), bits of a rank.
-SLOT_BITS, CLASS_BITS, RANK_BITS = 19, 16, 17
+SLOT_BITS, CLASS_BITS, RANK_BITS = 18, 15, 17
 SLOT_MUL, CLASS_MUL = 1_540_483_477, 1_103_515_245
 #: Rank of a pair that does not merge; the id that stands at both ends of a word while it is folded.
 NEVER, EDGE = (1 << 31) - 1, (1 << 16) - 1
-#: Text of one chunk of documents, in characters.
-CHUNK_CHARS = 32 << 20
+#: Characters of one chunk of documents, whose distinct words are folded together, and of one numpy pass.
+CHUNK_CHARS, SPLIT_CHARS = 16 << 20, 1 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -166,14 +166,29 @@ def encode(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "t
         table = _words(vocabulary)
         for batch in batches:
             ids, texts = batch.column(0), [t or "" for t in batch.column(1).to_pylist()]
-            for a, b in _chunks(texts):
-                joined, starts, ends, first = pretokens.split(texts[a:b])
-                hashes, at, codes = np.unique(pretokens.piece_hashes(joined, starts, ends), return_index=True, return_inverse=True)
-                flat, offsets = table.first_pieces(joined, starts[at], ends[at], hashes)
+            for a, b in _chunks(texts, CHUNK_CHARS):
+                hashes, flat, sizes, codes, counts, held = [], [], [], [], [], 0
+                for lo, hi in _chunks(texts[a:b], SPLIT_CHARS):  # numpy holds this much text at a time
+                    joined, starts, ends, first = pretokens.split(texts[a + lo:a + hi])
+                    own, at, which = np.unique(pretokens.piece_hashes(joined, starts, ends), return_index=True, return_inverse=True)
+                    ids_of, edges = table.first_pieces(joined, starts[at], ends[at], own)
+                    hashes.append(own)
+                    flat.append(ids_of)
+                    sizes.append(np.diff(edges))
+                    codes.append((which + held).astype(np.int32))
+                    counts.append(np.diff(first))
+                    held += len(own)
+                _, at, which = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
+                size = np.concatenate(sizes)
+                begin, edges = np.cumsum(size) - size, np.zeros(len(at) + 1, np.int64)
+                np.cumsum(size[at], out=edges[1:])
+                values = np.concatenate(flat)[pretokens.ragged(begin[at], size[at])]
+                first = np.concatenate([[0], np.cumsum(np.concatenate(counts))])
                 yield pa.RecordBatch.from_arrays(
                     [pa.ListArray.from_arrays(pa.array([0, b - a], pa.int32()), ids.slice(a, b - a)),
-                     pa.array([first.astype(np.int32).tobytes()], pa.binary()), pa.array([codes.astype(np.int32).tobytes()], pa.binary()),
-                     pa.ListArray.from_arrays(pa.array([0, len(at)], pa.int32()), _lists(flat, offsets))],
+                     pa.array([first.astype(np.int32).tobytes()], pa.binary()),
+                     pa.array([which.astype(np.int32)[np.concatenate(codes)].tobytes()], pa.binary()),
+                     pa.ListArray.from_arrays(pa.array([0, len(at)], pa.int32()), _lists(values, edges))],
                     ["keys", "first", "codes", "words"])
 
     kind = docs.schema[key].dataType.simpleString()
@@ -201,7 +216,7 @@ def encode(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "t
     return folded.mapInArrow(assemble, f"{key} {kind}, ids array<int>")
 
 
-def _chunks(texts: list[str], limit: int = CHUNK_CHARS):
+def _chunks(texts: list[str], limit: int):
     first, held = 0, 0
     for i, t in enumerate(texts):
         if i > first and held + len(t) > limit:
