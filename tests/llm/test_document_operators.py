@@ -94,6 +94,45 @@ def test_best_overlap_by_hand():
     assert decontaminate.best_overlap(doc, item, 4) is None and decontaminate.best_overlap(doc, item, 100) is None
 
 
+def _seed_hit(equal):
+    n = len(equal)
+    for positions, place, _ in decontaminate.item_seeds(n):
+        starts = range(n - positions[-1]) if n >= decontaminate.LONG else [place]
+        if any(all(equal[i + p] for p in positions) for i in starts):
+            return True
+    return False
+
+
+def test_seeds_hit_whatever_verification_accepts():
+    pick = np.random.default_rng(5)
+    cases = [(np.arange(2 ** n)[:, None] >> np.arange(n)) & 1 == 1 for n in range(1, 13)]
+    cases += [pick.random((1500, n)) < share for n in range(13, 40) for share in (0.8, 0.9)]
+    cases += [np.array([[(i + k) % step != 0 for i in range(n)] for k in range(step)]) for n in range(13, 90) for step in range(5, 10)]
+    accepted = 0
+    for equal in (row for case in cases for row in case):
+        item = np.arange(len(equal), dtype=np.uint64)
+        if decontaminate.best_overlap(np.where(equal, item, np.uint64(999)), item, 0):
+            accepted += 1
+            assert _seed_hit(equal), equal
+    assert accepted > 10_000
+
+
+def test_every_sixth_word_replaced_and_short_items(spark):
+    lengths = [1, 3, 4, 5, 8, 10, 12, 15, 20, 30, 60]
+    items = [words(900 + n, n) for n in lengths]
+    items[:3] = [["zzyx"], ["zq", "zw", "zr"], ["zt", "zy", "zu", "zi"]]
+    noise = words(3, 20)
+    changed = [[w if n < 5 or k % 6 != 2 else "changed" for k, w in enumerate(item)] for n, item in zip(lengths, items, strict=True)]
+    broken = [["changed", *item[1:]] for item in items[:3]]
+    rows = [(i, " ".join([*noise, *w, *noise])) for i, w in enumerate([*changed, *broken])]
+    rows.append((99, " ".join([*noise, *["zzyx"] * 5])))
+    found = decontaminate.overlaps(docs_of(spark, rows), _items(spark, [" ".join(x) for x in items])).collect()
+    # of 8 words k=2 alone is replaced; of 15, k=2, 8 and 14
+    assert {(r.doc_id, r.item_id) for r in found} == {(i, i) for i in range(len(lengths))} | {(99, 0)}
+    got = {(r.doc_id, r.item_id): (r.n_matched, r.n_words, r.doc_pos, r.item_pos) for r in found}
+    assert got[0, 0] == (1, 1, 20, 0) and got[99, 0] == (1, 1, 20, 0) and got[4, 4] == (7, 8, 20, 0)
+
+
 def test_decontamination_edges(spark, edges, nothing):
     bench = _items(spark, ["one two three four five six", None])
     assert decontaminate.overlaps(edges, bench).count() == 0

@@ -6,6 +6,13 @@ ignored positions. Hashes of every benchmark window are joined with those of
 every document window; each hit names a diagonal (document position minus
 item position), and the overlap around it is verified word by word.
 
+An overlap that is accepted has a positive score from either end, so the last
+ten words of a longer one differ in at most one word, the fifth to ninth from
+its end (or the last nine are equal): SEEDS has a mask for each case. An item
+too short for MIN_WORDS / MIN_SHARE words may differ in a few words anywhere;
+it is cut into five blocks, and masks leave out as many blocks as words may
+differ. So every accepted overlap has a seed hit.
+
 A bitmap of fixed size over the benchmark's hashes is sent to all tasks, so
 that only document windows that may hit become rows; its size does not depend
 on either table, and the join after it is exact.
@@ -13,6 +20,8 @@ on either table, and the join after it is exact.
 
 from __future__ import annotations
 
+from itertools import combinations
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -21,28 +30,56 @@ from pyspark.sql import functions as F
 from .common import written
 from .kernels import chunks, combine, text_column, word_hashes
 
-#: Fixed masks over SPAN words (1: the word counts, 0: it is ignored).
-SEEDS = ("111010010111", "110111101001", "101101110011")
-SPAN = 12
+#: Fixed masks for items of at least LONG words (1: the word counts, 0: it is ignored).
+SEEDS = ("111111111", "1111011111", "1110111111", "1101111111", "1011111111")
 BITMAP_BITS = 26
 #: A verified overlap has at least this many equal words (or 0.8 of a shorter item) and 0.8 equal words.
 MIN_WORDS = 13
 MIN_SHARE = 0.8
-#: Items with fewer words are no evidence of a leak.
+#: Items with fewer words must be equal as a whole.
 SHORTEST = 5
+#: Items of at least so many words must share MIN_WORDS.
+LONG = 16
+BLOCKS = 5
+
+
+def words_needed(length: int) -> int:
+    """Equal words that an overlap with an item of so many words needs."""
+    return min(MIN_WORDS, int(np.ceil(MIN_SHARE * length)))
+
+
+def item_seeds(length: int) -> list[tuple[tuple[int, ...], int, bool]]:
+    """(set positions from the first one, the first one's place, whole) of each seed of an item of so many words.
+
+    The seeds of items of LONG words slide over the item (place 0 is then any
+    window); those of shorter items stand at their place. `whole` marks an
+    item that must be equal word by word.
+    """
+    if length >= LONG:
+        return [(tuple(i for i, c in enumerate(s) if c == "1"), 0, False) for s in SEEDS]
+    if length < SHORTEST:
+        return [(tuple(range(length)), 0, True)]
+    blocks = np.array_split(np.arange(length), BLOCKS)
+    out = []
+    for kept in combinations(blocks, BLOCKS - (length - words_needed(length))):
+        at = np.concatenate(kept).tolist()
+        out.append((tuple(i - at[0] for i in at), at[0], False))
+    return out
 
 
-def seed_positions() -> list[list[int]]:
-    """The masks' set positions, then whole windows of 5 to 11 words for items shorter than the span."""
-    return ([[i for i, c in enumerate(s) if c == "1"] for s in SEEDS]
-            + [list(range(n)) for n in range(SHORTEST, SPAN)])
+def seed_numbers() -> dict[tuple[tuple[int, ...], bool], int]:
+    """A number for each different seed; equal masks of several lengths are one seed."""
+    every = {(positions, whole): None for n in range(LONG, 0, -1) for positions, _, whole in item_seeds(n)}
+    return {seed: i for i, seed in enumerate(every)}
 
 
 def best_overlap(doc: np.ndarray, item: np.ndarray, diagonal: int) -> tuple[int, int, int] | None:
     """(equal words, first, last) of the best stretch along a diagonal, in item positions.
 
     A stretch scores +1 for an equal word and -4 for another, so a positive
-    one has more than 0.8 equal words. None if the overlap is too short.
+    one has more than 0.8 equal words. None if the overlap is too short. An
+    item of fewer than LONG words may also have its 0.8 equal words anywhere:
+    the stretch is then from its first to its last equal word.
     """
     a, b = max(0, -diagonal), min(len(item), len(doc) - diagonal)
     if b <= a:
@@ -53,13 +90,18 @@ def best_overlap(doc: np.ndarray, item: np.ndarray, diagonal: int) -> tuple[int,
     last = int(gain.argmax())
     first = int(running[:last + 1].argmin()) if last else 0
     matched = int(equal[first:last].sum())
-    need = min(MIN_WORDS, int(np.ceil(MIN_SHARE * len(item))))
-    return (matched, a + first, a + last) if matched >= need else None
+    need = words_needed(len(item))
+    if matched >= need:
+        return matched, a + first, a + last
+    if len(item) < LONG and equal.sum() >= need:
+        at = np.flatnonzero(equal)
+        return len(at), a + int(at[0]), a + int(at[-1]) + 1
+    return None
 
 
 def item_windows(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
-    """(hash, item_id, item_pos, words) of every seed window of every item with at least five words."""
-    seeds = seed_positions()
+    """(hash, item_id, item_pos, words) of every seed window of every item with words; an item's first row has its words."""
+    numbers = seed_numbers()
 
     def run(batches):
         for batch in batches:
@@ -68,16 +110,19 @@ def item_windows(benchmark: DataFrame, item_id: str = "item_id", text: str = "te
             words, first = word_hashes(data, offsets, strip=True)
             for i, key in enumerate(ids):
                 own = words[first[i]:first[i + 1]]
-                if len(own) < SHORTEST:
+                if not len(own):
                     continue
-                used = range(len(SEEDS)) if len(own) >= SPAN else [len(SEEDS) + len(own) - SHORTEST]
-                found = [combine(own, seeds[s]) + np.uint64(s) for s in used]
-                hashes = np.concatenate([h[:len(own) - (SPAN if s < len(SEEDS) else len(own)) + 1] for s, h in zip(used, found, strict=True)])
-                at = np.concatenate([np.arange(len(own) - (SPAN if s < len(SEEDS) else len(own)) + 1) for s in used])
+                hashes, at = [], []
+                for positions, place, whole in item_seeds(len(own)):
+                    found = combine(own, positions) + np.uint64(numbers[positions, whole])
+                    places = np.arange(len(found)) if len(own) >= LONG else np.array([place])
+                    hashes.append(found[places])
+                    at.append(places)
+                hashes, at = np.concatenate(hashes), np.concatenate(at)
                 n = len(hashes)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(hashes.view(np.int64)), pa.array([key] * n, pa.int64()), pa.array(at.astype(np.int32)),
-                     pa.array([own.tobytes()] * n, pa.binary())], ["hash", "item_id", "item_pos", "words"])
+                     pa.array([own.tobytes()] + [None] * (n - 1), pa.binary())], ["hash", "item_id", "item_pos", "words"])
 
     return benchmark.select(F.col(item_id).cast("long"), text).mapInArrow(run, "hash long, item_id long, item_pos int, words binary")
 
@@ -117,10 +162,10 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     windows = written(item_windows(benchmark), "benchmark-windows")
     shared = spark.sparkContext.broadcast(_bitmap(windows))
-    short = sorted(r["n"] for r in windows.select((F.octet_length("words") / 8).cast("int").alias("n"))
-                   .filter(F.col("n") < SPAN).distinct().collect())  # at most SPAN values
-    seeds = seed_positions()
-    used = [*range(len(SEEDS)), *(len(SEEDS) + n - SHORTEST for n in short)]
+    items = windows.filter("words IS NOT NULL").select(F.col("item_id").alias("_item"), "words").distinct()
+    lengths = [r["n"] for r in items.select(F.least(F.octet_length("words") / 8, F.lit(LONG)).cast("int").alias("n")).distinct().collect()]  # at most LONG values
+    numbers = seed_numbers()
+    used = sorted({(numbers[positions, whole], positions, whole) for n in lengths for positions, _, whole in item_seeds(n)})
 
     def hit(batches):
         table = shared.value
@@ -130,13 +175,15 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             for a, b in chunks(offsets):
                 words, first = word_hashes(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], strip=True)
                 row_end = np.repeat(first[1:], np.diff(first))
-                for s in used:
-                    hashes = combine(words, seeds[s]) + np.uint64(s)
+                for s, positions, whole in used:
+                    hashes = combine(words, positions) + np.uint64(s)
                     at = np.arange(len(hashes))
                     top = hashes >> np.uint64(64 - BITMAP_BITS)
                     live = (table[top >> np.uint64(3)] >> (7 - (top & np.uint64(7)).astype(np.uint8))) & 1
-                    width = SPAN if s < len(SEEDS) else len(seeds[s])
-                    at = at[live.astype(bool) & (at + width <= row_end[:len(at)])]
+                    at = at[live.astype(bool) & (at + positions[-1] + 1 <= row_end[:len(at)])]
+                    if whole and len(at):  # all hits of a whole item are alike: a document's first one stands for them
+                        found = np.stack([np.searchsorted(first, at, "right").astype(np.uint64), hashes[at]])
+                        at = at[np.sort(np.unique(found, axis=1, return_index=True)[1])]
                     if len(at):
                         row = np.searchsorted(first, at, "right") - 1
                         yield pa.RecordBatch.from_arrays(
@@ -147,7 +194,6 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     hits = texts.mapInArrow(hit, "hash long, doc_id long, pos long")
     found = (hits.join(windows.select("hash", "item_id", "item_pos"), "hash")
              .select("doc_id", "item_id", (F.col("pos") - F.col("item_pos")).alias("diagonal")).distinct())
-    items = windows.select(F.col("item_id").alias("_item"), "words").distinct()
     todo = (found.join(items, F.col("item_id").eqNullSafe(F.col("_item")))
             .groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_set(F.struct("item_id", "diagonal", "words")).alias("todo")))
     pairs = texts.join(todo, F.col("doc_id").eqNullSafe(F.col("_doc"))).select("doc_id", "text", "todo")
