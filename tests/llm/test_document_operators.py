@@ -251,6 +251,38 @@ def test_sketches_merge_and_estimate_containment(spark):
     assert got["in"] == 1.0 and list(got["m"]) == list(got["a"])
 
 
+def test_only_a_text_without_words_has_an_empty_sketch(spark):
+    texts = [" ".join(words(700 + i, 1 + i % 40)) for i in range(120)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(500, None), (501, texts[9])]
+    got = {r.doc_id: r for r in fingerprints.fingerprint_with_next(docs_of(spark, rows)).select(
+        "*", fingerprints.likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+        fingerprints.likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited")).collect()}
+    exact = lambda t: set(zip(*(t.split()[k:] for k in range(5)))) if len(t.split()) >= 5 else {tuple(t.split())}
+    assert all((len(got[i].sketch) == 0) == (i == 500) for i in got)
+    assert len({tuple(got[i].sketch) for i in range(120)}) == len(set(texts))
+    for i in range(120):
+        a, b = exact(texts[i]), exact(got[i].edited)
+        assert got[i].near_next == 0
+        if max(len(a), len(b)) < fingerprints.LEAST:
+            assert got[i].near_edited == len(a & b) / len(a | b)
+    assert got[500].near_next == 0
+
+
+def test_sketches_of_unequal_sizes_compare_and_merge(spark):
+    long = words(2, 900)
+    parts = {"a": long[:12], "b": long[:60], "c": long, "d": long[8:30], "e": long[:30]}
+    row = spark.createDataFrame([tuple(" ".join(x) for x in parts.values())], "a string, b string, c string, d string, e string")
+    row = row.select(*(fingerprints.sketch(F.col(c)).alias(f"s_{c}") for c in parts))
+    s = {c: F.col(f"s_{c}") for c in parts}
+    got = row.select(
+        fingerprints.likeness(s["a"], s["b"]).alias("ab"), fingerprints.likeness(s["b"], s["c"]).alias("bc"),
+        fingerprints.merge_sketches(s["a"], s["d"]).alias("ad"), "s_e", "s_c",
+        fingerprints.merge_sketches(s["b"], s["c"]).alias("bc_all"),
+        fingerprints.containment(s["b"], s["c"]).alias("in")).first()
+    assert abs(got.ab - 8 / 56) < 0.2 and abs(got.bc - 56 / 896) < 0.1
+    assert list(got.ad) == list(got.s_e) and list(got.bc_all) == list(got.s_c) and got["in"] == 1.0
+
+
 def test_fingerprint_edges(spark, edges, nothing):
     rows = fingerprints.fingerprint_with_next(edges).collect()
     assert len(rows) == len(EDGES)

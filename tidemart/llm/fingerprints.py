@@ -1,8 +1,11 @@
 """Document fingerprints by a threshold-scaled sketch (operator 8), in DataFrame functions alone.
 
 A sketch keeps every 5-word shingle hash below a fixed fraction of the hash
-range. Sketches of parts merge by union, and as the fraction is the same for
-all documents, the containment of a short document in a very long one can be
+range, and at least the LEAST smallest ones: a text with fewer shingles keeps
+them all, so only a text without words has an empty sketch. How far a sketch
+is complete shows in the sketch itself, and two are compared as far as both
+are. Sketches of parts merge, and as the fraction is the same for all
+documents, the containment of a short document in a very long one can be
 estimated from their sketches.
 """
 
@@ -14,7 +17,11 @@ from pyspark.sql import functions as F
 from .common import ordered_ids
 
 #: The kept share of all shingle hashes is 1 / SCALE.
-SCALE = 4  # at least 2: kept hashes are below 2**31
+SCALE = 4
+#: A sketch has at least so many hashes, or all.
+LEAST = 32
+#: Hashes have so many bits: they fit an int.
+BITS = 31
 WIDTH = 5
 _WORD = r"[\x20\x09-\x0D]+"
 
@@ -32,29 +39,55 @@ def sketch(text: Column, scale: int = SCALE, width: int = WIDTH) -> Column:
 
     def shingles(h: Column) -> Column:
         at = F.sequence(F.lit(1), F.greatest(F.size(h) - (width - 1), F.lit(1)))
-        return F.transform(at, lambda i: F.shiftrightunsigned(F.xxhash64(F.slice(h, i, F.lit(width))), 32))
+        return F.transform(at, lambda i: F.shiftrightunsigned(F.xxhash64(F.slice(h, i, F.lit(width))), 64 - BITS).cast("int"))
 
     # the lambda binds the word hashes once: they are not computed again for each position
-    kept = F.filter(F.flatten(F.transform(F.array(hashes), shingles)), lambda h: h < (1 << 32) // scale).cast("array<int>")
+    kept = F.flatten(F.transform(F.transform(F.array(hashes), shingles), lambda every: _smallest(every, scale)))
     return F.when(F.trim(F.translate(F.coalesce(text, F.lit("")), "\t\n\x0b\x0c\r", "     ")) == "",
-                  F.array().cast("array<int>")).otherwise(F.array_sort(F.array_distinct(kept)))
+                  F.array().cast("array<int>")).otherwise(kept)
 
 
-def merge_sketches(a: Column, b: Column) -> Column:
+def _smallest(every: Column, scale: int) -> Column:
+    """The sorted distinct hashes below the fraction, or the LEAST smallest where fewer are."""
+    low = F.array_sort(F.array_distinct(F.filter(every, lambda h: h < (1 << BITS) // scale)))
+    # the lambda binds the low hashes once
+    return F.flatten(F.transform(F.array(low), lambda low: F.when(F.size(low) >= LEAST, low).otherwise(
+        F.slice(F.array_sort(F.array_distinct(every)), 1, LEAST))))
+
+
+def _reach(a: Column, scale: int) -> Column:
+    """The hash up to which a sketch has all of its text's: fewer than LEAST are all there are."""
+    return F.when(F.size(a) < LEAST, F.lit((1 << BITS) - 1)).otherwise(F.greatest(F.lit((1 << BITS) // scale - 1), F.element_at(a, -1)))
+
+
+def _common(a: Column, b: Column, scale: int) -> tuple[Column, Column]:
+    """Both sketches as far as both are complete."""
+    reach = F.array(F.least(_reach(a, scale), _reach(b, scale)))  # bound by a lambda: not computed again for each hash
+
+    def cut(x: Column) -> Column:
+        return F.flatten(F.transform(reach, lambda r: F.filter(x, lambda h: h <= r)))
+
+    return cut(a), cut(b)
+
+
+def merge_sketches(a: Column, b: Column, scale: int = SCALE) -> Column:
     """The sketch of two texts' shingles together."""
-    return F.array_sort(F.array_union(a, b))
+    return _smallest(F.array_union(*_common(a, b, scale)), scale)
 
 
-def likeness(a: Column, b: Column) -> Column:
-    """Estimated Jaccard similarity; two empty sketches are alike (1), an empty and another are not (0)."""
+def likeness(a: Column, b: Column, scale: int = SCALE) -> Column:
+    """Estimated Jaccard similarity, exact for sketches of fewer than LEAST hashes; two empty sketches
+    are alike (1), an empty and another are not (0)."""
+    a, b = _common(a, b, scale)
     both = F.size(F.array_intersect(a, b))
     either = F.size(a) + F.size(b) - both
     return F.when(either == 0, F.lit(1.0)).otherwise(both / either)
 
 
-def containment(a: Column, b: Column) -> Column:
-    """Estimated share of a's shingles that b has; 1 for an empty `a`."""
-    return F.when(F.size(a) == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / F.size(a))
+def containment(a: Column, b: Column, scale: int = SCALE) -> Column:
+    """Estimated share of a's shingles that b has; 1 for an empty `a`, null where none of a's hashes can be compared."""
+    own, other = _common(a, b, scale)
+    return F.when(F.size(a) == 0, F.lit(1.0)).when(F.size(own) > 0, F.size(F.array_intersect(own, other)) / F.size(own))
 
 
 def as_text(hashes: Column) -> Column:
