@@ -18,10 +18,12 @@ VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 4, fitted on the labelled documents. A text without a letter goes; so does one whose
-    best language is less likely than the others together."""
+    best language is less likely than the others together, and one far less likely, n-gram by
+    n-gram, than that language's labelled texts: gibberish, or a language that was not learned."""
     model = language_id.fit(docs)
     judged = language_id.predict(docs, model, name="_lang", score="_score")
-    return judged.filter((F.col("_lang") != language_id.UNKNOWN) & (F.col("_score") >= 0.5)).drop("_lang", "_score")
+    named = judged.filter((F.col("_lang") != language_id.UNKNOWN) & (F.col("_score") >= 0.5))
+    return language_id.drop_untypical(named, model, "_lang").select(*docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -237,3 +237,19 @@ def test_pipeline_decisions(spark, tmp_path):
     assert set(got) == set(range(30))
     assert all(got[i].text == " ".join(words(i, 60)) and got[i].n_tokens == len(got[i].ids) for i in got)
     assert collections.Counter(n for n, _ in corpus_pipeline.STAGES).most_common(1)[0][1] == 1
+
+
+def test_gibberish_and_unlearned_languages_go(spark, tmp_path):
+    import corpus_pipeline
+
+    shifted = str.maketrans("abcdefghijklmnop", "qrstuvwxyzéèüäöß")
+    vocabulary = words(5000, 300)
+    text = lambda k, n: " ".join(random.Random(k).choices(vocabulary, k=n))
+    good = [(i, text(i, 5 + i), "aa") for i in range(80)] + [(100 + i, text(i, 5 + i).translate(shifted), "bb") for i in range(80)]
+    good += [(300 + i, text(900 + i, 30), None) for i in range(10)]
+    noise = random.Random(1)
+    bad = [(500, "qzx 8817 ### kjw vvv 0x3f zzkq pwx 99 qqj", None), (501, "Все люди рождаются свободными и равными в своем достоинстве", None),
+           (502, "所有人类生而自由在尊严和权利上一律平等他们赋有理性和良心", None), (503, "所有人类生而自由在尊严和权利上一律平等他们赋有理性和良心", "aa"),
+           (504, " ".join("".join(noise.choices("abcdefghijklmnopqrstuvwxyz0123456789#", k=6)) for _ in range(60)), None)]
+    kept = {r.doc_id for r in corpus_pipeline.language(spark, docs_of(spark, good + bad), str(tmp_path)).collect()}
+    assert kept == {i for i, _, _ in good}

@@ -10,17 +10,24 @@ Its size is fixed by the two parameters: `buckets` and, checked when fitting,
 from __future__ import annotations
 
 import functools
+import re
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 BUCKETS = 1 << 15
 MAX_LANGUAGES = 256
 UNKNOWN = "und"
+#: A text is untypical of a language that is more than so many spreads below its labelled texts' median.
+FAR = 4.5
+#: Least spread of the mean log-likelihood among a language's texts.
+LEAST_SPREAD = 0.3
 _PAD = "   "
+_NO_WORD = re.compile(r"\S*[0-9@]\S*\s*")
 
 
 @functools.cache
@@ -64,6 +71,24 @@ class LanguageModel:
     languages: list[str]
     log_probs: np.ndarray  # languages x buckets
     log_priors: np.ndarray
+    sums: np.ndarray | None = None  # per language, of its smoothed counts
+
+    def likelihood(self, text: str, language: str, labelled: bool) -> tuple[float, float, int] | None:
+        """Mean and variance of the log-likelihood per n-gram under a language, and the number of
+        n-grams. Words with a digit or an @ (numbers, keys, addresses) are of no language and left
+        out; None for a text without another letter. The counts of a text that taught the language
+        (`labelled`) are taken out: it does not vouch for itself."""
+        codes, _, _, has = ngram_codes([_NO_WORD.sub("", text)], self.log_probs.shape[1])
+        if not has[0] or language not in self.languages:
+            return None
+        k = self.languages.index(language)
+        seen, own = np.unique(np.concatenate(codes), return_counts=True)
+        values = self.log_probs[k][seen]
+        if labelled:  # n-grams across a word that is left out may be new
+            left = np.maximum(np.exp(values) * self.sums[k] - own, np.exp(self.log_probs[k].min()) * self.sums[k])
+            values = np.log(left) - np.log(self.sums[k] - own.sum())
+        mean = float((values * own).sum() / own.sum())
+        return mean, float(((values - mean) ** 2 * own).sum() / own.sum()), int(own.sum())
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         """The likeliest language of each text and its posterior probability.
@@ -138,7 +163,7 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "lang", buckets: i
         table[[index[x] for x in got["lang"].to_pylist()], got["bucket"].to_numpy()] = got["n"].to_numpy()
     grams, priors = table[:, :buckets] + smoothing, table[:, buckets]
     log_probs = np.log(grams / grams.sum(axis=1, keepdims=True)) if names else grams
-    return LanguageModel(names, log_probs, np.log(priors / max(priors.sum(), 1)))
+    return LanguageModel(names, log_probs, np.log(priors / max(priors.sum(), 1)), grams.sum(axis=1))
 
 
 def predict(docs: DataFrame, model: LanguageModel, text: str = "text", name: str = "lang_pred", score: str = "score") -> DataFrame:
@@ -164,3 +189,50 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text", name: str
                                              [*keep, name, score])
 
     return docs.select(*keep).mapInArrow(run, schema)
+
+
+def _with_likelihood(docs: DataFrame, model: LanguageModel, text: str, label: str, language: str) -> DataFrame:
+    """All columns, plus `_fit` (mean, variance and number) under the column `language`; null without words."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    names = docs.columns
+    fit_type = StructType().add("mean", "double").add("variance", "double").add("n", "long")
+    schema = docs.select("*").schema.add("_fit", fit_type)
+
+    def run(batches):
+        for batch in batches:
+            columns = [batch.column(names.index(c)).to_pylist() for c in (text, label, language)]
+            found = [shared.value.likelihood(t, x, own == x) if t is not None and x is not None else None
+                     for t, own, x in zip(*columns, strict=True)]
+            fits = pa.array([None if f is None else dict(zip(("mean", "variance", "n"), f, strict=True)) for f in found],
+                            pa.struct([("mean", pa.float64()), ("variance", pa.float64()), ("n", pa.int64())]))
+            yield pa.RecordBatch.from_arrays([*batch.columns, fits], [*names, "_fit"])
+
+    return docs.mapInArrow(run, schema)
+
+
+def drop_untypical(judged: DataFrame, model: LanguageModel, language: str, text: str = "text", label: str = "lang") -> DataFrame:
+    """Rows whose text is typical of the language that `predict` gave in column `language`; others and `und` go.
+
+    Posteriors compare languages with each other and say nothing of a text in
+    none of them. Here a text's mean log-likelihood per n-gram is held against
+    that of the texts labelled with the language, each without its own
+    counts: their median, their lower spread (from the 5 % quantile) and the
+    variance of so short a text's mean. `model` must be fitted on the rows of
+    `judged` with a label. A language without labelled n-grams keeps nothing.
+    """
+    labelled = (_with_likelihood(judged.select(F.col(text).alias("text"), F.col(label).alias("own")).dropna(), model, "text", "own", "own")
+                .filter("_fit IS NOT NULL"))
+    known = labelled.groupBy("own").agg(F.percentile_approx("_fit.mean", [0.05, 0.5], 10_000).alias("q"), F.avg("_fit.variance").alias("v")).collect()
+    known = {r["own"]: (r["q"][1], max(LEAST_SPREAD, (r["q"][1] - r["q"][0]) / 1.645), r["v"]) for r in known}  # at most max_languages rows
+
+    if not known:
+        return judged.limit(0)
+
+    def of(k: int) -> Column:
+        pairs = F.create_map(*(F.lit(x) for name, numbers in known.items() for x in (name, float(numbers[k]))))
+        return F.try_element_at(pairs, F.col(language))
+
+    # neighbouring n-grams overlap: four of them count as one
+    spread = F.sqrt(F.pow(of(1), 2) + of(2) * 4 / F.col("_fit.n"))
+    fits = _with_likelihood(judged, model, text, label, language)
+    return fits.filter(F.col("_fit.mean") >= of(0) - FAR * spread).select(*judged.columns)
