@@ -3,13 +3,11 @@ import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [os.path.dirname(HERE), HERE]
 
 from tidemart.session import build_session  # noqa: E402
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_MID = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -17,10 +15,3 @@ def spark():
     session.conf.set("spark.sql.maxMetadataStringLength", "100000")  # full PushedFilters in plans
     yield session
     session.stop()
-
-
-def rows(df, *cols):
-    """Sorted list of tuples (NULLs first) for order-insensitive asserts."""
-    cols = cols or df.columns
-    out = [tuple(r[c] for c in cols) for r in df.select(*cols).collect()]
-    return sorted(out, key=lambda t: tuple((x is not None, x if x is not None else 0) for x in t))

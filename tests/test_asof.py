@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import rows
+from core_data import rows
 
 from tidemart.operators.asof import asof_join, version_intervals
 

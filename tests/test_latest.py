@@ -1,6 +1,6 @@
 import datetime as dt
 
-from conftest import rows
+from core_data import rows
 
 from tidemart.operators.latest import keep_latest, keep_latest_per_day
 

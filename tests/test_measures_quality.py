@@ -1,7 +1,7 @@
 import datetime as dt
 from decimal import Decimal
 
-from conftest import rows
+from core_data import rows
 
 from tidemart.operators.measures import sales_by_attributes, signed_daily_sum
 from tidemart.operators.quality import check_not_null, check_unique, passes

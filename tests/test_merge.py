@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import SF_MID, rows
+from core_data import SF_MID, rows
 
 from tidemart.operators.merge import merge
 from tidemart.sources import fixtures as fx

@@ -1,6 +1,6 @@
 """Daily runs of the models end to end, as the scheduler would run them."""
 
-from conftest import SF_SMALL, rows
+from core_data import SF_SMALL, rows
 from pyspark.sql import functions as F
 
 from tidemart.plans import jobs, models

@@ -3,7 +3,7 @@ import glob
 import os
 
 import pytest
-from conftest import rows
+from core_data import rows
 
 from tidemart.session import local_path, scratch_path
 from tidemart.sources.extract import read_staged

@@ -1,7 +1,7 @@
 import datetime as dt
 import os
 
-from conftest import SF_MID, rows
+from core_data import SF_MID, rows
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 

@@ -3,7 +3,7 @@
 import datetime as dt
 from decimal import Decimal
 
-from conftest import SF_SMALL, rows
+from core_data import SF_SMALL, rows
 from pyspark.sql import functions as F
 
 from tidemart.functions import periods as pr

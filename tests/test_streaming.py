@@ -1,6 +1,6 @@
 import datetime as dt
 
-from conftest import SF_SMALL, rows
+from core_data import SF_SMALL, rows
 from pyspark.sql import functions as F
 
 from tidemart.operators.latest import keep_latest
