@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, decontaminate, fingerprints, language_id, line_dedup, near_dedup, quote_links, sharding, suffix_dedup, token_binary
+from . import (bpe, decontaminate, fingerprints, language_id, line_dedup, near_dedup, quote_links, ranked_search, sharding,
+               suffix_dedup, token_binary, turn_repair, vector_dedup)
 from .common import table
 
 
@@ -136,6 +137,49 @@ FROM turns t JOIN chain c USING (conv_id, turn) LEFT JOIN replies r USING (conv_
 """
 
 
+def op11_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of equally labelled vectors linked by a cosine of at least 0.93."""
+    return vector_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """The conversations with faults chosen by a hash of conversation and turn; nulls read as one space.
+
+    Of twenty: 0 drops the row, 1 empties its text, 2 removes its sentence
+    ends, 3 repeats it, 4 makes it a user's.
+    """
+    def read(column: str):
+        return F.coalesce(F.col(column).cast("string"), F.lit(" "))
+
+    case = F.crc32(F.concat(read("conv_id"), F.lit(":"), read("turn")).cast("binary")) % 20
+    rows = conversations.select("conv_id", "turn", read("role").alias("role"), read("text").alias("text"), case.alias("case")).filter("case <> 0")
+    return rows.select(
+        "conv_id", "turn", F.when(F.col("case") == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("case") == 1, "").when(F.col("case") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text")).alias("text"),
+        F.explode(F.when(F.col("case") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy")).drop("copy")
+
+
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, damaged and repaired: its faults, the cheapest edits and the result's digest."""
+    source = table(spark, sf_dir, "conversations")
+    fixed = turn_repair.repair(damaged(source))
+    pieces = fixed.edits.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("chunk", "edits"))).alias("p"))
+    audits = pieces.select("conv_id", F.array_join(F.transform("p", lambda x: x["edits"]), "").alias("audit"))
+    out = source.select("conv_id").distinct()
+    for part in (fixed.report, audits, turn_repair.conversation_digests(fixed.turns)):
+        named = part.withColumnRenamed("conv_id", "other")
+        out = out.join(named, F.col("conv_id").eqNullSafe(F.col("other")), "left").drop("other")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return out.select("conv_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts],
+                      F.coalesce("audit", F.lit("")).alias("audit"),
+                      F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of every benchmark item."""
+    return ranked_search.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_line_dedup": op1_line_dedup,
@@ -148,8 +192,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_fingerprints": op8_fingerprints,
         "op9_bpe": op9_bpe,
         "op10_quote_links": op10_quote_links,
+        "op11_vector_dedup": op11_vector_dedup,
+        "op12_turn_repair": op12_turn_repair,
+        "op13_ranked_search": op13_ranked_search,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": line_dedup.SQL, "op10_quote_links": OP10_SQL}
+    return {"op1_line_dedup": line_dedup.SQL, "op10_quote_links": OP10_SQL, "op13_ranked_search": ranked_search.SQL}
