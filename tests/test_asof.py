@@ -121,3 +121,18 @@ def test_versions_of_earlier_months(spark):
     out = asof_join(facts, versions, fact_key="product_id", version_key="id", fact_time="created_at",
                     version_time="updated_at", columns=["attr"], version_time_as="vt")
     assert rows(out, "sale", "attr") == [(1, None), (2, "A"), (3, "A"), (4, "B"), (5, "B"), (6, "C"), (7, "D")]
+
+
+def test_each_source_is_scanned_once(spark):
+    """The rows and the buckets of the facts come from one exchange: lineitem, orders and part are scanned once each."""
+    from core_data import SF_SMALL
+
+    from tidemart.plans import catalog
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for query in (catalog.asof_join_month, catalog.sales_report):
+            plan = query(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("FileScan") == 3 and "ReusedExchange" in plan
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")

@@ -4,8 +4,8 @@ from core_data import SF_SMALL, rows
 from pyspark.sql import functions as F
 
 from tidemart.plans import jobs, models
+from tidemart.plans.daily import warehouse_tables
 from tidemart.session import scratch_path
-from tidemart.sinks.tables import DayTable
 from tidemart.sources import fixtures as fx
 
 
@@ -20,17 +20,15 @@ def test_daily_runs_match_models_and_are_idempotent(spark):
     items = fx.order_items_source(spark, SF_SMALL)
     delta = fx.products_delta(spark, SF_SMALL)
     days = _busy_days(items, 2)
-    root = scratch_path(spark, "daily")
-    jobs.run_product_dimension_daily(spark, delta, f"{root}/dim", None)  # bootstrap
+    spark.sql("CREATE DATABASE IF NOT EXISTS tm_daily")
+    t = warehouse_tables(spark, scratch_path(spark, "daily"), "tm_daily")
+    fact_t, dim_t, periodic_t, report_t = t["fact"], t["daily"], t["periodic"], t["report"]
+    jobs.run_product_dimension_daily(dim_t, delta, None)  # bootstrap
     for day in days + days:  # every day twice: the second run changes nothing
-        fact = jobs.run_sales_transaction_fact(spark, items, f"{root}/fact", [day])
-        jobs.run_product_dimension_daily(spark, delta, f"{root}/dim", [day])
-        jobs.run_sales_periodic_fact(spark, fact, f"{root}/periodic", [day])
-        dim = DayTable(spark, f"{root}/dim", "updated_at").read()
-        jobs.run_sales_report(spark, fact, dim, f"{root}/report", [day])
-    fact_t = DayTable(spark, f"{root}/fact", "created_at")
-    periodic_t = DayTable(spark, f"{root}/periodic", "transaction_date")
-    report_t = DayTable(spark, f"{root}/report", "transaction_date")
+        jobs.run_sales_transaction_fact(fact_t, items, [day])
+        jobs.run_product_dimension_daily(dim_t, delta, [day])
+        jobs.run_sales_periodic_fact(periodic_t, fact_t, [day])
+        jobs.run_sales_report(report_t, fact_t, dim_t.read(), [day])
 
     expected_fact = models.sales_transaction_fact(items, days)
     assert rows(fact_t.read()) == rows(expected_fact.select(*fact_t.read().columns))
@@ -45,7 +43,8 @@ def test_daily_runs_match_models_and_are_idempotent(spark):
 def test_daily_read_prunes_day_folders(spark):
     items = fx.order_items_source(spark, SF_SMALL)
     day = _busy_days(items, 1)[0]
-    fact = jobs.run_sales_transaction_fact(spark, items, scratch_path(spark, "prune"))
+    spark.sql("CREATE DATABASE IF NOT EXISTS tm_prune")
+    fact = jobs.run_sales_transaction_fact(warehouse_tables(spark, scratch_path(spark, "prune"), "tm_prune")["fact"], items)
     plan = fact.read(days=[day])._jdf.queryExecution().executedPlan().toString()
     assert f"PartitionFilters: [isnotnull(dt" in plan and day.isoformat() in plan
 
@@ -53,7 +52,7 @@ def test_daily_read_prunes_day_folders(spark):
 def test_run_day_schedule(spark):
     from tidemart.operators.latest import keep_latest
     from tidemart.operators.merge import merge
-    from tidemart.plans.daily import run_day, warehouse_tables
+    from tidemart.plans.daily import run_day
 
     items = fx.order_items_source(spark, SF_SMALL)
     delta = fx.products_delta(spark, SF_SMALL)
@@ -65,16 +64,19 @@ def test_run_day_schedule(spark):
     days = sorted([r["d"] for r in busiest if r["d"] in change_days][:2])
     root = scratch_path(spark, "schedule")
     # Deployed state: the daily product history was back-filled before.
-    jobs.run_product_dimension_daily(spark, delta, warehouse_tables(spark, root)["daily"], None)
+    spark.sql("CREATE DATABASE IF NOT EXISTS tm_schedule")
+    jobs.run_product_dimension_daily(warehouse_tables(spark, root, "tm_schedule")["daily"], delta, None)
     for day in days + days[-1:]:  # the last day twice: a rerun changes nothing
-        t = run_day(spark, items, delta, root, day, initial_main=main0)
+        t = run_day(spark, items, delta, root, day, initial_main=main0, database="tm_schedule")
     expected_main = main0
     for day in days:
         changes = keep_latest(delta.filter(F.to_date("updated_at") == F.lit(day)), ["id"], "updated_at")
         expected_main = merge(expected_main, changes, version_col="updated_at")
     assert rows(t["main"].read()) == rows(expected_main.select(*t["main"].read().columns))
-    report = DayTable(spark, t["report"], "transaction_date").read()
+    report = t["report"].read()
     fact = models.sales_transaction_fact(items, days)
     full_dim = models.product_dimension_daily(delta)
     assert report.count() > 5
     assert rows(report) == rows(models.sales_report(fact, full_dim, days).select(*report.columns))
+    intervals = t["intervals"].read()
+    assert rows(intervals) == rows(models.product_intervals(models.product_history(delta, days)).select(*intervals.columns))

@@ -1,14 +1,15 @@
 import datetime as dt
 import glob
 import os
+import uuid
 
 import pytest
 from core_data import rows
 
 from tidemart.session import local_path, scratch_path
 from tidemart.sources.extract import read_staged
-from tidemart.sinks.tables import (DayTable, FolderSwitch, VersionedTable, create_view, overwrite_table,
-                                   path_exists, stage_parquet, write_incremental)
+from tidemart.sinks.tables import (DayTable, HourTable, ImageTable, KeyTable, PartitionTable, create_view, overwrite_table,
+                                   stage_parquet, write_incremental)
 
 T = dt.datetime
 SCHEMA = "id long, created_at timestamp_ntz, v string"
@@ -18,6 +19,18 @@ def _facts(spark, data):
     return spark.createDataFrame(data, SCHEMA)
 
 
+def _own(kind, spark, *args, **kw):
+    name = f"tm_{uuid.uuid4().hex[:12]}"
+    return kind(spark, name, scratch_path(spark, name), *args, **kw)
+
+
+def _locations(table):
+    """Partition -> folder, as readers find it in the catalog now."""
+    spark, files = table.spark, table._raw().inputFiles()
+    assert spark.catalog.tableExists(table.name)
+    return {name: {f.rpartition("/")[0] for f in files if f"/{name}/" in f} for name in table.partitions()}
+
+
 def test_staged_files_are_capped_and_empty_is_readable(spark):
     path = scratch_path(spark, "stage")
     stage_parquet(spark.range(2500).coalesce(1), path, max_records_per_file=1000)
@@ -48,7 +61,7 @@ def test_catalog_table_and_view(spark):
 
 
 def test_replace_days_static_list(spark):
-    table = DayTable(spark, scratch_path(spark, "days"), "created_at")
+    table = _own(DayTable, spark, "created_at")
     table.create(_facts(spark, [
         (1, T(2020, 1, 1, 1), "old"), (2, T(2020, 1, 2, 1), "old"), (3, T(2020, 1, 3, 1), "old")]))
     # Day 2 gets new rows, day 3 is listed but empty -> removed, day 1 untouched.
@@ -59,7 +72,7 @@ def test_replace_days_static_list(spark):
 
 
 def test_empty_source_removes_day_and_reload_is_idempotent(spark):
-    table = DayTable(spark, scratch_path(spark, "reload"), "created_at")
+    table = _own(DayTable, spark, "created_at")
     table.create(_facts(spark, [(1, T(2020, 1, 1), "a"), (2, T(2020, 1, 2), "b")]))
     table.replace_days(_facts(spark, []), ["2020-01-02"])
     assert rows(table.read(), "id") == [(1,)]
@@ -70,14 +83,14 @@ def test_empty_source_removes_day_and_reload_is_idempotent(spark):
 
 
 def test_delete_day(spark):
-    table = DayTable(spark, scratch_path(spark, "delete"), "created_at")
+    table = _own(DayTable, spark, "created_at")
     table.create(_facts(spark, [(1, T(2020, 1, 1), "a"), (2, T(2020, 1, 2), "b")]))
     table.delete_days(["2020-01-01", "2020-01-05"])
     assert rows(table.read(), "id") == [(2,)]
 
 
 def test_write_incremental_and_pruning(spark):
-    table = DayTable(spark, scratch_path(spark, "incr"), "created_at")
+    table = _own(DayTable, spark, "created_at")
     first = _facts(spark, [(1, T(2020, 1, 1), "a")])
     assert write_incremental(table, first, ["2020-01-01"]) == "created"
     assert write_incremental(table, _facts(spark, [(2, T(2020, 1, 1), "b")]), ["2020-01-01"]) == "replaced"
@@ -86,59 +99,53 @@ def test_write_incremental_and_pruning(spark):
     assert "PartitionFilters: [isnotnull(dt" in plan
 
 
-def test_versioned_table(spark):
-    table = VersionedTable(spark, scratch_path(spark, "versions"))
+def test_image_table_is_replaced_at_once_and_may_read_itself(spark):
+    table = _own(ImageTable, spark)
     assert not table.exists()
-    v0 = table.commit(_facts(spark, [(1, T(2020, 1, 1), "a")]))
-    v1 = table.commit(table.read().selectExpr("id + 1 AS id", "created_at", "v"))  # reads itself
-    assert (v0, v1) == (0, 1)
+    table.replace(_facts(spark, [(1, T(2020, 1, 1), "a")]))
+    old = table.read()
+    table.replace(table.read().selectExpr("id + 1 AS id", "created_at", "v"))
     assert rows(table.read(), "id") == [(2,)]
-    with pytest.raises(RuntimeError):  # a second writer of the same version fails, its image is not read
-        table.commit(_facts(spark, [(9, T(2020, 1, 1), "z")]), version=1)
-    assert rows(table.read(), "id") == [(2,)] and table.current_version() == 1
+    assert rows(old, "id") in ([(1,)], [(2,)])  # a reader of the old image still finds its files
 
 
 HOURS = [(1, T(2020, 1, 1, 9, 10), "a"), (2, T(2020, 1, 1, 9, 50), "b"), (3, T(2020, 1, 1, 10, 0), "c"),
          (4, T(2020, 1, 1, 13, 0), "d"), (5, T(2020, 1, 1, 14, 59), "e"), (6, T(2020, 1, 1, 15, 0), "f")]
 
 
-def _delta(spark, root):
-    from tidemart.plans.jobs import read_delta
+def _hours(spark):
+    from tidemart.plans.jobs import hourly_change_load
 
-    return rows(read_delta(spark, f"{root}/delta", _facts(spark, []).schema), "id")
+    staged, delta = _own(HourTable, spark), _own(HourTable, spark)
+    return delta, lambda source, at, **kw: hourly_change_load(source, "created_at", at, staged, delta, **kw)
 
 
 def test_hourly_change_load_keeps_hours_and_reruns(spark):
-    from tidemart.plans.jobs import hourly_change_load
-
-    source, root = _facts(spark, HOURS), scratch_path(spark, "h9")
-    load = lambda rows_, at, **kw: hourly_change_load(rows_, "created_at", at, f"{root}/staged", f"{root}/delta", **kw)
+    source = _facts(spark, HOURS)
+    delta, load = _hours(spark)
     assert load(source, "2020-01-01 10:15:00") == ["2020-01-01/09:00:00"]
-    assert _delta(spark, root) == [(1,), (2,)]
+    assert rows(delta.read(), "id") == [(1,), (2,)] and delta.hours() == {("2020-01-01", "09:00:00")}
     load(source, "2020-01-01 11:15:00")
     for _ in range(2):  # a rerun of an hour doubles nothing
         load(source, "2020-01-01 10:15:00")
-        assert _delta(spark, root) == [(1,), (2,), (3,)]
+        assert rows(delta.read(), "id") == [(1,), (2,), (3,)]
     load(_facts(spark, HOURS[1:]), "2020-01-01 10:15:00")  # the source lost a row
-    assert _delta(spark, root) == [(2,), (3,)]
+    assert rows(delta.read(), "id") == [(2,), (3,)]
     load(_facts(spark, []), "2020-01-01 10:15:00")  # and then the hour's last one
-    assert _delta(spark, root) == [(3,)]
+    assert rows(delta.read(), "id") == [(3,)]
 
 
 def test_hourly_change_load_of_several_hours(spark):
-    from tidemart.plans.jobs import hourly_change_load
-
-    source, root = _facts(spark, HOURS), scratch_path(spark, "h9-six")
-    load = lambda at, **kw: hourly_change_load(source, "created_at", at, f"{root}/staged", f"{root}/delta", **kw)
-    assert len(load("2020-01-01 15:00:00", hours=6)) == 6
-    assert _delta(spark, root) == [(1,), (2,), (3,), (4,), (5,)]
-    load("2020-01-01 16:00:00", replace=True)  # the literal form holds the last window alone
-    assert _delta(spark, root) == [(6,)]
+    source = _facts(spark, HOURS)
+    delta, load = _hours(spark)
+    assert len(load(source, "2020-01-01 15:00:00", hours=6)) == 6
+    assert rows(delta.read(), "id") == [(1,), (2,), (3,), (4,), (5,)]
+    load(source, "2020-01-01 16:00:00", replace=True)  # the literal form holds the last window alone
+    assert rows(delta.read(), "id") == [(6,)]
 
 
-@pytest.mark.parametrize("granularity", ["day", "month"])
-def test_rows_without_a_day_are_replaced_like_a_day(spark, granularity):
-    table = DayTable(spark, scratch_path(spark, "null-day"), "created_at", granularity=granularity)
+def test_rows_without_a_day_are_replaced_like_a_day(spark):
+    table = _own(DayTable, spark, "created_at")
     table.create(_facts(spark, [(1, T(2020, 1, 1), "a"), (2, None, "b"), (3, T(2020, 2, 1), "c")]))
     new = _facts(spark, [(4, T(2020, 1, 1), "x"), (5, None, "y"), (6, None, "z")])
     for _ in range(2):
@@ -148,29 +155,71 @@ def test_rows_without_a_day_are_replaced_like_a_day(spark, granularity):
     assert rows(table.read(), "id") == [(3,), (5,), (6,), (7,)]
 
 
-def test_a_switch_that_stopped_is_finished_by_the_next_write(spark, monkeypatch):
-    table = DayTable(spark, scratch_path(spark, "stopped"), "created_at")
-    table.create(_facts(spark, [(1, T(2020, 1, 1), "a"), (2, T(2020, 1, 2), "b"), (3, T(2020, 1, 3), "c")]))
-    before = rows(table.read(), "id")
-    finish = FolderSwitch._finish
+def test_a_replace_that_stops_leaves_every_day_old_or_new(spark, monkeypatch):
+    """The driver dies after some of the catalog's statements; the same replace again finishes the work."""
+    table = _own(DayTable, spark, "created_at")
+    days = [dt.date(2020, 1, d) for d in range(1, 7)]
+    table.create(_facts(spark, [(d.day, T(2020, 1, d.day), "old") for d in days]))
+    new = _facts(spark, [(10 + d.day, T(2020, 1, d.day), "new") for d in days[:4]])  # two days are emptied
+    real, calls = spark.sql, []
 
-    def stop(self, new, emptied=None):
+    def sql(text, *args, **kw):
+        if "SET LOCATION" in text:
+            calls.append(text)
+            if len(calls) == 3:
+                raise KeyboardInterrupt
+        return real(text, *args, **kw)
+
+    monkeypatch.setattr(spark, "sql", sql)
+    with pytest.raises(KeyboardInterrupt):
+        table.replace_days(new, days)
+    monkeypatch.setattr(spark, "sql", real)
+    spark.catalog.refreshTable(table.name)
+    for d in days:
+        assert rows(table.read(days=[d]), "id", "v") in ([(d.day, "old")], [(10 + d.day, "new")])
+    assert {v for _, v in rows(table.read(), "id", "v")} == {"old", "new"}
+    table.replace_days(new, days)
+    assert rows(table.read(), "id") == [(11,), (12,), (13,), (14,)]
+    assert table.vacuum() == 2  # the first load and the one that stopped
+    assert rows(table.read(), "id") == [(11,), (12,), (13,), (14,)]
+
+
+def test_a_replace_that_stops_before_the_catalog_changes_nothing(spark, monkeypatch):
+    table = _own(DayTable, spark, "created_at")
+    table.create(_facts(spark, [(1, T(2020, 1, 1), "a"), (2, T(2020, 1, 2), "b")]))
+    before = _locations(table)
+
+    def stop(self, folder, filled):
         raise KeyboardInterrupt
 
-    monkeypatch.setattr(FolderSwitch, "_finish", stop)
+    monkeypatch.setattr(PartitionTable, "_point", stop)
     with pytest.raises(KeyboardInterrupt):
         table.replace_days(_facts(spark, [(9, T(2020, 1, 1), "x")]), ["2020-01-01", "2020-01-02"])
-    assert rows(table.read(), "id") == before  # readers see the old days
-    monkeypatch.setattr(FolderSwitch, "_finish", finish)
-    table.replace_days(_facts(spark, [(8, T(2020, 1, 5), "y")]), ["2020-01-05"])
-    assert rows(table.read(), "id") == [(3,), (8,), (9,)]
-    assert not [n for n in os.listdir(local_path(table.path)) if n.startswith(("_new-", "_old-"))]
+    assert _locations(table) == before and rows(table.read(), "id") == [(1,), (2,)]
+
+
+def test_a_running_reader_keeps_its_files(spark):
+    table = _own(DayTable, spark, "created_at")
+    table.create(_facts(spark, [(1, T(2020, 1, 1), "a")]))
+    files = table.read().inputFiles()
+    table.replace_days(_facts(spark, [(2, T(2020, 1, 1), "b")]))
+    assert all(os.path.exists(local_path(f)) for f in files)
+    assert rows(spark.read.parquet(*files), "id") == [(1,)] and rows(table.read(), "id") == [(2,)]
+
+
+def test_many_new_days_are_one_statement(spark, monkeypatch):
+    table = _own(DayTable, spark, "created_at")
+    real, seen = spark.sql, []
+    monkeypatch.setattr(spark, "sql", lambda text, *a, **k: (seen.append(text), real(text, *a, **k))[1])
+    table.create(_facts(spark, [(i, T(2020, 1, 1) + dt.timedelta(days=i), "a") for i in range(300)]))
+    monkeypatch.setattr(spark, "sql", real)
+    assert len([t for t in seen if t.startswith("ALTER")]) == 1
+    assert table.read().count() == 300
 
 
 def test_days_are_deleted_without_a_spark_job(spark):
-    table = DayTable(spark, scratch_path(spark, "delete-many"), "created_at")
+    table = _own(DayTable, spark, "created_at")
     table.create(_facts(spark, [(i, T(2020, 1, 1 + i), "a") for i in range(20)]))
-    table.schema = _facts(spark, []).schema
     spark.sparkContext.setJobGroup("delete-days", "")
     table.delete_days([f"2020-01-{d:02d}" for d in range(1, 20)])
     jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("delete-days")
@@ -178,75 +227,92 @@ def test_days_are_deleted_without_a_spark_job(spark):
     assert len(jobs) == 0 and rows(table.read(), "id") == [(19,)]
 
 
-def test_month_folders_keep_day_semantics(spark):
-    table = DayTable(spark, scratch_path(spark, "months"), "created_at", granularity="month")
-    table.create(_facts(spark, [(1, T(2020, 1, 1), "a"), (2, T(2020, 1, 2), "b"),
-                                (3, T(2020, 2, 1), "c"), (4, T(2020, 3, 1), "d")]))
-    assert len(glob.glob(local_path(table.path) + "/dt=*")) == 3
-    # Jan 2 replaced, Feb 1 listed but empty -> gone, Jan 1 and Mar 1 untouched.
-    table.replace_days(_facts(spark, [(5, T(2020, 1, 2, 7), "new")]), ["2020-01-02", "2020-02-01"])
-    assert rows(table.read(), "id") == [(1,), (4,), (5,)]
-    assert rows(table.read(days=["2020-01-02"]), "id") == [(5,)]
-    table.delete_days(["2020-01-01"])
-    assert rows(table.read(), "id") == [(4,), (5,)]
-    table.replace_days(_facts(spark, [(6, T(2020, 3, 1), "again")]))   # days=None: Mar 1 replaced
-    assert rows(table.read(), "id") == [(5,), (6,)]
-
-
-def test_catalog_write_incremental(spark):
-    from tidemart.sinks.tables import write_incremental_table
-
-    name = "tm_fact_incremental"
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    first = _facts(spark, [(1, T(2020, 1, 1), "a"), (2, T(2020, 1, 2), "b"), (3, T(2020, 1, 3), "c")])
-    assert write_incremental_table(spark, name, first, "created_at", ["2020-01-01"]) == "created"
-    again = _facts(spark, [(4, T(2020, 1, 2, 6), "new"), (5, T(2020, 1, 9), "other")])
-    assert write_incremental_table(spark, name, again, "created_at",
-                                   ["2020-01-02", "2020-01-03"]) == "replaced"
-    assert rows(spark.table(name), "id") == [(1,), (4,), (5,)]
-    write_incremental_table(spark, name, again, "created_at", ["2020-01-02", "2020-01-03"])
-    assert rows(spark.table(name), "id") == [(1,), (4,), (5,), (5,)]  # unlisted day appends
-    spark.sql(f"DROP TABLE {name}")
-
-
-def test_merge_rewrites_only_touched_days(spark):
-    schema = "id long, v string, updated_at timestamp_ntz"
-    table = DayTable(spark, scratch_path(spark, "scd1-days"), "updated_at")
-    table.create(spark.createDataFrame([
-        (1, "a", T(2020, 1, 1)), (2, "b", T(2020, 1, 1)), (3, "c", T(2020, 1, 2)),
-        (4, "d", T(2020, 1, 3))], schema))
-    before = {os.path.basename(p): os.path.getmtime(p)
-              for p in glob.glob(local_path(table.path) + "/dt=*/*.parquet")}
-    source = spark.createDataFrame([
-        (1, "a2", T(2020, 1, 5)),      # moves from day 1 to day 5
-        (3, "old", T(2019, 12, 31)),   # older than target: guard keeps it
-        (9, "new", T(2020, 1, 5))], schema)
-    touched = table.merge_days(source, "id", version_col="updated_at")
-    assert sorted(d.isoformat() for d in touched) == ["2019-12-31", "2020-01-01", "2020-01-02",
-                                                      "2020-01-05"]
-    assert rows(table.read(), "id", "v") == [(1, "a2"), (2, "b"), (3, "c"), (4, "d"), (9, "new")]
-    assert rows(table.read(days=["2020-01-01"]), "id") == [(2,)]
-    day3 = glob.glob(local_path(table.path) + "/dt=2020-01-03/*.parquet")
-    assert all(before.get(os.path.basename(p)) == os.path.getmtime(p) for p in day3)  # untouched
-
-
-def test_merge_days_keeps_null_keys_and_moves_null_stamps(spark):
-    schema = "id long, v string, updated_at timestamp_ntz"
-    table = DayTable(spark, scratch_path(spark, "merge-nulls"), "updated_at")
-    table.create(spark.createDataFrame([
-        (None, "n1", T(2020, 1, 1)), (None, "n2", T(2020, 1, 1)), (None, "n3", T(2020, 1, 1)), (1, "a", None), (2, "b", T(2020, 1, 1))], schema))
-    source = spark.createDataFrame([(1, "a2", T(2020, 1, 4)), (2, "b2", T(2020, 1, 1, 5))], schema)
-    table.merge_days(source, "id")  # unguarded: the row without a stamp gets a day
-    assert rows(table.read(), "id", "v") == [(None, "n1"), (None, "n2"), (None, "n3"), (1, "a2"), (2, "b2")]
-
-
-def test_other_read_errors_are_raised(spark):
-    path = scratch_path(spark, "stray")
-    spark.range(1).write.parquet(f"{path}/dt=2020-01-01")
-    spark.range(1).write.parquet(f"{path}/other=1")
-    with pytest.raises(Exception):  # conflicting folders are no missing table
-        path_exists(spark, path)
-    assert not path_exists(spark, path + "-missing")
+IMAGE = "id long, v string, updated_at timestamp_ntz"
+
+
+def _image(spark, buckets=8, n=40):
+    table = _own(KeyTable, spark, buckets=buckets)
+    table.create(spark.createDataFrame([(i, f"v{i}", T(2020, 1, 1 + i % 20)) for i in range(n)], IMAGE))
+    return table
+
+
+def test_merge_rewrites_only_buckets_in_which_a_row_changes(spark):
+    table = _image(spark)
+    before = _locations(table)
+    bucket = {r["id"]: r["bucket"] for r in table._raw().collect()}
+    source = spark.createDataFrame([(1, "new", T(2020, 2, 1)), (2, "late", T(2019, 1, 1)), (3, "same", T(2020, 1, 4))], IMAGE)
+    assert table.merge(source, version_col="updated_at") == {"rewritten": [bucket[1]], "appended": []}
+    after = _locations(table)
+    assert {k for k in before if before[k] != after[k]} == {f"bucket={bucket[1]}"}
+    got = {r["id"]: r["v"] for r in table.read().collect()}
+    assert got == {i: "new" if i == 1 else f"v{i}" for i in range(40)}
+    assert table.merge(source, version_col="updated_at") == {"rewritten": [], "appended": []}  # a replay changes nothing
+
+
+def test_merge_appends_to_buckets_that_get_new_keys_alone(spark):
+    table = _image(spark)
+    before = {f for files in _files(table).values() for f in files}
+    new = spark.createDataFrame([(1000, "n", T(2020, 1, 1))], IMAGE)
+    done = table.merge(new, version_col="updated_at")
+    assert done["rewritten"] == [] and len(done["appended"]) == 1
+    after = {f for files in _files(table).values() for f in files}
+    assert before < after and len(after - before) == 1  # no file went, one came
+    assert table.read().count() == 41
+
+
+def _files(table):
+    return {name: [f for f in table._raw().inputFiles() if f"/{name}/" in f] for name in table.partitions()}
+
+
+def test_merge_equals_the_dataframe_merge_with_null_keys_and_stamps(spark):
+    from tidemart.operators.merge import merge
+
+    start = [(None, "n1", T(2020, 1, 1)), (None, "n1", T(2020, 1, 1)), (1, "a", None), (2, "b", T(2020, 1, 1)), (3, "c", T(2020, 1, 1))]
+    changes = [(None, "n2", T(2020, 1, 1)), (1, "a2", T(2020, 1, 4)), (2, "b2", T(2020, 1, 1, 5)), (3, "c2", None), (9, "i", None)]
+    for version in ("updated_at", None):
+        table = _own(KeyTable, spark, buckets=3)
+        image, source = spark.createDataFrame(start, IMAGE), spark.createDataFrame(changes, IMAGE)
+        table.create(image)
+        table.merge(source, version_col=version)
+        assert rows(table.read(), "id", "v") == rows(merge(image, source, version_col=version), "id", "v")
+
+
+def test_merge_of_a_narrower_source_and_of_repeated_keys(spark):
+    table = _image(spark)
+    table.merge(spark.createDataFrame([(1, T(2020, 3, 1)), (77, T(2020, 3, 1))], "id long, updated_at timestamp_ntz"), version_col="updated_at")
+    got = {r["id"]: (r["v"], r["updated_at"]) for r in table.read().collect()}
+    assert got[1] == ("v1", T(2020, 3, 1)) and got[77] == (None, T(2020, 3, 1))
+    with pytest.raises(ValueError):
+        table.merge(spark.createDataFrame([(1, "x", T(2021, 1, 1)), (1, "y", T(2021, 1, 2))], IMAGE))
+
+
+def test_intervals_kept_up_to_date_equal_the_full_ones(spark):
+    """Three days in mixed order, a late version inside a closed interval, one before all others, and a rerun."""
+    from tidemart.plans import jobs, models
+
+    schema = "id long, brand string, department string, category string, updated_at timestamp_ntz"
+    data = [(i, f"b{d}", "d", "c", T(2020, 1, d, i % 24)) for i in range(30) for d in (1, 5, 9) if (i + d) % 4]
+    data += [(3, "twice", "d", "c", T(2020, 1, 5, 3)), (None, "x", "d", "c", T(2020, 1, 5)), (4, "x", "d", "c", None)]
+    delta = spark.createDataFrame(data, schema)
+    table = _own(KeyTable, spark, buckets=4)
+    for day in ("2020-01-05", "2020-01-09", "2020-01-01", "2020-01-05"):
+        touched = jobs.run_product_intervals(table, delta, [day])
+    assert touched == []  # the last day was there already
+    want = models.product_intervals(delta)
+    assert rows(table.read()) == rows(want.select(*table.read().columns))
+
+
+def test_late_versions_touch_their_buckets_alone(spark):
+    from tidemart.plans import jobs
+
+    schema = "id long, brand string, department string, category string, updated_at timestamp_ntz"
+    table = _own(KeyTable, spark, buckets=16)
+    jobs.run_product_intervals(table, spark.createDataFrame([(i, "b", "d", "c", T(2020, 1, 9)) for i in range(64)], schema))
+    before = _locations(table)
+    touched = jobs.run_product_intervals(table, spark.createDataFrame([(7, "late", "d", "c", T(2020, 1, 2))], schema))
+    after = _locations(table)
+    assert len(touched) == 1 and {k for k in after if after[k] != before[k]} == {f"bucket={touched[0]}"}
+    assert table.read().filter("id = 7").count() == 2
 
 
 def test_a_shared_folder_is_asked_for(spark, monkeypatch):

@@ -130,14 +130,15 @@ def test_cluster_conf_sizes_partitions():
 
 
 def test_full_and_hourly_loads_from_a_stored_source(spark):
-    from tidemart.plans.jobs import full_load, hourly_change_load, read_delta
-    from tidemart.sinks.tables import VersionedTable
+    from tidemart.plans.jobs import full_load, hourly_change_load
+    from tidemart.sinks.tables import HourTable, ImageTable
 
     root = scratch_path(spark, "loads")
+    staged, delta = HourTable(spark, "tm_load_staged", f"{root}/staged"), HourTable(spark, "tm_load_delta", f"{root}/delta")
     products = fx.products_delta(spark, SF_MID).select("id", "brand", "cost", "updated_at")
     products.write.parquet(f"{root}/source")
     source = spark.read.parquet(f"{root}/source")
-    main = VersionedTable(spark, f"{root}/main")
+    main = ImageTable(spark, "tm_load_main", f"{root}/main")
     full_load(source, f"{root}/full", main, max_records_per_file=1000)
     assert main.read().count() == products.count()
     assert main.read().schema["id"].dataType == T.LongType()
@@ -145,10 +146,10 @@ def test_full_and_hourly_loads_from_a_stored_source(spark):
     windows = []
     for stamp in stamps:  # a run one hour after a real change: its window holds it
         run_time = stamp + dt.timedelta(hours=1, minutes=15)
-        prefixes = hourly_change_load(source, "updated_at", run_time, f"{root}/staged", f"{root}/delta")
+        prefixes = hourly_change_load(source, "updated_at", run_time, staged, delta)
         windows.append(pr.change_window(run_time))
         assert prefixes == [pr.window_prefix(windows[-1][0])]
-    held = read_delta(spark, f"{root}/delta", apply_type_policy(source).schema)
+    held = delta.read()
     expected = [pr.in_window("updated_at", *w) for w in windows]
     assert rows(held) == rows(products.filter(expected[0] | expected[1]).select(*held.columns))
     assert held.count() > 0

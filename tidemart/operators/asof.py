@@ -9,10 +9,9 @@ One plan at any size. Facts and versions are unioned and their rows shuffled
 once, on (key, calendar bucket of the time), so a hot key spreads over as many
 tasks as it has buckets. A running ``last(..., ignoreNulls)`` inside each bucket carries
 the newest version to the facts (versions stand before facts at equal time,
-because the condition is ``>=``). A table with one row per (key, bucket), pre-aggregated
-from the key and time columns alone, then hands each bucket the last version of the buckets before it. No fact ever
-meets more than one version, nothing is counted or collected, and AQE alone
-decides about broadcasts.
+because the condition is ``>=``). A small table, one row per (key, bucket) of either side and
+aggregated before it is shuffled, hands each bucket the last version of the buckets before it. No fact
+ever meets more than one version, nothing is collected, and AQE alone decides about broadcasts.
 """
 
 from __future__ import annotations
@@ -97,11 +96,15 @@ def asof_join(facts: DataFrame, versions: DataFrame, *, fact_key: str, version_k
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     carried = dealt.withColumn("__match", F.last("__version", ignorenulls=True).over(running)).filter("__kind = 1")
 
-    place = F.when(F.col("__kind") == 0, F.struct("__t", *(f"__tb{i}" for i in range(len(tiebreak)))))
-    both = fact_rows.select("__key", "__b", "__t", "__kind").unionByName(version_rows, allowMissingColumns=True)
-    tails = both.groupBy(F.col("__key").alias("__k"), F.col("__b").alias("__hb")).agg(F.max_by("__version", place).alias("__tail"))
-    earlier = Window.partitionBy("__k").orderBy("__hb").rowsBetween(Window.unboundedPreceding, -1)
-    handed = tails.filter("__k IS NOT NULL").withColumn("__before", F.last("__tail", ignorenulls=True).over(earlier)).drop("__tail")
+    # the last version of each bucket, and the buckets of the facts: one row each, before anything is shuffled
+    place = F.struct("__t", *(f"__tb{i}" for i in range(len(tiebreak))))
+    tails = (version_rows.groupBy(F.col("__key").alias("__k"), F.col("__b").alias("__hb"))
+             .agg(F.max_by("__version", place).alias("__tail")).withColumn("__asked", F.lit(False)))
+    asked = fact_rows.select(F.col("__key").alias("__k"), F.col("__b").alias("__hb")).distinct().withColumn("__asked", F.lit(True))
+    earlier = (Window.partitionBy("__k").orderBy("__hb", F.col("__asked").desc())  # a bucket asks before its own version
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    handed = (asked.unionByName(tails, allowMissingColumns=True).withColumn("__before", F.last("__tail", ignorenulls=True).over(earlier))
+              .filter("__asked").drop("__tail", "__asked"))
     joined = carried.join(handed, (F.col("__key") == F.col("__k")) & (F.col("__b") == F.col("__hb")), "left")
     match = F.when(F.col("__t").isNotNull(), F.coalesce("__match", "__before"))
     out = [F.col(c) for c in facts.columns] + [match.getField(c).alias(c) for c in columns]

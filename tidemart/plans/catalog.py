@@ -1,12 +1,13 @@
 """Registered queries: one callable ``(spark, sf_dir) -> DataFrame`` per key.
 
-Queries whose operator writes (partition replacement, merges into versioned
-tables, streaming upserts) do so in a fresh folder under the shared
-checkpoint location and return what they read back.
+Queries whose operator writes (partition replacement, merges, streaming
+upserts) do so in catalog tables of their own, with folders under the shared
+checkpoint location, and return what they read back.
 """
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections.abc import Callable
 
@@ -19,11 +20,11 @@ from ..operators.measures import sales_by_attributes, signed_daily_sum
 from ..operators.merge import merge
 from ..operators.quality import check_not_null, check_unique
 from ..session import scratch_path
-from ..sinks.tables import DayTable, VersionedTable, create_view, stage_parquet
+from ..sinks.tables import DayTable, HourTable, ImageTable, KeyTable, create_view, stage_parquet, write_incremental
 from ..sources import fixtures as fx
 from ..sources.extract import extract_changes, extract_window
 from ..sources.types import apply_type_policy
-from ..streaming.upsert import ingest_staged, read_staged_stream, upsert_stream_days
+from ..streaming.upsert import ingest_staged, read_staged_stream, upsert_stream
 from . import jobs, models
 from . import params as P
 
@@ -41,30 +42,34 @@ def _view_name(name: str, sf: str) -> str:
     return f"{name}_{zlib.crc32(sf.encode()):08x}"
 
 
+def _own(kind: type, spark: SparkSession, name: str, *args, **kw):
+    """A fresh table of the kind, under a name and in a folder of its own."""
+    unique = f"{name}_{uuid.uuid4().hex[:12]}"
+    return kind(spark, unique, scratch_path(spark, name), *args, **kw)
+
+
 # ------------------------------------------------------------------ sources
 def snapshot_extract(spark: SparkSession, sf: str) -> DataFrame:
     """Full extract -> type policy -> staged -> main, read back."""
-    root = scratch_path(spark, "snapshot")
-    main = VersionedTable(spark, f"{root}/main")
-    jobs.full_load(fx.order_items_source(spark, sf), f"{root}/staged", main)
+    main = _own(ImageTable, spark, "order_items_main")
+    jobs.full_load(fx.order_items_source(spark, sf), scratch_path(spark, "snapshot"), main)
     return main.read()
 
 
 def snapshot_extract_products(spark: SparkSession, sf: str) -> DataFrame:
-    """The same load for the current image of ``products``."""
-    root = scratch_path(spark, "snapshot-products")
-    main = VersionedTable(spark, f"{root}/main")
-    jobs.full_load(fx.products_current(spark, sf), f"{root}/staged", main)
+    """The same load for the current image of ``products``, twice."""
+    main = _own(KeyTable, spark, "products_main")
+    for _ in range(2):
+        jobs.full_load(fx.products_current(spark, sf), scratch_path(spark, "snapshot-products"), main)
     return main.read()
 
 
 def hourly_change_load(spark: SparkSession, sf: str) -> DataFrame:
     """Runs of several hours over order items, one of them twice."""
-    root = scratch_path(spark, "hourly")
-    items = fx.order_items_source(spark, sf)
+    staged, delta = _own(HourTable, spark, "items_staged"), _own(HourTable, spark, "items_delta")
     for run_time, hours in P.HOURLY_RUNS:
-        jobs.hourly_change_load(items, "created_at", run_time, f"{root}/staged", f"{root}/delta", hours)
-    return jobs.read_delta(spark, f"{root}/delta", apply_type_policy(items).schema)
+        jobs.hourly_change_load(fx.order_items_source(spark, sf), "created_at", run_time, staged, delta, hours)
+    return delta.read()
 
 
 def cdc_window_products(spark: SparkSession, sf: str) -> DataFrame:
@@ -220,21 +225,20 @@ def limit_ordered(spark: SparkSession, sf: str) -> DataFrame:
 # ------------------------------------------------------- partition writes
 def _items_table(spark: SparkSession, sf: str, name: str, deduped: bool) -> DayTable:
     items = fx.order_items_source(spark, sf)
-    rows = models.sales_transaction_fact(items) if deduped else items
-    table = DayTable(spark, scratch_path(spark, name), "created_at")
-    table.create(rows, sort_key="id")
+    table = _own(DayTable, spark, name, "created_at")
+    write_incremental(table, models.sales_transaction_fact(items) if deduped else items, sort_key="id")
     return table
 
 
 def delete_day(spark: SparkSession, sf: str) -> DataFrame:
-    table = _items_table(spark, sf, "delete-day", deduped=True)
+    table = _items_table(spark, sf, "delete_day", deduped=True)
     table.delete_days([P.DAY])
     return table.read()
 
 
 def reload_day(spark: SparkSession, sf: str) -> DataFrame:
     """W9 on raw items: the day is reloaded from the fact query, twice."""
-    table = _items_table(spark, sf, "reload-day", deduped=False)
+    table = _items_table(spark, sf, "reload_day", deduped=False)
     items = fx.order_items_source(spark, sf)
     for _ in range(2):  # idempotent: a second run leaves the same table
         table.reload_day(models.sales_transaction_fact(items, [P.DAY]), P.DAY, sort_key="id")
@@ -252,7 +256,7 @@ def replace_partitions(spark: SparkSession, sf: str) -> DataFrame:
 def replace_partitions_empty(spark: SparkSession, sf: str) -> DataFrame:
     """W10 when the delta was truncated to its last hour: the listed days
     have no source rows and must disappear."""
-    table = _items_table(spark, sf, "replace-empty", deduped=True)
+    table = _items_table(spark, sf, "replace_empty", deduped=True)
     days = _days(*P.EMPTY_DAYS)
     truncated = extract_window(fx.order_items_source(spark, sf), "created_at",
                                *P.TRUNCATED_DELTA_WINDOW)
@@ -264,7 +268,7 @@ def replace_partitions_empty(spark: SparkSession, sf: str) -> DataFrame:
 def product_dim_scd1(spark: SparkSession, sf: str) -> DataFrame:
     """H1: dimension from one image of the products, then the rows that a
     second image changed on the merge days, merged in with the guard."""
-    dim = DayTable(spark, scratch_path(spark, "scd1"), "updated_at")
+    dim = _own(KeyTable, spark, "scd1")
     jobs.run_product_dim_scd1(dim, fx.products_image(spark, sf), None)
     start, end = P.PRODUCT_CDC_WINDOW
     jobs.run_product_dim_scd1(dim, fx.products_changes(spark, sf), _days(start[:10], end[:10]))
@@ -273,7 +277,7 @@ def product_dim_scd1(spark: SparkSession, sf: str) -> DataFrame:
 
 def product_dim_scd1_scoped(spark: SparkSession, sf: str) -> DataFrame:
     """H4: first build since the first day, then listed days and yesterday, unguarded."""
-    dim = DayTable(spark, scratch_path(spark, "scd1-scoped"), "updated_at")
+    dim = _own(KeyTable, spark, "scd1_scoped")
     jobs.run_product_dim_scd1_scoped(dim, fx.products_image(spark, sf), first_day=P.SCD_FIRST_DAY)
     changes = fx.products_changes(spark, sf)
     start, end = P.UNGUARDED_WINDOW
@@ -285,22 +289,29 @@ def product_dim_scd1_scoped(spark: SparkSession, sf: str) -> DataFrame:
 def product_dim_history(spark: SparkSession, sf: str) -> DataFrame:
     """H2: first run copies the delta before the cut, later runs add the
     merge window's days (one replace of those days)."""
-    path = scratch_path(spark, "history")
     delta = fx.products_delta(spark, sf)
-    first = delta.filter(F.col("updated_at") < fx.ntz(fx.MAIN_CUTOFF))
-    jobs.run_product_history(spark, first, path)
-    start = fx.MAIN_CUTOFF[:10]
-    table = jobs.run_product_history(spark, delta, path, _days(start, P.HISTORY_END))
-    return table.read()
+    table = _own(DayTable, spark, "history", "updated_at")
+    jobs.run_product_history(table, delta.filter(F.col("updated_at") < fx.ntz(fx.MAIN_CUTOFF)))
+    return jobs.run_product_history(table, delta, _days(fx.MAIN_CUTOFF[:10], P.HISTORY_END)).read()
 
 
 def product_dim_daily(spark: SparkSession, sf: str) -> DataFrame:
     """H3: first run before the cut, then the later days replaced."""
-    path = scratch_path(spark, "dim-daily")
     delta = fx.products_delta(spark, sf)
-    jobs.run_product_dimension_daily(spark, delta.filter(F.col("updated_at") < fx.ntz(fx.MAIN_CUTOFF)), path)
-    table = jobs.run_product_dimension_daily(spark, delta, path,
-                                             _days(fx.MAIN_CUTOFF[:10], P.HISTORY_END))
+    table = _own(DayTable, spark, "dim_daily", "updated_at")
+    jobs.run_product_dimension_daily(table, delta.filter(F.col("updated_at") < fx.ntz(fx.MAIN_CUTOFF)))
+    return jobs.run_product_dimension_daily(table, delta, _days(fx.MAIN_CUTOFF[:10], P.HISTORY_END)).read()
+
+
+def product_intervals_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """H2 + H11: intervals built from the middle of the history, then the later days, then the earlier
+    ones, which split intervals, and one part again."""
+    delta = fx.products_delta(spark, sf)
+    table = _own(KeyTable, spark, "intervals")
+    first, second = P.INTERVAL_CUTS
+    jobs.run_product_intervals(table, delta, _days(first, second))
+    for days in (_days(second, P.HISTORY_END), _days(P.HISTORY_START, first), _days(first, second)):
+        jobs.run_product_intervals(table, delta, days)
     return table.read()
 
 
@@ -309,14 +320,12 @@ def product_dim_intervals(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sales_transaction_fact(spark: SparkSession, sf: str) -> DataFrame:
-    path = scratch_path(spark, "fact")
-    return jobs.run_sales_transaction_fact(spark, fx.order_items_source(spark, sf), path).read()
+    return jobs.run_sales_transaction_fact(_own(DayTable, spark, "fact", "created_at"), fx.order_items_source(spark, sf)).read()
 
 
 def sales_periodic_fact(spark: SparkSession, sf: str) -> DataFrame:
-    fact = jobs.run_sales_transaction_fact(spark, fx.order_items_source(spark, sf),
-                                           scratch_path(spark, "fact"))
-    return jobs.run_sales_periodic_fact(spark, fact, scratch_path(spark, "periodic")).read()
+    fact = jobs.run_sales_transaction_fact(_own(DayTable, spark, "fact", "created_at"), fx.order_items_source(spark, sf))
+    return jobs.run_sales_periodic_fact(_own(DayTable, spark, "periodic", "transaction_date"), fact).read()
 
 
 def sales_report(spark: SparkSession, sf: str) -> DataFrame:
@@ -327,20 +336,19 @@ def sales_report(spark: SparkSession, sf: str) -> DataFrame:
 
 def sales_report_daily(spark: SparkSession, sf: str) -> DataFrame:
     """H7 as scheduled: written fact and dimension in, report days out; two days' runs repeated."""
-    fact = jobs.run_sales_transaction_fact(spark, fx.order_items_source(spark, sf), scratch_path(spark, "fact"))
-    dim = jobs.run_product_dimension_daily(spark, fx.products_delta(spark, sf), scratch_path(spark, "dim-daily"))
-    path = scratch_path(spark, "report")
-    jobs.run_sales_report(spark, fact, dim.read(), path)
+    fact = jobs.run_sales_transaction_fact(_own(DayTable, spark, "fact", "created_at"), fx.order_items_source(spark, sf))
+    dim = jobs.run_product_dimension_daily(_own(DayTable, spark, "dim_daily", "updated_at"), fx.products_delta(spark, sf))
+    report = _own(DayTable, spark, "report", "transaction_date")
+    jobs.run_sales_report(report, fact, dim.read())
     for _ in range(2):
-        report = jobs.run_sales_report(spark, fact, dim.read(), path, list(P.REPORT_DAYS))
+        jobs.run_sales_report(report, fact, dim.read(), list(P.REPORT_DAYS))
     return report.read()
 
 
 def merge_delta_to_main(spark: SparkSession, sf: str) -> DataFrame:
     """H8: the window's newest changes; some are older than the main table's rows."""
-    root = scratch_path(spark, "main")
-    main = VersionedTable(spark, root)
-    main.commit(fx.products_image(spark, sf))
+    main = _own(KeyTable, spark, "main")
+    main.create(fx.products_image(spark, sf))
     jobs.run_merge_delta_to_main(main, fx.products_delta(spark, sf), window=P.PRODUCT_CDC_WINDOW)
     return main.read()
 
@@ -368,16 +376,16 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
 
 def stream_upsert_final(spark: SparkSession, sf: str) -> DataFrame:
     """T1 + T2: the change feed staged in two deliveries, the newer rows first, and streamed into a
-    guarded keep-latest upsert that rewrites only the folders a batch touches. A batch holds all files
-    that have arrived; the second one's rows are late."""
+    keep-latest upsert; the newest stamp of every key is the stream's state. The first delivery comes
+    again with the second one, whose rows are late."""
     root = scratch_path(spark, "stream")
     delta = fx.products_delta(spark, sf)
-    target = DayTable(spark, f"{root}/target", "updated_at", granularity="month")
+    target = _own(KeyTable, spark, "upserted")
     early = F.col("updated_at") < fx.ntz(P.LATE_BEFORE)
-    for part in (delta.filter(~early), delta.filter(early)):
+    for part in (delta.filter(~early), delta):
         stage_parquet(part, f"{root}/staged", mode="append")
         stream = read_staged_stream(spark, f"{root}/staged", delta.schema)
-        upsert_stream_days(stream, target, "id", "updated_at", f"{root}/checkpoint").awaitTermination()
+        upsert_stream(stream, target, "updated_at", f"{root}/checkpoint").awaitTermination()
     return target.read()
 
 
@@ -421,6 +429,7 @@ def queries() -> dict[str, Query]:
         "sales_periodic_fact": sales_periodic_fact,
         "merge_delta_to_main": merge_delta_to_main,
         "product_dim_intervals": product_dim_intervals,
+        "product_intervals_incremental": product_intervals_incremental,
         "check_unique": check_unique_q,
         "check_not_null": check_not_null_q,
         "stream_upsert_final": stream_upsert_final,

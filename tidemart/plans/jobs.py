@@ -1,124 +1,93 @@
 """Model runs with their materialization (the scheduled daily and hourly jobs).
 
-Each job decides bootstrap-or-incremental by looking at its target (W11),
-builds the model with ``tidemart.plans.models`` and writes it:
+Each job decides bootstrap-or-incremental by looking its target up in the
+catalog (W11), builds the model with ``tidemart.plans.models`` and writes it:
 
 * day-partitioned models (H2, H3, H5, H6, H7) replace their listed days;
-* SCD1 dimensions (H1, H4) are day-partitioned too; a merge rewrites only
-  the days it touches;
-* the main table (H8) commits a new version of a ``VersionedTable`` (Spark
-  cannot overwrite what it reads);
-* extract loads (H9, H10) stage Parquet, then replace the delta/main table.
+* current images (H1, H4, H8) are tables in hash buckets of the key; a merge
+  rewrites only the buckets in which a row changes;
+* version intervals (H11) are kept in such buckets too: changed keys alone are
+  cut anew;
+* extract loads (H9, H10) stage Parquet, then replace the delta's hours or the
+  main table.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.periods import change_window, window_prefix
-from ..sinks.tables import DayTable, FolderSwitch, VersionedTable, stage_parquet, write_incremental
-from ..sources.extract import LOAD_DATE, LOAD_HOUR, extract_changes, read_staged
+from ..sinks.tables import BUCKET_COLUMN, DayTable, HourTable, ImageTable, KeyTable, stage_parquet, stored_once, write_incremental
+from ..sources.extract import extract_changes, read_staged
 from ..sources.types import apply_type_policy
 from . import models
 
 
 # ------------------------------------------------------------------ H9, H10
-def full_load(source: DataFrame, staging_path: str, main: VersionedTable,
-              max_records_per_file: int | None = None) -> int:
+def full_load(source: DataFrame, staging_path: str, main: ImageTable | KeyTable,
+              max_records_per_file: int | None = None) -> None:
     """Snapshot -> type policy -> staged Parquet -> replace main."""
     typed = apply_type_policy(source)
     stage_parquet(typed, staging_path, max_records_per_file=max_records_per_file)
-    spark = source.sparkSession
-    return main.commit(read_staged(spark, staging_path, schema=typed.schema))
+    staged = read_staged(source.sparkSession, staging_path, schema=typed.schema)
+    if isinstance(main, KeyTable):
+        main.create(staged)
+    else:
+        main.replace(staged)
 
 
-def hourly_change_load(source: DataFrame, change_column: str, run_time, staging_path: str,
-                       delta_path: str, hours: int = 1, replace: bool = False,
-                       max_records_per_file: int | None = None) -> list[str]:
-    """H9: window of the run -> type policy -> staged under its ``load_date``/``load_hour``
-    folders -> the same folders of the delta. Returns the window's hours.
+def hourly_change_load(source: DataFrame, change_column: str, run_time, staged: HourTable, delta: HourTable,
+                       hours: int = 1, replace: bool = False, max_records_per_file: int | None = None) -> list[str]:
+    """H9: window of the run -> type policy -> the window's hours of the staged table -> the
+    same hours of the delta. Returns the window's hours.
 
-    The staged folders of the window's hours are replaced, so a rerun leaves
-    the same rows, and an hour without rows disappears. The delta keeps its
-    other hours; ``replace=True`` is the form that holds only the last window.
+    The window's hours are replaced in both tables, so a rerun leaves the same
+    rows, and an hour without rows disappears. The delta keeps its other
+    hours; ``replace=True`` is the form that holds only the last window.
     """
-    spark = source.sparkSession
     start, end = change_window(run_time, hours)
     changes = apply_type_policy(extract_changes(source, change_column, start, end))
     prefixes = [window_prefix(start + dt.timedelta(hours=h)) for h in range(hours)]
-
-    def load(rows: DataFrame, path: str, everything: bool = False) -> None:
-        switch = FolderSwitch(spark, path, depth=2)
-        if max_records_per_file:
-            rows = rows.repartition(LOAD_DATE, LOAD_HOUR)  # few, full files
-        held = switch.names()
-        listed = held if everything else [n for n in held if _prefix_of(n) in prefixes]
-        switch.replace(rows, [LOAD_DATE, LOAD_HOUR], listed, max_records_per_file)
-
-    load(changes, staging_path)
-    staged = read_staged(spark, staging_path, schema=changes.schema) if FolderSwitch(spark, staging_path, 2).names() else changes
-    hour = F.concat(F.col(LOAD_DATE), F.lit("/"), F.col(LOAD_HOUR))
-    load(staged.filter(hour.isin(prefixes)), delta_path, everything=replace)
+    window = {tuple(p.split("/")) for p in prefixes}
+    staged.replace_hours(changes, window, max_records_per_file)
+    rows = staged.spark.table(staged.name).filter(F.struct(*staged.columns).isin([F.struct(F.lit(d), F.lit(h)) for d, h in sorted(window)]))
+    delta.replace_hours(rows, (delta.hours() if replace else set()) | window, max_records_per_file)
     return prefixes
 
 
-def _prefix_of(folder: str) -> str:
-    """``load_date=D/load_hour=H`` -> ``D/H``, the layout's window prefix."""
-    return "/".join(unquote(part.split("=", 1)[1]) for part in folder.split("/"))
-
-
-def read_delta(spark: SparkSession, delta_path: str, schema) -> DataFrame:
-    """All hours of a delta loaded by ``hourly_change_load``; ``schema`` is that of its rows."""
-    tagged = T.StructType([*schema.fields, T.StructField(LOAD_DATE, T.StringType()), T.StructField(LOAD_HOUR, T.StringType())])
-    return read_staged(spark, delta_path, schema=tagged).drop(LOAD_DATE, LOAD_HOUR)
-
-
 # ---------------------------------------------------------- day partitioned
-def run_sales_transaction_fact(spark: SparkSession, order_items: DataFrame, path: str,
-                               days=None) -> DayTable:
+def run_sales_transaction_fact(table: DayTable, order_items: DataFrame, days=None) -> DayTable:
     """H5: newest item version per day, listed days replaced."""
-    table = DayTable(spark, path, "created_at")
-    fact = models.sales_transaction_fact(order_items, days)
-    write_incremental(table, fact, days, sort_key="id")
+    write_incremental(table, models.sales_transaction_fact(order_items, days), days, sort_key="id")
     return table
 
 
 def _fact_rows(fact: DataFrame | DayTable, days) -> DataFrame:
-    """Fact rows of the listed days; a ``DayTable`` prunes its day folders
+    """Fact rows of the listed days; a ``DayTable`` prunes its partitions
     (a filter on ``created_at`` alone cannot prune the derived ``dt``)."""
     if isinstance(fact, DayTable):
         return fact.read(days=days)
     return fact
 
 
-def run_sales_periodic_fact(spark: SparkSession, fact: DataFrame | DayTable, path: str,
-                            days=None) -> DayTable:
+def run_sales_periodic_fact(table: DayTable, fact: DataFrame | DayTable, days=None) -> DayTable:
     """H6: signed daily totals, listed days replaced."""
-    table = DayTable(spark, path, "transaction_date", day_kind="date")
-    totals = models.sales_periodic_fact(_fact_rows(fact, days), days)
-    write_incremental(table, totals, days)
+    write_incremental(table, models.sales_periodic_fact(_fact_rows(fact, days), days), days)
     return table
 
 
-def run_product_dimension_daily(spark: SparkSession, products_delta: DataFrame, path: str,
-                                days=None) -> DayTable:
+def run_product_dimension_daily(table: DayTable, products_delta: DataFrame, days=None) -> DayTable:
     """H3: newest product version per day, listed days replaced."""
-    table = DayTable(spark, path, "updated_at")
-    dim = models.product_dimension_daily(products_delta, days)
-    write_incremental(table, dim, days, sort_key="id")
+    write_incremental(table, models.product_dimension_daily(products_delta, days), days, sort_key="id")
     return table
 
 
-def run_product_history(spark: SparkSession, products_delta: DataFrame, path: str,
-                        days=None) -> DayTable:
+def run_product_history(table: DayTable, products_delta: DataFrame, days=None) -> DayTable:
     """H2: first run copies the delta; later runs add the listed days'
     versions (re-running a day replaces it, so appends are idempotent)."""
-    table = DayTable(spark, path, "updated_at")
     if not table.exists():
         table.create(models.product_history(products_delta), sort_key="id")
     else:
@@ -126,41 +95,57 @@ def run_product_history(spark: SparkSession, products_delta: DataFrame, path: st
     return table
 
 
-def run_sales_report(spark: SparkSession, fact: DataFrame | DayTable, product_dim: DataFrame,
-                     path: str, days=None) -> DayTable:
+def run_sales_report(table: DayTable, fact: DataFrame | DayTable, product_dim: DataFrame, days=None) -> DayTable:
     """H7: report rows of the listed days replaced."""
-    table = DayTable(spark, path, "transaction_date", day_kind="date")
-    report = models.sales_report(_fact_rows(fact, days), product_dim, days)
-    write_incremental(table, report, days)
+    write_incremental(table, models.sales_report(_fact_rows(fact, days), product_dim, days), days)
     return table
 
 
 # ---------------------------------------------------------- current images
-def run_merge_delta_to_main(main: VersionedTable, delta: DataFrame, days=None,
-                            window=None) -> int:
+def run_merge_delta_to_main(main: KeyTable, delta: DataFrame, days=None, window=None) -> dict[str, list[int]]:
     """H8: guarded merge of the day's newest changes into the main table."""
-    return main.commit(models.merge_delta_to_main(main.read(), delta, days=days, window=window))
-
+    return main.merge(models.newest_changes(delta, days, window, main.key), version_col="updated_at")
 
-def run_product_dim_scd1(dim: DayTable, products_main: DataFrame, days) -> list:
-    """H1: create from the main table, else guarded merge of the day's rows.
 
-    The dimension is partitioned by the day of ``updated_at``; a merge rewrites
-    only the folders it touches (see ``DayTable.merge_days``).
-    """
+def run_product_dim_scd1(dim: KeyTable, products_main: DataFrame, days) -> dict[str, list[int]]:
+    """H1: create from the main table, else guarded merge of the day's rows."""
     if not dim.exists():
-        dim.create(products_main.select(*models.DIMENSION_COLUMNS), sort_key="id")
-        return []
-    return dim.merge_days(models.product_dim_scd1_source(products_main, days), "id",
-                          version_col="updated_at", sort_key="id")
+        dim.create(products_main.select(*models.DIMENSION_COLUMNS))
+        return {"rewritten": list(range(dim.buckets)), "appended": []}
+    return dim.merge(models.product_dim_scd1_source(products_main, days), version_col="updated_at")
 
 
-def run_product_dim_scd1_scoped(dim: DayTable, products_main: DataFrame, day=None,
-                                as_of=None, first_day="2022-01-01") -> list:
+def run_product_dim_scd1_scoped(dim: KeyTable, products_main: DataFrame, day=None,
+                                as_of=None, first_day="2022-01-01") -> dict[str, list[int]]:
     """H4: unguarded merge with the explicit / yesterday / first-build scope."""
-    source = models.product_dim_scoped_source(products_main, day=day, incremental=dim.exists(),
-                                              as_of=as_of, first_day=first_day)
-    if not dim.exists():
-        dim.create(source, sort_key="id")
-        return []
-    return dim.merge_days(source, "id", sort_key="id")
+    return dim.merge(models.product_dim_scoped_source(products_main, day=day, incremental=dim.exists(), as_of=as_of, first_day=first_day))
+
+
+# ------------------------------------------------------- type 2 with intervals
+def run_product_intervals(table: KeyTable, products_delta: DataFrame, days=None) -> list[int]:
+    """H2 + H11 kept up to date: the listed days' versions are put among the intervals of their keys.
+
+    A newer version ends its key's open interval and opens another; a late one
+    splits the interval it falls in; a version that is there already changes
+    nothing. Only the intervals of keys with versions in the listed days are
+    cut anew, and only buckets in which an interval changes are rewritten, so
+    days may come in any order and may be run again. Returns those buckets.
+    """
+    key = table.key
+    versions = models.product_history(products_delta, days).filter(F.col(key).isNotNull() & F.col("updated_at").isNotNull())
+    if not table.exists():
+        table.create(models.product_intervals(versions))
+        return list(range(table.buckets))
+    with stored_once(table.with_bucket(versions), "new-versions", table.spark) as new:
+        met = [r[0] for r in new.select(BUCKET_COLUMN).distinct().collect()]  # at most one row per bucket
+        held = table.bucket_rows(met)
+        changed = held.join(new.select(key).distinct(), key, "left_semi")
+        every = changed.select(*new.columns).unionByName(new).drop(BUCKET_COLUMN)
+        with stored_once(table.with_bucket(models.product_intervals(every)).select(*held.columns), "cut-intervals", table.spark) as cut:
+            differs = cut.exceptAll(held).select(BUCKET_COLUMN)  # intervals that the table does not have as they are
+            touched = sorted(r[0] for r in differs.distinct().collect())
+            if touched:
+                own = table.bucket_rows(touched)
+                kept = own.join(cut.select(key).distinct(), key, "left_anti").select(*own.columns)
+                table.replace_buckets(kept.unionByName(cut.filter(F.col(BUCKET_COLUMN).isin(touched))), touched)
+    return touched

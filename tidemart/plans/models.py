@@ -12,11 +12,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ..functions.periods import before_end_of, day_in, scope_predicate
+from ..functions.periods import before_end_of, day_in, in_window, scope_predicate
 from ..operators.asof import asof_join, version_intervals
 from ..operators.latest import keep_latest_per_day
 from ..operators.measures import sales_by_attributes, signed_daily_sum
-from ..operators.merge import merge
+from ..operators.merge import latest_per_key, merge
 
 DIMENSION_COLUMNS = ["id", "brand", "department", "category", "updated_at"]
 FACT_COLUMNS = [
@@ -81,18 +81,21 @@ def sales_report(fact: DataFrame, product_dim: DataFrame, days=None) -> DataFram
 
 
 # ------------------------------------------------------------------------ H8
+def newest_changes(delta: DataFrame, days=None, window=None, key: str = "id", stamp: str = "updated_at") -> DataFrame:
+    """The day's (or window's) newest change per id: the source of the main table's merge."""
+    scoped = _scoped(delta, stamp, days)
+    if window is not None:
+        scoped = scoped.filter(in_window(stamp, *window))
+    return latest_per_key(scoped, key, stamp)
+
+
 def merge_delta_to_main(main: DataFrame, delta: DataFrame, days=None, window=None,
                         key: str = "id", stamp: str = "updated_at") -> DataFrame:
-    """Day's (or window's) newest change per id, merged with the guard.
+    """``newest_changes`` merged into an image with the guard.
 
     The SET list is every column of ``main`` except the key.
     """
-    from ..functions.periods import in_window
-
-    scoped = _scoped(delta, stamp, days)
-    if window is not None:
-        scoped = scoped.filter(in_window(stamp, *window))
-    return merge(main, scoped.select(*main.columns), key=key, version_col=stamp, dedup=True)
+    return merge(main, newest_changes(delta, days, window, key, stamp).select(*main.columns), key=key, version_col=stamp)
 
 
 # ------------------------------------------------------------------------ H1

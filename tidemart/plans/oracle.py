@@ -203,6 +203,13 @@ def oracle_sql() -> dict[str, str]:
                lead(updated_at) OVER (PARTITION BY id ORDER BY updated_at ASC NULLS LAST) IS NULL
                  AS is_current
         FROM dim""")
+    # H2 + H11: the intervals of the whole history, however its days came in.
+    q["product_intervals_incremental"] = with_(PD, f"""
+        SELECT {dim_cols}, updated_at AS valid_from,
+               lead(updated_at) OVER (PARTITION BY id ORDER BY updated_at ASC NULLS LAST) AS valid_to,
+               lead(updated_at) OVER (PARTITION BY id ORDER BY updated_at ASC NULLS LAST) IS NULL
+                 AS is_current
+        FROM products_delta WHERE updated_at < DATE '{P.HISTORY_END}'""")
 
     all_cols = ", ".join(f"{c} ASC NULLS LAST" for c in ORDER_ITEM_COLUMNS)
     q["limit_ordered"] = with_(OI, f"SELECT * FROM order_items_delta ORDER BY {all_cols} LIMIT {P.LIMIT_ROWS}")

@@ -20,6 +20,8 @@ SCD_FIRST_DAY = "1996-01-01"             # H4 first build lower bound
 SCD_AS_OF = "1996-06-02"                 # H4 incremental run (yesterday = 1996-06-01)
 DATE_LIST = ("2024-01-05", "2024-01-06", "2024-01-20")  # X8 membership list
 HISTORY_END = "2002-01-01"               # after the last product change at any scale
+HISTORY_START = "1995-01-01"             # the first product change at any scale
+INTERVAL_CUTS = ("1997-01-01", "1999-01-01")  # H11 kept up to date: middle, later and earlier part
 LIMIT_ROWS = 10
 RETURNED_STATUS = "Returned"
 HOURLY_RUNS = (("1996-03-15 06:20:00", 6), ("1996-03-15 12:00:00", 6), ("1996-03-15 12:00:00", 6),

@@ -1,21 +1,27 @@
-"""Table writes on plain Parquet (no transactional table format needed).
+"""Table writes: staged Parquet, and catalog tables whose partitions point to folders.
 
 * ``stage_parquet`` (W1/W2): staged extract files, optionally capped per file
   and laid out by window keys.
-* ``FolderSwitch``: replaces partition folders as a whole. New content is
-  written to a fresh folder beside the table; when it is complete, folders are
-  renamed into place one by one. A run that stops before that changes nothing,
-  and one that stops in between is finished by the next write.
-* ``DayTable`` (W7, W9-W12): a table partitioned by a derived ``dt`` day
-  column, written through ``FolderSwitch``: only the listed days change, listed
-  days without rows disappear, and deleting days starts no Spark job.
-* ``VersionedTable`` (merge targets): each new image is written to a folder of
-  its own and then committed by appending one row to a small commit log, so a
-  half-written image is never seen.
-* ``write_incremental`` (W11): create when the table is missing, else replace
-  the given days.
-
-Bulk writes are rebalanced by day first: every task writes few day folders
+* ``PartitionTable`` (W7-W12, J4): an external catalog table. New content of
+  partitions is written by one job to a fresh folder; when it is complete, the
+  catalog is told where each partition now is (``ALTER TABLE ... SET LOCATION``
+  for those it has, one ``ADD PARTITION`` for all new ones, one ``DROP
+  PARTITION`` for all emptied ones). Data files are never overwritten, so a
+  reader finds every partition either old or new at any moment, and a run that
+  stops leaves whole partitions; the same run again finishes the work.
+  ``vacuum`` removes folders that no partition points to any more.
+* ``DayTable``: partitioned by the day of a stamp. Days are replaced, reloaded
+  or deleted; deleting starts no Spark job.
+* ``HourTable``: partitioned by a load window's date and hour.
+* ``KeyTable``: a current image in hash buckets of its key. A merge reads the
+  key and stamp of the buckets its source falls in, rewrites only buckets in
+  which a row really changes, and appends to buckets that only get new keys.
+* ``ImageTable``: unpartitioned; a new image takes the table's place with one
+  ``ALTER TABLE ... SET LOCATION``.
+* ``write_incremental`` (W11): create when the catalog lacks the table, else
+  replace the given days.
+
+Bulk writes are rebalanced by partition first: every task writes few folders
 (no tasks x days small-file blow-up) and a hot day is split over several
 tasks instead of landing in one.
 """
@@ -24,19 +30,24 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from contextlib import contextmanager
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from ..functions.periods import as_date
+from ..operators.merge import merge
 from ..session import scratch_path
 
 DAY_COLUMN = "dt"
-VERSION_LOG = "_commits"
+BUCKET_COLUMN = "bucket"
+#: Partitions named in one catalog statement.
+STATEMENT_PARTITIONS = 1000
+#: Spark's name of the folder of a NULL partition, and the characters it escapes in folder names.
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+ESCAPED = set("\"#%'*/:=?\\{[]^\x7f") | {chr(c) for c in range(1, 32)}
 
 
 def stage_parquet(df: DataFrame, path: str, max_records_per_file: int | None = None,
@@ -51,85 +62,33 @@ def stage_parquet(df: DataFrame, path: str, max_records_per_file: int | None = N
     writer.parquet(path)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether Parquet files can be read there; errors other than a missing or empty folder are raised."""
-    try:
-        spark.read.parquet(path).schema  # noqa: B018 - resolves the listing only
-        return True
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return False
-        raise
-
-
-class FolderSwitch:
-    """Replaces whole partition folders of the Parquet table at ``path``."""
-
-    READY = "_ready"
-
-    def __init__(self, spark: SparkSession, path: str, depth: int = 1):
-        self.spark, self.path, self.depth = spark, path.rstrip("/"), depth
-        self._path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-        self._fs = self._path(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-    def _children(self, folder: str) -> list[str]:
-        if not self._fs.exists(self._path(folder)):
-            return []
-        return [f.getPath().getName() for f in self._fs.listStatus(self._path(folder)) if f.isDirectory()]
-
-    def names(self, folder: str | None = None) -> list[str]:
-        """Partition folders (relative names) below the table or another folder."""
-        base, found = folder or self.path, [""]
-        for _ in range(self.depth):
-            found = [f"{top}/{n}".lstrip("/") for top in found for n in self._children(f"{base}/{top}".rstrip("/")) if "=" in n]
-        return found
-
-    def replace(self, rows: DataFrame | None, columns: Sequence[str], emptied: Iterable[str],
-                max_records_per_file: int | None = None) -> None:
-        """Folders that ``rows`` fills are replaced; the ``emptied`` ones that it does not fill go."""
-        self.recover()
-        new = f"{self.path}/_new-{uuid.uuid4().hex[:12]}"
-        if rows is not None:
-            rows.write.option("maxRecordsPerFile", str(max_records_per_file or 0)).partitionBy(*columns).parquet(new)
-        emptied = set(emptied) - set(self.names(new))
-        for name in emptied:
-            self._fs.mkdirs(self._path(f"{new}/{name}"))
-        self._fs.create(self._path(f"{new}/{self.READY}")).close()
-        self._finish(new, emptied)
-
-    def recover(self) -> None:
-        """Finishes switches that were complete but not carried out."""
-        for name in self._children(self.path):
-            if name.startswith("_new-") and self._fs.exists(self._path(f"{self.path}/{name}/{self.READY}")):
-                self._finish(f"{self.path}/{name}")
-
-    def _finish(self, new: str, emptied: set[str] | None = None) -> None:
-        """Puts the new folders in place; without ``emptied`` (a stopped switch) the empty ones are looked up."""
-        old = new.replace("/_new-", "/_old-")
-        held, moved = set(self.names()), set(self.names(old))
-        for parent in {"/".join([old, *name.split("/")[:-1]]) for name in held} | {f"{self.path}/{name.rpartition('/')[0]}" for name in self.names(new)}:
-            self._fs.mkdirs(self._path(parent))
-        for name in self.names(new):
-            source, target = self._path(f"{new}/{name}"), self._path(f"{self.path}/{name}")
-            if name in held and name not in moved:
-                self._fs.rename(target, self._path(f"{old}/{name}"))
-            if not (name in emptied if emptied is not None else not self._fs.listStatus(source)):
-                self._fs.rename(source, target)
-        for done in (new, old):
-            self._fs.delete(self._path(done), True)
-
-
 @contextmanager
-def stored_once(df: DataFrame, name: str) -> Iterator[DataFrame]:
-    """``df`` written to a fresh shared folder: evaluated once, read by several steps, removed after them."""
-    spark = df.sparkSession
+def stored_once(df: DataFrame, name: str, spark: SparkSession | None = None) -> Iterator[DataFrame]:
+    """``df`` written to a fresh shared folder: evaluated once, read by several steps (of another session, if given), removed after them."""
+    spark = spark or df.sparkSession
     path = scratch_path(spark, name)
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     try:
         df.write.parquet(path)
         yield spark.read.schema(df.schema).parquet(path)
     finally:
-        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        _delete(spark, path)
+
+
+def _folder_of(spark: SparkSession, path: str) -> tuple:
+    """Spark's file system of the path, and the path as an object of it."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    files, folder = _folder_of(spark, path)
+    files.delete(folder, True)
+
+
+def _children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, by one listing."""
+    files, folder = _folder_of(spark, path)
+    return [f.getPath().getName() for f in files.listStatus(folder)]
 
 
 def overwrite_table(df: DataFrame, name: str, partition_by: Sequence[str] | None = None) -> None:
@@ -146,97 +105,173 @@ def create_view(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
-class DayTable:
-    """Parquet table partitioned by the UTC day of ``day_source``.
+def _columns_sql(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
 
-    ``granularity="day"`` (the reference's layout) gives one folder per day.
-    ``granularity="month"`` groups a month's days in one folder; it is meant
-    for small per-day aggregates (one row per day would otherwise be one
-    tiny file per day). Day-level semantics are the same in both: replacing
-    days in month folders rewrites only the months they fall in.
-    """
 
-    def __init__(self, spark: SparkSession, path: str, day_source: str,
-                 day_kind: str = "timestamp_ntz", schema: T.StructType | None = None,
-                 granularity: str = "day"):
-        if granularity not in ("day", "month"):
-            raise ValueError(f"unknown granularity: {granularity}")
-        self.spark = spark
-        self.path = path.rstrip("/")
-        self.day_source = day_source
-        self.day_kind = day_kind
-        self.schema = schema
-        self.granularity = granularity
+def _literal(value) -> str:
+    if value is None:
+        return "null"
+    if isinstance(value, dt.date):
+        return f"DATE'{value.isoformat()}'"
+    return str(value) if isinstance(value, int) else "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-    # ------------------------------------------------------------- helpers
-    def _folder_of(self, day: dt.date | None) -> dt.date | None:
-        return day.replace(day=1) if day is not None and self.granularity == "month" else day
 
-    def _day_col(self) -> Column:
-        return F.to_date(F.col(self.day_source))
+def _member(column: str, values: Iterable) -> Column:
+    """Membership in which NULL is a value like any other; without NULL a predicate that prunes partitions."""
+    values = set(values)
+    named = F.col(column).isin(sorted(v for v in values if v is not None))
+    return F.coalesce(named, F.lit(False)) | F.col(column).isNull() if None in values else named
 
-    def _with_day(self, df: DataFrame) -> DataFrame:
-        day = self._day_col()
-        return df.withColumn(DAY_COLUMN, F.trunc(day, "month") if self.granularity == "month" else day)
 
-    @staticmethod
-    def _in(column: Column, days: Iterable[dt.date | None]) -> Column:
-        """Membership in which NULL is a day like any other."""
-        days = set(days)
-        named = column.isin(sorted(d for d in days if d is not None))
-        return F.coalesce(named, F.lit(False)) | column.isNull() if None in days else F.coalesce(named, F.lit(False))
+class ImageTable:
+    """An unpartitioned external table whose whole content is replaced at once."""
+
+    def __init__(self, spark: SparkSession, name: str, path: str):
+        self.spark, self.name, self.path = spark, name, path.rstrip("/")
 
-    @staticmethod
-    def _name(folder: dt.date | None) -> str:
-        return f"{DAY_COLUMN}={folder.isoformat() if folder is not None else '__HIVE_DEFAULT_PARTITION__'}"
+    def exists(self) -> bool:
+        return self.spark.catalog.tableExists(self.name)
+
+    def read(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+    def replace(self, df: DataFrame) -> None:
+        """The table's content from a query, which may read the table itself."""
+        folder = f"{self.path}/load-{uuid.uuid4().hex[:12]}"
+        df.write.parquet(folder)
+        if self.exists():
+            self.spark.sql(f"ALTER TABLE {self.name} SET LOCATION '{folder}'")
+            self.spark.catalog.refreshTable(self.name)
+        else:
+            self.spark.sql(f"CREATE TABLE {self.name} ({_columns_sql(df)}) USING parquet LOCATION '{folder}'")
+
+
+class PartitionTable:
+    """External Parquet table whose partitions are replaced by pointing them to fresh folders."""
+
+    #: Partition columns in order; rows passed to the methods below with an underscore have them.
+    columns: tuple[str, ...] = ()
+    #: Value of a partition column from its text in a folder's name.
+    parse: Callable = staticmethod(str)
+
+    def __init__(self, spark: SparkSession, name: str, path: str):
+        self.spark, self.name, self.path = spark, name, path.rstrip("/")
+
+    # ------------------------------------------------------------- helpers
+    def _folder(self, values: tuple) -> str:
+        """The folder (and catalog name) of a partition below a load."""
+        def text(v) -> str:
+            return NULL_FOLDER if v is None else "".join(f"%{ord(c):02X}" if c in ESCAPED else c for c in str(v))
+        return "/".join(f"{c}={text(v)}" for c, v in zip(self.columns, values, strict=True))
+
+    def _spec(self, values: tuple) -> str:
+        return "PARTITION (" + ", ".join(f"{c} = {_literal(v)}" for c, v in zip(self.columns, values, strict=True)) + ")"
+
+    def _statement(self, action: str, parts: Sequence[str], between: str) -> None:
+        for lo in range(0, len(parts), STATEMENT_PARTITIONS):
+            self.spark.sql(f"ALTER TABLE {self.name} {action} {between.join(parts[lo:lo + STATEMENT_PARTITIONS])}")
 
     def _balanced(self, df: DataFrame, sort_key: str | None) -> DataFrame:
-        """Shuffle by folder with AQE rebalancing, then cluster each file.
+        """Shuffle by partition with AQE rebalancing, then cluster each file.
 
-        ``REBALANCE(dt)`` hash-partitions by folder; AQE splits a partition
-        that is too large (a hot day goes to several writers) and merges
-        small ones (few folders per writer). Unlike a range repartition it
-        needs no sampling pass over the upstream plan.
+        ``REBALANCE`` hash-partitions by the partition columns; AQE splits a
+        partition that is too large (a hot day goes to several writers) and
+        merges small ones (few folders per writer). Unlike a range
+        repartition it needs no sampling pass over the upstream plan.
         """
-        keys = [DAY_COLUMN] + ([sort_key] if sort_key else [])
-        return df.hint("rebalance", DAY_COLUMN).sortWithinPartitions(*keys)
+        return df.hint("rebalance", *self.columns).sortWithinPartitions(*self.columns, *([sort_key] if sort_key else []))
 
     def _raw(self) -> DataFrame:
-        reader = self.spark.read
-        if self.schema is not None:
-            reader = reader.schema(T.StructType(list(self.schema.fields) + [
-                T.StructField(DAY_COLUMN, T.DateType())]))
-        return reader.parquet(self.path)
+        return self.spark.table(self.name)
 
-    def _folders_in(self, df: DataFrame) -> set:
-        """Folder values of staged rows (a bounded list of dates, perhaps NULL)."""
-        return {r[0] for r in df.select(DAY_COLUMN).distinct().collect()}
+    # ------------------------------------------------------------- catalog
+    def exists(self) -> bool:
+        return self.spark.catalog.tableExists(self.name)
 
-    def _switch(self, content: DataFrame | None, touched: Iterable[dt.date | None], sort_key: str | None = None) -> None:
-        rows = None if content is None else self._balanced(content, sort_key)
-        FolderSwitch(self.spark, self.path).replace(rows, [DAY_COLUMN], [self._name(f) for f in touched])
+    def partitions(self) -> set[str]:
+        """Names of the partitions in the catalog (a bounded list: one short name each)."""
+        return {r[0] for r in self.spark.sql(f"SHOW PARTITIONS {self.name}").collect()} if self.exists() else set()
 
-    # ------------------------------------------------------------- reading
-    def exists(self) -> bool:
-        return path_exists(self.spark, self.path)
+    def read(self) -> DataFrame:
+        return self._raw().drop(*self.columns)
+
+    def _load(self, rows: DataFrame, sort_key: str | None, max_records_per_file: int | None = None) -> tuple[str, set[tuple]]:
+        """Rows written to a fresh folder by one job; the folder, and the partitions it fills (its own subfolders)."""
+        folder = f"{self.path}/load-{uuid.uuid4().hex[:12]}"
+        (self._balanced(rows, sort_key).write.option("maxRecordsPerFile", str(max_records_per_file or 0))
+         .partitionBy(*self.columns).parquet(folder))
+        names = [""]
+        for column in self.columns:
+            names = [f"{top}/{n}" for top in names for n in _children(self.spark, folder + top) if n.startswith(f"{column}=")]
+        return folder, {self._values(n[1:]) for n in names}
+
+    def _values(self, name: str) -> tuple:
+        """The values in a partition's name."""
+        texts = [unquote(part.split("=", 1)[1]) for part in name.split("/")]
+        return tuple(None if t == NULL_FOLDER else self.parse(t) for t in texts)
+
+    def _create(self, rows: DataFrame) -> None:
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name} ({_columns_sql(rows)}) USING parquet "
+                       f"PARTITIONED BY ({', '.join(self.columns)}) LOCATION '{self.path}'")
+
+    def _point(self, folder: str, filled: Iterable[tuple]) -> None:
+        """The partitions are from now on where the load has put them: one statement for all new ones, one for each other."""
+        held, new = self.partitions(), []
+        for values in sorted(filled, key=self._folder):
+            place = f"{folder}/{self._folder(values)}"
+            if self._folder(values) in held:
+                self.spark.sql(f"ALTER TABLE {self.name} {self._spec(values)} SET LOCATION '{place}'")
+            else:
+                new.append(f"{self._spec(values)} LOCATION '{place}'")
+        self._statement("ADD IF NOT EXISTS", new, " ")
+        self.spark.catalog.refreshTable(self.name)
+
+    def _replace(self, rows: DataFrame, listed: Iterable[tuple], sort_key: str | None = None,
+                 max_records_per_file: int | None = None) -> set[tuple]:
+        """Partitions that ``rows`` fills are replaced; of the listed ones, those it does not fill go."""
+        folder, filled = self._load(rows, sort_key, max_records_per_file)
+        self._create(rows)
+        self._point(folder, filled)
+        self._drop(set(listed) - filled)
+        return filled
+
+    def _drop(self, values: Iterable[tuple]) -> None:
+        held = self.partitions()
+        self._statement("DROP IF EXISTS", [self._spec(v) for v in sorted(values, key=self._folder) if self._folder(v) in held], ", ")
+
+    def vacuum(self) -> int:
+        """Removes loads that no partition points to; how many. Only while no reader of an older state is running."""
+        used = {part for name in self._raw().inputFiles() for part in name.split("/") if part.startswith("load-")}
+        old = [n for n in _children(self.spark, self.path) if n.startswith("load-") and n not in used]
+        for name in old:
+            _delete(self.spark, f"{self.path}/{name}")
+        return len(old)
+
+
+class DayTable(PartitionTable):
+    """Table partitioned by the UTC day ``dt`` of ``day_source`` (hidden on read)."""
+
+    columns = (DAY_COLUMN,)
+    parse = staticmethod(as_date)
+
+    def __init__(self, spark: SparkSession, name: str, path: str, day_source: str):
+        super().__init__(spark, name, path)
+        self.day_source = day_source
+
+    def _with_day(self, df: DataFrame) -> DataFrame:
+        return df.withColumn(DAY_COLUMN, F.to_date(F.col(self.day_source)))
 
     def read(self, days=None) -> DataFrame:
-        """Rows of the table (folder column hidden); listed days prune folders."""
+        """Rows of the table; listed days prune partitions in the catalog."""
         df = self._raw()
         if days is not None:
-            listed = sorted({as_date(d) for d in _as_list(days)})
-            df = df.filter(F.col(DAY_COLUMN).isin(sorted({self._folder_of(d) for d in listed})))
-            if self.granularity == "month":
-                df = df.filter(F.to_date(F.col(self.day_source)).isin(listed))
+            df = df.filter(_member(DAY_COLUMN, _dates(days)))
         return df.drop(DAY_COLUMN)
 
-    # ------------------------------------------------------------- writing
     def create(self, df: DataFrame, sort_key: str | None = None) -> None:
-        """Bootstrap: the whole table from a query (CTAS)."""
-        if self.schema is None:
-            self.schema = df.schema
-        out = self._balanced(self._with_day(df), sort_key)
-        out.write.mode("overwrite").partitionBy(DAY_COLUMN).parquet(self.path)
+        """Bootstrap: the whole table from a query (CTAS); of an older table, days without rows go."""
+        self._replace(self._with_day(df), {self._values(name) for name in self.partitions()}, sort_key)
 
     def replace_days(self, df: DataFrame, days=None, sort_key: str | None = None) -> None:
         """Rows of the listed days are replaced by the query's rows.
@@ -246,176 +281,127 @@ class DayTable:
         ``days=None`` replaces exactly the days the query has rows for; rows
         without a day count as one more day there. The query runs once.
         """
-        if self.schema is None:
-            self.schema = df.schema
-        if not self.exists():
-            self.create(df, sort_key)
+        rows = self._with_day(df)
+        if days is None or not self.exists():
+            self._replace(rows, [], sort_key)
             return
-        with stored_once(self._with_day(df), "staged-days") as staged:
-            if days is None:
-                listed = {r[0] for r in staged.select(self._day_col()).distinct().collect()}
-            else:
-                listed = {as_date(d) for d in _as_list(days)}
-            touched = {self._folder_of(d) for d in listed} | self._folders_in(staged)
-            kept = self._raw().filter(self._in(F.col(DAY_COLUMN), touched) & ~self._in(self._day_col(), listed))
-            self._switch(kept.unionByName(staged), touched, sort_key)
-
-    def merge_days(self, source: DataFrame, key: str, version_col: str | None = None,
-                   update_columns: Sequence[str] | None = None, sort_key: str | None = None,
-                   check_unique: bool = True) -> list:
-        """MERGE ``source`` into the table, rewriting only the touched folders.
-
-        A matched row can move to another day when its stamp changes, so the
-        touched folders are the old folders of matched keys (a semi-join that
-        reads only the key and folder columns) plus the source's folders. The
-        source is written once and read by both steps; the merged rows of the
-        touched folders are then switched in. Returns the touched folders.
-        """
-        from ..operators.merge import merge
-
-        if not self.exists():
-            self.create(source, sort_key)
-            return []
-        with stored_once(source, "merge-source") as rows:
-            keys = rows.select(key).filter(F.col(key).isNotNull())
-            old = self._raw().select(key, DAY_COLUMN).join(keys, key, "left_semi").select(DAY_COLUMN)
-            touched = self._folders_in(old.union(self._with_day(rows).select(DAY_COLUMN)))
-            current = self._raw().filter(self._in(F.col(DAY_COLUMN), touched)).drop(DAY_COLUMN)
-            merged = merge(current, rows, key=key, version_col=version_col,
-                           update_columns=update_columns, check_unique=check_unique)
-            self._switch(self._with_day(merged), touched, sort_key)
-        return sorted(touched, key=lambda d: (d is not None, d or dt.date.min))
+        listed = {(d,) for d in _dates(days)}
+        folder, filled = self._load(rows, sort_key)
+        held = self.partitions()
+        strays = [v for v in filled - listed if self._folder(v) in held]
+        self._point(folder, filled - set(strays))
+        self._drop(listed - filled)
+        if strays:
+            added = self.spark.read.schema(rows.schema).option("basePath", folder).parquet(*[f"{folder}/{self._folder(v)}" for v in strays])
+            added.select(*self._raw().columns).write.insertInto(self.name)
 
     def reload_day(self, df: DataFrame, day, sort_key: str | None = None) -> None:
-        """Delete-then-insert of one day, as one folder switch."""
+        """Delete-then-insert of one day, as one change of its location."""
         self.replace_days(df, [day], sort_key)
 
     def delete_days(self, days) -> None:
-        """Remove the rows of the listed days."""
-        listed = {as_date(d) for d in _as_list(days)}
-        if self.granularity == "month":
-            self.replace_days(self.spark.createDataFrame([], self.read().schema), listed)
-            return
-        if self.schema is None:
-            self.schema = self.read().schema
-        held = set(FolderSwitch(self.spark, self.path).names())
-        self._switch(None, [d for d in listed if self._name(d) in held])
+        """Remove the rows of the listed days, by the catalog alone."""
+        self._drop({(d,) for d in _dates(days)})
 
 
-def write_incremental(table: DayTable, df: DataFrame, days=None, sort_key: str | None = None) -> str:
-    """Create the table if it is missing, else replace the listed days."""
-    if not table.exists():
-        table.create(df, sort_key)
-        return "created"
-    table.replace_days(df, days, sort_key)
-    return "replaced"
+class HourTable(PartitionTable):
+    """Table partitioned by the load window's date and hour, which its rows carry as text."""
 
+    columns = ("load_date", "load_hour")
 
-class VersionedTable:
-    """Table whose images live in version folders behind a commit log."""
+    def replace_hours(self, rows: DataFrame, hours: Iterable[tuple[str, str]], max_records_per_file: int | None = None) -> None:
+        """The listed (date, hour) windows hold exactly these rows."""
+        self._replace(rows, set(hours), max_records_per_file=max_records_per_file)
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark = spark
-        self.path = path.rstrip("/")
+    def hours(self) -> set[tuple[str, str]]:
+        """Every window the table has."""
+        return {self._values(name) for name in self.partitions()}
 
-    @property
-    def log_path(self) -> str:
-        return f"{self.path}/{VERSION_LOG}"
 
-    def _current(self) -> tuple[int, str] | None:
-        if not path_exists(self.spark, self.log_path):
-            return None
-        row = (self.spark.read.parquet(self.log_path).groupBy("version").agg(F.min(F.struct("committed_at", "folder")).alias("first"))
-               .agg(F.max(F.struct("version", F.col("first.folder").alias("folder"))).alias("last")).first())
-        return None if row is None or row["last"] is None else (int(row["last"]["version"]), row["last"]["folder"])
+class KeyTable(PartitionTable):
+    """Current image with one row per key, in ``buckets`` hash buckets of the key.
 
-    def current_version(self) -> int | None:
-        current = self._current()
-        return None if current is None else current[0]
+    The number of buckets is fixed with the table: the image's bytes divided
+    by what one task should rewrite (some 256 MB).
+    """
 
-    def exists(self) -> bool:
-        return self._current() is not None
+    columns = (BUCKET_COLUMN,)
+    parse = staticmethod(int)
 
-    def read(self) -> DataFrame:
-        current = self._current()
-        if current is None:
-            raise FileNotFoundError(f"no committed version under {self.path}")
-        return self.spark.read.parquet(f"{self.path}/{current[1]}")
+    def __init__(self, spark: SparkSession, name: str, path: str, key: str = "id", buckets: int = 16):
+        super().__init__(spark, name, path)
+        self.key, self.buckets = key, buckets
 
-    def commit(self, df: DataFrame, version: int | None = None) -> int:
-        """Write ``df`` as a new image and commit it; returns its version.
+    def with_bucket(self, df: DataFrame) -> DataFrame:
+        """NULL keys never match, so they are spread over all buckets; a row that is in the table keeps its bucket."""
+        hashed = F.when(F.col(self.key).isNull(), F.monotonically_increasing_id()).otherwise(F.xxhash64(self.key))
+        return df.withColumn(BUCKET_COLUMN, F.pmod(hashed, F.lit(self.buckets)).cast("int"))
 
-        ``df`` may read the current image: every image has a folder of its
-        own. Of two writers that commit the same version, the later one fails
-        and its image is never read.
-        """
-        if version is None:
-            current = self.current_version()
-            version = 0 if current is None else current + 1
-        folder = f"version={version}-{uuid.uuid4().hex[:12]}"
-        df.write.parquet(f"{self.path}/{folder}")
-        log = self.spark.createDataFrame([(version, folder)], "version bigint, folder string")
-        log.withColumn("committed_at", F.current_timestamp()) \
-            .coalesce(1).write.mode("append").parquet(self.log_path)
-        mine = self.spark.read.parquet(self.log_path).filter(F.col("version") == version)
-        if mine.agg(F.min(F.struct("committed_at", "folder"))).first()[0]["folder"] != folder:
-            raise RuntimeError(f"another writer committed version {version} of {self.path}")
-        return version
-
-
-def _as_list(days) -> list:
-    if isinstance(days, (str, dt.date)):
-        return [days]
-    return list(days)
+    def create(self, df: DataFrame, sort_key: str | None = None) -> None:
+        """The whole image from a query, which may read the table; every bucket is replaced."""
+        self.replace_buckets(self.with_bucket(df), range(self.buckets), sort_key)
 
+    def bucket_rows(self, buckets: Iterable[int]) -> DataFrame:
+        return self._raw().filter(F.col(BUCKET_COLUMN).isin(sorted(buckets)))
 
-def write_incremental_table(spark: SparkSession, name: str, df: DataFrame, day_source: str,
-                            days=None) -> str:
-    """W11 on a catalog table: ``tableExists`` decides create or replace.
+    def replace_buckets(self, rows: DataFrame, buckets: Iterable[int], sort_key: str | None = None) -> None:
+        """The listed buckets hold exactly these rows, which carry their bucket."""
+        self._replace(rows, {(b,) for b in buckets}, sort_key)
 
-    Create: ``saveAsTable`` partitioned by ``dt``. Replace: one dynamic
-    ``insertInto(overwrite=True)`` for the listed days that get rows, ``ALTER
-    TABLE ... DROP PARTITION`` for listed days left without rows (a managed
-    table drops their files too), and a plain append for query rows outside
-    the list.
-    """
-    staged = df.withColumn(DAY_COLUMN, F.to_date(F.col(day_source)))
-    if not spark.catalog.tableExists(name):
-        staged.hint("rebalance", DAY_COLUMN).write.format("parquet") \
-            .partitionBy(DAY_COLUMN).saveAsTable(name)
-        return "created"
-    columns = spark.table(name).columns
-    if days is None:
-        _insert_dynamic(spark, staged.select(*columns), name)
-        return "replaced"
-    listed = sorted({as_date(d) for d in _as_list(days)})
-    in_list = F.col(DAY_COLUMN).isin(listed)
-    summary = staged.groupBy(F.when(in_list, F.col(DAY_COLUMN)).alias("d")).count().collect()
-    present = {r["d"] for r in summary if r["d"] is not None}
-    if present:
-        _insert_dynamic(spark, staged.filter(in_list).select(*columns), name)
-    missing = [d for d in listed if d not in present]
-    if missing:
-        specs = ", ".join(f"PARTITION ({DAY_COLUMN} = DATE'{d.isoformat()}')" for d in missing)
-        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {specs}")
-    if any(r["d"] is None for r in summary):
-        staged.filter(~in_list | F.col(DAY_COLUMN).isNull()).select(*columns).write.insertInto(name)
-    return "replaced"
+    def merge(self, source: DataFrame, version_col: str | None = None, update_columns: Sequence[str] | None = None,
+              sort_key: str | None = None) -> dict[str, list[int]]:
+        """MERGE ``source`` into the table; the buckets that were rewritten and those that were appended to.
 
+        The source is written once. Its rows meet the keys and stamps of the
+        buckets they fall in, and rows that the version guard refuses leave.
+        Buckets with an updated row are merged and replaced; buckets that get
+        new keys alone are appended to without reading their other columns. A
+        replayed guarded merge finds nothing to do.
+        """
+        if not self.exists():
+            self.create(source, sort_key)
+            return {"rewritten": list(range(self.buckets)), "appended": []}
+        key = self.key
+        if version_col is not None and version_col not in source.columns:
+            raise ValueError(f"version column {version_col!r} missing")
+        with stored_once(self.with_bucket(source), "merge-source", self.spark) as rows:
+            if not rows.filter(F.col(key).isNotNull()).groupBy(key).count().filter("count > 1").isEmpty():
+                raise ValueError(f"source has more than one row for some {key}")
+            met = [r[0] for r in rows.select(BUCKET_COLUMN).distinct().collect()]  # at most one row per bucket
+            stamp = F.col(version_col) if version_col else F.lit(None)
+            held = self.bucket_rows(met).filter(F.col(key).isNotNull()).select(
+                F.col(key).alias("__key"), stamp.alias("__stamp"), F.lit(True).alias("__held"))
+            new = F.col("__held").isNull()
+            takes_effect = new | (F.coalesce(F.col("__stamp") < F.col(version_col), F.lit(False)) if version_col else F.lit(True))
+            judged = rows.join(held, F.col(key) == F.col("__key"), "left").filter(takes_effect).withColumn("__new", new)
+            with stored_once(judged.drop("__key", "__stamp", "__held"), "merge-effective") as changes:
+                kinds = changes.groupBy(BUCKET_COLUMN).agg(F.bool_and("__new").alias("new")).collect()  # one row per bucket
+                rewritten = sorted(r[BUCKET_COLUMN] for r in kinds if not r["new"])
+                appended = sorted(r[BUCKET_COLUMN] for r in kinds if r["new"])
+                if rewritten:
+                    own = changes.filter(F.col(BUCKET_COLUMN).isin(rewritten)).drop("__new")
+                    image = merge(self.bucket_rows(rewritten), own, key=key, update_columns=update_columns, check_unique=False)
+                    self.replace_buckets(image, rewritten, sort_key)
+                if appended:
+                    own = changes.filter(F.col(BUCKET_COLUMN).isin(appended))
+                    missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in self._raw().schema.fields if f.name not in own.columns]
+                    self._balanced(own.select("*", *missing), sort_key).select(*self._raw().columns).write.insertInto(self.name)
+        return {"rewritten": rewritten, "appended": appended}
+
+    def _load(self, rows: DataFrame, sort_key: str | None, max_records_per_file: int | None = None) -> tuple[str, set[tuple]]:
+        return super()._load(rows, sort_key or self.key, max_records_per_file)
+
+
+def _dates(days) -> list:
+    if isinstance(days, (str, dt.date)):
+        days = [days]
+    return [as_date(d) for d in days]
 
-def _insert_dynamic(spark: SparkSession, df: DataFrame, name: str) -> None:
-    """``insertInto(overwrite=True)`` replacing only the partitions written.
 
-    ``insertInto`` follows the session's overwrite mode (not the writer
-    option), so the statement runs in a session of its own with that mode.
-    """
-    view = f"insert_{uuid.uuid4().hex[:12]}"
-    df.createGlobalTempView(view)
-    try:
-        own = spark.newSession()
-        for key in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions"):
-            own.conf.set(key, spark.conf.get(key))
-        own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        own.table(f"global_temp.{view}").write.insertInto(name, overwrite=True)
-    finally:
-        spark.catalog.dropGlobalTempView(view)
+def write_incremental(table: DayTable, df: DataFrame, days=None, sort_key: str | None = None) -> str:
+    """Create the table if the catalog lacks it, else replace the listed days."""
+    if not table.exists():
+        table.create(df, sort_key)
+        return "created"
+    table.replace_days(df, days, sort_key)
+    return "replaced"

@@ -3,16 +3,13 @@
 * ``ingest_staged`` (T1): staged Parquet extracts are picked up incrementally,
   each file exactly once (the file source's log in the checkpoint), and
   appended to a sink laid out by window keys.
-* ``upsert_stream`` (T2): every micro-batch is reduced to its newest row per
-  key and merged into a versioned target with the version guard, so late,
-  older rows lose. The new image is committed as version ``batch_id + 1``; a
-  replayed batch whose version is already committed is skipped, so a retry
-  after a lost executor or driver never applies a batch twice.
-* ``upsert_stream_days`` (T2 at scale): the same, into a day-partitioned
-  target where each batch rewrites only the folders it touches
-  (``DayTable.merge_days``). Applied batch ids go to a small log and are
-  skipped on replay; a replay of a batch that stopped midway converges,
-  because the guarded merge of rows already applied changes nothing.
+* ``upsert_stream`` (T2): the stream's state holds the newest row of every
+  key, so a micro-batch gives out only rows that are newer than all before
+  them: late and repeated rows are dropped without a look at the target. What
+  is left is merged into a ``KeyTable`` with the version guard, which rewrites
+  only the buckets it touches. A batch that is run again after a lost driver
+  finds its rows there and changes nothing; the number of the last batch is
+  kept as a table property, so that rows without a key are not added twice.
 """
 
 from __future__ import annotations
@@ -20,13 +17,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from pyspark.sql import functions as F
+from ..operators.merge import latest_per_key
+from ..sinks.tables import KeyTable
 
-from ..operators.merge import latest_per_key, merge
-from ..sinks.tables import DayTable, VersionedTable, path_exists
+#: Table property with the number of the last batch merged.
+LAST_BATCH = "tidemart.last_batch"
 
 
 def read_staged_stream(spark: SparkSession, path: str, schema: T.StructType,
@@ -49,64 +48,43 @@ def ingest_staged(spark: SparkSession, path: str, schema: T.StructType, sink_pat
     return writer.start(sink_path)
 
 
-def upsert_batch(batch: DataFrame, batch_id: int, target: VersionedTable, key: str,
-                 version_col: str) -> int | None:
-    """Merge one micro-batch; returns the committed version (None if skipped)."""
-    version = batch_id + 1
-    current = target.current_version()
-    if current is not None and current >= version:
-        return None  # already committed by an earlier attempt
-    changes = latest_per_key(batch, key, version_col)
-    if current is None:
-        image = changes
-    else:
-        image = merge(target.read(), changes, key=key, version_col=version_col,
-                      check_unique=False)
-    return target.commit(image, version=version)
-
-
-def upsert_stream(stream: DataFrame, target: VersionedTable, key: str, version_col: str,
-                  checkpoint: str, available_now: bool = True) -> StreamingQuery:
+def newest_rows(stream: DataFrame, key: str, version_col: str) -> DataFrame:
+    """Per micro-batch, the rows that become the newest of their key; rows without a key pass.
+
+    A streaming aggregate keeps the newest row of every key with the time of
+    the batch that brought it (the batch's own, which a rerun repeats). Of a
+    batch's keys, those whose newest row came just now are given out. Of equal
+    stamps the first to come stays; within a batch the largest by the other
+    columns wins. Rows are reduced to one per key and task before the shuffle.
+    """
+    others = [c for c in stream.columns if c not in (key, version_col)]
+    timed = stream.withColumn("__at", F.unix_micros(F.current_timestamp()))
+    order = F.struct(F.col(version_col).isNotNull(), version_col, -F.col("__at"), *others)
+    newest = (timed.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("__key"))
+              .agg(F.max_by(F.struct(*stream.columns, "__at"), order).alias("__row"), F.max("__at").alias("__last"))
+              .filter(F.col("__row.__at") == F.col("__last")).select(*[F.col(f"__row.{c}").alias(c) for c in stream.columns]))
+    return newest.unionByName(stream.filter(F.col(key).isNull()))
+
+
+def upsert_batch(batch: DataFrame, batch_id: int, target: KeyTable, version_col: str) -> dict[str, list[int]] | None:
+    """Merge one micro-batch; the buckets it changed (None if it was merged before)."""
+    spark = target.spark
+    if target.exists():
+        row = spark.sql(f"SHOW TBLPROPERTIES {target.name}").filter(F.col("key") == LAST_BATCH).first()
+        if row is not None and int(row["value"]) >= batch_id:
+            return None
+    changed = target.merge(latest_per_key(batch, target.key, version_col), version_col=version_col)
+    spark.sql(f"ALTER TABLE {target.name} SET TBLPROPERTIES ('{LAST_BATCH}' = '{batch_id}')")
+    return changed
+
+
+def upsert_stream(stream: DataFrame, target: KeyTable, version_col: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
     """Keep-latest upsert of a change stream into ``target``."""
     def handle(batch: DataFrame, batch_id: int) -> None:
-        upsert_batch(batch, batch_id, target, key, version_col)
-
-    writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
-    if available_now:
-        writer = writer.trigger(availableNow=True)
-    return writer.start()
-
-
-def _batch_log(table: DayTable) -> str:
-    return f"{table.path}/_batches"  # underscore: not a data folder
-
-
-def upsert_batch_days(batch: DataFrame, batch_id: int, target: DayTable, key: str,
-                      version_col: str) -> bool:
-    """Merge one micro-batch into a day-partitioned target; False if skipped."""
-    spark = batch.sparkSession
-    log = _batch_log(target)
-    if path_exists(spark, log) and \
-            spark.read.parquet(log).filter(F.col("batch_id") == batch_id).limit(1).count():
-        return False  # applied by an earlier attempt
-    changes = latest_per_key(batch, key, version_col)
-    if not target.exists():
-        target.create(changes, sort_key=key)
-    else:
-        target.merge_days(changes, key, version_col=version_col, sort_key=key,
-                          check_unique=False)  # one row per key already; written once there
-    spark.createDataFrame([(batch_id,)], "batch_id bigint").coalesce(1) \
-        .write.mode("append").parquet(log)
-    return True
-
-
-def upsert_stream_days(stream: DataFrame, target: DayTable, key: str, version_col: str,
-                       checkpoint: str, available_now: bool = True) -> StreamingQuery:
-    """T2 into a day-partitioned target: per batch, only touched folders."""
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        upsert_batch_days(batch, batch_id, target, key, version_col)
+        upsert_batch(batch, batch_id, target, version_col)
 
-    writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    writer = (newest_rows(stream, target.key, version_col).writeStream.outputMode("update")
+              .foreachBatch(handle).option("checkpointLocation", checkpoint))
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()

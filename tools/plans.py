@@ -51,7 +51,7 @@ def main(argv) -> None:
     spark = build_session()
     spark.conf.set("spark.sql.maxMetadataStringLength", "400")
     lineitem = fx.read_table(spark, sf, "lineitem")
-    fact_table = DayTable(spark, scratch_path(spark, "plans-fact"), "created_at")
+    fact_table = DayTable(spark, "plans_fact", scratch_path(spark, "plans-fact"), "created_at")
     fact_table.create(models.sales_transaction_fact(fx.order_items_source(spark, sf)), sort_key="id")
     cases = [
         ("sales_report (flagship)", catalog.sales_report(spark, sf)),
