@@ -1,5 +1,7 @@
 """Operators 3 and 9: exact against the tokenizer libraries, and round trips."""
 
+import random
+
 import numpy as np
 import public_tokenizers
 import pytest
@@ -8,7 +10,7 @@ import tiktoken
 from llm_data import EDGES, docs_of, words
 from tokenizers import Tokenizer
 
-from tidemart.llm import bpe, pretokens, token_binary
+from tidemart.llm import bpe, pretokens, queries, token_binary
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 MODEL = public_tokenizers.path("byte_bpe_50k.json")
@@ -93,3 +95,38 @@ def test_rank_map_finds_every_pair_and_nothing_else():
         c = (key * bpe.CLASS_MUL >> 28) % (1 << bpe.CLASS_BITS)
         entry = slots[bpe._slot(key, shifts[c])]
         assert (entry & ((1 << bpe.RANK_BITS) - 1) if entry >> bpe.RANK_BITS == key else None) == pairs.get(key)
+
+
+def test_long_words_are_cut_where_no_piece_spans(spark):
+    """100,000 bytes without a break: mixed scripts, digits and rules of signs."""
+    pick = random.Random(9)
+    own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(RANKS), special_tokens={})
+    texts = ["".join(chr(pick.randint(0x4E00, 0x9FFF)) for _ in range(33_000)), "".join(pick.choice("bcdfghjklmnpqrstvwxzßñ") for _ in range(3_000)),
+             "".join(pick.choice("aeinst") for _ in range(700)), "".join(chr(pick.randint(0xAC00, 0xD7A3)) for _ in range(5_000))]
+    rows = bpe.decode(bpe.encode(docs_of(spark, [(i, t) for i, t in enumerate(texts)]), RANKS), RANKS).collect()
+    assert {r.doc_id: r.ids for r in rows} == {i: own.encode_ordinary(t) for i, t in enumerate(texts)}
+    assert {r.doc_id: bytes(r.decoded).decode() for r in rows} == dict(enumerate(texts))
+
+
+def test_frequent_words_change_no_id(spark, monkeypatch):
+    """The same ids without the dictionary, with a small one, and with small rows and chunks."""
+    docs = docs_of(spark, [(i, " ".join(words(i % 7, 300))) for i in range(40)])
+    want = {r.doc_id: r.ids for r in bpe.encode(docs, RANKS).collect()}
+    for name, value in (("DICTIONARY", 50), ("ROW_WORDS", 3), ("CHUNK_CHARS", 5000), ("DICTIONARY", 0)):
+        monkeypatch.setattr(bpe, name, value)
+        assert {r.doc_id: r.ids for r in bpe.encode(docs, RANKS).collect()} == want
+        assert len(bpe.frequent_words(docs, RANKS).hashes) <= max(bpe.DICTIONARY, 0)
+
+
+def test_op9_digests_on_the_small_table(spark):
+    import hashlib
+
+    import duckdb
+
+    own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(RANKS), special_tokens={})
+    small = "/root/testdata/sf0.001"
+    want = set()
+    for i, text in duckdb.sql(f"select doc_id, text from '{small}/documents.parquet'").fetchall():
+        ids = own.encode_ordinary(text or "")
+        want.add((i, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((text or "").encode()).hexdigest()))
+    assert {tuple(r) for r in queries.op9_bpe(spark, small).collect()} == want

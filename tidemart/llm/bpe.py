@@ -3,8 +3,14 @@
 A word is an array of piece ids, at first one for each byte. The fold merges,
 again and again, the adjacent pair of lowest rank, the leftmost first, until
 no pair has a rank; ranks come from a literal map that is part of the plan.
-Only distinct words of a chunk of documents are folded. Decoding looks ids up
-in an array of binary pieces and concatenates them.
+
+Words are folded once, not once an occurrence: the words that occur most in the
+whole table are counted, folded and sent to all tasks (at most DICTIONARY of
+them, so their size is bounded), and a chunk of documents folds its other
+distinct words, in rows of at most ROW_WORDS. A word of more than CUT_BYTES is
+cut where no piece of the vocabulary that occurs in it spans the cut: merges
+never cross such a place. Decoding looks ids up in an array of binary pieces
+and concatenates them.
 """
 
 from __future__ import annotations
@@ -13,14 +19,17 @@ import base64
 import functools
 import json
 from collections.abc import Callable
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from . import pretokens
+from .common import written
 
 #: Of the literal rank map: slots, displacement classes, multipliers (products stay below 2**63), bits of a rank.
 SLOT_BITS, CLASS_BITS, RANK_BITS = 18, 15, 17
@@ -28,7 +37,11 @@ SLOT_MUL, CLASS_MUL = 1_540_483_477, 1_103_515_245
 #: Rank of a pair that does not merge; the id that stands at both ends of a word while it is folded.
 NEVER, EDGE = (1 << 31) - 1, (1 << 16) - 1
 #: Characters of one chunk of documents, whose distinct words are folded together, and of one numpy pass.
-CHUNK_CHARS, SPLIT_CHARS = 16 << 20, 1 << 20
+CHUNK_CHARS, SPLIT_CHARS = 4 << 20, 1 << 20
+#: Words folded ahead for the whole table, their longest, and how often a word of a chunk occurs there to be counted.
+DICTIONARY, DICTIONARY_CHARS, COUNTED = 1 << 19, 64, 2
+#: Words in one row, and bytes from which a word is looked through for cuts.
+ROW_WORDS, CUT_BYTES = 4096, 256
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -110,6 +123,21 @@ def fold_word(parts: Column, ranks: dict[bytes, int]) -> Column:
     return F.when(F.size(parts) < 2, parts).otherwise(let(F.concat(edge, parts, edge), fold))
 
 
+class Folded(NamedTuple):
+    """Ids of words folded ahead, by ascending word hash: ids of word i are flat[edges[i]:edges[i + 1]]."""
+
+    hashes: np.ndarray
+    edges: np.ndarray
+    flat: np.ndarray
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """Each hash's place, -1 where it is not there."""
+        if not len(self.hashes):
+            return np.full(len(hashes), -1)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == hashes, at, -1)
+
+
 class _Words:
     """What a task needs to turn distinct words into first pieces: ids of bytes and of whole words."""
 
@@ -124,22 +152,36 @@ class _Words:
         lengths = np.cumsum([0, *(len(p) for p, _ in known)])
         hashes = pretokens.piece_hashes("".join(p for p, _ in known), lengths[:-1], lengths[1:])
         order = np.argsort(hashes)
-        self.hashes, self.ranks = hashes[order], np.array([r for _, r in known], np.int32)[order]
-
-    def first_pieces(self, joined: str, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(flat ids, offsets): one id for a word that is a piece itself, else one for each byte."""
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        whole = self.hashes[at] == hashes
+        self.whole = Folded(hashes[order], np.arange(len(known) + 1), np.array([r for _, r in known], np.int32)[order])
+        self.ranks = ranks
+
+    @functools.cached_property
+    def by_length(self) -> dict[int, set[bytes]]:
+        out: dict[int, set[bytes]] = {}
+        for piece in self.ranks:
+            out.setdefault(len(piece), set()).add(piece)
+        return out
+
+    def cuts(self, word: bytes) -> list[int]:
+        """Offsets at which no piece that occurs in the word spans the place before them."""
+        spanned = np.zeros(len(word) + 1, np.int32)
+        for size, pieces in self.by_length.items():
+            if size > 1:
+                for i in [i for i in range(len(word) - size + 1) if word[i:i + size] in pieces]:
+                    spanned[i + 1] += 1
+                    spanned[i + size] -= 1
+        return (np.flatnonzero(np.cumsum(spanned)[1:-1] == 0) + 1).tolist()
+
+    def bytes_of(self, joined: str, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all bytes of the words, offsets of the words in them)."""
+        text = np.frombuffer(joined.encode(), np.uint8)
         points = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
         width = np.zeros(len(points) + 1, np.int64)
         np.cumsum(1 + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF), out=width[1:])
-        text = np.frombuffer(joined.encode(), np.uint8)
-        sizes = np.where(whole, 1, width[ends] - width[starts])
-        flat = self.byte_ids[text[pretokens.ragged(width[starts], sizes)]]
+        sizes = width[ends] - width[starts]
         offsets = np.zeros(len(sizes) + 1, np.int64)
         np.cumsum(sizes, out=offsets[1:])
-        flat[offsets[:-1][whole]] = self.ranks[at[whole]]
-        return flat, offsets
+        return text[pretokens.ragged(width[starts], sizes)], offsets
 
 
 @functools.cache
@@ -151,71 +193,172 @@ def _lists(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values.astype(np.int32)))
 
 
+def frequent_words(docs: DataFrame, vocabulary: str, text: str = "text") -> Folded:
+    """The words that occur most in all documents, folded: at most DICTIONARY, whatever the size of the table.
+
+    A chunk counts words it holds at least COUNTED times; the counts are added
+    up, and the words above the count that DICTIONARY of them reach are folded
+    by one job. Which words these are changes the work, never an id.
+    """
+    def count(batches):
+        table = _words(vocabulary)
+        for batch in batches:
+            texts = [t or "" for t in batch.column(0).to_pylist()]
+            for lo, hi in _chunks(texts, SPLIT_CHARS):
+                joined, starts, ends, _ = pretokens.split(texts[lo:hi])
+                own, at, n = np.unique(pretokens.piece_hashes(joined, starts, ends), return_index=True, return_counts=True)
+                wanted = (n >= COUNTED) & (table.whole.find(own) < 0) & (ends[at] - starts[at] <= DICTIONARY_CHARS)
+                words = [joined[starts[i]:ends[i]] for i in at[wanted].tolist()]
+                yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(n[wanted], pa.int64())], ["word", "n"])
+
+    counted = written(docs.select(text).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")), "bpe-words")
+    held, least = 0, 0
+    for row in counted.groupBy(F.least("n", F.lit(10_000)).alias("n")).count().orderBy(F.desc("n")).collect():  # at most 10,000 rows
+        held += row["count"]
+        if held > DICTIONARY:
+            break
+        least = row["n"]
+    if not least:
+        return Folded(np.empty(0, np.uint64), np.zeros(1, np.int64), np.empty(0, np.uint16))
+
+    def split(batches):
+        table = _words(vocabulary)
+        for batch in batches:
+            words = batch.column(0).to_pylist()
+            ends = np.cumsum([len(w) for w in words])
+            starts = ends - [len(w) for w in words]
+            flat, offsets = table.bytes_of("".join(words), starts, ends)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(pretokens.piece_hashes("".join(words), starts, ends).view(np.int64)), _lists(table.byte_ids[flat], offsets)], ["hash", "ids"])
+
+    def pack(batches):
+        for batch in batches:
+            ids = batch.column(1)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x], pa.binary()) for x in (batch.column(0).to_numpy().tobytes(), np.diff(ids.offsets.to_numpy()).astype(np.int16).tobytes(),
+                                                      ids.flatten().to_numpy().astype(np.uint16).tobytes())], ["hashes", "sizes", "flat"])
+
+    tasks = 4 * docs.sparkSession.sparkContext.defaultParallelism
+    firsts = counted.filter(F.col("n") >= least).select("word").repartition(tasks).mapInArrow(split, "hash long, ids array<int>")
+    folded = firsts.select("hash", fold_word(F.col("ids"), read_ranks(vocabulary)).alias("ids"))
+    packed = folded.mapInArrow(pack, "hashes binary, sizes binary, flat binary").collect()  # at most DICTIONARY words
+    hashes, sizes, flat = (np.concatenate([np.frombuffer(r[c], t) for r in packed]) for c, t in
+                           (("hashes", np.uint64), ("sizes", np.int16), ("flat", np.uint16)))
+    order = np.argsort(hashes)
+    sizes, begin = sizes.astype(np.int64), np.cumsum(sizes, dtype=np.int64) - sizes
+    edges = np.zeros(len(sizes) + 1, np.int64)
+    np.cumsum(sizes[order], out=edges[1:])
+    return Folded(hashes[order], edges, flat[pretokens.ragged(begin[order], sizes[order])])
+
+
 def encode(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, ids) of every row: the BPE ids (array<int>) of its whole text by the rank file `vocabulary`.
 
     Each match of the pre-tokenising pattern is encoded separately, without
     special tokens; null and empty texts have no ids. A task splits a chunk
-    of documents into words, the fold runs over the chunk's distinct words,
-    and the ids are put in place of the words: no shuffle, no state, and a
-    lost task is simply run again.
+    of documents into words; words of the vocabulary and frequent words have
+    their ids already, the fold runs over the chunk's other distinct words,
+    and the ids are put in place of the words. Rows of words go before the
+    row of their chunk through the same task: no state leaves it, and a lost
+    task is simply run again.
     """
     ranks = read_ranks(vocabulary)
+    ahead = docs.sparkSession.sparkContext.broadcast(tuple(frequent_words(docs, vocabulary, text)))
+    kind = docs.schema[key].dataType.simpleString()
+    key_type = to_arrow_type(docs.schema[key].dataType)
+    names = ["keys", "first", "codes", "known", "words"]
+
+    def row(keys, first, codes, known, words) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array([None], pa.list_(key_type)) if keys is None else pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys),
+             pa.array([first], pa.binary()), pa.array([codes], pa.binary()), pa.array([known], pa.binary()),
+             pa.array([None], pa.list_(pa.list_(pa.int32()))) if words is None else pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words)],
+            names)
 
     def words(batches):
-        table = _words(vocabulary)
+        table, dictionary = _words(vocabulary), Folded(*ahead.value)
         for batch in batches:
             ids, texts = batch.column(0), [t or "" for t in batch.column(1).to_pylist()]
             for a, b in _chunks(texts, CHUNK_CHARS):
-                hashes, flat, sizes, codes, counts, held = [], [], [], [], [], 0
+                hashes, codes, counts, held = [], [], [], 0
+                rare: dict[int, tuple[str, int, int]] = {}
                 for lo, hi in _chunks(texts[a:b], SPLIT_CHARS):  # numpy holds this much text at a time
                     joined, starts, ends, first = pretokens.split(texts[a + lo:a + hi])
                     own, at, which = np.unique(pretokens.piece_hashes(joined, starts, ends), return_index=True, return_inverse=True)
-                    ids_of, edges = table.first_pieces(joined, starts[at], ends[at], own)
+                    unknown = np.flatnonzero((table.whole.find(own) < 0) & (dictionary.find(own) < 0))
+                    for i in unknown.tolist():
+                        rare.setdefault(int(own[i]), joined[starts[at[i]]:ends[at[i]]])
                     hashes.append(own)
-                    flat.append(ids_of)
-                    sizes.append(np.diff(edges))
                     codes.append((which + held).astype(np.int32))
                     counts.append(np.diff(first))
                     held += len(own)
-                _, at, which = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
-                size = np.concatenate(sizes)
-                begin, edges = np.cumsum(size) - size, np.zeros(len(at) + 1, np.int64)
-                np.cumsum(size[at], out=edges[1:])
-                values = np.concatenate(flat)[pretokens.ragged(begin[at], size[at])]
+                distinct, which = np.unique(np.concatenate(hashes), return_inverse=True)
+                # codes: whole words, then words of the dictionary, then the chunk's own in ascending hash order
+                place, known = table.whole.find(distinct), dictionary.find(distinct)
+                mine = (place < 0) & (known < 0)
+                order = distinct[mine].tolist()
+                for lo in range(0, len(order), ROW_WORDS):
+                    flat, offsets = _cut(table, [rare[h] for h in order[lo:lo + ROW_WORDS]])
+                    yield row(None, None, None, flat[1], _lists(table.byte_ids[flat[0]], offsets))
+                code = np.where(place >= 0, place, np.where(known >= 0, len(table.whole.hashes) + known, 0)).astype(np.int32)
+                code[mine] = len(table.whole.hashes) + len(dictionary.hashes) + np.arange(len(order))
                 first = np.concatenate([[0], np.cumsum(np.concatenate(counts))])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.ListArray.from_arrays(pa.array([0, b - a], pa.int32()), ids.slice(a, b - a)),
-                     pa.array([first.astype(np.int32).tobytes()], pa.binary()),
-                     pa.array([which.astype(np.int32)[np.concatenate(codes)].tobytes()], pa.binary()),
-                     pa.ListArray.from_arrays(pa.array([0, len(at)], pa.int32()), _lists(values, edges))],
-                    ["keys", "first", "codes", "words"])
+                yield row(ids.slice(a, b - a), first.astype(np.int32).tobytes(), code[which.astype(np.int32)[np.concatenate(codes)]].tobytes(), None, None)
 
-    kind = docs.schema[key].dataType.simpleString()
-    chunks = docs.select(key, text).mapInArrow(words, f"keys array<{kind}>, first binary, codes binary, words array<array<int>>")
-    folded = chunks.select("keys", "first", "codes", F.transform("words", lambda w: fold_word(w, ranks)).alias("words"))
+    chunks = docs.select(key, text).mapInArrow(words, f"keys array<{kind}>, first binary, codes binary, known binary, words array<array<int>>")
+    folded = chunks.select("keys", "first", "codes", "known", F.transform("words", lambda w: fold_word(w, ranks)).alias("words"))
 
     def assemble(batches):
+        table, dictionary = _words(vocabulary), Folded(*ahead.value)
+        base = len(table.whole.hashes) + len(dictionary.hashes)
+        # ids of whole words and of the dictionary in one flat array, then those of the chunk
+        shared = np.concatenate([table.whole.flat, dictionary.flat.astype(np.int32)])
+        sizes = np.concatenate([np.ones(len(table.whole.hashes), np.int64), np.diff(dictionary.edges)])
+        begin = np.cumsum(sizes) - sizes
+        own_flat, own_sizes = [], []
         for batch in batches:
             for i in range(batch.num_rows):
+                if not batch.column(0)[i].is_valid:
+                    pieces = batch.column(4).slice(i, 1).flatten()
+                    own_flat.append(pieces.flatten().to_numpy().astype(np.int32))
+                    own_sizes.append(_joined_sizes(np.diff(pieces.offsets.to_numpy()), np.frombuffer(batch.column(3)[i].as_py(), np.int32)))
+                    continue
                 keys = batch.column(0).slice(i, 1).flatten()
                 first, codes = (np.frombuffer(batch.column(c)[i].as_py(), np.int32) for c in (1, 2))
-                pieces = batch.column(3).slice(i, 1).flatten()
-                flat = pieces.flatten().to_numpy()
-                offsets = np.frombuffer(pieces.buffers()[1], np.int32)[pieces.offset:pieces.offset + len(pieces) + 1].astype(np.int64)
-                offsets = offsets - offsets[0] if len(offsets) else np.zeros(1, np.int64)
-                sizes = np.diff(offsets)
+                flat = np.concatenate([shared, *own_flat])
+                size = np.concatenate([sizes, *own_sizes])
+                start = np.concatenate([begin, len(shared) + np.cumsum(size[base:]) - size[base:]])
+                own_flat, own_sizes = [], []
                 for lo in range(0, len(keys), 512):
                     hi = min(lo + 512, len(keys))
                     own = codes[first[lo]:first[hi]]
                     before = np.zeros(len(own) + 1, np.int64)
-                    np.cumsum(sizes[own], out=before[1:])
-                    ids = flat[pretokens.ragged(offsets[own], sizes[own])]
+                    np.cumsum(size[own], out=before[1:])
+                    ids = flat[pretokens.ragged(start[own], size[own])]
                     yield pa.RecordBatch.from_arrays([keys.slice(lo, hi - lo), _lists(ids, before[first[lo:hi + 1] - first[lo]])], [key, "ids"])
 
     return folded.mapInArrow(assemble, f"{key} {kind}, ids array<int>")
 
 
+def _cut(table: _Words, words: list[str]) -> tuple[tuple[np.ndarray, bytes], np.ndarray]:
+    """((bytes of the words, parts of each word as int32 bytes), offsets of the parts): a long word has several parts."""
+    raw = [w.encode() for w in words]
+    offsets, parts, held = [0], [], 0
+    for w in raw:
+        cuts = table.cuts(w) if len(w) > CUT_BYTES else []
+        offsets += [held + c for c in cuts] + [held + len(w)]
+        parts.append(len(cuts) + 1)
+        held += len(w)
+    return (np.frombuffer(b"".join(raw), np.uint8), np.array(parts, np.int32).tobytes()), np.array(offsets, np.int64)
+
+
+def _joined_sizes(sizes: np.ndarray, parts: np.ndarray) -> np.ndarray:
+    """Ids of each word from the ids of its parts."""
+    ends = np.cumsum(parts)
+    before = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+    return before[ends] - before[ends - parts]
+
+
 def _chunks(texts: list[str], limit: int):
     first, held = 0, 0
     for i, t in enumerate(texts):
