@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pytest
 from llm_data import EDGES, docs_of, words
+from pyspark.sql import functions as F
 
 from tidemart.llm import components, kernels, near_dedup, quote_links, suffix_dedup
 
@@ -68,6 +69,49 @@ def test_groups_equal_brute_force(spark, percent, monkeypatch):
     assert all(r.kept == (i == want[i]) and r.n_shingles == len(_sets(rows)[i][0]) for i, r in got.items())
 
 
+def test_families_under_the_threshold_send_each_text_once_a_cell(spark, monkeypatch):
+    """300 texts of one family, most pairs at a similarity around 0.82 and to be verified at 0.85."""
+    pick, head = random.Random(82), words(82, 400)
+    texts = []
+    for _ in range(300):
+        own = list(head)
+        for at in pick.sample(range(400), 4):
+            own[at] = f"x{pick.random()}"
+        texts.append(" ".join(own))
+    docs = docs_of(spark, list(enumerate(texts)))
+    plain, sent = near_dedup._verified, []
+
+    def counted(pairs, *args):
+        ends = pairs.select("cell", F.explode(F.array("a", "b"))).distinct()
+        sent.append((pairs.count(), ends.count()))
+        return plain(pairs, *args)
+
+    monkeypatch.setattr(near_dedup, "_verified", counted)
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(docs, percent=85).collect()}
+    monkeypatch.setattr(near_dedup, "_verified", plain)
+    assert got == near_brute(texts, 85)
+    pairs, ends = (sum(x) for x in zip(*sent, strict=True))
+    assert pairs > 5_000 and ends < pairs  # with a pair a row, twice as many texts as pairs were sent
+
+
+def near_brute(texts: list[str], percent: int) -> dict[int, int]:
+    sets = [set(zip(*(t.split()[i:] for i in range(5)), strict=False)) for t in texts]
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    return {i: find(i) for i in range(len(texts))}
+
+
 def test_near_dedup_edges(spark, edges, nothing):
     out = near_dedup.near_duplicates(edges).collect()
     assert len(out) == len(EDGES)

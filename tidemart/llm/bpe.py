@@ -30,6 +30,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from . import pretokens
 from .common import written
+from .kernels import chunks, text_column
 
 #: Of the literal rank map: slots, displacement classes, multipliers (products stay below 2**63), bits of a rank.
 SLOT_BITS, CLASS_BITS, RANK_BITS = 18, 15, 17
@@ -37,7 +38,7 @@ SLOT_MUL, CLASS_MUL = 1_540_483_477, 1_103_515_245
 #: Rank of a pair that does not merge; the id that stands at both ends of a word while it is folded.
 NEVER, EDGE = (1 << 31) - 1, (1 << 16) - 1
 #: Characters of one chunk of documents, whose distinct words are folded together, and of one numpy pass.
-CHUNK_CHARS, SPLIT_CHARS = 4 << 20, 1 << 20
+CHUNK_CHARS, SPLIT_CHARS = 4 << 20, 1 << 18
 #: Words folded ahead for the whole table, their longest, and how often a word of a chunk occurs there to be counted.
 DICTIONARY, DICTIONARY_CHARS, COUNTED = 1 << 19, 64, 2
 #: Words in one row, and bytes from which a word is looked through for cuts.
@@ -203,13 +204,21 @@ def frequent_words(docs: DataFrame, vocabulary: str, text: str = "text") -> Fold
     def count(batches):
         table = _words(vocabulary)
         for batch in batches:
-            texts = [t or "" for t in batch.column(0).to_pylist()]
-            for lo, hi in _chunks(texts, SPLIT_CHARS):
-                joined, starts, ends, _ = pretokens.split(texts[lo:hi])
-                own, at, n = np.unique(pretokens.piece_hashes(joined, starts, ends), return_index=True, return_counts=True)
-                wanted = (n >= COUNTED) & (table.whole.find(own) < 0) & (ends[at] - starts[at] <= DICTIONARY_CHARS)
-                words = [joined[starts[i]:ends[i]] for i in at[wanted].tolist()]
-                yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(n[wanted], pa.int64())], ["word", "n"])
+            for chunk in _chunks(batch.column(0), CHUNK_CHARS):
+                held: dict[int, str] = {}
+                hashes, counts = [], []
+                for _, texts in _pieces(batch.column(0), *chunk):
+                    joined, starts, ends, _ = pretokens.split(texts)
+                    own, at, n = np.unique(pretokens.piece_hashes(joined, starts, ends), return_index=True, return_counts=True)
+                    wanted = (table.whole.find(own) < 0) & (ends[at] - starts[at] <= DICTIONARY_CHARS)
+                    for h, i in zip(own[wanted].tolist(), at[wanted].tolist(), strict=True):
+                        held.setdefault(h, joined[starts[i]:ends[i]])
+                    hashes.append(own[wanted])
+                    counts.append(n[wanted])
+                own, which = np.unique(np.concatenate(hashes), return_inverse=True)
+                n = np.bincount(which, np.concatenate(counts), len(own)).astype(np.int64)
+                often = n >= COUNTED
+                yield pa.RecordBatch.from_arrays([pa.array([held[h] for h in own[often].tolist()], pa.string()), pa.array(n[often])], ["word", "n"])
 
     counted = written(docs.select(text).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")), "bpe-words")
     held, least = 0, 0
@@ -251,8 +260,9 @@ def frequent_words(docs: DataFrame, vocabulary: str, text: str = "text") -> Fold
     return Folded(hashes[order], edges, flat[pretokens.ragged(begin[order], sizes[order])])
 
 
-def encode(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+def encode(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "text", decoded: str | None = None) -> DataFrame:
     """(key, ids) of every row: the BPE ids (array<int>) of its whole text by the rank file `vocabulary`.
+    With a name in `decoded`, also the ids decoded again (as `decode` does, by the task that has them).
 
     Each match of the pre-tokenising pattern is encoded separately, without
     special tokens; null and empty texts have no ids. A task splits a chunk
@@ -278,12 +288,12 @@ def encode(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "t
     def words(batches):
         table, dictionary = _words(vocabulary), Folded(*ahead.value)
         for batch in batches:
-            ids, texts = batch.column(0), [t or "" for t in batch.column(1).to_pylist()]
-            for a, b in _chunks(texts, CHUNK_CHARS):
+            ids = batch.column(0)
+            for a, b in _chunks(batch.column(1), CHUNK_CHARS):
                 hashes, codes, counts, held = [], [], [], 0
                 rare: dict[int, tuple[str, int, int]] = {}
-                for lo, hi in _chunks(texts[a:b], SPLIT_CHARS):  # numpy holds this much text at a time
-                    joined, starts, ends, first = pretokens.split(texts[a + lo:a + hi])
+                for _, texts in _pieces(batch.column(1), a, b):  # numpy holds this much text at a time
+                    joined, starts, ends, first = pretokens.split(texts)
                     own, at, which = np.unique(pretokens.piece_hashes(joined, starts, ends), return_index=True, return_inverse=True)
                     unknown = np.flatnonzero((table.whole.find(own) < 0) & (dictionary.find(own) < 0))
                     for i in unknown.tolist():
@@ -316,6 +326,7 @@ def encode(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "t
         sizes = np.concatenate([np.ones(len(table.whole.hashes), np.int64), np.diff(dictionary.edges)])
         begin = np.cumsum(sizes) - sizes
         own_flat, own_sizes = [], []
+        pieces_of = _Pieces(table.ranks) if decoded else None
         for batch in batches:
             for i in range(batch.num_rows):
                 if not batch.column(0)[i].is_valid:
@@ -335,9 +346,11 @@ def encode(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "t
                     before = np.zeros(len(own) + 1, np.int64)
                     np.cumsum(size[own], out=before[1:])
                     ids = flat[pretokens.ragged(start[own], size[own])]
-                    yield pa.RecordBatch.from_arrays([keys.slice(lo, hi - lo), _lists(ids, before[first[lo:hi + 1] - first[lo]])], [key, "ids"])
+                    lists = _lists(ids, before[first[lo:hi + 1] - first[lo]])
+                    out = [keys.slice(lo, hi - lo), lists] + ([pieces_of.join(lists)] if decoded else [])
+                    yield pa.RecordBatch.from_arrays(out, [key, "ids", decoded][:len(out)])
 
-    return folded.mapInArrow(assemble, f"{key} {kind}, ids array<int>")
+    return folded.mapInArrow(assemble, f"{key} {kind}, ids array<int>" + (f", {decoded} binary" if decoded else ""))
 
 
 def _cut(table: _Words, words: list[str]) -> tuple[tuple[np.ndarray, bytes], np.ndarray]:
@@ -359,15 +372,38 @@ def _joined_sizes(sizes: np.ndarray, parts: np.ndarray) -> np.ndarray:
     return before[ends] - before[ends - parts]
 
 
-def _chunks(texts: list[str], limit: int):
-    first, held = 0, 0
-    for i, t in enumerate(texts):
-        if i > first and held + len(t) > limit:
-            yield first, i
-            first, held = i, 0
-        held += len(t)
-    if first < len(texts):
-        yield first, len(texts)
+def _chunks(texts: pa.Array, limit: int):
+    """Row ranges (first, last) whose texts hold about `limit` characters (bytes) together; a longer text is a range of its own."""
+    _, offsets = text_column(texts)
+    return chunks(offsets, limit)
+
+
+def _pieces(texts: pa.Array, first: int, last: int):
+    """((first, last), texts) of parts of some rows, SPLIT_CHARS each; null reads as empty."""
+    for lo, hi in _chunks(texts.slice(first, last - first), SPLIT_CHARS):
+        yield (first + lo, first + hi), [t or "" for t in texts.slice(first + lo, hi - lo).to_pylist()]
+
+
+class _Pieces:
+    """The vocabulary's pieces by id, to be joined."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        pieces = [b""] * (max(ranks.values()) + 1)
+        for piece, rank in ranks.items():
+            pieces[rank] = piece
+        self.sizes = np.array([len(p) for p in pieces], np.int64)
+        self.begin, self.flat = np.cumsum(self.sizes) - self.sizes, np.frombuffer(b"".join(pieces), np.uint8)
+
+    def join(self, column: pa.Array) -> pa.Array:
+        """The bytes of each list of ids; null for null."""
+        own = column.flatten().to_numpy()
+        offsets = np.zeros(len(own) + 1, np.int64)
+        np.cumsum(self.sizes[own], out=offsets[1:])
+        counts = np.cumsum([0, *(n or 0 for n in pa.compute.list_value_length(column).to_pylist())])
+        text = self.flat[pretokens.ragged(self.begin[own], self.sizes[own])].tobytes()
+        edges = offsets[counts].tolist()
+        null = column.is_null().to_pylist()
+        return pa.array([None if n else text[x:y] for n, x, y in zip(null, edges[:-1], edges[1:], strict=True)], pa.binary())
 
 
 def decode(rows: DataFrame, vocabulary: str, ids: str = "ids", name: str = "decoded") -> DataFrame:
@@ -376,25 +412,10 @@ def decode(rows: DataFrame, vocabulary: str, ids: str = "ids", name: str = "deco
     place = keep.index(ids)
 
     def run(batches):
-        ranks = read_ranks(vocabulary)
-        pieces = [b""] * (max(ranks.values()) + 1)
-        for piece, rank in ranks.items():
-            pieces[rank] = piece
-        sizes = np.array([len(p) for p in pieces], np.int64)
-        begin, flat = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(pieces), np.uint8)
+        pieces = _Pieces(read_ranks(vocabulary))
         for batch in batches:
             for a in range(0, batch.num_rows, 512):
                 part = batch.slice(a, 512)
-                column = part.column(place)
-                own = column.flatten().to_numpy()
-                offsets = np.zeros(len(own) + 1, np.int64)
-                np.cumsum(sizes[own], out=offsets[1:])
-                counts = np.cumsum([0, *(n or 0 for n in pa.compute.list_value_length(column).to_pylist())])
-                text = flat[pretokens.ragged(begin[own], sizes[own])].tobytes()
-                edges = offsets[counts].tolist()
-                null = column.is_null().to_pylist()
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array([None if n else text[x:y] for n, x, y in zip(null, edges[:-1], edges[1:], strict=True)], pa.binary())],
-                    [*keep, name])
+                yield pa.RecordBatch.from_arrays([*part.columns, pieces.join(part.column(place))], [*keep, name])
 
     return rows.select(*keep).mapInArrow(run, rows.select(*keep).schema.add(name, "binary"))

@@ -39,6 +39,8 @@ BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 2
 MARGIN = 4.0
 #: Classes of a bucket that meet in one block.
 BLOCK = 1024
+#: Classes on either side of a cell of pairs that are verified together; a cell gets each text once.
+CELL = 32
 #: Candidates that a class sends to verification in the successive rounds; None: all.
 WIDENING = (8, None)
 
@@ -83,7 +85,7 @@ def lowest_estimate(threshold: float) -> float:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, set_key, registers, bands) of every row; no words: 0 and nulls."""
+    """(doc_id, n_shingles, set_key, registers) of every row; no words: 0 and nulls."""
 
     def run(batches):
         for batch in batches:
@@ -94,19 +96,31 @@ def sketches(docs: DataFrame) -> DataFrame:
                 full = [s for s in sets if len(s)]
                 values = registers(full) if full else np.empty((0, REGISTERS), np.uint16)
                 keys = (hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in full)
-                rows = zip(keys, (v.tobytes() for v in values), band_hashes(values).view(np.int64).tolist() if full else (), strict=True)
-                got = [next(rows) if len(s) else (None, None, None) for s in sets]
+                rows = zip(keys, (v.tobytes() for v in values), strict=True)
+                got = [next(rows) if len(s) else (None, None) for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()), pa.array([g[0] for g in got], pa.binary()),
-                     pa.array([g[1] for g in got], pa.binary()), pa.array([g[2] for g in got], pa.list_(pa.int64()))],
-                    ["doc_id", "n_shingles", "set_key", "registers", "bands"])
+                     pa.array([g[1] for g in got], pa.binary())], ["doc_id", "n_shingles", "set_key", "registers"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id long, n_shingles long, set_key binary, registers binary, bands array<long>")
+        run, "doc_id long, n_shingles long, set_key binary, registers binary")
+
+
+def buckets(classes: DataFrame) -> DataFrame:
+    """(class, band, bucket): the buckets of every class, from its registers."""
+    def run(batches):
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 1024):
+                part = batch.slice(lo, 1024)
+                hashes = band_hashes(_matrix(part.column(1).to_pylist())).view(np.int64)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(hashes.tolist(), pa.list_(pa.int64()))], ["class", "bands"])
+
+    return classes.select("class", "registers").mapInArrow(run, "class long, bands array<long>").select(
+        "class", F.posexplode("bands").alias("band", "bucket"))
 
 
 def _likely(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose estimate may reach the threshold."""
+    """The pairs (a, b, cell) whose estimate may reach the threshold."""
     slim = classes.select("class", "n", "registers")
     x = slim.select(F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("registers").alias("r_a"))
     y = slim.select(F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("registers").alias("r_b"))
@@ -121,10 +135,10 @@ def _likely(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame
             n_a, n_b = (col[c].to_numpy().astype(float) for c in ("n_a", "n_b"))
             got = estimate((r_a > r_b).sum(1), (r_a < r_b).sum(1), (r_a == r_b).sum(1), n_a, n_b)
             keep = (got >= lowest) & (np.minimum(n_a, n_b) >= threshold * np.maximum(n_a, n_b) - 1e-9)
-            yield pa.RecordBatch.from_arrays([pa.array(col[c].to_numpy()[keep]) for c in ("a", "b")], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(col[c].to_numpy()[keep]) for c in ("a", "b", "cell")], ["a", "b", "cell"])
 
-    return (pairs.join(x, "a").join(y, "b").select("a", "b", "n_a", "n_b", "r_a", "r_b")
-            .mapInArrow(run, "a long, b long"))
+    return (pairs.join(x, "a").join(y, "b").select("a", "b", "cell", "n_a", "n_b", "r_a", "r_b")
+            .mapInArrow(run, "a long, b long, cell long"))
 
 
 def _matrix(rows: list[bytes]) -> np.ndarray:
@@ -132,27 +146,46 @@ def _matrix(rows: list[bytes]) -> np.ndarray:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The pairs with 100 * intersection >= percent * union of their full shingle sets."""
-    x = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("t_a"))
-    y = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("t_b"))
+    """The pairs (a, b) with 100 * intersection >= percent * union of their full shingle sets.
+
+    The pairs of a cell are verified in one task, which gets each of the
+    cell's texts once: a family of like texts in which all pairs have to be
+    verified costs its texts once for every CELL of its members, not once for
+    every pair.
+    """
+    ends = pairs.select("cell", F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    none = F.lit(None)
+    rows = (ends.join(texts, "doc_id").select("cell", F.lit(0).alias("kind"), F.col("doc_id").alias("a"), none.cast("long").alias("b"), "text")
+            .unionByName(pairs.select("cell", F.lit(1).alias("kind"), "a", "b", none.cast("string").alias("text")))
+            .repartition("cell").sortWithinPartitions("cell", "kind").select("cell", "kind", "a", "b", "text"))
+
+    def like(p: np.ndarray, q: np.ndarray) -> bool:
+        both = len(p) + len(q) - len(np.union1d(p, q))
+        return 100 * both >= percent * (len(p) + len(q) - both)
 
     def run(batches):
+        cell, held = None, {}
         for batch in batches:
-            a, b = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            keep = np.zeros(len(a), bool)
-            for first in range(0, len(a), 64):
-                one, two = ([s for lo, hi in chunks(o) for s in shingle_sets(d[o[lo]:o[hi]], o[lo:hi + 1] - o[lo], WIDTH)]
-                            for d, o in (text_column(batch.column(i).slice(first, 64)) for i in (2, 3)))
-                for i, (p, q) in enumerate(zip(one, two, strict=True)):
-                    both = len(p) + len(q) - len(np.union1d(p, q))
-                    keep[first + i] = 100 * both >= percent * (len(p) + len(q) - both)
-            yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], ["a", "b"])
-
-    return pairs.join(x, "a").join(y, "b").select("a", "b", "t_a", "t_b").mapInArrow(run, "a long, b long")
+            data, offsets = text_column(batch.column(4))
+            cells, kinds, a, b = (batch.column(i).to_pylist() for i in range(4))
+            found = []
+            for lo, hi in chunks(offsets):
+                sets = shingle_sets(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], WIDTH)
+                for i in range(lo, hi):
+                    if cells[i] != cell:
+                        cell, held = cells[i], {}
+                    if kinds[i] == 0:  # a document may have several texts
+                        held.setdefault(a[i], []).append(sets[i - lo])
+                    elif any(like(p, q) for p in held[a[i]] for q in held[b[i]]):
+                        found.append((a[i], b[i]))
+            if found:
+                yield _pairs(found)
+
+    return rows.mapInArrow(run, "a long, b long")
 
 
 def _open_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame, threshold: float, most: int | None) -> DataFrame:
-    """Likely pairs of classes that share a bucket but not yet a component.
+    """Likely pairs (a, b, cell) of classes that share a bucket but not yet a component.
 
     Of each bucket, the classes outside its main component (the one with most
     classes there) meet all classes, block by block. `most`: how many of its
@@ -176,8 +209,9 @@ def _open_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame, thres
               .select("bucket", "x", "y", "side", "band", "class", "component", "n", "registers"))
     lowest = lowest_estimate(threshold)
 
-    def meet(band, ids, comps, ns, regs, n_outer):
+    def meet(key, band, ids, comps, ns, regs, n_outer):
         out = []
+        block = mix(mix(np.array(key[:1], np.int64).view(np.uint64)) + np.uint64((key[1] << 32) + key[2] + 1))[0]
         for lo in range(0, n_outer, 64):
             hi = min(lo + 64, n_outer)
             same = regs[lo:hi, None, :] == regs[None, n_outer:, :]
@@ -194,12 +228,13 @@ def _open_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame, thres
                 continue
             r_a, r_b = regs[lo + i], regs[n_outer + j]
             got = estimate((r_a > r_b).sum(1), (r_a < r_b).sum(1), equal[i, j], ns[lo + i], ns[n_outer + j])
+            cells = mix(block + ((lo + i) // CELL).astype(np.uint64) * np.uint64(1 << 32) + (j // CELL).astype(np.uint64)).view(np.int64)
             best: dict[int, int] = {}
             for k in np.argsort(-got, kind="stable").tolist():
                 if got[k] < lowest or (most is not None and best.get(i[k], 0) >= most):
                     continue
                 best[i[k]] = best.get(i[k], 0) + 1
-                out.append((int(ids[lo + i[k]]), int(ids[n_outer + j[k]])))
+                out.append((int(ids[lo + i[k]]), int(ids[n_outer + j[k]]), int(cells[k])))
         return out
 
     def run(batches):
@@ -210,11 +245,11 @@ def _open_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame, thres
                 yield from zip(keys, c[3].to_pylist(), c[4].to_pylist(), c[5].to_pylist(), c[6].to_pylist(), c[7].to_pylist(),
                                c[8].to_pylist(), strict=True)
 
-        held: list[tuple[int, int]] = []
-        for _, group in itertools.groupby(flat(), key=lambda r: r[0]):
+        held: list[tuple[int, int, int]] = []
+        for key, group in itertools.groupby(flat(), key=lambda r: r[0]):
             group = list(group)  # at most about 2 * BLOCK rows
             ids, comps = (np.array([r[k] for r in group]) for k in (3, 4))
-            held += meet(group[0][2], ids, comps, np.array([r[5] for r in group], float), _matrix([r[6] for r in group]),
+            held += meet(key, group[0][2], ids, comps, np.array([r[5] for r in group], float), _matrix([r[6] for r in group]),
                          sum(r[1] == 0 for r in group))
             if len(held) > 10_000:
                 yield _pairs(held)
@@ -222,11 +257,15 @@ def _open_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame, thres
         if held:
             yield _pairs(held)
 
-    return placed.mapInArrow(run, "a long, b long").distinct()
+    return placed.mapInArrow(run, "a long, b long, cell long").groupBy("a", "b").agg(F.min("cell").alias("cell"))
 
 
-def _pairs(held: list[tuple[int, int]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([min(p) for p in held], pa.int64()), pa.array([max(p) for p in held], pa.int64())], ["a", "b"])
+def _pairs(held: list[tuple]) -> pa.RecordBatch:
+    """Pairs in ascending order, with their cells if they have any."""
+    columns = [pa.array([min(p[:2]) for p in held], pa.int64()), pa.array([max(p[:2]) for p in held], pa.int64())]
+    if len(held[0]) == 3:
+        columns.append(pa.array([p[2] for p in held], pa.int64()))
+    return pa.RecordBatch.from_arrays(columns, ["a", "b", "cell"][:len(columns)])
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
@@ -245,17 +284,19 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     sketched = written(sketches(docs), "sketches")
     named = sketched.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = written(named.groupBy("set_key").agg(
-        F.min("doc_id").alias("class"), F.first("n_shingles").alias("n"), F.first("registers").alias("registers"),
-        F.first("bands").alias("bands")), "classes")
-    banded = classes.select("class", F.posexplode("bands").alias("band", "bucket")).distinct()
+        F.min("doc_id").alias("class"), F.first("n_shingles").alias("n"), F.first("registers").alias("registers")), "classes")
+    banded = buckets(classes).distinct()
     sizes = banded.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
     members = written(banded.join(sizes, "bucket"), "members")
 
     scores = members.groupBy("class").agg(F.sum("size").alias("score"))
     central = (members.join(scores, "class").groupBy("bucket")
                .agg(F.max(F.struct("score", (-F.col("class")).alias("c"))).alias("m")).select("bucket", (-F.col("m.c")).alias("b")))
-    stars = (members.join(central, "bucket").filter("class <> b")
-             .select(F.least("class", "b").alias("a"), F.greatest("class", "b").alias("b")).distinct())
+    met = members.join(central, "bucket").filter("class <> b").select("class", F.col("b").alias("hub")).distinct()
+    hubs = met.groupBy("hub").agg(F.ceil(F.count("*") / CELL).alias("parts"))  # a hub's pairs are verified in cells
+    cell = F.xxhash64("hub", F.pmod(F.xxhash64("class"), "parts"))
+    stars = (met.join(hubs, "hub").groupBy(F.least("class", "hub").alias("a"), F.greatest("class", "hub").alias("b"))
+             .agg(F.min(cell).alias("cell")))
     texts = written(docs.select(F.col("doc_id").cast("long"), "text")
                     .join(members.select(F.col("class").alias("doc_id")).distinct(), "doc_id", "left_semi"), "texts")
     # one document with several texts joins their classes
@@ -266,7 +307,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     tested = saved(_likely(stars, classes, threshold))
     links = saved(_verified(tested, texts, percent).unionByName(repeated.select("a", "b")))
     for most in WIDENING:
-        fresh = saved(_open_pairs(members, components(links), classes, threshold, most).join(tested, ["a", "b"], "left_anti"))
+        fresh = saved(_open_pairs(members, components(links), classes, threshold, most).join(tested.drop("cell"), ["a", "b"], "left_anti"))
         links = saved(links.unionByName(_verified(fresh, texts, percent)))
         tested = tested.unionByName(fresh)
 

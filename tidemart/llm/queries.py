@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from . import (bpe, decontaminate, fingerprints, language_id, line_dedup, near_dedup, quote_links, ranked_search, sharding,
                suffix_dedup, token_binary, turn_repair, vector_dedup)
-from .common import table, written
+from .common import table
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,8 +74,7 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode every document by the rank file, decode the ids, digest both."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    ids = written(bpe.encode(table(spark, sf_dir, "documents"), path), "bpe-ids")  # so that no task runs both halves at once
-    coded = bpe.decode(ids, path)
+    coded = bpe.encode(table(spark, sf_dir, "documents"), path, decoded="decoded")
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                         F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("ids_sha256"),
                         F.sha2("decoded", 256).alias("decoded_sha256"))
