@@ -51,7 +51,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 9: the ids of every text, and the text decoded from them."""
     path = public_tokenizers.path(VOCABULARY)
-    coded = bpe.decode(bpe.encode(docs, path), path)
+    coded = bpe.encode(docs, path, decoded="decoded")
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.col("decoded").cast("string").alias("text"))
 
 
