@@ -227,6 +227,23 @@ def test_days_are_deleted_without_a_spark_job(spark):
     assert len(jobs) == 0 and rows(table.read(), "id") == [(19,)]
 
 
+def test_months_keep_day_semantics(spark):
+    table = _own(DayTable, spark, "created_at", granularity="month")
+    table.create(_facts(spark, [(1, T(2020, 1, 1), "a"), (2, T(2020, 1, 2), "b"), (3, T(2020, 2, 1), "c"), (4, T(2020, 3, 1), "d"), (9, None, "n")]))
+    assert len(table.partitions()) == 4
+    before = _locations(table)
+    # Jan 2 replaced, Feb 1 listed but empty -> gone, Jan 1 and Mar 1 untouched, a stray row added
+    table.replace_days(_facts(spark, [(5, T(2020, 1, 2, 7), "new"), (6, T(2020, 1, 1, 9), "stray")]), ["2020-01-02", "2020-02-01"])
+    assert rows(table.read(), "id") == [(1,), (4,), (5,), (6,), (9,)]
+    assert rows(table.read(days=["2020-01-02"]), "id") == [(5,)]
+    after = _locations(table)
+    assert after["dt=2020-03-01"] == before["dt=2020-03-01"] and "dt=2020-02-01" not in after
+    table.delete_days(["2020-01-01"])
+    assert rows(table.read(), "id") == [(4,), (5,), (9,)]
+    table.replace_days(_facts(spark, [(6, T(2020, 3, 1), "again"), (7, None, "m")]))  # days=None: Mar 1 and the NULL day
+    assert rows(table.read(), "id") == [(5,), (6,), (7,)]
+
+
 IMAGE = "id long, v string, updated_at timestamp_ntz"
 
 

@@ -48,6 +48,11 @@ def _own(kind: type, spark: SparkSession, name: str, *args, **kw):
     return kind(spark, unique, scratch_path(spark, name), *args, **kw)
 
 
+def _months(spark: SparkSession, name: str, day_source: str) -> DayTable:
+    """A day table for days of a few rows, as the models' days are on this data: months share a partition."""
+    return _own(DayTable, spark, name, day_source, granularity="month")
+
+
 # ------------------------------------------------------------------ sources
 def snapshot_extract(spark: SparkSession, sf: str) -> DataFrame:
     """Full extract -> type policy -> staged -> main, read back."""
@@ -290,7 +295,7 @@ def product_dim_history(spark: SparkSession, sf: str) -> DataFrame:
     """H2: first run copies the delta before the cut, later runs add the
     merge window's days (one replace of those days)."""
     delta = fx.products_delta(spark, sf)
-    table = _own(DayTable, spark, "history", "updated_at")
+    table = _months(spark, "history", "updated_at")
     jobs.run_product_history(table, delta.filter(F.col("updated_at") < fx.ntz(fx.MAIN_CUTOFF)))
     return jobs.run_product_history(table, delta, _days(fx.MAIN_CUTOFF[:10], P.HISTORY_END)).read()
 
@@ -298,7 +303,7 @@ def product_dim_history(spark: SparkSession, sf: str) -> DataFrame:
 def product_dim_daily(spark: SparkSession, sf: str) -> DataFrame:
     """H3: first run before the cut, then the later days replaced."""
     delta = fx.products_delta(spark, sf)
-    table = _own(DayTable, spark, "dim_daily", "updated_at")
+    table = _months(spark, "dim_daily", "updated_at")
     jobs.run_product_dimension_daily(table, delta.filter(F.col("updated_at") < fx.ntz(fx.MAIN_CUTOFF)))
     return jobs.run_product_dimension_daily(table, delta, _days(fx.MAIN_CUTOFF[:10], P.HISTORY_END)).read()
 
@@ -324,8 +329,8 @@ def sales_transaction_fact(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sales_periodic_fact(spark: SparkSession, sf: str) -> DataFrame:
-    fact = jobs.run_sales_transaction_fact(_own(DayTable, spark, "fact", "created_at"), fx.order_items_source(spark, sf))
-    return jobs.run_sales_periodic_fact(_own(DayTable, spark, "periodic", "transaction_date"), fact).read()
+    fact = jobs.run_sales_transaction_fact(_months(spark, "fact", "created_at"), fx.order_items_source(spark, sf))
+    return jobs.run_sales_periodic_fact(_months(spark, "periodic", "transaction_date"), fact).read()
 
 
 def sales_report(spark: SparkSession, sf: str) -> DataFrame:
@@ -336,9 +341,9 @@ def sales_report(spark: SparkSession, sf: str) -> DataFrame:
 
 def sales_report_daily(spark: SparkSession, sf: str) -> DataFrame:
     """H7 as scheduled: written fact and dimension in, report days out; two days' runs repeated."""
-    fact = jobs.run_sales_transaction_fact(_own(DayTable, spark, "fact", "created_at"), fx.order_items_source(spark, sf))
-    dim = jobs.run_product_dimension_daily(_own(DayTable, spark, "dim_daily", "updated_at"), fx.products_delta(spark, sf))
-    report = _own(DayTable, spark, "report", "transaction_date")
+    fact = jobs.run_sales_transaction_fact(_months(spark, "fact", "created_at"), fx.order_items_source(spark, sf))
+    dim = jobs.run_product_dimension_daily(_months(spark, "dim_daily", "updated_at"), fx.products_delta(spark, sf))
+    report = _months(spark, "report", "transaction_date")
     jobs.run_sales_report(report, fact, dim.read())
     for _ in range(2):
         jobs.run_sales_report(report, fact, dim.read(), list(P.REPORT_DAYS))

@@ -250,23 +250,42 @@ class PartitionTable:
 
 
 class DayTable(PartitionTable):
-    """Table partitioned by the UTC day ``dt`` of ``day_source`` (hidden on read)."""
+    """Table partitioned by the UTC day ``dt`` of ``day_source`` (hidden on read).
+
+    With ``granularity="month"`` the days of a month share a partition, named
+    by its first day: for tables whose days are far smaller than a file should
+    be (thousands of files of a few rows each cost more than their rows). Days
+    are replaced and deleted in both layouts; a month's other days are then
+    written again with them.
+    """
 
     columns = (DAY_COLUMN,)
     parse = staticmethod(as_date)
 
-    def __init__(self, spark: SparkSession, name: str, path: str, day_source: str):
+    def __init__(self, spark: SparkSession, name: str, path: str, day_source: str, granularity: str = "day"):
+        if granularity not in ("day", "month"):
+            raise ValueError(f"unknown granularity: {granularity}")
         super().__init__(spark, name, path)
-        self.day_source = day_source
+        self.day_source, self.monthly = day_source, granularity == "month"
+
+    def _day(self) -> Column:
+        return F.to_date(F.col(self.day_source))
 
     def _with_day(self, df: DataFrame) -> DataFrame:
-        return df.withColumn(DAY_COLUMN, F.to_date(F.col(self.day_source)))
+        return df.withColumn(DAY_COLUMN, F.trunc(self._day(), "month") if self.monthly else self._day())
+
+    def _part(self, day: dt.date | None) -> dt.date | None:
+        """The partition of a day."""
+        return day.replace(day=1) if self.monthly and day is not None else day
 
     def read(self, days=None) -> DataFrame:
         """Rows of the table; listed days prune partitions in the catalog."""
         df = self._raw()
         if days is not None:
-            df = df.filter(_member(DAY_COLUMN, _dates(days)))
+            listed = _dates(days)
+            df = df.filter(_member(DAY_COLUMN, map(self._part, listed)))
+            if self.monthly:
+                df = df.filter(self._day().isin(listed))
         return df.drop(DAY_COLUMN)
 
     def create(self, df: DataFrame, sort_key: str | None = None) -> None:
@@ -282,10 +301,16 @@ class DayTable(PartitionTable):
         without a day count as one more day there. The query runs once.
         """
         rows = self._with_day(df)
-        if days is None or not self.exists():
+        if not self.exists():
             self._replace(rows, [], sort_key)
-            return
-        listed = {(d,) for d in _dates(days)}
+        elif self.monthly:
+            self._replace_in_months(rows, days, sort_key)
+        elif days is None:
+            self._replace(rows, [], sort_key)
+        else:
+            self._replace_listed(rows, {(d,) for d in _dates(days)}, sort_key)
+
+    def _replace_listed(self, rows: DataFrame, listed: set[tuple], sort_key: str | None) -> None:
         folder, filled = self._load(rows, sort_key)
         held = self.partitions()
         strays = [v for v in filled - listed if self._folder(v) in held]
@@ -295,13 +320,25 @@ class DayTable(PartitionTable):
             added = self.spark.read.schema(rows.schema).option("basePath", folder).parquet(*[f"{folder}/{self._folder(v)}" for v in strays])
             added.select(*self._raw().columns).write.insertInto(self.name)
 
+    def _replace_in_months(self, rows: DataFrame, days, sort_key: str | None) -> None:
+        with stored_once(rows, "staged-days", self.spark) as staged:
+            filled = staged.select(DAY_COLUMN, self._day().alias("d")).distinct().collect()  # at most one row per day
+            listed = {r["d"] for r in filled} if days is None else set(_dates(days))
+            touched = {r[DAY_COLUMN] for r in filled} | set(map(self._part, listed))
+            old = self._raw().filter(_member(DAY_COLUMN, touched))
+            kept = old.filter(~F.coalesce(self._day().isin([d for d in listed if d]), F.lit(False)) & (F.lit(None not in listed) | self._day().isNotNull()))
+            self._replace(kept.unionByName(staged), {(m,) for m in touched}, sort_key)
+
     def reload_day(self, df: DataFrame, day, sort_key: str | None = None) -> None:
         """Delete-then-insert of one day, as one change of its location."""
         self.replace_days(df, [day], sort_key)
 
     def delete_days(self, days) -> None:
-        """Remove the rows of the listed days, by the catalog alone."""
-        self._drop({(d,) for d in _dates(days)})
+        """Remove the rows of the listed days, by the catalog alone where days have partitions of their own."""
+        if self.monthly:
+            self.replace_days(self.read().limit(0), days)
+        else:
+            self._drop({(d,) for d in _dates(days)})
 
 
 class HourTable(PartitionTable):
