@@ -40,6 +40,26 @@ def test_templates_of_few_documents_stay_and_copies_stay_whole(spark):
     assert line_dedup.drop_recurring_lines(near).filter("n_dropped > 0").count() == 0
 
 
+@pytest.mark.parametrize("size", [100, 2500])
+def test_fields_stay_variable_however_large_a_leaf_grows(spark, size):
+    """Fifty names in fifty cities: all lines go, in a small table and in a large one."""
+    rows = [(i, f"{' '.join(words(i, 15))}\nPhoto taken by name{chr(97 + i % 25)}{chr(97 + i % 2)} in "
+                f"city{chr(97 + i // 50 % 25)}{chr(97 + i % 3)} on request") for i in range(size)]
+    out = line_dedup.drop_recurring_lines(docs_of(spark, rows)).collect()
+    assert all(r.n_dropped == 1 and r.text == rows[r.doc_id][1].split("\n")[0] for r in out)
+
+
+def test_lines_with_many_digits_recur_as_they_are(spark):
+    rows = [(i, f"{' '.join(words(i, 15))}\nref 2024 0117 33 x9 build 4711") for i in range(30)]
+    assert {r.n_dropped for r in line_dedup.drop_recurring_lines(docs_of(spark, rows)).collect()} == {1}
+
+
+def test_pages_of_mostly_boilerplate_are_cleaned(spark):
+    rows = [(i, f"{' '.join(words(i, 6))}\nSubscribe to our weekly letter for news\nAll rights reserved by the publisher") for i in range(40)]
+    out = line_dedup.drop_recurring_lines(docs_of(spark, rows)).collect()
+    assert all(r.n_dropped == 2 and r.text == rows[r.doc_id][1].split("\n")[0] for r in out)
+
+
 def test_line_dedup_edges(spark, edges, nothing):
     out = line_dedup.drop_recurring_lines(edges)
     assert out.columns == [*edges.columns, "n_lines", "n_dropped"]

@@ -46,7 +46,6 @@ def test_files_hold_the_library_ids(spark, edges, tmp_path, layout):
     token_binary.write_tokens(edges, path, MODEL, layout=layout, block_ids=1000)  # long texts cross many blocks
     rows = token_binary.read_tokens(spark, path).orderBy("start").collect()
     model = Tokenizer.from_file(MODEL)
-    model.encode_special_tokens = True
     got, start = sorted((r.doc_id is not None, r.doc_id or 0, bytes(r.ids)) for r in rows), 0
     want = sorted(((i is not None, i or 0, np.array(model.encode(t or "", add_special_tokens=False).ids + [2], "<u4").tobytes())
                    for i, t, _ in EDGES))
@@ -130,3 +129,26 @@ def test_op9_digests_on_the_small_table(spark):
         ids = own.encode_ordinary(text or "")
         want.add((i, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((text or "").encode()).hexdigest()))
     assert {tuple(r) for r in queries.op9_bpe(spark, small).collect()} == want
+
+
+def test_added_tokens_inside_texts_equal_the_library(spark, tmp_path):
+    model = Tokenizer.from_file(MODEL)
+    mark = "<|endoftext|>"
+    texts = ["plain", f"a {mark} b", mark, mark + mark, f"{mark}start", f"end{mark}", f"x{mark}{mark} y\n{mark} ", "", f"{mark[:-1]} {mark}", None]
+    path = f"file://{tmp_path}/ids"
+    token_binary.write_tokens(docs_of(spark, list(enumerate(texts))), path, MODEL)
+    got = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in token_binary.read_tokens(spark, path).collect()}
+    assert got == {i: model.encode(t or "", add_special_tokens=False).ids + [2] for i, t in enumerate(texts)}
+
+
+def test_op3_digests_on_the_small_table(spark):
+    import zlib
+
+    import duckdb
+
+    model, small, want, start = Tokenizer.from_file(MODEL), "/root/testdata/sf0.001", set(), 0
+    for i, text in duckdb.sql(f"select doc_id, text from '{small}/documents.parquet' order by doc_id").fetchall():
+        ids = np.array(model.encode(text or "", add_special_tokens=False).ids + [2], "<u4")
+        want.add((i, start, len(ids), zlib.crc32(ids.tobytes())))
+        start += len(ids)
+    assert {tuple(r)[:4] for r in queries.op3_token_binary(spark, small).collect()} == want

@@ -2,13 +2,16 @@
 
 Lines fall into leaves of a tree of fixed depth: token count, then the leading
 tokens (a token with a digit counts as variable). In a leaf, a token that
-recurs at its position across documents is constant and any other is a
-variable field; the constants at their positions are the line's template.
-Lines whose template recurs across documents are boilerplate and are dropped.
+a share of the leaf's lines has at its position is constant and any other is a
+variable field, so the values of a field stay variable however large the leaf
+grows; the constants at their positions are the line's template. Lines whose
+template recurs across documents are boilerplate and are dropped, and so are
+lines that recur as they are, whatever their tokens.
 
 Documents are counted by distinct text, so exact copies do not make a line
-recurrent. A document that would lose more than half of its bytes is a copy
-rather than a carrier of boilerplate: it is left whole for near-dedup.
+recurrent. A document of which more than MAX_DROPPED would go has next to
+nothing of its own: near copies of each other (0.8 of their shingles alike)
+look like that, so it is left whole for near-dedup.
 """
 
 from __future__ import annotations
@@ -20,12 +23,14 @@ from .common import unused, written
 
 #: Leading tokens that name a leaf, below the token count.
 DEPTH = 3
-#: Distinct documents across which a token, a leaf or a template recurs.
+#: Distinct documents across which a leaf, a template or a line recurs.
 MIN_DOCS = 10
+#: Least share of a leaf's lines (one for each document that has it), and least number, that make a token constant.
+CONSTANT_SHARE, CONSTANT_LINES = 0.1, 2
 #: Least share of constant tokens in a template.
 MIN_CONSTANT = 0.6
 #: A document keeps all its lines where more than this share of its bytes would go.
-MAX_DROPPED = 0.5
+MAX_DROPPED = 0.8
 
 
 def _leaf(line: Column) -> Column:
@@ -50,8 +55,10 @@ def recurring_lines(docs: DataFrame, text: str = "text", min_docs: int = MIN_DOC
     distinct = placed.groupBy("leaf", "id").agg(F.first("line").alias("line"), F.count("*").alias("n"))
     tokens = distinct.select("leaf", "id", "n", F.posexplode(F.split("line", " ")).alias("pos", "token"))
     variable = F.col("token").rlike("[0-9]")
+    sizes = distinct.groupBy("leaf").agg(F.sum("n").alias("lines"))
     constant = (tokens.filter(~variable).groupBy("leaf", "pos", "token").agg(F.sum("n").alias("docs"))
-                .filter(F.col("docs") >= min_docs).select("leaf", "pos", "token", F.lit(True).alias("constant")))
+                .filter(F.col("docs") >= CONSTANT_LINES).join(sizes, "leaf").filter(F.col("docs") >= CONSTANT_SHARE * F.col("lines"))
+                .select("leaf", "pos", "token", F.lit(True).alias("constant")))
     fields = F.array_sort(F.collect_list(F.when(F.col("constant"), F.struct("pos", "token"))))
     templates = (tokens.join(constant, ["leaf", "pos", "token"], "left")
                  .groupBy("leaf", "id").agg(fields.alias("fields"), F.count("*").alias("n"))
@@ -60,7 +67,9 @@ def recurring_lines(docs: DataFrame, text: str = "text", min_docs: int = MIN_DOC
     seen = written(placed.select("leaf", "id", "doc").join(templates, ["leaf", "id"]).select("template", "doc", "id"), "templates")
     recurring = (seen.select("template", "doc").distinct().groupBy("template").agg(F.count("*").alias("n"))
                  .filter(F.col("n") >= min_docs).select("template"))
-    return seen.join(recurring, "template").groupBy("doc").agg(F.collect_set("id").alias("lines"))
+    as_is = distinct.filter(F.col("n") >= min_docs).select("leaf", "id")
+    gone = seen.join(recurring, "template").select("doc", "id").unionByName(placed.join(as_is, ["leaf", "id"], "left_semi").select("doc", "id"))
+    return gone.groupBy("doc").agg(F.collect_set("id").alias("lines"))
 
 
 def drop_recurring_lines(docs: DataFrame, text: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:
@@ -78,7 +87,7 @@ def drop_recurring_lines(docs: DataFrame, text: str = "text", min_docs: int = MI
               .withColumn(every, F.split(text, "\n"))
               .withColumn(kept, F.filter(every, lambda line: ~F.array_contains(F.col(lines), F.xxhash64(line)))))
     cut = F.array_join(kept, "\n")
-    boilerplate = F.col(lines).isNotNull() & (F.octet_length(cut) >= (1 - MAX_DROPPED) * F.octet_length(text))
+    boilerplate = F.col(lines).isNotNull() & (F.octet_length(cut) >= round(1 - MAX_DROPPED, 6) * F.octet_length(text))
     return joined.select(
         *(F.when(boilerplate, cut).otherwise(F.col(text)).alias(text) if c == text else F.col(c) for c in keep),
         F.coalesce(F.size(every), F.lit(0)).alias("n_lines"),
@@ -97,9 +106,10 @@ placed AS (SELECT * FROM lines SEMI JOIN leaves USING (n_tokens, lead)),
 own AS (SELECT n_tokens, lead, line, count(*) AS n FROM placed GROUP BY ALL),
 tokens AS (
   SELECT n_tokens, lead, line, n, unnest(string_split(line, ' ')) AS token, generate_subscripts(string_split(line, ' '), 1) AS pos FROM own),
+sizes AS (SELECT n_tokens, lead, sum(n) AS n_lines FROM own GROUP BY ALL),
 constant AS (
-  SELECT n_tokens, lead, pos, token FROM tokens WHERE NOT regexp_matches(token, '[0-9]')
-  GROUP BY ALL HAVING sum(n) >= {MIN_DOCS}),
+  SELECT n_tokens, lead, pos, token FROM tokens JOIN sizes USING (n_tokens, lead) WHERE NOT regexp_matches(token, '[0-9]')
+  GROUP BY n_tokens, lead, pos, token, n_lines HAVING sum(n) >= {CONSTANT_LINES} AND sum(n) >= {CONSTANT_SHARE} * n_lines),
 templates AS (
   SELECT n_tokens, lead, line, list({{'pos': pos, 'token': c.token}} ORDER BY pos) FILTER (c.token IS NOT NULL) AS fields
   FROM tokens t LEFT JOIN constant c USING (n_tokens, lead, pos, token)
@@ -107,7 +117,8 @@ templates AS (
 recurring AS (
   SELECT n_tokens, lead, fields FROM placed JOIN templates USING (n_tokens, lead, line)
   GROUP BY ALL HAVING count(DISTINCT doc) >= {MIN_DOCS}),
-dropped AS (SELECT DISTINCT line FROM templates SEMI JOIN recurring USING (n_tokens, lead, fields)),
+dropped AS (
+  SELECT line FROM templates SEMI JOIN recurring USING (n_tokens, lead, fields) UNION SELECT line FROM own WHERE n >= {MIN_DOCS}),
 every AS (
   SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos
   FROM documents),
@@ -116,7 +127,7 @@ cut AS (
     coalesce(string_agg(e.line, chr(10) ORDER BY pos) FILTER (d.line IS NULL), '') AS kept
   FROM every e LEFT JOIN dropped d ON e.line = d.line GROUP BY doc_id, text)
 SELECT doc_id, CAST(n_lines AS INTEGER) AS n_lines,
-  CAST(CASE WHEN strlen(kept) >= {1 - MAX_DROPPED} * strlen(text) THEN hit ELSE 0 END AS INTEGER) AS n_dropped,
-  sha256(CASE WHEN strlen(kept) >= {1 - MAX_DROPPED} * strlen(text) THEN kept ELSE text END) AS kept_sha256
+  CAST(CASE WHEN strlen(kept) >= {round(1 - MAX_DROPPED, 6)} * strlen(text) THEN hit ELSE 0 END AS INTEGER) AS n_dropped,
+  sha256(CASE WHEN strlen(kept) >= {round(1 - MAX_DROPPED, 6)} * strlen(text) THEN kept ELSE text END) AS kept_sha256
 FROM cut
 """

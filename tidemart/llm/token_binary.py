@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import functools
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -54,15 +55,50 @@ def from_planes(planes: list[bytes], n_ids: int, layout: str = "byte") -> np.nda
     return np.ascontiguousarray(np.packbits(bits, axis=1, bitorder="little")).view("<u4").ravel()
 
 
-@functools.cache
-def _cache(tokenizer: str) -> PieceCache:
-    """The tokenizer and the pieces that this worker process has met, kept from task to task."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+class _Encoder:
+    """The tokenizer's ids of whole texts: its added tokens are cut out of a text first, as the library does,
+    and the stretches between them are encoded from the pieces that this worker process has met."""
+
+    def __init__(self, tokenizer: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        model = Tokenizer.from_file(tokenizer)
+        added = model.get_added_tokens_decoder()
+        if any(t.lstrip or t.rstrip or t.single_word for t in added.values()):
+            raise ValueError("added tokens that take neighbours with them are not supported")
+        self.added = {t.content: i for i, t in added.items()}
+        longest = sorted(self.added, key=len, reverse=True)
+        self.cut = re.compile("|".join(map(re.escape, longest))) if longest else None
+        self.cache = PieceCache(lambda pieces: [e.ids for e in model.encode_batch_fast(pieces, add_special_tokens=False)], limit=CACHED_PIECES)
+
+    def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts in order, and per text the offset of its first id (one more at the end)."""
+        found = [list(self.cut.finditer(t)) if self.cut else [] for t in texts]
+        if not any(found):
+            return self.cache.ids(texts)
+        stretches, marks = [], []  # per text: its stretches, and the added token after each but the last
+        for t, hits in zip(texts, found, strict=True):
+            edges = [0, *(x for h in hits for x in h.span()), len(t)]
+            stretches += [t[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)]
+            marks += [self.added[h.group()] for h in hits] + [None]
+        ids, first = self.cache.ids(stretches)
+        parts, ends, held = [], [0], 0
+        for i, mark in enumerate(marks):
+            parts.append(ids[first[i]:first[i + 1]])
+            held += len(parts[-1])
+            if mark is None:
+                ends.append(held)
+            else:
+                parts.append(np.array([mark], np.uint32))
+                held += 1
+        return np.concatenate(parts), np.array(ends)
+
 
-    model = Tokenizer.from_file(tokenizer)
-    model.encode_special_tokens = True
-    return PieceCache(lambda pieces: [e.ids for e in model.encode_batch_fast(pieces, add_special_tokens=False)], limit=CACHED_PIECES)
+@functools.cache
+def _encoder(tokenizer: str) -> _Encoder:
+    """Kept from task to task of a worker process."""
+    return _Encoder(tokenizer)
 
 
 class _Writer:
@@ -99,22 +135,23 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, la
     """Encodes every whole text and writes the id stream to `path`.
 
     Null and empty texts give the end id alone. Documents follow ascending
-    `order`, nulls first; rows with equal ids keep any order. Special-token
-    strings inside a text are ordinary text. An empty table writes no block.
+    `order`, nulls first; rows with equal ids keep any order. An added token of
+    the tokenizer inside a text is one id, as the library has it with
+    add_special_tokens=False. An empty table writes no block.
     """
     schema = docs.sparkSession.createDataFrame([], SCHEMA).schema
 
     def encode(batches):
         from pyspark.sql.pandas.types import to_arrow_schema
 
-        cache = _cache(tokenizer)
+        encoder = _encoder(tokenizer)
         out = _Writer(TaskContext.get().partitionId(), block_ids, layout)
         arrow = to_arrow_schema(schema)
         last = np.array([end_id], np.uint32)
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
             for a, b in _runs(texts):
-                ids, first = cache.ids(texts[a:b])
+                ids, first = encoder.ids(texts[a:b])
                 for i in range(b - a):
                     for row in out.add(keys[a + i], np.concatenate([ids[first[i]:first[i + 1]], last])):
                         yield pa.RecordBatch.from_pylist([row], arrow)
