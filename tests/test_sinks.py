@@ -144,6 +144,22 @@ def test_hourly_change_load_of_several_hours(spark):
     assert rows(delta.read(), "id") == [(6,)]
 
 
+def test_rows_committed_after_their_window_are_loaded_once(spark):
+    """A late row, a row that repeats in the source, a version that the source has overwritten, and reruns."""
+    from tidemart.plans.jobs import late_change_load
+
+    delta = _own(HourTable, spark)
+    early = [(1, T(2020, 1, 1, 9, 10), "a"), (2, T(2020, 1, 1, 9, 50), "b"), (2, T(2020, 1, 1, 9, 50), "b")]
+    late_change_load(_facts(spark, early), "created_at", "2020-01-01 10:00:00", delta)
+    later = [(2, T(2020, 1, 1, 9, 50), "b"), (2, T(2020, 1, 1, 9, 50), "b"), (3, T(2020, 1, 1, 8, 30), "late"),
+             (4, T(2020, 1, 1, 10, 5), "now"), (1, T(2020, 1, 1, 10, 20), "a2"), (5, T(2020, 1, 1, 5, 0), "too late")]
+    for _ in range(2):
+        hours = late_change_load(_facts(spark, later), "created_at", "2020-01-01 11:00:00", delta)
+        assert rows(delta.read(), "id", "v") == [(1, "a"), (1, "a2"), (2, "b"), (2, "b"), (3, "late"), (4, "now")]
+    assert hours == ["2020-01-01/08:00:00", "2020-01-01/09:00:00", "2020-01-01/10:00:00"]
+    assert ("2020-01-01", "08:00:00") in delta.hours()
+
+
 def test_rows_without_a_day_are_replaced_like_a_day(spark):
     table = _own(DayTable, spark, "created_at")
     table.create(_facts(spark, [(1, T(2020, 1, 1), "a"), (2, None, "b"), (3, T(2020, 2, 1), "c")]))

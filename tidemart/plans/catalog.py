@@ -77,6 +77,17 @@ def hourly_change_load(spark: SparkSession, sf: str) -> DataFrame:
     return delta.read()
 
 
+def late_change_load(spark: SparkSession, sf: str) -> DataFrame:
+    """S4/H9 with late commits: a fifth of the items becomes visible up to three hours after its stamp,
+    and each run sees what is visible by then; one run is repeated."""
+    items, delta = fx.order_items_source(spark, sf), _own(HourTable, spark, "late_delta")
+    visible = F.col("created_at") + F.make_dt_interval(hours=F.when(F.col("id") % 5 == 0, F.col("id") % P.LATE_HOURS + 1).otherwise(0))
+    for run_time in P.LATE_RUNS:
+        seen = items.filter(visible <= fx.ntz(run_time))
+        jobs.late_change_load(seen, "created_at", run_time, delta, hours=P.LATE_WINDOW, overlap=P.LATE_HOURS + 1)
+    return delta.read()
+
+
 def cdc_window_products(spark: SparkSession, sf: str) -> DataFrame:
     return extract_changes(fx.products_delta(spark, sf), "updated_at", *P.PRODUCT_CDC_WINDOW)
 
@@ -400,6 +411,7 @@ def queries() -> dict[str, Query]:
         "snapshot_extract": snapshot_extract,
         "snapshot_extract_products": snapshot_extract_products,
         "hourly_change_load": hourly_change_load,
+        "late_change_load": late_change_load,
         "sales_report_daily": sales_report_daily,
         "stream_ingest": stream_ingest,
         "cdc_window_products": cdc_window_products,

@@ -113,6 +113,12 @@ def oracle_sql() -> dict[str, str]:
     runs = " OR ".join(f"(created_at >= date_trunc('hour', {ts(t)}) - INTERVAL {h} HOUR AND created_at < date_trunc('hour', {ts(t)}))"
                        for t, h in P.HOURLY_RUNS)
     q["hourly_change_load"] = with_(OI, f"SELECT * FROM order_items_delta WHERE {runs}")
+    # every row of the windows that is visible by the last run
+    first = min(P.LATE_RUNS)
+    q["late_change_load"] = with_(OI, f"""
+        SELECT * FROM order_items_delta
+        WHERE created_at >= {ts(first)} - INTERVAL {P.LATE_WINDOW + P.LATE_HOURS + 1} HOUR AND created_at < {ts(max(P.LATE_RUNS))}
+          AND created_at + to_hours(CASE WHEN id % 5 = 0 THEN id % {P.LATE_HOURS} + 1 ELSE 0 END) <= {ts(max(P.LATE_RUNS))}""")
     q["cdc_window_products"] = with_(PD, f"""
         SELECT *, strftime(date_trunc('hour', updated_at), '%Y-%m-%d') AS load_date,
                strftime(date_trunc('hour', updated_at), '%H:%M:%S') AS load_hour
