@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from .common import unused, written
+
 BUCKETS = 1 << 15
 MAX_LANGUAGES = 256
 UNKNOWN = "und"
@@ -131,12 +133,12 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "lang", buckets: i
     def count(batches):
         held: dict[str, np.ndarray] = {}
         for batch in batches:
-            labels, texts = batch.column(1).to_pylist(), batch.column(0).to_pylist()
-            for a in range(0, len(texts), 256):
+            labels = batch.column(1).to_pylist()
+            for a in range(0, batch.num_rows, 256):
                 own = labels[a:a + 256]
                 names = sorted(set(own))
                 number = {x: i for i, x in enumerate(names)}
-                codes, doc, _, _ = ngram_codes(texts[a:a + 256], buckets)
+                codes, doc, _, _ = ngram_codes(batch.column(0).slice(a, 256).to_pylist(), buckets)
                 base = np.array([number[x] for x in own])[doc] * buckets
                 sums = sum(np.bincount(base + c, minlength=len(names) * buckets) for c in codes).reshape(len(names), buckets)
                 for x, i in number.items():
@@ -150,8 +152,6 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "lang", buckets: i
 
     rows = labelled.select(F.col(text).alias("text"), F.col(label).alias("lang")).dropna()
     counts = rows.mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    from .common import written
-
     counts = written(counts, "languages")
     names = sorted(r["lang"] for r in counts.select("lang").distinct().limit(max_languages + 1).collect())
     if len(names) > max_languages:
@@ -178,10 +178,10 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text", name: str
 
     def run(batches):
         for batch in batches:
-            texts = batch.column(batch.schema.names.index(text)).to_pylist()
+            texts = batch.column(batch.schema.names.index(text))
             names, scores = [], []
-            for a in range(0, len(texts), 256):
-                n, s = shared.value.predict(texts[a:a + 256])
+            for a in range(0, len(texts), 256):  # so many texts at a time as Python strings
+                n, s = shared.value.predict(texts.slice(a, 256).to_pylist())
                 names += n
                 scores.append(s)
             scores = np.concatenate(scores) if scores else np.empty(0)
@@ -191,21 +191,23 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text", name: str
     return docs.select(*keep).mapInArrow(run, schema)
 
 
-def _with_likelihood(docs: DataFrame, model: LanguageModel, text: str, label: str, language: str) -> DataFrame:
-    """All columns, plus `_fit` (mean, variance and number) under the column `language`; null without words."""
+def _with_likelihood(docs: DataFrame, model: LanguageModel, text: str, label: str, language: str, name: str = "_fit") -> DataFrame:
+    """All columns, plus `name` (mean, variance and number) under the column `language`; null without words."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = docs.columns
     fit_type = StructType().add("mean", "double").add("variance", "double").add("n", "long")
-    schema = docs.select("*").schema.add("_fit", fit_type)
+    schema = docs.select("*").schema.add(name, fit_type)
 
     def run(batches):
         for batch in batches:
-            columns = [batch.column(names.index(c)).to_pylist() for c in (text, label, language)]
-            found = [shared.value.likelihood(t, x, own == x) if t is not None and x is not None else None
-                     for t, own, x in zip(*columns, strict=True)]
+            found = []
+            for a in range(0, batch.num_rows, 256):  # so many texts at a time as Python strings
+                columns = [batch.column(names.index(c)).slice(a, 256).to_pylist() for c in (text, label, language)]
+                found += [shared.value.likelihood(t, x, own == x) if t is not None and x is not None else None
+                          for t, own, x in zip(*columns, strict=True)]
             fits = pa.array([None if f is None else dict(zip(("mean", "variance", "n"), f, strict=True)) for f in found],
                             pa.struct([("mean", pa.float64()), ("variance", pa.float64()), ("n", pa.int64())]))
-            yield pa.RecordBatch.from_arrays([*batch.columns, fits], [*names, "_fit"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, fits], [*names, name])
 
     return docs.mapInArrow(run, schema)
 
@@ -233,6 +235,7 @@ def drop_untypical(judged: DataFrame, model: LanguageModel, language: str, text:
         return F.try_element_at(pairs, F.col(language))
 
     # neighbouring n-grams overlap: four of them count as one
-    spread = F.sqrt(F.pow(of(1), 2) + of(2) * 4 / F.col("_fit.n"))
-    fits = _with_likelihood(judged, model, text, label, language)
-    return fits.filter(F.col("_fit.mean") >= of(0) - FAR * spread).select(*judged.columns)
+    fit = unused(judged, "_fit")[0]
+    spread = F.sqrt(F.pow(of(1), 2) + of(2) * 4 / F.col(f"{fit}.n"))
+    fits = _with_likelihood(judged, model, text, label, language, fit)
+    return fits.filter(F.col(f"{fit}.mean") >= of(0) - FAR * spread).select(*judged.columns)
