@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.llm import bpe, decontaminate, language_id, line_dedup, near_dedup
-from tidemart.llm.common import table, written
+from tidemart.llm.common import table, unused, written
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -21,9 +21,10 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     best language is less likely than the others together, and one far less likely, n-gram by
     n-gram, than that language's labelled texts: gibberish, or a language that was not learned."""
     model = language_id.fit(docs)
-    judged = language_id.predict(docs, model, name="_lang", score="_score")
-    named = judged.filter((F.col("_lang") != language_id.UNKNOWN) & (F.col("_score") >= 0.5))
-    return language_id.drop_untypical(named, model, "_lang").select(*docs.columns)
+    name, score = unused(docs, "_lang", "_score")
+    judged = language_id.predict(docs, model, name=name, score=score)
+    named = judged.filter((F.col(name) != language_id.UNKNOWN) & (F.col(score) >= 0.5))
+    return language_id.drop_untypical(named, model, name).select(*docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,12 +36,18 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 5 at a similarity of 0.8: of each group the smallest doc_id stays.
 
-    Documents without words and rows with a null doc_id link with nothing and stay.
+    Documents without words and rows with a null doc_id link with nothing and
+    stay. Of rows that repeat a doc_id and its text the smallest by the other
+    columns stays; its other texts are documents of their own and stay too.
     """
+    name = unused(docs, "_kept")[0]
     kept = (near_dedup.near_duplicates(docs, percent=80).filter("kept AND doc_id IS NOT NULL")
-            .select(F.col("doc_id").alias("_kept")).distinct())
-    named = docs.filter("doc_id IS NOT NULL").join(kept, F.col("doc_id") == F.col("_kept"), "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.filter("doc_id IS NULL"))
+            .select(F.col("doc_id").alias(name)).distinct())
+    named = docs.filter("doc_id IS NOT NULL").join(kept, F.col("doc_id") == F.col(name), "left_semi")
+    others = F.struct(*[c for c in docs.columns if c not in ("doc_id", "text")])
+    first = named.groupBy("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias(name)).agg(F.min(F.struct(others.alias("o"), "text")).alias("m"))
+    once = first.select(*[F.col(c) if c == "doc_id" else F.col("m.text") if c == "text" else F.col(f"m.o.{c}") for c in docs.columns])
+    return once.unionByName(docs.filter("doc_id IS NULL"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
