@@ -160,6 +160,24 @@ def test_rows_committed_after_their_window_are_loaded_once(spark):
     assert ("2020-01-01", "08:00:00") in delta.hours()
 
 
+def test_a_load_that_fails_its_checks_stays_uncommitted(spark):
+    from tidemart.operators.quality import check_not_null, check_unique
+    from tidemart.sinks.tables import LoadRejected
+
+    table = _own(DayTable, spark, "created_at")
+    table.create(_facts(spark, [(1, T(2020, 1, 1), "a"), (2, T(2020, 1, 2), "b")]))
+    before = _locations(table)
+    table.checks = {"unique id": lambda df: check_unique(df, "id"), "v not null": lambda df: check_not_null(df, "v")}
+    bad = [[(5, T(2020, 1, 1), "x"), (5, T(2020, 1, 2), "y")], [(6, T(2020, 1, 1), None)]]
+    for load, reason in zip(bad, ("unique id fails for 1", "v not null fails for 1"), strict=True):
+        with pytest.raises(LoadRejected, match=reason):
+            table.replace_days(_facts(spark, load), ["2020-01-01", "2020-01-02"])
+        assert _locations(table) == before and rows(table.read(), "id") == [(1,), (2,)]
+    assert table.vacuum() == 0  # nothing of the refused loads is left
+    table.replace_days(_facts(spark, [(7, T(2020, 1, 1), "x")]), ["2020-01-01"])
+    assert rows(table.read(), "id") == [(2,), (7,)]
+
+
 def test_rows_without_a_day_are_replaced_like_a_day(spark):
     table = _own(DayTable, spark, "created_at")
     table.create(_facts(spark, [(1, T(2020, 1, 1), "a"), (2, None, "b"), (3, T(2020, 2, 1), "c")]))

@@ -20,7 +20,7 @@ from ..operators.measures import sales_by_attributes, signed_daily_sum
 from ..operators.merge import merge
 from ..operators.quality import check_not_null, check_unique
 from ..session import scratch_path
-from ..sinks.tables import DayTable, HourTable, ImageTable, KeyTable, create_view, stage_parquet, write_incremental
+from ..sinks.tables import DayTable, HourTable, ImageTable, KeyTable, LoadRejected, create_view, stage_parquet, write_incremental
 from ..sources import fixtures as fx
 from ..sources.extract import extract_changes, extract_window
 from ..sources.types import apply_type_policy
@@ -280,6 +280,23 @@ def replace_partitions_empty(spark: SparkSession, sf: str) -> DataFrame:
     return table.read()
 
 
+def checked_load(spark: SparkSession, sf: str) -> DataFrame:
+    """Q1/Q2 along with the load: the fact's ids have to be unique a day and its stamps not null. Raw items,
+    in which ids repeat, are refused and change nothing; the deduplicated days are taken."""
+    table = _own(DayTable, spark, "checked", "created_at", granularity="month")
+    table.checks = {"unique id a day": lambda df: check_unique(df.withColumn("key", F.struct("id", pr.day_of("created_at"))), "key"),
+                    "created_at not null": lambda df: check_not_null(df, "created_at")}
+    items, days = fx.order_items_source(spark, sf), _days(*P.CHECKED_DAYS)
+    table.create(models.sales_transaction_fact(items))
+    changed = items.withColumn("sale_price", F.col("sale_price") * 2)
+    for rows in (changed.unionByName(items), models.sales_transaction_fact(items, days).withColumn("sale_price", (F.col("sale_price") + 1).cast("decimal(18,2)"))):
+        try:
+            table.replace_days(rows, days, sort_key="id")
+        except LoadRejected:
+            pass
+    return table.read()
+
+
 # ------------------------------------------------------------- pipelines
 def product_dim_scd1(spark: SparkSession, sf: str) -> DataFrame:
     """H1: dimension from one image of the products, then the rows that a
@@ -447,6 +464,7 @@ def queries() -> dict[str, Query]:
         "merge_delta_to_main": merge_delta_to_main,
         "product_dim_intervals": product_dim_intervals,
         "product_intervals_incremental": product_intervals_incremental,
+        "checked_load": checked_load,
         "check_unique": check_unique_q,
         "check_not_null": check_not_null_q,
         "stream_upsert_final": stream_upsert_final,

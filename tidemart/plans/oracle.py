@@ -113,6 +113,10 @@ def oracle_sql() -> dict[str, str]:
     runs = " OR ".join(f"(created_at >= date_trunc('hour', {ts(t)}) - INTERVAL {h} HOUR AND created_at < date_trunc('hour', {ts(t)}))"
                        for t, h in P.HOURLY_RUNS)
     q["hourly_change_load"] = with_(OI, f"SELECT * FROM order_items_delta WHERE {runs}")
+    cols = ", ".join(c for c in ORDER_ITEM_COLUMNS if c != "sale_price")
+    q["checked_load"] = with_({**OI, "fact": FACT_SQL}, f"""
+        SELECT {cols}, CAST(sale_price + CASE WHEN {_day_range(*P.CHECKED_DAYS, 'created_at')} THEN 1 ELSE 0 END AS DECIMAL(18,2)) AS sale_price
+        FROM fact""")
     # every row of the windows that is visible by the last run
     first = min(P.LATE_RUNS)
     q["late_change_load"] = with_(OI, f"""

@@ -28,5 +28,6 @@ HOURLY_RUNS = (("1996-03-15 06:20:00", 6), ("1996-03-15 12:00:00", 6), ("1996-03
                ("1996-03-15 18:59:59", 6), ("1996-03-16 00:10:00", 6), ("1996-03-16 01:30:00", 1))  # H9 (run time, hours)
 LATE_HOURS, LATE_WINDOW = 3, 6           # H9 with late commits: longest delay, hours of a window
 LATE_RUNS = ("1996-03-15 06:00:00", "1996-03-15 12:00:00", "1996-03-15 12:00:00", "1996-03-15 18:00:00", "1996-03-16 00:00:00")
+CHECKED_DAYS = ("1997-02-01", "1997-03-01")       # Q1/Q2 in flight: days of a refused and an accepted load
 REPORT_DAYS = ("1996-03-15", "1996-03-16", "1997-07-01")  # H7 days that are run again
 LATE_BEFORE = "1998-01-01 00:00:00"      # T2: changes before this are delivered second

@@ -147,11 +147,17 @@ class ImageTable:
             self.spark.sql(f"CREATE TABLE {self.name} ({_columns_sql(df)}) USING parquet LOCATION '{folder}'")
 
 
+class LoadRejected(ValueError):
+    """A load failed its checks: its files are gone and the table is as it was."""
+
+
 class PartitionTable:
     """External Parquet table whose partitions are replaced by pointing them to fresh folders."""
 
     #: Partition columns in order; rows passed to the methods below with an underscore have them.
     columns: tuple[str, ...] = ()
+    #: Checks by name that every load has to pass before the catalog learns of it: each gives the rows that fail.
+    checks: dict[str, Callable[[DataFrame], DataFrame]] = {}
     #: Value of a partition column from its text in a folder's name.
     parse: Callable = staticmethod(str)
 
@@ -204,8 +210,18 @@ class PartitionTable:
         names = [""]
         for column in self.columns:
             names = [f"{top}/{n}" for top in names for n in _children(self.spark, folder + top) if n.startswith(f"{column}=")]
+        if self.checks and names:
+            self._check(folder, rows)
         return folder, {self._values(n[1:]) for n in names}
 
+    def _check(self, folder: str, rows: DataFrame) -> None:
+        """Runs the checks on the files just written: they read the columns they need there, the source is not scanned again."""
+        written = self.spark.read.schema(rows.schema).parquet(folder)
+        failed = {name: n for name, check in self.checks.items() if (n := check(written).count())}
+        if failed:
+            _delete(self.spark, folder)
+            raise LoadRejected(f"load of {self.name} rejected: " + ", ".join(f"{name} fails for {n}" for name, n in failed.items()))
+
     def _values(self, name: str) -> tuple:
         """The values in a partition's name."""
         texts = [unquote(part.split("=", 1)[1]) for part in name.split("/")]
