@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import pathlib
 import tempfile
 import zipfile
@@ -58,6 +59,13 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets the driver's JVM collect what a finished round has left, so that Spark's own cleaner removes its
+    shuffle files and checkpoints now and not at some later time."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def ordered_ids(keys: DataFrame, key: str) -> DataFrame:
     """Distinct keys with their dense position `idx` in ascending order (nulls first).
 

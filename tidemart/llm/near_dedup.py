@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, written
+from .common import release, saved, written
 from .components import components
 from .kernels import chunks, combine, mix, shingle_sets, text_column
 
@@ -306,10 +306,12 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
 
     tested = saved(_likely(stars, classes, threshold))
     links = saved(_verified(tested, texts, percent).unionByName(repeated.select("a", "b")))
+    release(docs.sparkSession)
     for most in WIDENING:
         fresh = saved(_open_pairs(members, components(links), classes, threshold, most).join(tested.drop("cell"), ["a", "b"], "left_anti"))
         links = saved(links.unionByName(_verified(fresh, texts, percent)))
         tested = tested.unionByName(fresh)
+        release(docs.sparkSession)
 
     labels = components(links).withColumnRenamed("id", "class")
     by_set = classes.select("set_key", "class").join(labels, "class", "left").select("set_key", F.coalesce("component", "class").alias("c"))
