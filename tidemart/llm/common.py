@@ -13,8 +13,16 @@ from pyspark.sql import functions as F
 from ..session import checkpoint_root, scratch_path
 
 
+#: Bytes of an Arrow batch: a task holds one in the JVM and one in Python for every Python step in it.
+BATCH_BYTES = 8 << 20
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Sends this package to the executors once per application, so that tasks can import it there."""
+    """Sends this package to the executors once per application, so that tasks can import it there, and
+    bounds the session's Arrow batches where it has not set them itself lower than BATCH_BYTES."""
+    size = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < int(spark.conf.get(size).rstrip("b")) <= BATCH_BYTES:
+        spark.conf.set(size, str(BATCH_BYTES))
     sc = spark.sparkContext
     if getattr(sc, "_tidemart_shipped", False):
         return
