@@ -153,7 +153,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     verified costs its texts once for every CELL of its members, not once for
     every pair.
     """
-    ends = pairs.select("cell", F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    ends = (pairs.select("cell", F.col("a").alias("doc_id")).distinct()
+            .unionByName(pairs.select("cell", F.col("b").alias("doc_id")).distinct()).distinct())
     none = F.lit(None)
     rows = (ends.join(texts, "doc_id").select("cell", F.lit(0).alias("kind"), F.col("doc_id").alias("a"), none.cast("long").alias("b"), "text")
             .unionByName(pairs.select("cell", F.lit(1).alias("kind"), "a", "b", none.cast("string").alias("text")))
