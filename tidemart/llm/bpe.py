@@ -41,6 +41,8 @@ NEVER, EDGE = (1 << 31) - 1, (1 << 16) - 1
 CHUNK_CHARS, SPLIT_CHARS = 4 << 20, 1 << 18
 #: Words folded ahead for the whole table, their longest, and how often a word of a chunk occurs there to be counted.
 DICTIONARY, DICTIONARY_CHARS, COUNTED = 1 << 19, 64, 2
+#: Characters of a plan that Spark keeps for display.
+PLAN_CHARS = 100_000
 #: Words in one row, and bytes from which a word is looked through for cuts.
 ROW_WORDS, CUT_BYTES = 4096, 256
 
@@ -92,11 +94,18 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def fold_word(parts: Column, ranks: dict[bytes, int]) -> Column:
+@functools.cache
+def _rank_literals(vocabulary: str) -> tuple[str, str]:
+    """The rank map of a file as text, built once a driver."""
+    shifts, slots = rank_map(pair_ranks(read_ranks(vocabulary)))
+    return json.dumps(shifts), json.dumps(slots)
+
+
+def fold_word(parts: Column, vocabulary: str) -> Column:
     """Ids after all merges of a word given as ids (array<int>): lowest rank first, then leftmost."""
-    shifts, slots = rank_map(pair_ranks(ranks))
-    shift_of = F.from_json(F.lit(json.dumps(shifts)), "array<int>")
-    slot_of = F.from_json(F.lit(json.dumps(slots)), "array<long>")
+    shifts, slots = _rank_literals(vocabulary)
+    shift_of = F.from_json(F.lit(shifts), "array<int>")
+    slot_of = F.from_json(F.lit(slots), "array<long>")
     never, edge = F.lit(NEVER), F.array(F.lit(EDGE))
 
     def rank(left: Column, right: Column) -> Column:
@@ -249,7 +258,7 @@ def frequent_words(docs: DataFrame, vocabulary: str, text: str = "text") -> Fold
 
     tasks = 4 * docs.sparkSession.sparkContext.defaultParallelism
     firsts = counted.filter(F.col("n") >= least).select("word").repartition(tasks).mapInArrow(split, "hash long, ids array<int>")
-    folded = firsts.select("hash", fold_word(F.col("ids"), read_ranks(vocabulary)).alias("ids"))
+    folded = firsts.select("hash", fold_word(F.col("ids"), vocabulary).alias("ids"))
     packed = folded.mapInArrow(pack, "hashes binary, sizes binary, flat binary").collect()  # at most DICTIONARY words
     hashes, sizes, flat = (np.concatenate([np.frombuffer(r[c], t) for r in packed]) for c, t in
                            (("hashes", np.uint64), ("sizes", np.int16), ("flat", np.uint16)))
@@ -272,7 +281,10 @@ def encode(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "t
     row of their chunk through the same task: no state leaves it, and a lost
     task is simply run again.
     """
-    ranks = read_ranks(vocabulary)
+    # the rank map stands in the plan: Spark would keep it as text for every execution and re-planning of it
+    conf = docs.sparkSession.conf
+    if int(conf.get("spark.sql.maxPlanStringLength").rstrip("b")) > PLAN_CHARS:
+        conf.set("spark.sql.maxPlanStringLength", str(PLAN_CHARS))
     ahead = docs.sparkSession.sparkContext.broadcast(tuple(frequent_words(docs, vocabulary, text)))
     kind = docs.schema[key].dataType.simpleString()
     key_type = to_arrow_type(docs.schema[key].dataType)
@@ -316,7 +328,7 @@ def encode(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "t
                 yield row(ids.slice(a, b - a), first.astype(np.int32).tobytes(), code[which.astype(np.int32)[np.concatenate(codes)]].tobytes(), None, None)
 
     chunks = docs.select(key, text).mapInArrow(words, f"keys array<{kind}>, first binary, codes binary, known binary, words array<array<int>>")
-    folded = chunks.select("keys", "first", "codes", "known", F.transform("words", lambda w: fold_word(w, ranks)).alias("words"))
+    folded = chunks.select("keys", "first", "codes", "known", F.transform("words", lambda w: fold_word(w, vocabulary)).alias("words"))
 
     def assemble(batches):
         table, dictionary = _words(vocabulary), Folded(*ahead.value)
