@@ -257,7 +257,9 @@ def frequent_words(docs: DataFrame, vocabulary: str, text: str = "text") -> Fold
                                                       ids.flatten().to_numpy().astype(np.uint16).tobytes())], ["hashes", "sizes", "flat"])
 
     tasks = 4 * docs.sparkSession.sparkContext.defaultParallelism
-    firsts = counted.filter(F.col("n") >= least).select("word").repartition(tasks).mapInArrow(split, "hash long, ids array<int>")
+    # written first: the plan that holds the rank map has no shuffle, so it is planned once
+    chosen = written(counted.filter(F.col("n") >= least).select("word").repartition(tasks), "bpe-frequent")
+    firsts = chosen.mapInArrow(split, "hash long, ids array<int>")
     folded = firsts.select("hash", fold_word(F.col("ids"), vocabulary).alias("ids"))
     packed = folded.mapInArrow(pack, "hashes binary, sizes binary, flat binary").collect()  # at most DICTIONARY words
     hashes, sizes, flat = (np.concatenate([np.frombuffer(r[c], t) for r in packed]) for c, t in
