@@ -23,6 +23,20 @@ def test_fixture_known_numbers(spark):
     assert tuple(r) == (8000, 2000, 8000)
 
 
+def test_parts_of_one_file_are_dealt_out_before_their_versions_are_made(spark, tmp_path):
+    parts = spark.range(400).selectExpr("id AS p_partkey", "concat('n', id) AS p_name", "'t' AS p_type", "1.5D AS p_retailprice")
+    nulls = spark.range(3).selectExpr("CAST(null AS long)", "CAST(null AS string)", "'t'", "CAST(null AS double)")
+    parts.union(nulls).coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # tiny inputs are merged again
+    try:
+        delta = fx.products_delta(spark, str(tmp_path))
+        sizes = [n for n in delta.rdd.mapPartitions(lambda r: [sum(1 for _ in r)]).collect() if n]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(sizes) == 4 * 403 and len(sizes) > 1 and max(sizes) < 4 * 403 // 2
+    assert delta.filter("id IS NULL").count() == 12
+
+
 def test_change_window_arithmetic():
     assert pr.change_window("2023-02-12 10:15:42") == (D(2023, 2, 12, 9), D(2023, 2, 12, 10))
     assert pr.window_prefix(D(2023, 2, 12, 9)) == "2023-02-12/09:00:00"

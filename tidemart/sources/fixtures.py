@@ -86,11 +86,13 @@ def products_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``products`` change feed: four versions of every part.
 
     The versions come from exploding a fixed 4-element array (no join), so the
-    work is one narrow pass over ``part``. Change 3 falls on the same day as
+    work is one pass over ``part``, dealt out while its rows are narrow. Change 3 falls on the same day as
     change 0, a few hours later.
     """
     part = read_table(spark, sf_dir, "part").select(
         "p_partkey", "p_name", "p_type", "p_retailprice")
+    # a file that one task reads holds millions of parts: their versions are made, and sorted later, by many tasks
+    part = part.repartition(*part.columns)
     versions = F.explode(F.array(*[F.lit(v).cast("long") for v in range(CHANGES_PER_PRODUCT)]))
     m_key, m_version = CHANGE_DAY_MULTIPLIERS
     key = F.col("p_partkey")
