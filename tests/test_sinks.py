@@ -278,6 +278,26 @@ def test_months_keep_day_semantics(spark):
     assert rows(table.read(), "id") == [(5,), (6,), (7,)]
 
 
+def test_a_refused_load_of_months_writes_its_stage_alone(spark, monkeypatch):
+    from tidemart.operators.quality import check_not_null, check_unique
+    from tidemart.sinks.tables import LoadRejected
+
+    table = _own(DayTable, spark, "created_at", granularity="month")
+    table.checks = {"unique id": lambda df: check_unique(df, "id"), "v not null": lambda df: check_not_null(df, "v")}
+    table.create(_facts(spark, [(1, T(2020, 1, 1), "a"), (2, T(2020, 1, 2), "b"), (3, T(2020, 2, 1), "c")]))
+    before, loads = _locations(table), []
+    load = table._load
+    monkeypatch.setattr(table, "_load", lambda *a, **kw: loads.append(1) or load(*a, **kw))
+    # an id of its own, one that the month's other day has, and a NULL
+    for rejected, reason in (([(5, T(2020, 1, 2), "x"), (5, T(2020, 1, 2), "y")], "unique id fails for 1"),
+                             ([(1, T(2020, 1, 2), "x")], "unique id fails for 1"), ([(6, T(2020, 1, 2), None)], "v not null fails for 1")):
+        with pytest.raises(LoadRejected, match=reason):
+            table.replace_days(_facts(spark, rejected), ["2020-01-02"])
+    assert not loads and _locations(table) == before and table.vacuum() == 0
+    table.replace_days(_facts(spark, [(3, T(2020, 1, 2), "x")]), ["2020-01-02"])  # id 3 of another month is not judged with it
+    assert loads and rows(table.read(), "id") == [(1,), (3,), (3,)]
+
+
 IMAGE = "id long, v string, updated_at timestamp_ntz"
 
 

@@ -45,6 +45,8 @@ DAY_COLUMN = "dt"
 BUCKET_COLUMN = "bucket"
 #: Partitions named in one catalog statement.
 STATEMENT_PARTITIONS = 1000
+#: Of the files of tables and of rows stored for several steps.
+COMPRESSION = "zstd"
 #: Spark's name of the folder of a NULL partition, and the characters it escapes in folder names.
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 ESCAPED = set("\"#%'*/:=?\\{[]^\x7f") | {chr(c) for c in range(1, 32)}
@@ -68,7 +70,7 @@ def stored_once(df: DataFrame, name: str, spark: SparkSession | None = None) ->
     spark = spark or df.sparkSession
     path = scratch_path(spark, name)
     try:
-        df.write.parquet(path)
+        df.write.option("compression", COMPRESSION).parquet(path)
         yield spark.read.schema(df.schema).parquet(path)
     finally:
         _delete(spark, path)
@@ -202,24 +204,27 @@ class PartitionTable:
     def read(self) -> DataFrame:
         return self._raw().drop(*self.columns)
 
-    def _load(self, rows: DataFrame, sort_key: str | None, max_records_per_file: int | None = None) -> tuple[str, set[tuple]]:
-        """Rows written to a fresh folder by one job; the folder, and the partitions it fills (its own subfolders)."""
+    def _load(self, rows: DataFrame, sort_key: str | None, max_records_per_file: int | None = None, judged: bool = False) -> tuple[str, set[tuple]]:
+        """Rows written to a fresh folder by one job; the folder, and the partitions it fills (its own subfolders).
+        They have to pass the checks, unless they have been judged."""
         folder = f"{self.path}/load-{uuid.uuid4().hex[:12]}"
-        (self._balanced(rows, sort_key).write.option("maxRecordsPerFile", str(max_records_per_file or 0))
+        (self._balanced(rows, sort_key).write.options(maxRecordsPerFile=str(max_records_per_file or 0), compression=COMPRESSION)
          .partitionBy(*self.columns).parquet(folder))
         names = [""]
         for column in self.columns:
             names = [f"{top}/{n}" for top in names for n in _children(self.spark, folder + top) if n.startswith(f"{column}=")]
-        if self.checks and names:
-            self._check(folder, rows)
+        if self.checks and names and not judged:
+            try:
+                self._check(self.spark.read.schema(rows.schema).parquet(folder))
+            except LoadRejected:
+                _delete(self.spark, folder)
+                raise
         return folder, {self._values(n[1:]) for n in names}
 
-    def _check(self, folder: str, rows: DataFrame) -> None:
-        """Runs the checks on the files just written: they read the columns they need there, the source is not scanned again."""
-        written = self.spark.read.schema(rows.schema).parquet(folder)
+    def _check(self, written: DataFrame) -> None:
+        """Runs the checks on rows that are written: they read the columns they need, the source is not scanned again."""
         failed = {name: n for name, check in self.checks.items() if (n := check(written).count())}
         if failed:
-            _delete(self.spark, folder)
             raise LoadRejected(f"load of {self.name} rejected: " + ", ".join(f"{name} fails for {n}" for name, n in failed.items()))
 
     def _values(self, name: str) -> tuple:
@@ -244,9 +249,9 @@ class PartitionTable:
         self.spark.catalog.refreshTable(self.name)
 
     def _replace(self, rows: DataFrame, listed: Iterable[tuple], sort_key: str | None = None,
-                 max_records_per_file: int | None = None) -> set[tuple]:
+                 max_records_per_file: int | None = None, judged: bool = False) -> set[tuple]:
         """Partitions that ``rows`` fills are replaced; of the listed ones, those it does not fill go."""
-        folder, filled = self._load(rows, sort_key, max_records_per_file)
+        folder, filled = self._load(rows, sort_key, max_records_per_file, judged)
         self._create(rows)
         self._point(folder, filled)
         self._drop(set(listed) - filled)
@@ -343,7 +348,10 @@ class DayTable(PartitionTable):
             touched = {r[DAY_COLUMN] for r in filled} | set(map(self._part, listed))
             old = self._raw().filter(_member(DAY_COLUMN, touched))
             kept = old.filter(~F.coalesce(self._day().isin([d for d in listed if d]), F.lit(False)) & (F.lit(None not in listed) | self._day().isNotNull()))
-            self._replace(kept.unionByName(staged), {(m,) for m in touched}, sort_key)
+            whole = kept.unionByName(staged)  # the months as they will be, all of it written rows
+            if self.checks and not whole.isEmpty():
+                self._check(whole)  # before they are shuffled and written: a refused load costs its stage alone
+            self._replace(whole, {(m,) for m in touched}, sort_key, judged=True)
 
     def reload_day(self, df: DataFrame, day, sort_key: str | None = None) -> None:
         """Delete-then-insert of one day, as one change of its location."""
@@ -441,8 +449,8 @@ class KeyTable(PartitionTable):
                     self._balanced(own.select("*", *missing), sort_key).select(*self._raw().columns).write.insertInto(self.name)
         return {"rewritten": rewritten, "appended": appended}
 
-    def _load(self, rows: DataFrame, sort_key: str | None, max_records_per_file: int | None = None) -> tuple[str, set[tuple]]:
-        return super()._load(rows, sort_key or self.key, max_records_per_file)
+    def _load(self, rows: DataFrame, sort_key: str | None, max_records_per_file: int | None = None, judged: bool = False) -> tuple[str, set[tuple]]:
+        return super()._load(rows, sort_key or self.key, max_records_per_file, judged)
 
 
 def _dates(days) -> list:
