@@ -66,6 +66,29 @@ def test_one_shuffle_of_the_facts(spark):
     assert plan.count("Exchange hashpartitioning") <= 4
 
 
+def test_the_shuffles_carry_no_value_twice_and_no_empty_hand_over(spark, sides):
+    facts, versions = sides
+    kw = dict(fact_key="product_id", version_key="id", fact_time="created_at", version_time="updated_at", columns=["attr"])
+    plan = asof_join(facts, versions, **kw)._jdf.queryExecution().optimizedPlan().toString()
+    dealt = plan[plan.index("RepartitionByExpression"):].split("Join")[0]
+    assert not any(f"AS {c}#" in dealt for c in ("__key", "__t", "__kind", "__tb0"))
+    assert "isnotnull(__before" in plan
+
+
+@pytest.mark.parametrize("bucket", ["month", "day"])
+def test_keys_and_times_of_other_types(spark, sides, bucket):
+    facts, versions = sides
+    kw = dict(fact_key="product_id", version_key="id", fact_time="created_at", version_time="updated_at", columns=["attr"], bucket=bucket)
+    narrow = facts.selectExpr("sale", "CAST(product_id AS int) product_id", "created_at")
+    out = asof_join(narrow, versions, **kw)
+    assert out.schema["product_id"].dataType == narrow.schema["product_id"].dataType
+    assert rows(out, "sale", "attr") == EXPECTED
+    daily = versions.selectExpr("id", "CAST(updated_at AS date) updated_at", "attr")
+    assert rows(asof_join(facts, daily, **kw), "sale", "attr") == EXPECTED
+    own = asof_join(facts, versions.filter("attr <> 'v2'"), version_time_as="created_at_of", **kw)  # the version's time beside the fact's
+    assert own.columns == [*facts.columns, "attr", "created_at_of"]
+
+
 def test_intervals(spark, sides):
     _, versions = sides
     iv = version_intervals(versions)

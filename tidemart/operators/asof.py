@@ -79,34 +79,36 @@ def asof_join(facts: DataFrame, versions: DataFrame, *, fact_key: str, version_k
     and stamp, the one that sorts last by ``columns`` counts.
     """
     attributes = list(dict.fromkeys([*columns, *([version_time] if version_time_as else [])]))
-    tiebreak = [c for c in dict.fromkeys(columns) if c not in (version_key, version_time)]
+    tiebreak = [F.col("__version").getField(c) for c in dict.fromkeys(columns) if c not in (version_key, version_time)]
+    # the versions stand in the facts' own key and time columns, unless the types differ: the shuffle carries nothing twice
+    alike = lambda f, v: facts.schema[f].dataType == versions.schema[v].dataType
+    key, t = fact_key if alike(fact_key, version_key) else "__key", fact_time if alike(fact_time, version_time) else "__t"
     clean = versions.filter(F.col(version_key).isNotNull() & F.col(version_time).isNotNull())
     version_rows = clean.select(
-        F.col(version_key).alias("__key"), F.col(version_time).alias("__t"), F.lit(0).alias("__kind"),
-        time_bucket(version_time, bucket).alias("__b"), F.struct(*attributes).alias("__version"),
-        *[F.col(c).alias(f"__tb{i}") for i, c in enumerate(tiebreak)])
+        F.col(version_key).alias(key), F.col(version_time).alias(t),
+        time_bucket(version_time, bucket).alias("__b"), F.struct(*attributes).alias("__version"))
     spread = -1 - F.monotonically_increasing_id() % UNMATCHED_BUCKETS
+    unmatched = F.col(fact_key).isNull() | F.col(fact_time).isNull()
     fact_rows = facts.select(
-        "*", F.col(fact_key).alias("__key"), F.col(fact_time).alias("__t"), F.lit(1).alias("__kind"),
-        F.when(F.col(fact_key).isNull() | F.col(fact_time).isNull(), spread)
-        .otherwise(time_bucket(fact_time, bucket)).cast("int").alias("__b"))
-    dealt = fact_rows.unionByName(version_rows, allowMissingColumns=True).repartition("__key", "__b")
-    order = ["__t", "__kind", *(f"__tb{i}" for i in range(len(tiebreak)))]
-    running = (Window.partitionBy("__key", "__b").orderBy(*_ascending(order))
+        "*", *[F.col(f).alias(c) for f, c in ((fact_key, key), (fact_time, t)) if f != c],
+        F.when(unmatched, spread).otherwise(time_bucket(fact_time, bucket)).cast("int").alias("__b"))
+    dealt = fact_rows.unionByName(version_rows, allowMissingColumns=True).repartition(key, "__b")
+    is_fact = F.col("__version").isNull()
+    running = (Window.partitionBy(key, "__b").orderBy(*[c.asc_nulls_first() for c in (F.col(t), is_fact, *tiebreak)])
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    carried = dealt.withColumn("__match", F.last("__version", ignorenulls=True).over(running)).filter("__kind = 1")
+    carried = dealt.withColumn("__match", F.last("__version", ignorenulls=True).over(running)).filter(is_fact)
 
     # the last version of each bucket, and the buckets of the facts: one row each, before anything is shuffled
-    place = F.struct("__t", *(f"__tb{i}" for i in range(len(tiebreak))))
-    tails = (version_rows.groupBy(F.col("__key").alias("__k"), F.col("__b").alias("__hb"))
+    place = F.struct(F.col(t).alias("t"), *[c.alias(f"tb{i}") for i, c in enumerate(tiebreak)])
+    tails = (version_rows.groupBy(F.col(key).alias("__k"), F.col("__b").alias("__hb"))
              .agg(F.max_by("__version", place).alias("__tail")).withColumn("__asked", F.lit(False)))
-    asked = fact_rows.select(F.col("__key").alias("__k"), F.col("__b").alias("__hb")).distinct().withColumn("__asked", F.lit(True))
+    asked = fact_rows.filter(~unmatched).select(F.col(key).alias("__k"), F.col("__b").alias("__hb")).distinct().withColumn("__asked", F.lit(True))
     earlier = (Window.partitionBy("__k").orderBy("__hb", F.col("__asked").desc())  # a bucket asks before its own version
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     handed = (asked.unionByName(tails, allowMissingColumns=True).withColumn("__before", F.last("__tail", ignorenulls=True).over(earlier))
-              .filter("__asked").drop("__tail", "__asked"))
-    joined = carried.join(handed, (F.col("__key") == F.col("__k")) & (F.col("__b") == F.col("__hb")), "left")
-    match = F.when(F.col("__t").isNotNull(), F.coalesce("__match", "__before"))
+              .filter(F.col("__asked") & F.col("__before").isNotNull()).drop("__tail", "__asked"))
+    joined = carried.join(handed, (F.col(key) == F.col("__k")) & (F.col("__b") == F.col("__hb")), "left")
+    match = F.when(F.col(t).isNotNull(), F.coalesce("__match", "__before"))
     out = [F.col(c) for c in facts.columns] + [match.getField(c).alias(c) for c in columns]
     if version_time_as:
         out.append(match.getField(version_time).alias(version_time_as))
