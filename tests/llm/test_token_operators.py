@@ -87,6 +87,13 @@ def test_bpe_of_nothing_and_null_ids(spark, nothing):
     assert got == {1: None, 2: b"", 3: pieces[64] + pieces[65]}
 
 
+def test_the_rank_map_stays_out_of_the_plan(spark):
+    coded = bpe.encode(docs_of(spark, [(1, "unheardofness zyxwv"), (2, None)]), RANKS)
+    assert len(coded._jdf.queryExecution().optimizedPlan().toString()) < 20_000
+    ranks = bpe.rank_table(spark, RANKS).collect()
+    assert [tuple(map(list, r)) for r in ranks] == [bpe.rank_map(bpe.pair_ranks(bpe.read_ranks(RANKS)))]
+
+
 def test_rank_map_finds_every_pair_and_nothing_else():
     pairs = bpe.pair_ranks(bpe.read_ranks(RANKS))
     shifts, slots = bpe.rank_map(pairs)

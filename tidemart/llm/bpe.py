@@ -2,7 +2,8 @@
 
 A word is an array of piece ids, at first one for each byte. The fold merges,
 again and again, the adjacent pair of lowest rank, the leftmost first, until
-no pair has a rank; ranks come from a literal map that is part of the plan.
+no pair has a rank; ranks come from a map of two arrays, a table of one row
+that a task builds and the join broadcasts.
 
 Words are folded once, not once an occurrence: the words that occur most in the
 whole table are counted, folded and sent to all tasks (at most DICTIONARY of
@@ -17,14 +18,13 @@ from __future__ import annotations
 
 import base64
 import functools
-import json
 from collections.abc import Callable
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -32,7 +32,7 @@ from . import pretokens
 from .common import written
 from .kernels import chunks, text_column
 
-#: Of the literal rank map: slots, displacement classes, multipliers (products stay below 2**63), bits of a rank.
+#: Of the rank map: slots, displacement classes, multipliers (products stay below 2**63), bits of a rank.
 SLOT_BITS, CLASS_BITS, RANK_BITS = 18, 15, 17
 SLOT_MUL, CLASS_MUL = 1_540_483_477, 1_103_515_245
 #: Rank of a pair that does not merge; the id that stands at both ends of a word while it is folded.
@@ -41,8 +41,6 @@ NEVER, EDGE = (1 << 31) - 1, (1 << 16) - 1
 CHUNK_CHARS, SPLIT_CHARS = 4 << 20, 1 << 18
 #: Words folded ahead for the whole table, their longest, and how often a word of a chunk occurs there to be counted.
 DICTIONARY, DICTIONARY_CHARS, COUNTED = 1 << 19, 64, 2
-#: Characters of a plan that Spark keeps for display.
-PLAN_CHARS = 100_000
 #: Words in one row, and bytes from which a word is looked through for cuts.
 ROW_WORDS, CUT_BYTES = 4096, 256
 
@@ -94,18 +92,18 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-@functools.cache
-def _rank_literals(vocabulary: str) -> tuple[str, str]:
-    """The rank map of a file as text, built once a driver."""
-    shifts, slots = rank_map(pair_ranks(read_ranks(vocabulary)))
-    return json.dumps(shifts), json.dumps(slots)
+def rank_table(spark: SparkSession, vocabulary: str) -> DataFrame:
+    """The rank map of a file as one row, built once by a task: neither the driver nor a plan holds it."""
+    def build(batches):
+        for _ in batches:
+            shifts, slots = rank_map(pair_ranks(read_ranks(vocabulary)))
+            yield pa.RecordBatch.from_arrays([pa.array([shifts], pa.list_(pa.int32())), pa.array([slots], pa.list_(pa.int64()))], ["shifts", "slots"])
+
+    return written(spark.range(0, 1, 1, 1).mapInArrow(build, "shifts array<int>, slots array<long>"), "bpe-ranks")
 
 
-def fold_word(parts: Column, vocabulary: str) -> Column:
+def fold_word(parts: Column, shift_of: Column, slot_of: Column) -> Column:
     """Ids after all merges of a word given as ids (array<int>): lowest rank first, then leftmost."""
-    shifts, slots = _rank_literals(vocabulary)
-    shift_of = F.from_json(F.lit(shifts), "array<int>")
-    slot_of = F.from_json(F.lit(slots), "array<long>")
     never, edge = F.lit(NEVER), F.array(F.lit(EDGE))
 
     def rank(left: Column, right: Column) -> Column:
@@ -203,7 +201,13 @@ def _lists(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values.astype(np.int32)))
 
 
-def frequent_words(docs: DataFrame, vocabulary: str, text: str = "text") -> Folded:
+def _fold_rows(rows: DataFrame, ranks: DataFrame) -> DataFrame:
+    """The rows with their `words` (array<array<int>>) folded; each row meets the rank map, so it has many words."""
+    folded = F.transform("words", lambda w: fold_word(w, F.col("shifts"), F.col("slots"))).alias("words")
+    return rows.crossJoin(F.broadcast(ranks)).select(*[folded if c == "words" else c for c in rows.columns])
+
+
+def frequent_words(docs: DataFrame, vocabulary: str, text: str = "text", ranks: DataFrame | None = None) -> Folded:
     """The words that occur most in all documents, folded: at most DICTIONARY, whatever the size of the table.
 
     A chunk counts words it holds at least COUNTED times; the counts are added
@@ -242,25 +246,26 @@ def frequent_words(docs: DataFrame, vocabulary: str, text: str = "text") -> Fold
     def split(batches):
         table = _words(vocabulary)
         for batch in batches:
-            words = batch.column(0).to_pylist()
-            ends = np.cumsum([len(w) for w in words])
-            starts = ends - [len(w) for w in words]
-            flat, offsets = table.bytes_of("".join(words), starts, ends)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(pretokens.piece_hashes("".join(words), starts, ends).view(np.int64)), _lists(table.byte_ids[flat], offsets)], ["hash", "ids"])
+            for lo in range(0, batch.num_rows, ROW_WORDS):
+                words = batch.column(0).slice(lo, ROW_WORDS).to_pylist()
+                ends = np.cumsum([len(w) for w in words])
+                starts = ends - [len(w) for w in words]
+                flat, offsets = table.bytes_of("".join(words), starts, ends)
+                ids = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), _lists(table.byte_ids[flat], offsets))
+                yield pa.RecordBatch.from_arrays([pa.array([pretokens.piece_hashes("".join(words), starts, ends).tobytes()], pa.binary()), ids], ["hashes", "words"])
 
     def pack(batches):
         for batch in batches:
-            ids = batch.column(1)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x], pa.binary()) for x in (batch.column(0).to_numpy().tobytes(), np.diff(ids.offsets.to_numpy()).astype(np.int16).tobytes(),
-                                                      ids.flatten().to_numpy().astype(np.uint16).tobytes())], ["hashes", "sizes", "flat"])
+            for i in range(batch.num_rows):
+                ids = batch.column(1).slice(i, 1).flatten()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([x], pa.binary()) for x in (batch.column(0)[i].as_py(), np.diff(ids.offsets.to_numpy()).astype(np.int16).tobytes(),
+                                                          ids.flatten().to_numpy().astype(np.uint16).tobytes())], ["hashes", "sizes", "flat"])
 
     tasks = 4 * docs.sparkSession.sparkContext.defaultParallelism
-    # written first: the plan that holds the rank map has no shuffle, so it is planned once
     chosen = written(counted.filter(F.col("n") >= least).select("word").repartition(tasks), "bpe-frequent")
-    firsts = chosen.mapInArrow(split, "hash long, ids array<int>")
-    folded = firsts.select("hash", fold_word(F.col("ids"), vocabulary).alias("ids"))
+    firsts = chosen.mapInArrow(split, "hashes binary, words array<array<int>>")
+    folded = _fold_rows(firsts, rank_table(docs.sparkSession, vocabulary) if ranks is None else ranks)
     packed = folded.mapInArrow(pack, "hashes binary, sizes binary, flat binary").collect()  # at most DICTIONARY words
     hashes, sizes, flat = (np.concatenate([np.frombuffer(r[c], t) for r in packed]) for c, t in
                            (("hashes", np.uint64), ("sizes", np.int16), ("flat", np.uint16)))
@@ -283,11 +288,8 @@ def encode(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "t
     row of their chunk through the same task: no state leaves it, and a lost
     task is simply run again.
     """
-    # the rank map stands in the plan: Spark would keep it as text for every execution and re-planning of it
-    conf = docs.sparkSession.conf
-    if int(conf.get("spark.sql.maxPlanStringLength").rstrip("b")) > PLAN_CHARS:
-        conf.set("spark.sql.maxPlanStringLength", str(PLAN_CHARS))
-    ahead = docs.sparkSession.sparkContext.broadcast(tuple(frequent_words(docs, vocabulary, text)))
+    ranks = rank_table(docs.sparkSession, vocabulary)
+    ahead = docs.sparkSession.sparkContext.broadcast(tuple(frequent_words(docs, vocabulary, text, ranks)))
     kind = docs.schema[key].dataType.simpleString()
     key_type = to_arrow_type(docs.schema[key].dataType)
     names = ["keys", "first", "codes", "known", "words"]
@@ -330,7 +332,7 @@ def encode(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "t
                 yield row(ids.slice(a, b - a), first.astype(np.int32).tobytes(), code[which.astype(np.int32)[np.concatenate(codes)]].tobytes(), None, None)
 
     chunks = docs.select(key, text).mapInArrow(words, f"keys array<{kind}>, first binary, codes binary, known binary, words array<array<int>>")
-    folded = chunks.select("keys", "first", "codes", "known", F.transform("words", lambda w: fold_word(w, vocabulary)).alias("words"))
+    folded = _fold_rows(chunks, ranks)
 
     def assemble(batches):
         table, dictionary = _words(vocabulary), Folded(*ahead.value)
