@@ -203,7 +203,8 @@ def _lists(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
 
 def _fold_rows(rows: DataFrame, ranks: DataFrame) -> DataFrame:
     """The rows with their `words` (array<array<int>>) folded; each row meets the rank map, so it has many words."""
-    folded = F.transform("words", lambda w: fold_word(w, F.col("shifts"), F.col("slots"))).alias("words")
+    folded = let(F.col("shifts"), lambda shift_of: let(F.col("slots"), lambda slot_of: F.transform(  # read from the row once
+        "words", lambda w: fold_word(w, shift_of, slot_of)))).alias("words")
     return rows.crossJoin(F.broadcast(ranks)).select(*[folded if c == "words" else c for c in rows.columns])
 
 
