@@ -1,5 +1,7 @@
 """Operators 3 and 9: exact against the tokenizer libraries, and round trips."""
 
+import base64
+import itertools
 import random
 
 import numpy as np
@@ -124,6 +126,39 @@ def test_frequent_words_change_no_id(spark, monkeypatch):
         assert len(bpe.frequent_words(docs, RANKS).hashes) <= max(bpe.DICTIONARY, 0)
 
 
+def test_one_pass_over_the_pieces_of_a_word_equals_merging_pair_by_pair(spark):
+    """Words of pieces of the vocabulary and of random letters, up to more bytes than a mask holds."""
+    pick = random.Random(5)
+    ranks = bpe.read_ranks(RANKS)
+    table = bpe._Words(ranks)
+    assert not table.odd.any()  # a trained vocabulary: every word of up to MASK_BYTES takes the one pass
+    pieces = [p.decode() for p in ranks if p.isalpha()]
+    texts = [" ".join("".join(pick.choices(pieces, k=pick.randint(2, 6))) for _ in range(300)),
+             " ".join("".join(pick.choices("aeinstéñß日я🙂", k=pick.randint(2, 12))) for _ in range(300)),
+             " ".join("z" * n for n in range(2, 40))]
+    own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rows = bpe.encode(docs_of(spark, list(enumerate(texts))), RANKS).collect()
+    assert {r.doc_id: r.ids for r in rows} == {i: own.encode_ordinary(t) for i, t in enumerate(texts)}
+    offsets = np.array([0, 5, 5 + bpe.MASK_BYTES, 6 + 2 * bpe.MASK_BYTES])
+    _, sizes, words, _ = table.unfolded(np.frombuffer(b"hello" + b"e" * (2 * bpe.MASK_BYTES + 1), np.uint8), offsets)
+    assert np.frombuffer(sizes[0].as_py(), np.int32).tolist() == [5, bpe.MASK_BYTES, 0]
+    assert [len(w) for w in words[0].as_py()] == [0, 0, bpe.MASK_BYTES + 1]
+
+
+def test_pieces_that_come_up_late_are_merged_pair_by_pair(spark, tmp_path):
+    """A rank file no training makes: "abc" ranks before "bc", its only way; "zzz" before "zz"."""
+    pieces = [bytes([b]) for b in range(256)] + [b"abc", b"bc", b"zzz", b"zz", b"xa", b"abcabc", b"q\xc3"]
+    path = tmp_path / "odd.tiktoken"
+    path.write_bytes(b"".join(base64.b64encode(p) + b" %d\n" % i for i, p in enumerate(pieces)))
+    ranks = bpe.read_ranks(str(path))
+    odd = bpe._Words(ranks).odd
+    assert [pieces[i] for i in np.flatnonzero(odd)] == [b"abc", b"zzz", b"abcabc"]
+    own = tiktoken.Encoding("odd", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    texts = ["yabc xabc abcabcd xabcabc", "yzz zzzz zzzzzzz" + "z" * 40, "bcbc qé aqéabc ybcq", " ".join("".join(p) for p in itertools.product("abcxz", repeat=5))]
+    rows = bpe.encode(docs_of(spark, list(enumerate(texts))), str(path)).collect()
+    assert {r.doc_id: r.ids for r in rows} == {i: own.encode_ordinary(t) for i, t in enumerate(texts)}
+
+
 def test_op9_digests_on_the_small_table(spark):
     import hashlib
 

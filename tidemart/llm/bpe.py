@@ -1,14 +1,23 @@
 """Byte-level BPE by folds in Spark higher-order functions (operator 9).
 
-A word is an array of piece ids, at first one for each byte. The fold merges,
-again and again, the adjacent pair of lowest rank, the leftmost first, until
-no pair has a rank; ranks come from a map of two arrays, a table of one row
-that a task builds and the join broadcasts.
+A word is a set of places between its bytes at which pieces meet, at first all
+of them. The fold goes once over the pieces of the vocabulary that occur in the
+word, lowest rank first, then leftmost, and takes away the place inside each
+that is just two pieces at that moment. One pass does what merging the lowest
+pair again and again does, as long as a pair of lower rank never comes up late.
+Were piece d to come up after a merge of higher rank inside it, the merges
+ranked below d would leave d's own bytes in three pieces or more: no piece of a
+trained vocabulary is so, and `_Words.odd` names those that are. A word that
+holds one of them, or of more than MASK_BYTES, is an array of piece ids
+instead, at first one for each byte; its fold merges, again and again, the
+adjacent pair of lowest rank, the leftmost first, until no pair has a rank;
+ranks come from a map of two arrays, a table of one row that a task builds and
+the join broadcasts.
 
 Words are folded once, not once an occurrence: the words that occur most in the
 whole table are counted, folded and sent to all tasks (at most DICTIONARY of
 them, so their size is bounded), and a chunk of documents folds its other
-distinct words, in rows of at most ROW_WORDS. A word of more than CUT_BYTES is
+distinct words, in rows of at most ROW_WORDS. A word of more than MASK_BYTES is
 cut where no piece of the vocabulary that occurs in it spans the cut: merges
 never cross such a place. Decoding looks ids up in an array of binary pieces
 and concatenates them.
@@ -30,7 +39,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from . import pretokens
 from .common import written
-from .kernels import chunks, text_column
+from .kernels import _MUL, chunks, mix, text_column
 
 #: Of the rank map: slots, displacement classes, multipliers (products stay below 2**63), bits of a rank.
 SLOT_BITS, CLASS_BITS, RANK_BITS = 18, 15, 17
@@ -41,8 +50,8 @@ NEVER, EDGE = (1 << 31) - 1, (1 << 16) - 1
 CHUNK_CHARS, SPLIT_CHARS = 4 << 20, 1 << 18
 #: Words folded ahead for the whole table, their longest, and how often a word of a chunk occurs there to be counted.
 DICTIONARY, DICTIONARY_CHARS, COUNTED = 1 << 19, 64, 2
-#: Words in one row, and bytes from which a word is looked through for cuts.
-ROW_WORDS, CUT_BYTES = 4096, 256
+#: Words in one row, and bytes of a word whose places fit one half of a long.
+ROW_WORDS, MASK_BYTES = 4096, 30
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -131,6 +140,18 @@ def fold_word(parts: Column, shift_of: Column, slot_of: Column) -> Column:
     return F.when(F.size(parts) < 2, parts).otherwise(let(F.concat(edge, parts, edge), fold))
 
 
+def fold_places(steps: Column) -> Column:
+    """The places (bits) at which pieces meet after all merges of a word given by its steps (array<long>), in order.
+
+    A step is a piece that occurs: all its places in the high half, its two ends in the low half.
+    """
+    def merge(places: Column, step: Column) -> Column:
+        inside = places.bitwiseAND(F.shiftright(step, 32)).bitwiseXOR(step.bitwiseAND(F.lit((1 << 32) - 1)))
+        return F.when(F.bit_count(inside) == 1, places.bitwiseAND(F.bitwise_not(inside))).otherwise(places)
+
+    return F.aggregate(steps, F.lit((1 << MASK_BYTES + 1) - 1).cast("long"), merge)
+
+
 class Folded(NamedTuple):
     """Ids of words folded ahead, by ascending word hash: ids of word i are flat[edges[i]:edges[i + 1]]."""
 
@@ -146,6 +167,26 @@ class Folded(NamedTuple):
         return np.where(self.hashes[at] == hashes, at, -1)
 
 
+#: Words of a row: bytes of the words given as steps, bytes of each (0 for the others), ids of bytes of the others, steps.
+UNFOLDED = "text binary, sizes binary, words array<array<int>>, steps array<array<long>>"
+
+
+def _grown(hashes: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """64-bit hashes of byte strings with one byte more."""
+    return mix(hashes * _MUL + last + np.uint64(1))
+
+
+def _byte_hashes(text: np.ndarray, starts: np.ndarray, sizes: np.ndarray, begins: np.ndarray | None = None) -> np.ndarray:
+    """A 64-bit content hash of each byte string text[start:start + size]; notes in `begins` how they begin."""
+    out = np.zeros(len(starts), np.uint64)
+    for n in range(int(sizes.max(initial=0))):
+        at = np.flatnonzero(sizes > n)
+        out[at] = _grown(out[at], text[starts[at] + n])
+        if begins is not None:
+            begins[out[at] >> np.uint64(44)] = True
+    return out
+
+
 class _Words:
     """What a task needs to turn distinct words into first pieces: ids of bytes and of whole words."""
 
@@ -162,6 +203,84 @@ class _Words:
         order = np.argsort(hashes)
         self.whole = Folded(hashes[order], np.arange(len(known) + 1), np.array([r for _, r in known], np.int32)[order])
         self.ranks = ranks
+        sizes = np.array([*map(len, ranks)], np.int64)
+        self.begins = np.zeros(1 << 20, bool)  # by the first bits of a hash: whether a piece may begin so
+        hashes = _byte_hashes(np.frombuffer(b"".join(ranks), np.uint8), np.cumsum(sizes) - sizes, sizes, self.begins)
+        order = np.argsort(hashes)
+        self.pieces = Folded(hashes[order], np.arange(len(ranks) + 1), np.array(list(ranks.values()), np.int64)[order])
+
+    def occurring(self, text: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(word, id, step) of the pieces of two bytes and more in words of at most MASK_BYTES, by word, rank and place."""
+        sizes = np.diff(offsets)
+        sizes = np.where(sizes <= MASK_BYTES, sizes, 0)
+        word = np.repeat(np.arange(len(sizes)), sizes)
+        at = pretokens.ragged(offsets[:-1], sizes)
+        left = offsets[word + 1] - at
+        hashes, found = np.zeros(len(at), np.uint64), [np.empty(0, np.int64)]
+        for size in range(1, MASK_BYTES + 1):  # only strings with which a piece begins grow on
+            hashes = _grown(hashes, text[at + size - 1])
+            own = self.pieces.find(hashes) if size > 1 else np.full(len(at), -1)
+            hit = np.flatnonzero(own >= 0)
+            start = at[hit] - offsets[word[hit]]
+            found.append((word[hit] << 26) | (self.pieces.flat[own[hit]] << 10) | (start << 5) | (start + size))
+            on = np.flatnonzero(self.begins[hashes >> np.uint64(44)] & (left > size))
+            if not len(on):
+                break
+            hashes, at, left, word = hashes[on], at[on], left[on], word[on]
+        keys = np.sort(np.concatenate(found))
+        one, start, end = np.int64(1), keys >> 5 & 31, keys & 31
+        return keys >> 26, keys >> 10 & 0xFFFF, ((one << end + 1) - (one << start) << 32) | (one << start) | (one << end)
+
+    @functools.cached_property
+    def odd(self) -> np.ndarray:
+        """By id: one pass over the merges ranked below the piece does not leave its bytes in two pieces, so that it
+        (or an odd piece inside) may come up late."""
+        pieces = [p for p in self.ranks if 2 <= len(p) <= MASK_BYTES]
+        own = np.array([self.ranks[p] for p in pieces], np.int64)
+        lengths = np.array([len(p) for p in pieces], np.int64)
+        word, ids, steps = self.occurring(np.frombuffer(b"".join(pieces), np.uint8), np.concatenate([[0], np.cumsum(lengths)]))
+        below = ids < own[word]
+        word, steps = word[below], steps[below]
+        first = np.searchsorted(word, np.arange(len(pieces) + 1))
+        places = (np.int64(1) << lengths + 1) - 1
+        for k in range(int(np.diff(first).max(initial=0))):
+            at = np.flatnonzero(np.diff(first) > k)
+            step = steps[first[at] + k]
+            inside = (places[at] & step >> 32) ^ (step & (1 << 32) - 1)
+            places[at] &= np.where(np.bitwise_count(inside) == 1, ~inside, -1)
+        out = np.zeros(max(self.ranks.values()) + 1, bool)
+        out[own[np.bitwise_count(places) != 3]] = True
+        return out
+
+    def unfolded(self, text: np.ndarray, offsets: np.ndarray) -> list[pa.Array]:
+        """A row of UNFOLDED: the words as steps, and the bytes of those; empty lists and no bytes for the others, given as ids of bytes."""
+        word, ids, steps = self.occurring(text, offsets)
+        sizes, count = np.diff(offsets), len(offsets) - 1
+        plain = sizes > MASK_BYTES
+        plain[word[self.odd[ids]]] = True
+        steps = steps[~plain[word]]
+        edges = np.concatenate([[0], np.cumsum(np.where(plain, 0, np.bincount(word, minlength=count)))])
+        part = np.where(plain, sizes, 0)
+        bytes_of = text[pretokens.ragged(offsets[:-1], sizes - part)]
+        words = _lists(self.byte_ids[text[pretokens.ragged(offsets[:-1], part)]], np.concatenate([[0], np.cumsum(part)]))
+        steps = pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(steps, pa.int64()))
+        return [pa.array([x.tobytes()], pa.binary()) for x in (bytes_of, (sizes - part).astype(np.int32))] + [
+            pa.ListArray.from_arrays(pa.array([0, count], pa.int32()), x) for x in (words, steps)]
+
+    def folded(self, batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words, ids of each) of a row of UNFOLDED whose words are folded."""
+        text, sizes = (np.frombuffer(batch.column(c)[i].as_py(), t) for c, t in (("text", np.uint8), ("sizes", np.int32)))
+        words, places = (batch.column(c).slice(i, 1).flatten() for c in ("words", "places"))
+        word = np.repeat(np.arange(len(sizes)), sizes)
+        place = np.arange(len(text)) - np.repeat(np.cumsum(sizes, dtype=np.int64) - sizes, sizes)
+        starts = np.flatnonzero(places.to_numpy()[word] >> place & 1)
+        ids = self.pieces.flat[self.pieces.find(_byte_hashes(text, starts, np.diff(starts, append=len(text))))]
+        parts, merged = np.bincount(word[starts], minlength=len(sizes)), np.diff(words.offsets.to_numpy())
+        begin = np.cumsum(parts + merged) - parts - merged  # one of the two is 0
+        flat = np.empty(len(ids) + int(merged.sum()), np.int32)
+        flat[pretokens.ragged(begin, parts)] = ids
+        flat[pretokens.ragged(begin, merged)] = words.flatten().to_numpy()
+        return flat, parts + merged
 
     @functools.cached_property
     def by_length(self) -> dict[int, set[bytes]]:
@@ -202,10 +321,11 @@ def _lists(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
 
 
 def _fold_rows(rows: DataFrame, ranks: DataFrame) -> DataFrame:
-    """The rows with their `words` (array<array<int>>) folded; each row meets the rank map, so it has many words."""
+    """The rows with their `words` folded to ids and their `steps` to `places`; each row meets the rank map, so it has many words."""
     folded = let(F.col("shifts"), lambda shift_of: let(F.col("slots"), lambda slot_of: F.transform(  # read from the row once
         "words", lambda w: fold_word(w, shift_of, slot_of)))).alias("words")
-    return rows.crossJoin(F.broadcast(ranks)).select(*[folded if c == "words" else c for c in rows.columns])
+    places = F.transform("steps", fold_places).alias("places")
+    return rows.crossJoin(F.broadcast(ranks)).select(*[{"words": folded, "steps": places}.get(c, c) for c in rows.columns])
 
 
 def frequent_words(docs: DataFrame, vocabulary: str, text: str = "text", ranks: DataFrame | None = None) -> Folded:
@@ -251,21 +371,22 @@ def frequent_words(docs: DataFrame, vocabulary: str, text: str = "text", ranks:
                 words = batch.column(0).slice(lo, ROW_WORDS).to_pylist()
                 ends = np.cumsum([len(w) for w in words])
                 starts = ends - [len(w) for w in words]
-                flat, offsets = table.bytes_of("".join(words), starts, ends)
-                ids = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), _lists(table.byte_ids[flat], offsets))
-                yield pa.RecordBatch.from_arrays([pa.array([pretokens.piece_hashes("".join(words), starts, ends).tobytes()], pa.binary()), ids], ["hashes", "words"])
+                hashes = pretokens.piece_hashes("".join(words), starts, ends)
+                yield pa.RecordBatch.from_arrays([pa.array([hashes.tobytes()], pa.binary()), *table.unfolded(*table.bytes_of("".join(words), starts, ends))],
+                                                 ["hashes", "text", "sizes", "words", "steps"])
 
     def pack(batches):
+        table = _words(vocabulary)
         for batch in batches:
             for i in range(batch.num_rows):
-                ids = batch.column(1).slice(i, 1).flatten()
+                flat, sizes = table.folded(batch, i)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([x], pa.binary()) for x in (batch.column(0)[i].as_py(), np.diff(ids.offsets.to_numpy()).astype(np.int16).tobytes(),
-                                                          ids.flatten().to_numpy().astype(np.uint16).tobytes())], ["hashes", "sizes", "flat"])
+                    [pa.array([x], pa.binary()) for x in (batch.column(0)[i].as_py(), sizes.astype(np.int16).tobytes(), flat.astype(np.uint16).tobytes())],
+                    ["hashes", "sizes", "flat"])
 
     tasks = 4 * docs.sparkSession.sparkContext.defaultParallelism
     chosen = written(counted.filter(F.col("n") >= least).select("word").repartition(tasks), "bpe-frequent")
-    firsts = chosen.mapInArrow(split, "hashes binary, words array<array<int>>")
+    firsts = chosen.mapInArrow(split, f"hashes binary, {UNFOLDED}")
     folded = _fold_rows(firsts, rank_table(docs.sparkSession, vocabulary) if ranks is None else ranks)
     packed = folded.mapInArrow(pack, "hashes binary, sizes binary, flat binary").collect()  # at most DICTIONARY words
     hashes, sizes, flat = (np.concatenate([np.frombuffer(r[c], t) for r in packed]) for c, t in
@@ -293,14 +414,13 @@ def encode(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "t
     ahead = docs.sparkSession.sparkContext.broadcast(tuple(frequent_words(docs, vocabulary, text, ranks)))
     kind = docs.schema[key].dataType.simpleString()
     key_type = to_arrow_type(docs.schema[key].dataType)
-    names = ["keys", "first", "codes", "known", "words"]
+    names = ["keys", "first", "codes", "parts", "text", "sizes", "words", "steps"]
+    none = [pa.nulls(1, t) for t in (pa.binary(), pa.binary(), pa.list_(pa.list_(pa.int32())), pa.list_(pa.list_(pa.int64())))]
 
-    def row(keys, first, codes, known, words) -> pa.RecordBatch:
+    def row(keys, first, codes, parts, words) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [pa.array([None], pa.list_(key_type)) if keys is None else pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys),
-             pa.array([first], pa.binary()), pa.array([codes], pa.binary()), pa.array([known], pa.binary()),
-             pa.array([None], pa.list_(pa.list_(pa.int32()))) if words is None else pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words)],
-            names)
+            [pa.nulls(1, pa.list_(key_type)) if keys is None else pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys),
+             pa.array([first], pa.binary()), pa.array([codes], pa.binary()), pa.array([parts], pa.binary()), *(words or none)], names)
 
     def words(batches):
         table, dictionary = _words(vocabulary), Folded(*ahead.value)
@@ -325,14 +445,14 @@ def encode(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "t
                 mine = (place < 0) & (known < 0)
                 order = distinct[mine].tolist()
                 for lo in range(0, len(order), ROW_WORDS):
-                    flat, offsets = _cut(table, [rare[h] for h in order[lo:lo + ROW_WORDS]])
-                    yield row(None, None, None, flat[1], _lists(table.byte_ids[flat[0]], offsets))
+                    (flat, parts), offsets = _cut(table, [rare[h] for h in order[lo:lo + ROW_WORDS]])
+                    yield row(None, None, None, parts, table.unfolded(flat, offsets))
                 code = np.where(place >= 0, place, np.where(known >= 0, len(table.whole.hashes) + known, 0)).astype(np.int32)
                 code[mine] = len(table.whole.hashes) + len(dictionary.hashes) + np.arange(len(order))
                 first = np.concatenate([[0], np.cumsum(np.concatenate(counts))])
                 yield row(ids.slice(a, b - a), first.astype(np.int32).tobytes(), code[which.astype(np.int32)[np.concatenate(codes)]].tobytes(), None, None)
 
-    chunks = docs.select(key, text).mapInArrow(words, f"keys array<{kind}>, first binary, codes binary, known binary, words array<array<int>>")
+    chunks = docs.select(key, text).mapInArrow(words, f"keys array<{kind}>, first binary, codes binary, parts binary, {UNFOLDED}")
     folded = _fold_rows(chunks, ranks)
 
     def assemble(batches):
@@ -347,9 +467,9 @@ def encode(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "t
         for batch in batches:
             for i in range(batch.num_rows):
                 if not batch.column(0)[i].is_valid:
-                    pieces = batch.column(4).slice(i, 1).flatten()
-                    own_flat.append(pieces.flatten().to_numpy().astype(np.int32))
-                    own_sizes.append(_joined_sizes(np.diff(pieces.offsets.to_numpy()), np.frombuffer(batch.column(3)[i].as_py(), np.int32)))
+                    ids, parts = table.folded(batch, i)
+                    own_flat.append(ids)
+                    own_sizes.append(_joined_sizes(parts, np.frombuffer(batch.column(3)[i].as_py(), np.int32)))
                     continue
                 keys = batch.column(0).slice(i, 1).flatten()
                 first, codes = (np.frombuffer(batch.column(c)[i].as_py(), np.int32) for c in (1, 2))
@@ -375,7 +495,7 @@ def _cut(table: _Words, words: list[str]) -> tuple[tuple[np.ndarray, bytes], np.
     raw = [w.encode() for w in words]
     offsets, parts, held = [0], [], 0
     for w in raw:
-        cuts = table.cuts(w) if len(w) > CUT_BYTES else []
+        cuts = table.cuts(w) if len(w) > MASK_BYTES else []
         offsets += [held + c for c in cuts] + [held + len(w)]
         parts.append(len(cuts) + 1)
         held += len(w)
